@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from gleanwork.functions import labels
@@ -150,8 +150,8 @@ def cost_report(rows: DataFrame, completed: tuple[str, ...] = CLASSIFIED_STATUSE
     )
 
 
-def billed_cost(outputs: DataFrame, cost: str = "cost_usd") -> DataFrame:
-    """Sum of reported costs, or null when any response lacks one."""
+def billed_cost(outputs: DataFrame | GroupedData, cost: str = "cost_usd") -> DataFrame:
+    """Sum of reported costs, or null when any response lacks one; per group when grouped."""
     return outputs.agg(F.when(F.count(cost) == F.count("*"), F.coalesce(F.sum(cost), F.lit(0))).alias("billed_cost_usd"))
 
 

@@ -95,7 +95,7 @@ def stratified_sample(
     units = eligible(population, excluded, languages)
     quotas = stratum_quotas(strata(spark, languages), sample_size, seed)
     before = Window.orderBy("stratum_index").rowsBetween(Window.unboundedPreceding, -1)
-    quotas = quotas.withColumn("__before", F.coalesce(F.sum("language_sample_size").over(before), F.lit(0)))
+    quotas = quotas.withColumn("__offset", F.coalesce(F.sum("language_sample_size").over(before), F.lit(0)))
     sizes = units.groupBy("sampling_language").agg(F.count("*").alias("language_population"))
     keyed = units.join(F.broadcast(quotas), "sampling_language").withColumn("__draw", draw_hash(seed, "__unit"))
     drawn = first_k(
@@ -108,9 +108,9 @@ def stratified_sample(
     )
     return (
         drawn.join(F.broadcast(sizes), "sampling_language")
-        .withColumn("sample_order", F.col("__before") + F.col("__rank"))
+        .withColumn("sample_order", F.col("__offset") + F.col("__rank"))
         .withColumn("inclusion_probability", labels.ratio("language_sample_size", "language_population"))
-        .drop("__unit", "__draw", "__before", "__rank", "stratum_index")
+        .drop("__unit", "__draw", "__offset", "__rank", "stratum_index")
     )
 
 

@@ -20,7 +20,7 @@ CANDIDATE_COLUMNS = (
 )
 EVIDENCE_COLUMNS = ("name", "lastCommitSHA", "guideline_path")
 
-ATTEMPT = T.StructType.fromDDL(
+ATTEMPT = (
     "custom_id string, input_index bigint, name string, lastCommitSHA string, markdown_path string, "
     "blob_sha string, size_bytes bigint, markdown_url string, matched_filename_terms string, "
     "matched_content_terms string, status string, model_label string, model_reason string, quote string, "
@@ -29,15 +29,15 @@ ATTEMPT = T.StructType.fromDDL(
     "cache_write_input_tokens bigint, output_tokens bigint, total_tokens bigint, cost_usd decimal(18,9), "
     "elapsed_seconds double, provider_result string, seq bigint"
 )
-REPORT_COLUMNS = tuple(f.name for f in ATTEMPT if f.name not in ("provider_result", "seq"))
-REQUEST = T.StructType.fromDDL(
+REPORT_COLUMNS = tuple(
+    name for name in (field.split()[0] for field in ATTEMPT.split(", ")) if name not in ("provider_result", "seq")
+)
+REQUEST = (
     "custom_id string, method string, url string, body struct<model:string, instructions:string, input:string, "
     "reasoning:struct<effort:string>, max_output_tokens:int>"
 )
 REQUEST_INPUT = "repository string, revision string, path string, content string"
-ENTRY = T.StructType.fromDDL(
-    "repository string, revision string, path string, sha string, size bigint, mode string"
-)
+ENTRY = "repository string, revision string, path string, sha string, size bigint, mode string"
 
 
 def require_columns(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
@@ -155,11 +155,10 @@ def load_candidates(rows: DataFrame) -> DataFrame:
     return first_rows(trimmed, ["name", "lastCommitSHA", "markdown_path"], ["input_index"])
 
 
-def read_attempts(spark: SparkSession, path: str, schema: T.StructType = ATTEMPT) -> DataFrame:
+def read_attempts(spark: SparkSession, path: str, schema: str = ATTEMPT) -> DataFrame:
     """Attempt log lines with their parse state in ``_corrupt_record`` and their file."""
-    full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     return (
-        spark.read.schema(full)
+        spark.read.schema(f"{schema}, _corrupt_record string")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .json(path)

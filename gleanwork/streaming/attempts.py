@@ -14,8 +14,10 @@ from gleanwork.operators.attempts import (
     MAX_MODEL_ATTEMPTS,
     MAX_RETRIEVAL_ATTEMPTS,
     MODEL_ATTEMPT_STATUSES,
+    exhausted,
     latest_attempts,
 )
+from gleanwork.operators.ordering import running
 
 BUDGET_OUTPUT = (
     "custom_id string, seq bigint, status string, attempt_count bigint, model_attempt_count bigint, "
@@ -133,9 +135,64 @@ def drain(stream: DataFrame, writer: Callable[[DataFrame, int], None], checkpoin
     query.awaitTermination()
 
 
-def append_batches(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer with one folder per batch, so a repeated batch replaces itself."""
+def budget_batches(
+    state_path: str,
+    output_path: str,
+    max_model: int = MAX_MODEL_ATTEMPTS,
+    max_retrieval: int = MAX_RETRIEVAL_ATTEMPTS,
+    max_group_rows: int | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` form of :func:`retry_budgets` for logs with very long histories per key.
+
+    Earlier counters are read from per-batch deltas of ``(custom_id, seq, counts)``; the batch
+    itself is counted by the skew-safe running sums of the batch operator, so no key's history
+    has to pass through one Python worker. Attempts at or below a key's stored ``seq`` are ignored,
+    and a repeated batch only sees deltas older than itself.
+    """
+    state_root, out_root = state_path.rstrip("/"), output_path.rstrip("/")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path.rstrip('/')}/b={batch_id:012d}")
+        spark = batch.sparkSession
+        schema = T.StructType.fromDDL("custom_id string, last_seq bigint, attempts bigint, model bigint, retrieval bigint")
+        folders = [f"{state_root}/delta={v:012d}" for v in _versions(spark, state_root, "delta") if v < batch_id]
+        deltas = spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+        before = deltas.groupBy("custom_id").agg(
+            F.max("last_seq").alias("last_seq"), *(F.sum(c).alias(c) for c in ("attempts", "model", "retrieval"))
+        )
+        fresh = (
+            batch.select("custom_id", "seq", "status")
+            .dropDuplicates(["custom_id", "seq"])
+            .join(before.select("custom_id", "last_seq"), "custom_id", "left")
+            .where(F.col("seq") > F.coalesce("last_seq", F.lit(-1)))
+            .drop("last_seq")
+        )
+        model = F.col("status").isin(*MODEL_ATTEMPT_STATUSES).cast("bigint")
+        retrieval = (F.col("status") == "retrieval_error").cast("bigint")
+        fresh.groupBy("custom_id").agg(
+            F.max("seq").alias("last_seq"),
+            F.count("*").alias("attempts"),
+            F.sum(model).alias("model"),
+            F.sum(retrieval).alias("retrieval"),
+        ).write.mode("overwrite").parquet(f"{state_root}/delta={batch_id:012d}")
+        counted = running(
+            fresh, ["custom_id"], ["seq"], {"__model": model, "__retrieval": retrieval}, "__attempts", max_group_rows
+        ).join(before.drop("last_seq"), "custom_id", "left")
+        result = counted.select(
+            "custom_id",
+            "seq",
+            "status",
+            (F.col("__attempts") + F.coalesce("attempts", F.lit(0))).alias("attempt_count"),
+            (F.col("__model") + F.coalesce("model", F.lit(0))).alias("model_attempt_count"),
+            (F.col("__retrieval") + F.coalesce("retrieval", F.lit(0))).alias("retrieval_attempt_count"),
+        )
+        result.withColumn(
+            "retry_exhausted",
+            exhausted(F.col("model_attempt_count"), F.col("retrieval_attempt_count"), max_model, max_retrieval),
+        ).write.mode("overwrite").parquet(f"{out_root}/b={batch_id:012d}")
 
     return write
+
+
+def read_budgets(spark, output_path: str) -> DataFrame:
+    """All counted attempts written by :func:`budget_batches`."""
+    return spark.read.schema(BUDGET_OUTPUT).parquet(f"{output_path.rstrip('/')}/b=*")
