@@ -116,19 +116,19 @@ def exclusion_names(*sources: DataFrame) -> DataFrame:
     return merged.distinct()
 
 
-def scan_markdown_tree(spark: SparkSession, folder: str) -> DataFrame:
-    """Markdown files below a folder: path relative to it, size and decoded content."""
+def scan_file_tree(spark: SparkSession, folder: str, suffix: str = ".md") -> DataFrame:
+    """Regular files below a folder with one suffix: path relative to it, size and decoded content.
+
+    Malformed bytes decode to replacement characters.
+    """
     root = folder.rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     relative = F.regexp_replace(F.col("path"), F.lit(f"^.*?{_quoted(root)}/"), F.lit(""))
-    return (
-        files.where(F.lower(F.col("path")).endswith(".md"))
-        .select(
-            relative.alias("path"),
-            F.col("length").alias("size"),
-            F.make_valid_utf8(F.col("content").cast("string")).alias("content"),
-        )
-        .where(paths.is_markdown("path"))
+    # The path test comes first, so bodies of other files are never read.
+    return files.where(F.lower(paths.suffix("path")) == suffix).select(
+        relative.alias("path"),
+        F.col("length").alias("size"),
+        F.make_valid_utf8(F.col("content").cast("string")).alias("content"),
     )
 
 
