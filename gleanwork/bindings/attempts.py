@@ -63,13 +63,13 @@ def r3(t: Tables):
 
 @query(
     "j8_pending_work",
-    f"""WITH {REPLAY_SQL}, done AS (SELECT custom_id FROM latest WHERE (status NOT IN ('model_error', 'retrieval_error')
-         OR retry_exhausted) AND user_id % 2 = 0)
-       SELECT DISTINCT custom_id FROM attempts WHERE custom_id NOT IN (SELECT custom_id FROM done)""",
+    f"""WITH {REPLAY_SQL}, done AS (SELECT custom_id FROM latest WHERE status NOT IN ('model_error', 'retrieval_error'))
+       SELECT 'candidate-' || c_custkey AS custom_id FROM customer WHERE 'candidate-' || c_custkey NOT IN (SELECT custom_id FROM done)""",
 )
 def j8(t: Tables):
-    state = attempts.attempt_state(t.attempts.where("user_id % 2 = 0"))
-    return attempts.pending(t.attempts.select("custom_id").distinct(), attempts.completed(state), ["custom_id"])
+    state = attempts.attempt_state(t.attempts, 10**9, 10**9)
+    requested = t.customer.select(F.concat(F.lit("candidate-"), "c_custkey").alias("custom_id"))
+    return attempts.pending(requested, attempts.completed(state), ["custom_id"])
 
 
 # Ten users share one repository position; its stored counters decide about a retry.
@@ -105,14 +105,15 @@ def r4(t: Tables):
 
 
 GATE_SQL = f"""{FILES_SQL}, repos AS (SELECT DISTINCT repository AS name, revision, lang FROM files),
-  gate AS (SELECT name, CASE WHEN name IN (SELECT DISTINCT 'en-org/' || source FROM documents WHERE doc_id % 20 < 3) THEN 'explicitly_excluded'
+  gate AS (SELECT name, CASE WHEN name IN (SELECT 'en-org/' || source FROM documents JOIN labels USING (doc_id) WHERE lang = 'en' AND toxic = 1) THEN 'explicitly_excluded'
     WHEN lang = 'es' THEN 'retrieval_error' WHEN lang = 'fr' THEN 'snapshot_incomplete' ELSE 'ready' END AS gate,
-    CASE WHEN name IN (SELECT DISTINCT 'en-org/' || source FROM documents WHERE doc_id % 20 < 3) THEN 'explicitly_excluded'
+    CASE WHEN name IN (SELECT 'en-org/' || source FROM documents JOIN labels USING (doc_id) WHERE lang = 'en' AND toxic = 1) THEN 'explicitly_excluded'
     WHEN lang = 'es' THEN 'timeout' WHEN lang = 'fr' THEN 'object_missing: blob' ELSE '' END AS gate_reason FROM repos)"""
 
 
 def gate(t: Tables):
-    excluded = t.documents.where(F.col("doc_id") % 20 < 3).select(F.upper(F.concat(F.lit("en-org/"), "source")).alias("name"))
+    toxic = t.documents.where("lang = 'en'").join(t.labels.where("toxic = 1"), "doc_id", "left_semi")
+    excluded = toxic.select(F.upper(F.concat(F.lit("en-org/"), "source")).alias("name"))
     bad = F.col("name").startswith("fr-")
     snapshots = repositories(t).select(
         "name",
@@ -528,8 +529,8 @@ def s9(t: Tables):
 @query("s15_prior_attempts", LOG_SQL)
 def s15(t: Tables):
     folder = log_folder(t, "prior")
-    sinks.append_attempts(t.attempts.where("seq % 2 = 0").drop("user_id"), folder)
-    sinks.append_attempts(t.attempts.where("seq % 2 = 1").drop("user_id"), folder)
+    sinks.append_attempts(t.attempts.where("status = 'pass'").drop("user_id"), folder)
+    sinks.append_attempts(t.attempts.where("status <> 'pass'").drop("user_id"), folder)
     prior = readers.read_attempts(t.spark, folder)
     return attempts.latest_attempts(prior.where("_corrupt_record is null"), "custom_id").select("custom_id", "seq", "status")
 
@@ -537,8 +538,8 @@ def s15(t: Tables):
 @query("k2_appended_attempts", f"WITH {ATTEMPTS_SQL} SELECT count(*) AS attempts, count(DISTINCT custom_id) AS ids, CAST(sum(seq) AS BIGINT) AS total FROM attempts")
 def k2(t: Tables):
     folder = log_folder(t, "append")
-    for part in range(2):
-        sinks.append_attempts(t.attempts.where(F.col("seq") % 2 == part), folder)
+    for passed in (True, False):
+        sinks.append_attempts(t.attempts.where((F.col("status") == "pass") == passed), folder)
     back = t.spark.read.schema("custom_id string, seq bigint").json(folder)
     return back.agg(F.count("*").alias("attempts"), F.count_distinct("custom_id").alias("ids"), F.sum("seq").alias("total"))
 

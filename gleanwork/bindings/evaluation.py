@@ -13,7 +13,7 @@ MODEL_SQL = """CASE WHEN contains(text, 'license') THEN 'pass' WHEN doc_id % 13
     WHEN doc_id % 19 = 0 THEN 'retrieval_error' ELSE CASE WHEN n_chars > 900 THEN 'pass' ELSE 'not_found' END END"""
 EVAL_SQL = f"""human AS (SELECT doc_id, source AS repository, 'u/' || doc_id AS github_url, CASE WHEN doc_id % 23 = 0 THEN ''
     WHEN quality = 1 THEN 'pass' ELSE 'not_found' END AS human_decision FROM documents JOIN labels USING (doc_id)),
-  model AS (SELECT 'u/' || doc_id AS github_url, {MODEL_SQL} AS status FROM documents WHERE doc_id % 29 <> 0),
+  model AS (SELECT 'u/' || doc_id AS github_url, {MODEL_SQL} AS status FROM documents WHERE n_chars < 4000),
   joined AS (SELECT h.*, m.status, m.github_url IS NULL AS missing FROM human h LEFT JOIN model m USING (github_url)
     WHERE human_decision <> ''),
   evaluated AS (SELECT repository, github_url, human_decision, coalesce(status, '') AS llm_decision,
@@ -44,7 +44,7 @@ def checklist(t: Tables):
 
 
 def predictions(t: Tables):
-    return t.documents.where("doc_id % 29 <> 0").select(
+    return t.documents.where("n_chars < 4000").select(
         F.concat(F.lit("u/"), "doc_id").alias("markdown_url"), model_status().alias("status")
     )
 
@@ -230,13 +230,13 @@ def p15(t: Tables):
 @query(
     "j4_unmatched_gold",
     f"""WITH {GOLD_SQL} SELECT 'missing_prediction' AS rule, repository || '@' || revision AS key, '' AS detail FROM gold
-         WHERE CAST(revision AS BIGINT) % 31 = 0
-       UNION ALL SELECT 'duplicate_prediction', repository || '@' || revision, '2' FROM pred WHERE CAST(revision AS BIGINT) % 37 = 0 AND CAST(revision AS BIGINT) % 31 <> 0
-       UNION ALL SELECT 'predicted_status', repository || '@' || revision, 'model_error' FROM pred WHERE CAST(revision AS BIGINT) % 37 = 0 AND CAST(revision AS BIGINT) % 31 <> 0""",
+         WHERE repository = 'src5'
+       UNION ALL SELECT 'duplicate_prediction', repository || '@' || revision, '2' FROM pred WHERE repository = 'src7'
+       UNION ALL SELECT 'predicted_status', repository || '@' || revision, 'model_error' FROM pred WHERE repository = 'src7'""",
 )
 def j4_gate(t: Tables):
-    model = predicted(t).where(F.col("lastCommitSHA").cast("bigint") % 31 != 0)
-    again = model.where(F.col("lastCommitSHA").cast("bigint") % 37 == 0).withColumn("guideline_status", F.lit("model_error"))
+    model = predicted(t).where("name <> 'src5'")
+    again = model.where("name = 'src7'").withColumn("guideline_status", F.lit("model_error"))
     return gates.unmatched_gold(gold(t), model.unionByName(again))
 
 

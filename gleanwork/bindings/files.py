@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gleanwork.bindings.registry import query
 from gleanwork.bindings.tables import CANDIDATES_SQL, FILES_SQL, PROSE_TERMS, Tables, terms_sql, word_sql
 from gleanwork.functions import labels, paths, terms
-from gleanwork.operators import dedup, evidence, files, ordering
+from gleanwork.operators import dedup, evidence, files, gates, ordering
 from gleanwork.sources import readers
 
 # ---------------------------------------------------------------- scans
@@ -373,7 +373,7 @@ def u1_flagship(t: Tables):
 
 
 GROUPS_SQL = f"""{CANDIDATES_SQL}, labelled AS (SELECT c.*, CASE WHEN quality = 1 THEN 'pass' WHEN quality = 0 THEN 'not_found'
-      ELSE '' END AS status FROM candidates c LEFT JOIN labels l ON l.doc_id = c.input_index),
+      WHEN name LIKE '%/src1%' THEN 'review' ELSE '' END AS status FROM candidates c LEFT JOIN labels l ON l.doc_id = c.input_index),
   ranked AS (SELECT *, 'sha256:' || content_sha256 AS exact_group_id,
     row_number() OVER (PARTITION BY content_sha256 ORDER BY lower(name), lastCommitSHA, lower(markdown_path), markdown_path) AS rn,
     count(*) OVER (PARTITION BY content_sha256) AS group_size FROM labelled),
@@ -381,7 +381,12 @@ GROUPS_SQL = f"""{CANDIDATES_SQL}, labelled AS (SELECT c.*, CASE WHEN quality =
 
 
 def labelled_candidates(t: Tables):
-    status = F.when(F.col("quality") == 1, "pass").when(F.col("quality") == 0, "not_found").otherwise("")
+    status = (
+        F.when(F.col("quality") == 1, "pass")
+        .when(F.col("quality") == 0, "not_found")
+        .when(F.col("name").like("%/src1%"), "review")
+        .otherwise("")
+    )
     return t.candidates.join(t.labels.withColumnRenamed("doc_id", "input_index"), "input_index", "left").withColumn(
         "status", status
     )
@@ -522,7 +527,7 @@ def p14(t: Tables):
     return files.skipped_repositories(rows)
 
 
-def quoted_items(t: Tables):
+def quoted_items(t: Tables, kinds: tuple[int, ...] = (1, 2, 3, 4, 5, 6)):
     """Two claims per labelled file: its own words, and a benchmark passage; plus a repeat and a stray path."""
     own = t.files.join(t.labels, "doc_id").select(
         "repository", "revision", "path", F.substring("content", 5, 40).alias("quote"), "doc_id"
@@ -541,14 +546,15 @@ def quoted_items(t: Tables):
         )
 
     path = F.col("path")
-    return (
-        shaped(other, path, 1)
-        .unionByName(shaped(own, F.concat(F.lit("./"), path), 2))
-        .unionByName(shaped(own, path, 3))
-        .unionByName(shaped(own, F.concat(F.lit("../"), path), 4))
-        .unionByName(shaped(own, F.concat(path, F.lit(".bak")), 5))
-        .unionByName(shaped(own.withColumn("quote", F.lit("")), path, 6))
-    )
+    claims = {
+        1: (other, path),
+        2: (own, F.concat(F.lit("./"), path)),
+        3: (own, path),
+        4: (own, F.concat(F.lit("../"), path)),
+        5: (own, F.concat(path, F.lit(".bak"))),
+        6: (own.withColumn("quote", F.lit("")), path),
+    }
+    return gates.union_all(*(shaped(*claims[kind], kind) for kind in kinds))
 
 
 @query(
@@ -584,7 +590,7 @@ def j15(t: Tables):
 )
 def w12(t: Tables):
     bodies = t.files.select("repository", "revision", "path", "content")
-    own = quoted_items(t).where(F.col("item_index") % 10 > 1)
+    own = quoted_items(t, (2, 3, 4, 5, 6))
     verified = evidence.verify_evidence(own, bodies).where(F.col("reason").isNull())
     return verified.select("repository", F.col("normalized_path").alias("path"), "item_index")
 
@@ -622,9 +628,8 @@ def p19(t: Tables):
 )
 def j15_verdict(t: Tables):
     bodies = t.files.select("repository", "revision", "path", "content")
-    kind = F.col("item_index") % 10
-    items = quoted_items(t)
-    picked = items.where((kind == 3) | ((kind == 4) & ~F.col("repository").startswith("en-")))
+    stray = quoted_items(t, (4,)).where(~F.col("repository").startswith("en-"))
+    picked = quoted_items(t, (3,)).unionByName(stray)
     responses = t.files.select(
         "repository", "revision", F.when(F.col("lang") == "fr", "not_found").otherwise("pass").alias("status")
     ).distinct()

@@ -105,11 +105,11 @@ def v3(t: Tables):
 @query(
     "v3_uncovered_deficits",
     f"""WITH {SCHEDULED_SQL} SELECT 'uncovered_deficit' AS rule, language AS key, CAST(target AS VARCHAR) AS detail FROM {TARGET_VALUES}
-       WHERE language NOT IN ('en', 'fr') AND target > (SELECT count(*) FROM scheduled s WHERE s.language = v.language AND doc_id % 10 = 0)""",
+       WHERE language NOT IN ('en', 'fr') AND target > (SELECT count(*) FROM scheduled s WHERE s.language = v.language AND license_name IN ('src3', 'src4'))""",
 )
 def v3_deficits(t: Tables):
     return gates.uncovered_deficits(
-        t.scheduled.where("language in ('en', 'fr')"), targets(t), t.scheduled.where("doc_id % 10 = 0")
+        t.scheduled.where("language in ('en', 'fr')"), targets(t), t.scheduled.where("license_name in ('src3', 'src4')")
     )
 
 
@@ -188,9 +188,9 @@ def v11(t: Tables):
 
 @query(
     "j5_document_identity",
-    f"""WITH {FILES_SQL} SELECT 'candidate_absent' AS rule, CAST(doc_id AS VARCHAR) AS key, 'u' || doc_id AS detail FROM files WHERE doc_id % 41 = 0
-       UNION ALL SELECT 'input_absent', CAST(doc_id AS VARCHAR), 'u' || doc_id FROM files WHERE doc_id % 43 = 0
-       UNION ALL SELECT 'identity_differs', CAST(doc_id AS VARCHAR), 'u' || doc_id FROM files WHERE doc_id % 41 <> 0 AND doc_id % 43 <> 0
+    f"""WITH {FILES_SQL} SELECT 'candidate_absent' AS rule, CAST(doc_id AS VARCHAR) AS key, 'u' || doc_id AS detail FROM files WHERE size > 6000
+       UNION ALL SELECT 'input_absent', CAST(doc_id AS VARCHAR), 'u' || doc_id FROM files WHERE lang = 'es'
+       UNION ALL SELECT 'identity_differs', CAST(doc_id AS VARCHAR), 'u' || doc_id FROM files WHERE size <= 6000 AND lang <> 'es'
          AND (doc_id % 47 = 0 OR doc_id % 53 = 0)""",
 )
 def j5(t: Tables):
@@ -199,11 +199,11 @@ def j5(t: Tables):
     labels = t.files.select(
         custom_id.alias("custom_id"), url.alias("markdown_url"), F.col("repository").alias("name"), F.col("path").alias("markdown_path")
     )
-    candidates = t.files.where(doc % 41 != 0).select(
+    candidates = t.files.where("size <= 6000").select(
         url.alias("markdown_url"), F.col("repository").alias("name"),
         F.when(doc % 47 == 0, "other").otherwise(F.col("path")).alias("markdown_path"),
     )
-    inputs = t.files.where(doc % 43 != 0).select(
+    inputs = t.files.where("lang <> 'es'").select(
         custom_id.alias("custom_id"), F.when(doc % 53 == 0, "x/y").otherwise(F.col("repository")).alias("repository"), "path"
     )
     return gates.document_identity(candidates, labels, inputs)

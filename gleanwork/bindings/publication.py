@@ -13,9 +13,9 @@ from gleanwork.sources import readers, sinks
 
 # The bundle: repositories are customers; accepted files are their orders, one per order.
 BUNDLE_SQL = """selected AS (SELECT c_custkey, 'Cust/' || replace(c_name, '#', '-') AS repository, substr(sha256(c_name), 1, 40) AS revision, c_mktsegment AS sampling_language,
-    CAST(c_nationkey AS VARCHAR) AS license_name, CASE WHEN c_custkey % 3 = 0 THEN 'baseline' WHEN c_custkey % 3 = 1 THEN 'new_pending' ELSE 'new_confirmed' END AS origin
+    CAST(c_nationkey AS VARCHAR) AS license_name, CASE WHEN c_nationkey < 8 THEN 'baseline' WHEN c_nationkey < 16 THEN 'new_pending' ELSE 'new_confirmed' END AS origin
     FROM customer),
-  files AS (SELECT o_orderkey, 'Cust/' || replace(c_name, '#', '-') AS repository, 'f' || o_orderkey AS file, o_orderstatus, CASE WHEN c_custkey % 3 = 0 THEN 'baseline' ELSE 'new' END AS origin,
+  files AS (SELECT o_orderkey, 'Cust/' || replace(c_name, '#', '-') AS repository, 'f' || o_orderkey AS file, o_orderstatus, CASE WHEN c_nationkey < 8 THEN 'baseline' ELSE 'new' END AS origin,
     CASE WHEN o_orderkey % 101 = 0 THEN 'bad' ELSE substr(sha256(c_name), 1, 40) END AS pinned, o_orderpriority AS review_origin, c_custkey
     FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus <> 'P')"""
 
@@ -25,13 +25,13 @@ def owner_name():
 
 
 def selected(t: Tables):
-    kind = F.col("c_custkey") % 3
+    nation = F.col("c_nationkey")
     return t.customer.select(
         owner_name().alias("repository"),
         F.substring(F.sha2("c_name", 256), 1, 40).alias("revision"),
         F.col("c_mktsegment").alias("sampling_language"),
         F.col("c_nationkey").cast("string").alias("license_name"),
-        F.when(kind == 0, "baseline").when(kind == 1, "new_pending").otherwise("new_confirmed").alias("origin"),
+        F.when(nation < 8, "baseline").when(nation < 16, "new_pending").otherwise("new_confirmed").alias("origin"),
         F.col("c_custkey").alias("sample_order"),
     )
 
@@ -47,14 +47,14 @@ def review_rows(t: Tables):
         F.when(F.col("o_orderstatus") == "P", "not_found").otherwise("pass").alias("human_decision"),
         F.col("o_orderpriority").alias("review_origin"),
         F.lit("").alias("duplicate_of"),
-        "c_custkey",
+        "c_nationkey",
     )
 
 
 def accepted(t: Tables):
     rows = review_rows(t)
     return publish.accepted_files(
-        {"baseline": rows.where("c_custkey % 3 = 0"), "new": rows.where("c_custkey % 3 <> 0")},
+        {"baseline": rows.where("c_nationkey < 8"), "new": rows.where("c_nationkey >= 8")},
         t.customer.where("c_nationkey = 4").select(F.upper(owner_name()).alias("repository")),
     )
 
@@ -114,7 +114,7 @@ def a15_totals(t: Tables):
        UNION ALL SELECT 'license_not_allowed', name, license_name FROM want WHERE license_name IN ('5', '6')
        UNION ALL SELECT 'accepted_set', coalesce(w.name, g.name) || '@' || coalesce(w.origin, g.origin), CASE WHEN g.name IS NULL THEN 'left_only' ELSE 'right_only' END
          FROM want w FULL JOIN got g ON g.name = w.name AND g.origin = w.origin WHERE w.name IS NULL OR g.name IS NULL
-       UNION ALL SELECT 'baseline_set', name, 'left_only' FROM want WHERE origin = 'baseline' AND name LIKE '%7'
+       UNION ALL SELECT 'baseline_set', name, 'left_only' FROM want WHERE origin = 'baseline' AND license_name = '7'
        UNION ALL SELECT 'revision_mismatch', lower(repository), 'https://github.com/' || repository || '/blob/bad/' || file FROM accepted WHERE pinned = 'bad'""",
 )
 def v7(t: Tables):
@@ -123,7 +123,7 @@ def v7(t: Tables):
     goals = rows.groupBy("sampling_language").agg(F.count("*").alias("target"))
     goals = goals.select(F.col("sampling_language").alias("language"), wrong.alias("target"))
     allow = rows.where("license_name not in ('5', '6')").select("license_name")
-    baseline = rows.where("origin = 'baseline' and repository not like '%7'")
+    baseline = rows.where("origin = 'baseline' and license_name <> '7'")
     files = accepted(t)
     return gates.final_bundle(rows, files, files, goals, allow, baseline)
 

@@ -70,7 +70,7 @@ def w4_budget(t: Tables):
     return quota.screened_prefix(t.scheduled, quotas(t), 250).select("sample_order", "round_number", "language")
 
 
-WAVE_SQL = f"""{REVIEWED_SQL}, stored AS (SELECT * FROM scheduled WHERE doc_id % 3 < 2 AND status <> 'unresolved'),
+WAVE_SQL = f"""{REVIEWED_SQL}, stored AS (SELECT * FROM scheduled WHERE license_name NOT LIKE 'src1%' AND status <> 'unresolved'),
   have AS (SELECT language, count(*) AS n FROM stored WHERE status = 'pass' AND repository NOT IN (SELECT repository FROM reviewed) GROUP BY 1),
   active AS (SELECT language FROM {QUOTA_VALUES} LEFT JOIN have USING (language) WHERE coalesce(n, 0) < quota),
   todo AS (SELECT * FROM scheduled WHERE language IN (SELECT language FROM active) AND sample_order NOT IN
@@ -83,7 +83,7 @@ WAVE_SQL = f"""{REVIEWED_SQL}, stored AS (SELECT * FROM scheduled WHERE doc_id %
        WHERE round_number = (SELECT min(round_number) FROM todo)""",
 )
 def r5(t: Tables):
-    stored = t.scheduled.where((F.col("doc_id") % 3 < 2) & (F.col("status") != "unresolved"))
+    stored = t.scheduled.where("license_name not like 'src1%' and status <> 'unresolved'")
     return quota.next_wave(t.scheduled, stored, quotas(t), reviewed(t), budget=10**9).select(
         "sample_order", "round_number", "language"
     )
@@ -101,7 +101,7 @@ def languages_of(t: Tables, condition):
     return t.scheduled.where(condition).select("language")
 
 
-LEDGER_SQL = f"""{SELECTED_SQL}, b AS (SELECT language, count(*) AS baseline FROM scheduled WHERE doc_id % 10 = 0 GROUP BY 1),
+LEDGER_SQL = f"""{SELECTED_SQL}, b AS (SELECT language, count(*) AS baseline FROM scheduled WHERE license_name IN ('src3', 'src4') GROUP BY 1),
   c AS (SELECT language, count(*) AS confirmed FROM scheduled WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)
     AND status = 'pass' GROUP BY 1), p AS (SELECT language, count(*) AS pending FROM pending GROUP BY 1),
   ledger AS (SELECT language, CAST(target AS BIGINT) AS target, coalesce(baseline, 0) AS baseline, coalesce(confirmed, 0) AS confirmed,
@@ -113,7 +113,7 @@ LEDGER_SQL = f"""{SELECTED_SQL}, b AS (SELECT language, count(*) AS baseline FRO
 def ledger(t: Tables):
     confirmed = t.scheduled.join(t.labels.where("toxic = 1"), "doc_id", "left_semi").where("status = 'pass'")
     pending = quota.selected_by_stratum(t.scheduled, quotas(t), reviewed(t))
-    return quota.ledger(targets(t), t.scheduled.where("doc_id % 10 = 0"), confirmed, pending)
+    return quota.ledger(targets(t), t.scheduled.where("license_name in ('src3', 'src4')"), confirmed, pending)
 
 
 @query("a16_quota_ledger", f"WITH {LEDGER_SQL} SELECT * FROM ledger")
@@ -193,10 +193,10 @@ def j9(t: Tables):
 @query(
     "j10_confirmed_in_schedule",
     f"""WITH {REVIEWED_SQL} SELECT 'absent_from_schedule' AS rule, lower(repository) AS key, '' AS detail FROM reviewed
-       WHERE repository NOT IN (SELECT repository FROM scheduled WHERE doc_id % 4 <> 0)""",
+       WHERE repository NOT IN (SELECT repository FROM scheduled WHERE language <> 'de')""",
 )
 def j10(t: Tables):
-    thinned = t.scheduled.where("doc_id % 4 <> 0").select(F.lower("repository").alias("name"))
+    thinned = t.scheduled.where("language <> 'de'").select(F.lower("repository").alias("name"))
     return gates.absent_keys(reviewed(t).select(F.lower("repository").alias("name")), thinned, ["name"], "absent_from_schedule")
 
 
@@ -242,11 +242,11 @@ def u7(t: Tables):
     f"""WITH {SELECTED_SQL} SELECT repository, revision, language AS sampling_language, license_name, 'new_pending' AS origin, sample_order FROM pending
        UNION ALL SELECT repository, revision, language, license_name, 'new_confirmed', sample_order FROM scheduled
          WHERE repository IN (SELECT repository FROM reviewed WHERE status = 'pass')
-       UNION ALL SELECT lower(repository), revision, language, license_name, 'baseline', NULL FROM scheduled WHERE doc_id % 10 = 0
+       UNION ALL SELECT lower(repository), revision, language, license_name, 'baseline', NULL FROM scheduled WHERE license_name IN ('src3', 'src4')
        UNION ALL SELECT n_name, '', '', '', 'baseline', NULL FROM nation""",
 )
 def u8(t: Tables):
-    baseline = t.scheduled.where("doc_id % 10 = 0").select(F.lower("repository").alias("repository"))
+    baseline = t.scheduled.where("license_name in ('src3', 'src4')").select(F.lower("repository").alias("repository"))
     baseline = baseline.unionByName(t.nation.select(F.col("n_name").alias("repository")))
     confirmed = t.scheduled.join(t.labels.where("toxic = 1"), "doc_id", "left_semi").where("status = 'pass'")
     pending = quota.selected_by_stratum(t.scheduled, quotas(t), reviewed(t))
@@ -289,8 +289,8 @@ def u6(t: Tables):
 @query(
     "j20_review_consistency",
     f"""WITH {REVIEWED_SQL}, names AS (SELECT lower(repository) AS name, doc_id FROM scheduled WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)),
-       here AS (SELECT lower(repository) AS name, status FROM scheduled WHERE doc_id % 2 = 0),
-       prior AS (SELECT lower(repository) AS name, status FROM scheduled WHERE doc_id % 3 = 0)
+       here AS (SELECT lower(repository) AS name, status FROM scheduled WHERE license_name LIKE 'src1%'),
+       prior AS (SELECT lower(repository) AS name, status FROM scheduled WHERE language = 'en')
        SELECT 'contradictory_review' AS rule, name AS key, status AS detail FROM names JOIN here USING (name) WHERE status <> 'pass'
        UNION ALL SELECT 'unproven_review', n.name, coalesce(h.status, '') FROM names n LEFT JOIN here h USING (name) LEFT JOIN prior p USING (name)
          WHERE coalesce(h.status, '') <> 'pass' AND coalesce(p.status, '') <> 'pass'
@@ -298,7 +298,7 @@ def u6(t: Tables):
 )
 def j20(t: Tables):
     return gates.review_consistency(
-        reviewed(t), t.scheduled.where("doc_id % 2 = 0"), t.scheduled.where("doc_id % 3 = 0")
+        reviewed(t), t.scheduled.where("license_name like 'src1%'"), t.scheduled.where("language = 'en'")
     )
 
 

@@ -121,7 +121,7 @@ def f21(t: Tables):
 
 
 MERGE_SQL = f"""{CHECK_SQL}, old AS (SELECT *, CASE WHEN conv_id % 3 = 0 THEN '' ELSE human_decision END AS old_decision FROM checks WHERE turn < 3),
-  new AS (SELECT * FROM checks WHERE turn > 0 AND conv_id % 5 <> 0),
+  new AS (SELECT * FROM checks WHERE turn > 0 AND length(text) < 300),
   annotated AS (SELECT DISTINCT lower(repository) AS r FROM old WHERE old_decision <> ''),
   merged AS (SELECT coalesce(n.github_url, o.github_url) AS github_url, CASE WHEN o.file IS NULL THEN 'new-' || n.file ELSE o.file END AS file,
     CASE WHEN n.file IS NULL THEN 'old' ELSE 'review' END AS llm_decision, coalesce(o.old_decision, '') AS human_decision,
@@ -140,7 +140,7 @@ def merged(t: Tables):
             "human_decision": F.when(F.col("conv_id") % 3 == 0, "").otherwise(F.col("human_decision")),
         }
     ).drop("conv_id", "turn", "text")
-    new = c.where("turn > 0 and conv_id % 5 <> 0").select(
+    new = c.where("turn > 0 and length(text) < 300").select(
         "repository", F.concat(F.lit("new-"), "file").alias("file"), "github_url", F.lit("review").alias("llm_decision"), "position"
     )
     return review.merge_checklist(old, new, "added_round_9")
