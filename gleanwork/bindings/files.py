@@ -8,6 +8,7 @@ from gleanwork.bindings.registry import query
 from gleanwork.bindings.tables import CANDIDATES_SQL, FILES_SQL, PROSE_TERMS, Tables, terms_sql, word_sql
 from gleanwork.functions import labels, paths, terms
 from gleanwork.operators import dedup, evidence, files, gates, ordering
+from gleanwork.session import materialize
 from gleanwork.sources import readers
 
 # ---------------------------------------------------------------- scans
@@ -506,7 +507,8 @@ def j2(t: Tables):
        FROM repositories r LEFT JOIN f USING (name) LEFT JOIN e USING (name)""",
 )
 def a2(t: Tables):
-    found = screened(t)
+    # Screening writes its file table once; coverage and counts read that.
+    found = materialize(screened(t))
     states = repositories(t)
     return files.repository_audit(states, found, files.evidence_coverage(evidence_paths(t), found, states))
 

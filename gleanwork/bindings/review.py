@@ -258,7 +258,7 @@ def w11(t: Tables):
 @query("w11_packed_batches_split", f"WITH RECURSIVE {PACK_SQL} SELECT repository, doc_id, batch_start FROM fold")
 def w11_split(t: Tables):
     """The same packing with every repository cut into short segments, as a large one would be."""
-    return packed(t, 15).select("repository", "doc_id", "batch_start")
+    return packed(t, 40).select("repository", "doc_id", "batch_start")
 
 
 @query(

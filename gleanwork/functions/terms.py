@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,10 +23,15 @@ class Term:
     whole_word: bool = False
 
     def regex(self) -> str:
-        """Java pattern; the stem leads so that the look-behind only runs on stem hits."""
+        """Java pattern over folded text.
+
+        The literal stem leads: the engine then skips through the text by it, and tail and
+        look-behind only run on its hits.
+        """
+        stem = re.escape(self.stem)
         if not self.whole_word:
-            return f"(?iu){self.stem}{self.tail}"
-        return f"(?iu){self.stem}(?<!{WORD}{self.stem}){self.tail}(?!{WORD})"
+            return stem + self.tail
+        return f"{stem}(?<!{WORD}{stem}){self.tail}(?!{WORD})"
 
 
 def _words(*specs: tuple[str, str]) -> tuple[Term, ...]:
@@ -72,21 +78,46 @@ def word_terms(*specs: tuple[str, str]) -> tuple[Term, ...]:
     return _words(*specs)
 
 
-def matched_terms(text: Column | str, terms: Sequence[Term]) -> Column:
-    """Names of the terms that occur in ``text``, in list order."""
+# Letters outside ASCII that match an ASCII letter when case is ignored, beyond what
+# lower-casing already folds.
+SPECIAL_LETTERS = {"İ": "i", "ı": "i", "ſ": "s"}
+
+
+def folded(text: Column | str) -> Column:
+    """Text in lower case with the few special letters replaced, so plain patterns ignore case.
+
+    The replacement only runs on rows that hold such a letter.
+    """
     value = F.col(text) if isinstance(text, str) else text
-    return F.array_compact(
-        F.array(*(F.when(value.rlike(term.regex()), F.lit(term.name)) for term in terms)),
+    special = F.lit(False)
+    for letter in SPECIAL_LETTERS:
+        special = special | value.contains(letter)
+    replaced = F.translate(value, "".join(SPECIAL_LETTERS), "".join(SPECIAL_LETTERS.values()))
+    return F.lower(F.when(special, replaced).otherwise(value))
+
+
+def matched_terms(text: Column | str, terms: Sequence[Term]) -> Column:
+    """Names of the terms that occur in ``text``, in list order.
+
+    The one-element transform binds the folded text once for all patterns, in filters too.
+    """
+    found = F.transform(
+        F.array(folded(text)),
+        lambda low: F.array_compact(F.array(*(F.when(low.rlike(t.regex()), F.lit(t.name)) for t in terms))),
     )
+    return F.get(found, F.lit(0))
 
 
 def any_term(text: Column | str, terms: Sequence[Term]) -> Column:
     """True when at least one term occurs; stops at the first hit."""
-    value = F.col(text) if isinstance(text, str) else text
-    hit = F.lit(False)
-    for term in terms:
-        hit = hit | value.rlike(term.regex())
-    return hit
+
+    def hit(low: Column) -> Column:
+        found = F.lit(False)
+        for term in terms:
+            found = found | low.rlike(term.regex())
+        return found
+
+    return F.exists(F.array(folded(text)), hit)
 
 
 def join_terms(terms: Column | str) -> Column:

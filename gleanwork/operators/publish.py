@@ -77,22 +77,33 @@ def final_totals(selected: DataFrame, files: DataFrame) -> DataFrame:
 def table_digest(df: DataFrame, role: str) -> DataFrame:
     """Order- and partition-insensitive digest of a table: ``role, rows, digest``.
 
-    Each row hashes to 256 bits over its canonical JSON; the four 60-bit words are summed as exact
-    decimals, so any order or partitioning of the same rows gives the same digest, and repeats count.
+    Every row hashes to 128 bits (two seeded 64-bit hashes over all columns and their null flags);
+    the eight 16-bit words are summed, so any order or partitioning of the same rows gives the same
+    digest and repeats count. Sums stay exact up to 2^47 rows. This detects change; it is not a
+    signature against an adversary.
     """
     columns = sorted(df.columns)
-    row_hash = F.sha2(F.to_json(F.struct(*(F.col(f"`{c}`") for c in columns)), {"ignoreNullFields": "false"}), 256)
+    values = [
+        F.to_json(F.col(f"`{c}`")) if "map<" in df.schema[c].dataType.simpleString() else F.col(f"`{c}`") for c in columns
+    ]
+    nulls = [value.isNull() for value in values]
+    hashes = df.select(
+        F.xxhash64(F.lit(1), *values, *nulls).alias("h0"), F.xxhash64(F.lit(2), *nulls, *values).alias("h1")
+    )
     words = [
-        F.conv(F.substring("__hash", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)").alias(f"w{i}") for i in range(4)
+        F.shiftrightunsigned(F.col(h), 16 * i).bitwiseAND(F.lit(0xFFFF)).alias(f"{h}w{i}")
+        for h in ("h0", "h1")
+        for i in range(4)
     ]
-    sums = df.select(row_hash.alias("__hash")).select(*words).agg(
-        F.count("*").alias("rows"), *(F.coalesce(F.sum(f"w{i}"), F.lit(0)).cast("string").alias(f"s{i}") for i in range(4))
+    names = [f"{h}w{i}" for h in ("h0", "h1") for i in range(4)]
+    sums = hashes.select(*words).agg(
+        F.count("*").alias("rows"), *(F.coalesce(F.sum(n), F.lit(0)).cast("string").alias(n) for n in names)
     )
-    name = F.lit(",".join(columns))
+    schema = F.lit(",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in columns))
     return sums.select(
         F.lit(role).alias("role"),
         "rows",
-        F.sha2(F.concat_ws("|", name, F.col("rows").cast("string"), *(f"s{i}" for i in range(4))), 256).alias("digest"),
+        F.sha2(F.concat_ws("|", schema, F.col("rows").cast("string"), *names), 256).alias("digest"),
     )
 
 
