@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gleanwork.functions import paths
 from gleanwork.functions.terms import word_terms
 from gleanwork.operators.ordering import bucketed_rank
+from gleanwork.session import materialize
 
 # Word terms that occur in the driver's prose; the default lists name words it never uses.
 PROSE_TERMS = word_terms(("license", "s?"), ("the", ""), ("de", ""), ("rest", "[a-z]*"), ("le", "s?"))
@@ -136,7 +137,8 @@ class Tables:
             ["doc_id"],
             "round_number",
         ).join(self.labels, "doc_id", "left")
-        return d.select(
+        # A schedule is a stored table, read many times.
+        return materialize(d.select(
             (F.col("doc_id") + 1).alias("sample_order"),
             "round_number",
             F.col("lang").alias("language"),
@@ -148,7 +150,7 @@ class Tables:
             .otherwise("unresolved")
             .alias("status"),
             "doc_id",
-        )
+        ))
 
 
 FILES_SQL = """files AS (
