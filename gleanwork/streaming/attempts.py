@@ -196,3 +196,13 @@ def budget_batches(
 def read_budgets(spark, output_path: str) -> DataFrame:
     """All counted attempts written by :func:`budget_batches`."""
     return spark.read.schema(BUDGET_OUTPUT).parquet(f"{output_path.rstrip('/')}/b=*")
+
+
+def append_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer with one folder per batch, so a repeated batch replaces itself."""
+    root = path.rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/b={batch_id:012d}")
+
+    return write
