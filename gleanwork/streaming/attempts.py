@@ -82,7 +82,9 @@ class RetryBudget(StatefulProcessor):
         self.max_model, self.max_retrieval = max_model, max_retrieval
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType.fromDDL("seq bigint, attempts bigint, model bigint, retrieval bigint")
+        # Spelled out: workers have no session to parse a schema string with.
+        names = ("seq", "attempts", "model", "retrieval")
+        schema = T.StructType([T.StructField(name, T.LongType()) for name in names])
         self.counters = handle.getValueState("counters", schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
