@@ -150,7 +150,7 @@ def p7_default(t: Tables):
        SELECT repository AS name, path AS markdown_path, matched FROM hit WHERE matched <> ''""",
 )
 def p8(t: Tables):
-    return files.keyword_files(t.files, t.contents, PROSE_TERMS).select(
+    return files.keyword_files(t.entries, t.contents, PROSE_TERMS).select(
         "name", "markdown_path", terms.join_terms("matched_keywords").alias("matched")
     )
 
@@ -164,7 +164,7 @@ NAMED_SQL = f"""{FILES_SQL}, based AS (SELECT *, list_last(string_split(path, '/
 
 
 def screened(t: Tables):
-    return files.screen_files(t.files, t.contents, content_terms=PROSE_TERMS)
+    return files.screen_files(t.entries, t.contents, content_terms=PROSE_TERMS)
 
 
 @query(
@@ -434,7 +434,7 @@ def w7(t: Tables):
     f"WITH {GROUPS_SQL} SELECT exact_group_id, name, markdown_path, rn = 1 AS is_canonical, group_size FROM ranked",
 )
 def w8(t: Tables):
-    return dedup.occurrences(t.candidates).select(
+    return dedup.occurrences(materialize(t.candidates)).select(
         "exact_group_id", "name", "markdown_path", "is_canonical", "group_size"
     )
 

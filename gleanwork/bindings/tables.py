@@ -62,6 +62,11 @@ class Tables:
             F.col("text").alias("content"),
         )
 
+    @cached_property
+    def entries(self) -> DataFrame:
+        """The file tree without bodies: a stored narrow table."""
+        return materialize(self.files.drop("content"))
+
     @cached_property
     def contents(self) -> DataFrame:
         """One body per blob."""

@@ -59,7 +59,10 @@ def canonical_rows(rows: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
 
 def occurrences(rows: DataFrame, conflicts_only: bool = False) -> DataFrame:
-    """Every row with its group, size and ``is_canonical``; optionally only conflicting groups."""
+    """Every row with its group, size and ``is_canonical``; optionally only conflicting groups.
+
+    ``rows`` is read three times (heavy groups, groups, join): pass a stored table.
+    """
     groups = exact_groups(rows)
     if conflicts_only:
         groups = groups.where(F.col("distinct_statuses") > 1)

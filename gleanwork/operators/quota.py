@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gleanwork.operators.attempts import TERMINAL_SCREENINGS
 from gleanwork.operators.ordering import first_k, first_rows, running
 from gleanwork.operators.skew import attach
+from gleanwork.session import materialize
 
 ORDER_BLOCK = 65_536
 
@@ -114,12 +115,14 @@ def next_wave(
     )
     if already is not None:
         open_rows = without_names(open_rows, already)
-    first_round = open_rows.agg(F.min("round_number")).scalar()
-    wave = open_rows.where(F.col("round_number") == first_round)
+    # One number comes back; the wave itself then filters the schedule by it at the scan.
+    first_round = open_rows.agg(F.min("round_number")).first()[0]
+    wave = open_rows.where(F.col("round_number") == F.lit(first_round).cast("bigint"))
     if budget is None:
         return wave
-    stored = screenings.agg(F.count("*")).scalar()
-    return wave.where(stored + wave.agg(F.count("*")).scalar() <= budget)
+    # A round holds at most one row per stratum.
+    wave = materialize(wave)
+    return wave if screenings.count() + wave.count() <= budget else wave.limit(0)
 
 
 def carried_names(prior: DataFrame) -> DataFrame:
