@@ -155,6 +155,11 @@ def a13(t: Tables):
     return evaluate.repository_scope(evaluated(t))
 
 
+@query("a13_input_repositories", "SELECT count(DISTINCT source) AS input_repositories FROM documents")
+def a13_input(t: Tables):
+    return evaluate.input_repositories(t.documents.select(F.concat("source", F.lit(" ")).alias("name")))
+
+
 GOLD_SQL = """gold AS (SELECT source AS repository, CAST(doc_id AS VARCHAR) AS revision, CASE WHEN quality = 0 THEN 'not_found' WHEN toxic = 1
     THEN 'review' ELSE 'pass' END AS expected, CASE WHEN doc_id % 2 = 0 THEN 'tuning' ELSE 'holdout' END AS split
     FROM documents JOIN labels USING (doc_id)),

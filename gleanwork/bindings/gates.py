@@ -92,6 +92,15 @@ def v2(t: Tables):
     return gates.duplicate_keys(population(t), F.lower("name"), "duplicate_unit")
 
 
+@query(
+    "j9_conflicting_strata",
+    f"""WITH {POPULATION_SQL} SELECT 'conflicting_stratum' AS rule, lower(name) AS key, CAST(count(DISTINCT mainLanguage) AS VARCHAR) AS detail
+       FROM population GROUP BY lower(name) HAVING count(DISTINCT mainLanguage) > 1""",
+)
+def j9_conflicts(t: Tables):
+    return gates.conflicting_strata(population(t))
+
+
 @query(
     "v3_missing_strata",
     """WITH w AS (SELECT * FROM (VALUES ('BUILDING'), ('MACHINERY'), ('FURNITURE'), ('SPACECRAFT')) v(s)),

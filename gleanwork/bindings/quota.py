@@ -223,6 +223,27 @@ def j11(t: Tables):
     )
 
 
+@query(
+    "a15_license_totals",
+    """SELECT count(*) AS repositories, count(DISTINCT n) AS license_names, count(*) FILTER (trim(n) = '') AS blank_license_repositories,
+       count(*) FILTER (lower(trim(n)) = 'other') AS other_license_repositories
+       FROM (SELECT CASE WHEN c_nationkey = 3 THEN ' ' WHEN c_nationkey = 4 THEN 'OTHER ' ELSE c_mktsegment END AS n FROM customer)""",
+)
+def a15_licenses(t: Tables):
+    nation = F.col("c_nationkey")
+    name = F.when(nation == 3, "\t").when(nation == 4, "OTHER ").otherwise(F.col("c_mktsegment"))
+    return quota.license_totals(t.customer.select(name.alias("license_name")))
+
+
+@query(
+    "a15_allowlist_totals",
+    f"""WITH {UNITS_SQL} SELECT count(*) AS input_repositories, count(*) FILTER (license IN {ALLOW_SQL}) AS accepted_repositories,
+       count(*) FILTER (license NOT IN {ALLOW_SQL}) AS rejected_repositories, (SELECT count(*) FROM {ALLOW_SQL}) AS allowlisted_license_names FROM units""",
+)
+def a15_allowlist(t: Tables):
+    return quota.allowlist_totals(t.units.withColumnRenamed("license", "license_name"), allow(t))
+
+
 @query(
     "u7_review_by_eligibility",
     f"""WITH {REVIEWED_SQL}, states AS (SELECT lower(repository) AS repository, CASE status WHEN 'pass' THEN 'confirmed' ELSE 'rejected' END AS state FROM reviewed),

@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanwork.functions.text import strip
+
 # Long-context pricing rule.
 LONG_CONTEXT_TOKENS = 272_000
 LONG_INPUT_MULTIPLIER = Decimal("2.0")
@@ -260,13 +262,13 @@ def f1(precision: Column | str, recall: Column | str) -> Column:
 
 def review_round(origin: Column | str) -> Column:
     """Round number of an ``added_round_N`` origin, else null."""
-    digits = F.regexp_extract(_c(origin), r"^added_round_([0-9]+)$", 1)
+    digits = F.regexp_extract(_c(origin), r"\Aadded_round_([1-9][0-9]*)\z", 1)
     return digits.try_cast("int")
 
 
 def final_origin(origin: Column | str) -> Column:
     """``baseline`` or ``new``; null for an unknown origin."""
-    value = F.trim(_c(origin))
+    value = strip(_c(origin))
     return F.when(value == "baseline", "baseline").when(
         value.isin("new", "new_confirmed", "new_pending"), "new"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.functions.labels import binary_outcome, f1, ratio
+from gleanwork.functions.text import strip
 
 # Label domains.
 STATUSES = ("pass", "review", "not_found")
@@ -24,18 +25,18 @@ def evaluated_files(checklist: DataFrame, predictions: DataFrame) -> DataFrame:
     A model status outside the known decisions drops the row, though it still counts as labelled.
     """
     human = checklist.select(
-        F.trim("repository").alias("repository"),
-        F.trim("github_url").alias("github_url"),
-        F.trim("human_decision").alias("human_decision"),
-        F.trim(F.col("note") if "note" in checklist.columns else F.lit("")).alias("human_note"),
+        strip("repository").alias("repository"),
+        strip("github_url").alias("github_url"),
+        strip("human_decision").alias("human_decision"),
+        strip(F.col("note") if "note" in checklist.columns else F.lit("")).alias("human_note"),
     ).where(F.col("human_decision").isin(*HUMAN_DECISIONS))
     optional = {
-        name: (F.trim(F.col(name).cast("string")) if name in predictions.columns else F.lit(""))
+        name: (strip(F.col(name).cast("string")) if name in predictions.columns else F.lit(""))
         for name in ("markdown_path", "confidence", "model_reason", "quote")
     }
     model = predictions.select(
-        F.trim("markdown_url").alias("github_url"),
-        F.trim("status").alias("llm_decision"),
+        strip("markdown_url").alias("github_url"),
+        strip("status").alias("llm_decision"),
         *(value.alias(name) for name, value in optional.items()),
         F.lit(True).alias("__found"),
     )
@@ -96,7 +97,7 @@ def labeled_count(checklist: DataFrame) -> DataFrame:
     """Checklist rows and how many carry a human decision."""
     return checklist.agg(
         F.count("*").alias("checklist_rows"),
-        F.count_if(F.trim("human_decision").isin(*HUMAN_DECISIONS)).alias("human_labeled_files"),
+        F.count_if(strip("human_decision").isin(*HUMAN_DECISIONS)).alias("human_labeled_files"),
     )
 
 
@@ -139,6 +140,12 @@ def repository_scope(files: DataFrame) -> DataFrame:
     )
 
 
+def input_repositories(rows: DataFrame) -> DataFrame:
+    """One-row count of distinct non-blank names in the evaluated input."""
+    name = F.nullif(strip("name"), F.lit(""))
+    return rows.agg(F.count_distinct(name).alias("input_repositories"))
+
+
 def matched_labels(gold: DataFrame, predictions: DataFrame, split: str | None = None) -> DataFrame:
     """Gold ⋈ prediction on (repository, revision); see :func:`gleanwork.operators.gates.unmatched_gold`."""
     rows = gold if split is None else gold.where(F.col("split") == split)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.functions import paths, terms
 from gleanwork.functions.terms import Term
+from gleanwork.functions.text import strip
 from gleanwork.operators.skew import attach
 
 FILE_KEY = ["name", "lastCommitSHA", "markdown_path"]
@@ -79,9 +80,9 @@ def merged_evidence(*sources: DataFrame) -> DataFrame:
     """Evidence paths of all sources, trimmed and without repeats, one row per path."""
     parts = [
         source.select(
-            F.trim("name").alias("name"),
-            F.trim("lastCommitSHA").alias("lastCommitSHA"),
-            F.trim("guideline_path").alias("markdown_path"),
+            strip("name").alias("name"),
+            strip("lastCommitSHA").alias("lastCommitSHA"),
+            strip("guideline_path").alias("markdown_path"),
         )
         for source in sources
     ]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.functions import paths
 from gleanwork.functions.labels import final_origin
+from gleanwork.functions.text import strip
 from gleanwork.operators.attempts import TERMINAL_SCREENINGS
 from gleanwork.operators.quota import rejected
 
@@ -63,8 +64,8 @@ def population_format(population: DataFrame, enforce_window: bool = True) -> Dat
     """Name, revision and snapshot rules of every population row."""
     committed = F.when(F.col("lastCommit").rlike(TIMESTAMP_PATTERN), F.col("lastCommit").try_cast("timestamp"))
     checks = {
-        "name_format": (F.trim("name").rlike(REPOSITORY_PATTERN), F.col("name")),
-        "revision_format": (F.trim("lastCommitSHA").rlike(REVISION_PATTERN), F.col("lastCommitSHA")),
+        "name_format": (strip("name").rlike(REPOSITORY_PATTERN), F.col("name")),
+        "revision_format": (strip("lastCommitSHA").rlike(REVISION_PATTERN), F.col("lastCommitSHA")),
         "timestamp_format": (committed.isNotNull(), F.col("lastCommit")),
     }
     if enforce_window:
@@ -78,11 +79,11 @@ def selection_criteria(
 ) -> DataFrame:
     """All violations of the collection criteria, not only the first."""
     checks = {
-        "language": (F.trim("mainLanguage").isin(*languages), F.col("mainLanguage")),
-        "is_fork": (F.lower(F.trim("isFork")) == "false", F.col("isFork")),
+        "language": (strip("mainLanguage").isin(*languages), F.col("mainLanguage")),
+        "is_fork": (F.lower(strip("isFork")) == "false", F.col("isFork")),
     }
     for field, minimum in minimums.items():
-        number = F.trim(field).try_cast("bigint")
+        number = strip(field).try_cast("bigint")
         checks[f"{field}_integer"] = (number.isNotNull(), F.col(field))
         checks[f"{field}_minimum"] = (number.isNull() | (number >= minimum), F.col(field))
     return union_all(
@@ -111,7 +112,7 @@ def unique_keys(df: DataFrame, key: Column | str, rule: str = "unique_key") -> D
 
 def value_domain(df: DataFrame, column: str, allowed_values: Sequence[str], key: Column | str, rule: str) -> DataFrame:
     """Values outside a fixed domain; null counts as outside."""
-    outside = ~F.coalesce(F.trim(F.col(column).cast("string")).isin(*allowed_values), F.lit(False))
+    outside = ~F.coalesce(strip(F.col(column).cast("string")).isin(*allowed_values), F.lit(False))
     return violations(df.where(outside), rule, key, column)
 
 
@@ -148,6 +149,18 @@ def conflicting_candidates(candidates: DataFrame) -> DataFrame:
     )
 
 
+def conflicting_strata(population: DataFrame) -> DataFrame:
+    """One name (ignoring case) in more than one stratum."""
+    grouped = population.groupBy(F.lower("name").alias("__name")).agg(F.count_distinct("mainLanguage").alias("__n"))
+    return violations(grouped.where(F.col("__n") > 1), "conflicting_stratum", "__name", "__n")
+
+
+def empty_input(rows: DataFrame, rule: str, key: str) -> DataFrame:
+    """A selection that left no rows."""
+    counted = rows.agg(F.count("*").alias("__n"))
+    return violations(counted.where(F.col("__n") == 0), rule, F.lit(key), "__n")
+
+
 def absent_keys(rows: DataFrame, known: DataFrame, on: Sequence[str], rule: str) -> DataFrame:
     """Keys of ``rows`` that ``known`` lacks."""
     missing = rows.select(*on).distinct().join(known.select(*on), list(on), "left_anti")
@@ -157,9 +170,9 @@ def absent_keys(rows: DataFrame, known: DataFrame, on: Sequence[str], rule: str)
 def checklist_integrity(checklist: DataFrame) -> DataFrame:
     """Complete decisions, unique files, and ``duplicate_of`` pointing at a non-duplicate pass."""
     rows = checklist.select(
-        F.trim("file").alias("file"),
-        F.trim("human_decision").alias("human_decision"),
-        F.trim("duplicate_of").alias("duplicate_of"),
+        strip("file").alias("file"),
+        strip("human_decision").alias("human_decision"),
+        strip("duplicate_of").alias("duplicate_of"),
     )
     targets = (
         rows.groupBy(F.col("file").alias("duplicate_of"))
@@ -207,7 +220,7 @@ def invalid_reviews(reviews: DataFrame, documents: DataFrame) -> DataFrame:
     checks = {
         "unknown_custom_id": (F.col("content").isNotNull(), F.col("custom_id")),
         "invalid_decision": (decision.isin("pass", "not_found"), decision),
-        "empty_reason": (F.trim("reason") != "", F.col("reason")),
+        "empty_reason": (strip("reason") != "", F.col("reason")),
         "not_found_with_quote": ((decision != "not_found") | (quote == ""), F.length(quote)),
         "quote_not_found": (
             (decision != "pass") | ((quote != "") & F.coalesce(F.col("content").contains(quote), F.lit(False))),
@@ -241,7 +254,7 @@ def provisional_selection(selected: DataFrame, targets: DataFrame) -> DataFrame:
     wrong = joined.where(F.coalesce("target", F.lit(-1)) != F.coalesce("__n", F.lit(0)))
     return union_all(
         violations(wrong, "quota_mismatch", "language", F.coalesce("__n", F.lit(0))),
-        duplicate_keys(selected, F.lower(F.trim("repository")), "duplicate_selected"),
+        duplicate_keys(selected, F.lower(strip("repository")), "duplicate_selected"),
     )
 
 
@@ -267,7 +280,7 @@ def review_consistency(
     reviewed: DataFrame, screenings: DataFrame, prior: DataFrame | None = None
 ) -> DataFrame:
     """Reviewed names that contradict or lack positive screening, and unreviewed earlier positives."""
-    names = reviewed.select(F.lower(F.trim("repository")).alias("name")).distinct()
+    names = reviewed.select(F.lower(strip("repository")).alias("name")).distinct()
 
     def outcome(source: DataFrame, column: str) -> DataFrame:
         return source.groupBy(F.lower("repository").alias("name")).agg(F.max_by("status", "sample_order").alias(column))
@@ -357,9 +370,9 @@ def final_bundle(
     ``selected``: ``repository, revision, sampling_language, license_name, origin``; ``files`` and
     ``accepted``: accepted checklist rows (``repository, file, github_url`` / ``repository, origin``).
     """
-    rows = selected.withColumn("final_origin", final_origin("origin")).withColumn("name", F.lower(F.trim("repository")))
-    named = accepted.select(F.lower(F.trim("repository")).alias("name"), F.col("origin").alias("final_origin"))
-    configured = baseline.select(F.lower(F.trim("repository")).alias("name"))
+    rows = selected.withColumn("final_origin", final_origin("origin")).withColumn("name", F.lower(strip("repository")))
+    named = accepted.select(F.lower(strip("repository")).alias("name"), F.col("origin").alias("final_origin"))
+    configured = baseline.select(F.lower(strip("repository")).alias("name"))
     total = targets.agg(F.sum("target").alias("__target")).withColumn("__one", F.lit(1))
     count = rows.agg(F.count("*").alias("__n")).withColumn("__one", F.lit(1))
     wrong_total = total.join(count, "__one").where(F.col("__target") != F.col("__n"))
@@ -371,7 +384,7 @@ def final_bundle(
             rows,
             F.col("name"),
             {
-                "revision_format": (F.trim("revision").rlike(COMMIT_PATTERN), F.col("revision")),
+                "revision_format": (strip("revision").rlike(COMMIT_PATTERN), F.col("revision")),
                 "unknown_origin": (F.col("final_origin").isNotNull(), F.col("origin")),
             },
         ),
@@ -390,12 +403,12 @@ def final_bundle(
 def review_revisions(files: DataFrame, selected: DataFrame) -> DataFrame:
     """Reviewed URLs that do not pin the selected revision."""
     revisions = selected.select(
-        F.lower(F.trim("repository")).alias("__name"), F.trim("revision").alias("__revision")
+        F.lower(strip("repository")).alias("__name"), strip("revision").alias("__revision")
     )
     pinned = (
-        files.withColumn("__name", F.lower(F.trim("repository")))
+        files.withColumn("__name", F.lower(strip("repository")))
         .join(revisions, "__name")
-        .withColumn("__pinned", paths.url_revision("github_url", F.trim("repository")))
+        .withColumn("__pinned", paths.url_revision("github_url", strip("repository")))
     )
     return violations(
         pinned.where(~F.coalesce(F.col("__pinned") == F.col("__revision"), F.lit(False))),

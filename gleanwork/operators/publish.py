@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.functions import labels, paths
+from gleanwork.functions.text import strip
 from gleanwork.operators.review import is_accepted
 
 
@@ -25,24 +26,24 @@ def accepted_files(checklists: Mapping[str, DataFrame], ineligible: DataFrame |
         merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
     if ineligible is None:
         return merged
-    names = ineligible.select(F.lower(F.trim("repository")).alias("__name")).distinct()
+    names = ineligible.select(F.lower(strip("repository")).alias("__name")).distinct()
     return (
-        merged.withColumn("__name", F.lower(F.trim("repository"))).join(names, "__name", "left_anti").drop("__name")
+        merged.withColumn("__name", F.lower(strip("repository"))).join(names, "__name", "left_anti").drop("__name")
     )
 
 
 def guideline_rows(accepted: DataFrame, selected: DataFrame) -> DataFrame:
     """Accepted files joined to their selected repository at the pinned revision."""
     chosen = selected.select(
-        F.lower(F.trim("repository")).alias("__name"),
+        F.lower(strip("repository")).alias("__name"),
         F.col("repository").alias("__repository"),
         "revision",
         "sampling_language",
         "sample_order",
     )
-    joined = accepted.withColumn("__name", F.lower(F.trim("repository"))).join(chosen, "__name")
+    joined = accepted.withColumn("__name", F.lower(strip("repository"))).join(chosen, "__name")
     kept = [c for c in accepted.columns if c not in ("repository",)]
-    return joined.where(paths.url_revision("github_url", F.trim("repository")) == F.col("revision")).select(
+    return joined.where(paths.url_revision("github_url", strip("repository")) == F.col("revision")).select(
         F.col("__repository").alias("repository"), "revision", "sampling_language", "sample_order", *kept
     )
 

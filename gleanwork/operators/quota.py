@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.functions.text import strip
 from gleanwork.operators.attempts import TERMINAL_SCREENINGS
 from gleanwork.operators.ordering import first_k, first_rows, running
 from gleanwork.operators.skew import attach
@@ -23,7 +24,7 @@ def order_block(order: Column | str = "sample_order") -> Column:
 
 
 def _names(df: DataFrame, column: str = "repository") -> DataFrame:
-    return df.select(F.lower(F.trim(F.col(column))).alias("__name")).where(F.col("__name") != "").distinct()
+    return df.select(F.lower(strip(F.col(column))).alias("__name")).where(F.col("__name") != "").distinct()
 
 
 def without_names(df: DataFrame, names: DataFrame, column: str = "repository") -> DataFrame:
@@ -137,10 +138,10 @@ def confirmed_names(*checklists: DataFrame) -> DataFrame:
     """
     merged = None
     for index, rows in enumerate(checklists):
-        duplicate = F.trim("duplicate_of") if "duplicate_of" in rows.columns else F.lit("")
+        duplicate = strip("duplicate_of") if "duplicate_of" in rows.columns else F.lit("")
         part = rows.select(
-            F.trim("repository").alias("repository"),
-            F.trim("human_decision").alias("__decision"),
+            strip("repository").alias("repository"),
+            strip("human_decision").alias("__decision"),
             F.coalesce(duplicate, F.lit("")).alias("__duplicate"),
             F.lit(index).alias("__source"),
             F.col("row_index").alias("__row"),
@@ -166,14 +167,14 @@ def eligible_names(population: DataFrame, allowlist: DataFrame | None) -> DataFr
 
 def allowlist_names(rows: DataFrame) -> DataFrame:
     """Trimmed, non-blank licence names; the ambiguous name never counts."""
-    name = F.trim("license_name")
+    name = strip("license_name")
     return rows.select(name.alias("license_name")).where((name != "") & (F.lower(name) != "other")).distinct()
 
 
 def allowed(rows: DataFrame, allowlist: DataFrame, column: str = "license_name") -> DataFrame:
     """Rows whose trimmed licence is on the list, compared with case."""
     return (
-        rows.withColumn("__license", F.trim(column))
+        rows.withColumn("__license", strip(column))
         .join(allowlist_names(allowlist).select(F.col("license_name").alias("__license")), "__license", "left_semi")
         .drop("__license")
     )
@@ -182,12 +183,34 @@ def allowed(rows: DataFrame, allowlist: DataFrame, column: str = "license_name")
 def rejected(rows: DataFrame, allowlist: DataFrame, column: str = "license_name") -> DataFrame:
     """The complement of :func:`allowed`."""
     return (
-        rows.withColumn("__license", F.trim(column))
+        rows.withColumn("__license", strip(column))
         .join(allowlist_names(allowlist).select(F.col("license_name").alias("__license")), "__license", "left_anti")
         .drop("__license")
     )
 
 
+def license_totals(selected: DataFrame) -> DataFrame:
+    """One-row counts of the licence names of a selection."""
+    name = strip("license_name")
+    return selected.agg(
+        F.count("*").alias("repositories"),
+        F.count_distinct("license_name").alias("license_names"),
+        F.count_if(name == "").alias("blank_license_repositories"),
+        F.count_if(F.lower(name) == "other").alias("other_license_repositories"),
+    )
+
+
+def allowlist_totals(rows: DataFrame, allowlist: DataFrame) -> DataFrame:
+    """One-row counts after applying the allow-list."""
+    names = allowlist_names(allowlist)
+    return rows.agg(F.count("*").alias("input_repositories")).select(
+        "input_repositories",
+        F.lit(allowed(rows, allowlist).agg(F.count("*")).scalar()).alias("accepted_repositories"),
+        (F.col("input_repositories") - allowed(rows, allowlist).agg(F.count("*")).scalar()).alias("rejected_repositories"),
+        F.lit(names.agg(F.count("*")).scalar()).alias("allowlisted_license_names"),
+    )
+
+
 def review_by_eligibility(reviewed: DataFrame, eligible: DataFrame) -> DataFrame:
     """Mark reviewed names as eligible or not; ``dropped`` flags acceptances lost to the policy.
 
@@ -195,7 +218,7 @@ def review_by_eligibility(reviewed: DataFrame, eligible: DataFrame) -> DataFrame
     """
     ok = _names(eligible).withColumn("eligible", F.lit(True))
     return (
-        reviewed.select(F.lower(F.trim("repository")).alias("__name"), "state")
+        reviewed.select(F.lower(strip("repository")).alias("__name"), "state")
         .distinct()
         .join(ok, "__name", "left")
         .select(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanwork.functions import labels, paths
+from gleanwork.functions.text import strip
 from gleanwork.operators.ordering import dense_index, draw_hash, draw_rank, first_k
 from gleanwork.session import materialize
 
@@ -37,7 +38,7 @@ def eligible(population: DataFrame, excluded: DataFrame | None, languages: Seque
     """Units of the declared strata that are not excluded by name, ignoring case."""
     units = population.where(F.col("mainLanguage").isin(*languages)).withColumn("__unit", F.lower("name"))
     if excluded is not None:
-        units = units.join(excluded.select(F.lower(F.trim("name")).alias("__unit")).distinct(), "__unit", "left_anti")
+        units = units.join(excluded.select(F.lower(strip("name")).alias("__unit")).distinct(), "__unit", "left_anti")
     return units.withColumnRenamed("mainLanguage", "sampling_language")
 
 
@@ -123,7 +124,7 @@ def sampling_report(
 ) -> DataFrame:
     """Per stratum: population, excluded, eligible and sampled counts."""
     spark = population.sparkSession
-    names = excluded.select(F.lower(F.trim("name")).alias("__unit")).distinct().withColumn("__out", F.lit(True))
+    names = excluded.select(F.lower(strip("name")).alias("__unit")).distinct().withColumn("__out", F.lit(True))
     counts = (
         population.withColumn("__unit", F.lower("name"))
         .join(names, "__unit", "left")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.functions.text import strip
 from gleanwork.operators import evaluate, gates, publish, quota, review, sampling
 from gleanwork.session import materialize
 
@@ -39,7 +40,7 @@ def eligible_schedule(
         "language_population",
         F.col("name").alias("repository"),
         F.col("lastCommitSHA").alias("revision"),
-        F.trim("license").alias("license_name"),
+        strip("license").alias("license_name"),
         "source_file",
         "input_index",
     )
@@ -135,7 +136,7 @@ def evaluate_labels(checklist: DataFrame, predictions: DataFrame) -> Evaluation:
     gates.require_empty(
         gates.value_domain(checklist, "human_decision", ("", "pass", "not_found"), "github_url", "human_decision")
     )
-    gates.require_empty(gates.duplicate_keys(predictions, F.trim("markdown_url"), "duplicate_url"))
+    gates.require_empty(gates.duplicate_keys(predictions, strip("markdown_url"), "duplicate_url"))
     files = materialize(evaluate.evaluated_files(checklist, predictions))
     return Evaluation(
         files=files,

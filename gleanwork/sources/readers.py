@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from gleanwork.functions import paths
 from gleanwork.functions.labels import RESPONSE
+from gleanwork.functions.text import strip
 from gleanwork.operators.ordering import dense_index, first_rows
 
 # Column lists of the population, candidate and licence files.
@@ -111,7 +112,7 @@ def exclusion_names(*sources: DataFrame) -> DataFrame:
         key = next((c for c in ("name", "repository") if c in source.columns), None)
         if key is None:
             raise ValueError("an exclusion list needs a name or repository column")
-        part = source.select(F.trim(key).alias("name")).where(F.col("name") != "")
+        part = source.select(strip(key).alias("name")).where(F.col("name") != "")
         merged = part if merged is None else merged.unionByName(part)
     return merged.distinct()
 
@@ -151,7 +152,7 @@ def load_candidates(rows: DataFrame) -> DataFrame:
     trimmed = rows
     for column in ("name", "lastCommitSHA", "markdown_path", "blob_sha", "markdown_url"):
         if column in rows.columns:
-            trimmed = trimmed.withColumn(column, F.trim(column))
+            trimmed = trimmed.withColumn(column, strip(column))
     return first_rows(trimmed, ["name", "lastCommitSHA", "markdown_path"], ["input_index"])
 
 
@@ -182,7 +183,7 @@ def split_torn(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 def parse_requests(lines: DataFrame, column: str = "value") -> DataFrame:
     """Prepared requests with their inner input document unwrapped."""
     request = F.from_json(column, REQUEST)
-    parsed = lines.where(F.trim(column) != "").select(request.alias("r"))
+    parsed = lines.where(strip(column) != "").select(request.alias("r"))
     return parsed.select(
         "r.custom_id",
         "r.method",
@@ -196,7 +197,7 @@ def parse_requests(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def parse_responses(lines: DataFrame, column: str = "value") -> DataFrame:
     """Response or error lines as ``custom_id, error, response``."""
-    return lines.where(F.trim(column) != "").select(F.from_json(column, RESPONSE).alias("r")).select("r.*")
+    return lines.where(strip(column) != "").select(F.from_json(column, RESPONSE).alias("r")).select("r.*")
 
 
 def upgrade_checklist(rows: DataFrame) -> DataFrame:

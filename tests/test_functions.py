@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gleanwork.functions import labels, paths, terms
+from gleanwork.functions.text import strip
 
 
 def one(spark, column, **values):
@@ -242,7 +243,15 @@ def test_difficulty(spark):
     assert one(spark, labels.difficulty("d", "c", "s", "p"), d="[]", c="1", s="pass", p="x.md") == 9
 
 
+def test_strip_matches_python(spark):
+    texts = ["\t a b \u3000", "\x1c\x85x\xa0", "", " \n ", "\u200bx", "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in df.select("t", strip("t").alias("s")).collect():
+        assert row["s"] == row["t"].strip()
+
+
 def test_origins_and_rounds(spark):
+    assert one(spark, labels.review_round("o"), o="added_round_07") is None
     assert one(spark, labels.review_round("o"), o="added_round_12") == 12
     assert one(spark, labels.review_round("o"), o="mechanical_filter") is None
     assert one(spark, labels.final_origin("o"), o=" new_pending") == "new"
