@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanwork.session import materialize
+from gleanwork.session import materialize, wide_partitions
 
 MAX_GROUP_ROWS = 2_000_000
 HASH_DIGITS = 4
@@ -29,7 +29,7 @@ def _cols(columns: Sequence[Column | str]) -> list[Column]:
 
 
 def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return wide_partitions(df.sparkSession)
 
 
 def dense_index(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.functions import labels, paths
 from gleanwork.functions.text import strip
-from gleanwork.operators.ordering import dense_index, draw_hash, draw_rank, first_k
+from gleanwork.operators.ordering import HASH_DIGITS, dense_index, draw_hash, first_k
 from gleanwork.session import materialize
 
 SIZE_STRATA = 5
@@ -63,22 +63,27 @@ def schedule(
 ) -> DataFrame:
     """Round-robin draw order: round r holds the r-th drawn unit of every stratum.
 
-    Stops at the smallest stratum; an empty declared stratum leaves no rounds.
+    Stops at the smallest stratum; an empty declared stratum leaves no rounds. Units of larger
+    strata that fall beyond the last round are dropped bucket by bucket before any sort.
     """
     spark = population.sparkSession
     units = eligible(population, excluded, languages)
-    ranked = draw_rank(units, ["sampling_language"], "__unit", seed, "round_number", "language_population")
-    dimension = strata(spark, languages)
-    sizes = units.groupBy("sampling_language").agg(F.count("*").alias("__n"))
-    rounds = (
-        dimension.join(sizes, "sampling_language", "left").agg(F.min(F.coalesce("__n", F.lit(0)))).scalar()
+    sizes = units.groupBy("sampling_language").agg(F.count("*").alias("language_population"))
+    # One row per declared stratum.
+    dimension = strata(spark, languages).join(sizes, "sampling_language", "left")
+    rounds = dimension.agg(F.min(F.coalesce("language_population", F.lit(0)))).scalar()
+    drawn = first_k(
+        units.withColumn("__draw", draw_hash(seed, "__unit")),
+        ["sampling_language"],
+        F.substring("__draw", 1, HASH_DIGITS),
+        ["__draw", "__unit"],
+        rounds,
+        "round_number",
     )
-    # The dimension has one row per declared stratum.
     return (
-        ranked.where(F.col("round_number") <= rounds)
-        .join(F.broadcast(dimension), "sampling_language")
+        drawn.join(F.broadcast(dimension), "sampling_language")
         .withColumn("sample_order", (F.col("round_number") - 1) * len(languages) + F.col("stratum_index"))
-        .drop("__unit", "stratum_index")
+        .drop("__unit", "__draw", "stratum_index")
     )
 
 
@@ -102,7 +107,7 @@ def stratified_sample(
     drawn = first_k(
         keyed,
         ["sampling_language"],
-        F.substring("__draw", 1, 4),
+        F.substring("__draw", 1, HASH_DIGITS),
         ["__draw", "__unit"],
         "language_sample_size",
         "__rank",
@@ -166,7 +171,7 @@ def size_sample(files: DataFrame, sample_size: int, seed: int, strata_count: int
     drawn = first_k(
         stratified.withColumn("__draw", draw_hash(seed, key)),
         ["stratum"],
-        F.substring("__draw", 1, 4),
+        F.substring("__draw", 1, HASH_DIGITS),
         ["__draw", "name", "lastCommitSHA", "markdown_path"],
         F.lit(sample_size // strata_count),
         "__rank",

@@ -7,12 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.session import wide_partitions
+
 # At most this many keys are treated as heavy, so the heavy list is always small enough to broadcast.
 HEAVY_KEYS = 1_000
-TRACKED_KEYS = 10_000
+# A sketch tracking this many keys finds every key above 1 / HEAVY_SHARE of the rows.
+TRACKED_KEYS = 3_000
 # A key is heavy when it holds more than 1 / HEAVY_SHARE of the rows.
-HEAVY_SHARE = 2_000
+HEAVY_SHARE = 1_000
 MIN_HEAVY_ROWS = 10_000
+# Tasks that merge the sketches of all scan tasks before the last merge.
+SKETCH_MERGERS = 64
 
 
 def _key(on: Sequence[str]) -> Column:
@@ -22,14 +27,18 @@ def _key(on: Sequence[str]) -> Column:
 def heavy_keys(rows: DataFrame, on: Sequence[str], min_rows: int | None = None) -> DataFrame:
     """Keys holding a large share of ``rows``: one scan with a frequent-items sketch, no shuffle of keys.
 
-    The list only steers the salt, so a missed or extra key costs balance, never a row.
+    Sketches merge in two levels, so no task receives one from every scan task. The list only
+    steers the salt: a missed or extra key costs balance, never a row.
     """
     floor = MIN_HEAVY_ROWS if min_rows is None else min_rows
-    sketch = rows.select(_key(on).alias("__key")).agg(
-        F.expr(f"approx_top_k(__key, {HEAVY_KEYS}, {TRACKED_KEYS})").alias("__top"), F.count("*").alias("__n")
+    # The extra blank key keeps the merge defined when there are no rows.
+    keys = rows.select(_key(on).alias("__key")).unionByName(rows.sparkSession.range(1).select(F.lit("").alias("__key")))
+    sketches = keys.groupBy((F.spark_partition_id() % SKETCH_MERGERS).alias("__part")).agg(
+        F.expr(f"approx_top_k_accumulate(__key, {TRACKED_KEYS})").alias("__sketch"), F.count("*").alias("__n")
     )
+    merged = sketches.agg(F.expr("approx_top_k_combine(__sketch)").alias("__sketch"), F.sum("__n").alias("__n"))
     return (
-        sketch.select("__n", F.explode("__top").alias("__item"))
+        merged.select("__n", F.explode(F.expr(f"approx_top_k_estimate(__sketch, {HEAVY_KEYS})")).alias("__item"))
         .where((F.col("__item.count") > floor) & (F.col("__item.count") * HEAVY_SHARE > F.col("__n")))
         .select(F.col("__item.item").alias("__key"), F.lit(True).alias("__heavy"))
     )
@@ -47,7 +56,7 @@ def attach(
 
     Rows of a heavy key spread over ``salts`` tasks and its one fact is repeated for each.
     """
-    salts = salts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = salts or wide_partitions(rows.sparkSession)
     heavy = F.broadcast(heavy_keys(rows, on, min_rows))
     spread = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns)), F.lit(salts))
     salted_rows = (

@@ -85,7 +85,8 @@ def classify_candidates(
     )
     state = attempts.attempt_state(log, max_model, max_retrieval)
     ready, skipped = attempts.split_by_gate(identified, gate, attempts.completed(state))
-    fetched = files.candidate_contents(ready, contents, max_input_bytes)
+    # Bodies are looked up once; requests, quote checks and error rows all read this copy.
+    fetched = materialize(files.candidate_contents(ready, contents, max_input_bytes))
     sendable = fetched.where(F.col("error_status").isNull())
     requests = costs.requests(sendable, model, effort, max_output_tokens)
     answers = materialize(scoring.parsed_answers(scoring.score(requests, scorer)))

@@ -43,6 +43,11 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def wide_partitions(spark: SparkSession) -> int:
+    """Partitions for explicit range splits and salts: the shuffle setting, at least one per core."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, cutting its lineage.
 

@@ -157,14 +157,14 @@ def load_candidates(rows: DataFrame) -> DataFrame:
 
 
 def read_attempts(spark: SparkSession, path: str, schema: str = ATTEMPT) -> DataFrame:
-    """Attempt log lines with their parse state in ``_corrupt_record`` and their file."""
+    """Attempt log lines with their parse state in ``_corrupt_record``, their file and place in it."""
     return (
         spark.read.schema(f"{schema}, _corrupt_record string")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .json(path)
-        .withColumn("source_file", F.col("_metadata.file_name"))
-        .withColumn("line", F.monotonically_increasing_id())
+        .withColumn("source_file", F.col("_metadata.file_path"))
+        .withColumn("line", F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")))
     )
 
 

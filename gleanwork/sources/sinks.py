@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.operators.publish import provenance
+from gleanwork.session import wide_partitions
 
 
 def write_report(
@@ -35,12 +36,10 @@ def write_summary(df: DataFrame, path: str) -> None:
 def write_review_files(df: DataFrame, path: str) -> None:
     """Review files with their bodies, one folder per repository.
 
-    The round-robin shuffle spreads a large repository over all writers, each writing its share of
-    a folder.
+    Range splits on (folder, file) give small repositories one writer and a large one many.
     """
-    df.repartition(F.col("folder"), F.pmod(F.xxhash64("file"), F.lit(64))).write.mode("overwrite").partitionBy(
-        "folder"
-    ).parquet(path)
+    splits = wide_partitions(df.sparkSession)
+    df.repartitionByRange(splits, "folder", "file").write.mode("overwrite").partitionBy("folder").parquet(path)
 
 
 def write_payloads(df: DataFrame, path: str) -> None:
