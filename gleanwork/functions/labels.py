@@ -153,7 +153,9 @@ def output_text(body: Column | str) -> Column:
             ),
         )
     )
-    return F.when(F.size(parts) > 0, F.array_join(parts, ""))
+    # The one-element transform binds the parts, so they are built once.
+    joined = F.transform(F.array(parts), lambda p: F.when(F.size(p) > 0, F.array_join(p, "")))
+    return F.get(joined, F.lit(0))
 
 
 def usage_fields(body: Column | str) -> Column:

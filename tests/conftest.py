@@ -10,7 +10,8 @@ from gleanwork.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("tests", 8, spark__sql__shuffle__partitions=4)
+    # Tiny fixtures: compiling whole stages costs more than it saves. The bound queries run with it.
+    return local_session("tests", 4, spark__sql__shuffle__partitions=4, spark__sql__codegen__wholeStage="false")
 
 
 def rows(df, *columns):
