@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from gleanwork.session import materialize, wide_partitions
 
 MAX_GROUP_ROWS = 2_000_000
+MAX_BROADCAST_GROUPS = 10_000
 HASH_DIGITS = 4
 
 
@@ -128,13 +129,14 @@ def running(
         frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return source.withColumns({name: F.sum(expr).over(frame) for name, expr in parts.items()})
 
-    # At most rows / limit groups can be over the limit, so the list stays small enough to broadcast.
     hot = _groups_over(df, by, limit).drop("__n")
     if hot.isEmpty():
         return window(df, by)
     hot = materialize(hot)
-    cold_rows = window(df.join(F.broadcast(hot), by, "left_anti"), by)
-    hot_rows = df.join(F.broadcast(hot), by, "left_semi")
+    # Few large groups travel as a broadcast; a long list of them is left to the planner.
+    small = F.broadcast if hot.count() <= MAX_BROADCAST_GROUPS else (lambda table: table)
+    cold_rows = window(df.join(small(hot), by, "left_anti"), by)
+    hot_rows = df.join(small(hot), by, "left_semi")
     placed = materialize(
         hot_rows.repartitionByRange(_partitions(df), *by, *order).withColumn("__pid", F.spark_partition_id())
     )
@@ -144,7 +146,7 @@ def running(
     carry = totals.select(
         *by, "__pid", *(F.sum(f"__{name}").over(before).alias(f"__{name}") for name in parts)
     )
-    local = window(placed, [*by, "__pid"]).join(F.broadcast(carry), [*by, "__pid"])
+    local = window(placed, [*by, "__pid"]).join(small(carry), [*by, "__pid"])
     hot_result = local.select(
         *df.columns,
         *(
