@@ -18,7 +18,7 @@ REPOSITORY_PATTERN = r"^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+$"
 REVISION_PATTERN = r"^[0-9a-fA-F]{7,64}$"
 COMMIT_PATTERN = r"^[0-9a-fA-F]{40}$"
 TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
-SNAPSHOT_START = "2026-01-01 00:00:00"
+SNAPSHOT_START = "2026-01-01T00:00:00Z"
 LANGUAGES = ("Java", "JavaScript", "Python", "TypeScript")
 MINIMUMS = {"stargazers": 1000, "totalIssues": 200, "totalPullRequests": 200, "forks": 200, "contributors": 10}
 
@@ -60,9 +60,20 @@ def _broken(df: DataFrame, key: Column, checks: Mapping[str, tuple[Column, Colum
     return df.select(key.alias("key"), F.explode(found).alias("v")).select("v.rule", "key", "v.detail")
 
 
+def utc_timestamp(column: str) -> Column:
+    """ISO 8601 text as a timestamp, null when malformed; without an offset it is UTC in any session zone."""
+    text = F.col(column)
+    zoned = (
+        F.when(text.rlike(r"(Z|[+-]\d{2}:\d{2})$"), text)
+        .when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
+        .otherwise(F.concat(text, F.lit("Z")))
+    )
+    return F.when(text.rlike(TIMESTAMP_PATTERN), zoned.try_cast("timestamp"))
+
+
 def population_format(population: DataFrame, enforce_window: bool = True) -> DataFrame:
     """Name, revision and snapshot rules of every population row."""
-    committed = F.when(F.col("lastCommit").rlike(TIMESTAMP_PATTERN), F.col("lastCommit").try_cast("timestamp"))
+    committed = utc_timestamp("lastCommit")
     checks = {
         "name_format": (strip("name").rlike(REPOSITORY_PATTERN), F.col("name")),
         "revision_format": (strip("lastCommitSHA").rlike(REVISION_PATTERN), F.col("lastCommitSHA")),

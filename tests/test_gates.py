@@ -69,6 +69,8 @@ def test_all_violations_are_reported(spark):
         ({"lastCommit": "2025-12-31T23:59:59-01:00"}, None),
         ({"lastCommit": "2026-01-01T00:30:00+01:00"}, "snapshot_window"),
         ({"lastCommit": "2026-01-01"}, None),
+        ({"lastCommit": "2026-01-01T00:00:00"}, None),
+        ({"lastCommit": "2025-12-31 23:59:59.999"}, "snapshot_window"),
         ({"lastCommit": "2026"}, "timestamp_format"),
         ({"lastCommit": "2026-13-01"}, "timestamp_format"),
         ({"lastCommit": ""}, "timestamp_format"),
