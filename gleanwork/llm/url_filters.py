@@ -8,7 +8,7 @@ address, its directories, and its host with every parent domain.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.llm.asof import asof_join
@@ -41,24 +41,18 @@ def candidate_rules(url: Column | str) -> Column:
     return F.when((host != "") & (path != ""), F.concat(domains, prefixes)).when(host != "", domains).otherwise(empty)
 
 
-def intervals(entries: DataFrame) -> DataFrame:
-    """Validity intervals (list, rule, active, valid_from, valid_to) of dated entries (list, rule, action, dated).
+def interval_starts(entries: DataFrame) -> DataFrame:
+    """Validity intervals (list, rule, active, valid_from) of dated entries (list, rule, action, dated).
 
-    ``valid_to`` is null while nothing follows. Several entries of one moment count as one;
+    An interval ends where the next one of the same list and rule starts, so the last start at or
+    before a moment names the interval that holds it. Several entries of one moment count as one;
     ``remove`` beats ``add``. Entries with a null in any field, or another action, are ignored.
     """
-    moments = (
+    return (
         entries.where("action in ('add', 'remove') and list is not null and rule is not null and dated is not null")
         .groupBy("list", "rule", "dated")
-        .agg(F.max("action").alias("action"))
-    )
-    following = Window.partitionBy("list", "rule").orderBy("dated")
-    return moments.select(
-        "list",
-        "rule",
-        (F.col("action") == "add").alias("active"),
-        F.col("dated").alias("valid_from"),
-        F.lead("dated").over(following).alias("valid_to"),
+        .agg((F.max("action") == "add").alias("active"))
+        .withColumnRenamed("dated", "valid_from")
     )
 
 
@@ -82,16 +76,15 @@ def filter_captures(
     rows = captures.select(
         F.col(capture_id).alias("capture_id"), F.col(url).cast("string").alias("url"), F.col(fetched_at).alias("fetched_at")
     ).distinct()
-    valid = intervals(entries)
+    valid = interval_starts(entries)
     named = entries.where("list is not null and rule is not null").select("list", "rule").distinct()
     candidates = rows.select("capture_id", "fetched_at", "url", F.explode(F.array_distinct(candidate_rules("url"))).alias("rule"))
     matched = candidates.join(named, "rule").select("rule", "list", F.col("fetched_at").alias("at"), "capture_id", "url")
     states = asof_join(
-        matched, valid.select("rule", "list", F.col("valid_from").alias("at"), "active", "valid_to"),
-        ["rule", "list"], ["at"], ["active", "valid_to"],
-    )
+        matched, valid.select("rule", "list", F.col("valid_from").alias("at"), "active"), ["rule", "list"], ["at"], ["active"]
+    )
     allowed = F.col("list").isin(*allow) if allow else F.lit(False)
-    active = states.where("match.active and (match.valid_to is null or at < match.valid_to)")
+    active = states.where("match.active")
     decided = active.groupBy("capture_id", "url", F.col("at").alias("fetched_at")).agg(
         F.count("*").alias("n_active"),
         F.array_join(F.array_sort(F.collect_set("list")), ",").alias("lists"),
