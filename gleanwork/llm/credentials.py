@@ -8,7 +8,6 @@ reported as a secret of kind ``guess``.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -17,7 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.llm.ranking import most_frequent
 from gleanwork.llm.tokens import slices
+from gleanwork.session import materialize
 
 # The kinds in their order, and the base patterns.
 KINDS = ("assign", "access", "hex", "guess")
@@ -137,9 +138,10 @@ def word_ranks(docs: DataFrame, size: int = DICTIONARY_WORDS, text: str = "text"
     """
     words = docs.select(F.explode(F.split(F.lower(F.col(text)), r"[^\p{L}]+")).alias("word"))
     fit = words.where(F.length("word").between(3, LONGEST_WORD))
-    top = fit.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    # Stored, since it is read twice.
+    counts = materialize(fit.groupBy("word").agg(F.count("*").alias("n")))
     ranks = {word: rank for rank, word in enumerate(COMMON, 1)}
-    for word in (r["word"] for r in top.collect()):
+    for word, _ in most_frequent(counts, "word", size):
         ranks.setdefault(word, len(ranks) + 1)
     return ranks
 
@@ -227,8 +229,3 @@ def redacted(text: str, ranks: dict[str, int], mark: str) -> str:
             out += [text[at:start], mark]
         at = max(at, end)
     return "".join([*out, text[at:]])
-
-
-def span_digest(spans: list[tuple[int, str, int]]) -> str:
-    """The hex digest of spans given as (start, kind, end) in report order."""
-    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, k, e in spans).encode()).hexdigest()

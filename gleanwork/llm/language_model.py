@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.llm.ranking import most_frequent
 from gleanwork.llm.tokens import WordHashes, mix, seeds, slices, text_bytes, words
 from gleanwork.session import materialize
 
@@ -301,8 +302,7 @@ def score_texts(docs: DataFrame, model: Model, keep: list[Column], known: int =
     Repeated rows come back as often as given; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    top = model.unigrams.orderBy(F.desc("n"), "ngram").limit(known)
-    shared = spark.sparkContext.broadcast([(r["ngram"], r["n"]) for r in top.collect()])
+    shared = spark.sparkContext.broadcast(most_frequent(model.unigrams, "ngram", known))
     complete = model.distinct <= known
     tokens, distinct = model.tokens, model.distinct
     rows = docs.select(

@@ -27,29 +27,33 @@ EPOCHS = 4
 RATE = 1.0
 # Labelled documents used for training at most; the classifier doesn't need more, whatever the corpus.
 MAX_ROWS = 3_000
-# Character n-grams are taken from a word's first so many bytes; its hash covers the whole word.
-WORD_BYTES = 64
 
 
-def word_features(word: bytes) -> np.ndarray:
-    """Buckets of a word and its character n-grams."""
-    marked = b"<" + word[:WORD_BYTES] + b">"
-    grams = [word, *(marked[i : i + n] for n in range(SHORTEST, LONGEST + 1) for i in range(len(marked) - n + 1))]
-    return np.array([xxhash.xxh3_64_intdigest(g) for g in grams], np.uint64) % np.uint64(BUCKETS)
-
-
-class _Words(dict):
-    """Word → value, forgetting everything when it is full."""
-
-    def __init__(self, make) -> None:
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, word: bytes):
-        if len(self) >= CACHED_WORDS // 3:
-            self.clear()
-        self[word] = value = self.make(word)
-        return value
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def word_features(words: list[bytes], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of each word and its character n-grams, one word after the other, and their number by word."""
+    if not words:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    text = np.frombuffer(b"<" + b"><".join(words) + b">", np.uint8).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    end = np.repeat(np.cumsum(sizes), sizes)
+    owner, buckets = [np.arange(len(words))], [hashes]
+    for n in range(SHORTEST, LONGEST + 1):
+        start = np.flatnonzero(np.arange(len(text)) + n <= end)
+        # Up to five bytes and their number are the n-gram itself; mixing spreads them over the buckets.
+        gram = np.full(len(start), n << 56, np.uint64)
+        for k in range(n):
+            gram |= text[start + k] << np.uint64(8 * k)
+        owner.append(np.repeat(np.arange(len(words)), sizes)[start])
+        buckets.append(mix(gram))
+    order = np.argsort(np.concatenate(owner), kind="stable")
+    return (
+        (np.concatenate(buckets)[order] % np.uint64(BUCKETS)).astype(np.int64),
+        np.bincount(np.concatenate(owner), minlength=len(words)),
+    )
 
 
 def pair_features(hashes: np.ndarray) -> np.ndarray:
@@ -65,26 +69,24 @@ def _split(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
 
 
-def features(text: bytes | None, words: _Words) -> tuple[np.ndarray, np.ndarray]:
+def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and how often each occurs."""
-    found = [words[w] for w in _split(text)]
-    if not found:
+    words = _split(text)
+    if not words:
         return np.empty(0, np.int64), np.empty(0)
-    parts = [f for f, _ in found]
-    hashes = np.array([h for _, h in found], np.uint64)
-    ids = np.concatenate([np.concatenate(parts).astype(np.int64), pair_features(hashes)])
-    values, counts = np.unique(ids, return_counts=True)
-    return values, counts.astype(np.float64)
-
-
-def _both(word: bytes) -> tuple[np.ndarray, int]:
-    return word_features(word), xxhash.xxh3_64_intdigest(word, 1)
+    distinct: dict[bytes, int] = {}
+    at = np.array([distinct.setdefault(w, len(distinct)) for w in words])
+    hashes = word_hashes(list(distinct))
+    buckets, sizes = word_features(list(distinct), hashes)
+    times = np.repeat(np.bincount(at), sizes)
+    pairs = pair_features(hashes[at])
+    values, place = np.unique(np.concatenate([buckets, pairs]), return_inverse=True)
+    return values, np.bincount(place, weights=np.concatenate([times, np.ones(len(pairs))]))
 
 
 def fit(texts: list[bytes | None], labels: list[int], epochs: int = EPOCHS, rate: float = RATE) -> tuple[np.ndarray, float]:
     """(one weight per bucket, bias) of the log odds of label 1."""
-    words = _Words(_both)
-    rows = [features(t, words) for t in texts]
+    rows = [features(t) for t in texts]
     random = np.random.default_rng(5)
     table = random.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     layer, bias = np.zeros((DIMENSIONS, 2)), np.zeros(2)
@@ -155,26 +157,46 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, epochs:
     return Classifier(np.frombuffer(bytes(learned[0]["weights"]), np.float32), learned[0]["bias"])
 
 
-def _scorer(weights: np.ndarray, bias: float):
-    """Texts → probabilities of label 1, with what is known about words kept between calls."""
-    weights = weights.astype(np.float64)
-
-    def made(word: bytes) -> tuple[float, int, int]:
-        own = word_features(word)
-        return float(weights[own].sum()), len(own), xxhash.xxh3_64_intdigest(word, 1)
-
-    words = _Words(made)
+class _Scorer:
+    """Texts → probabilities of label 1; remembers hash, feature sum and feature number by word."""
 
-    def score(text: bytes | None) -> float:
-        odds, found = bias, [words[w] for w in _split(text)]
-        if found:
-            sums, counts, hashes = zip(*found)
-            pairs = pair_features(np.array(hashes, np.uint64))
-            odds += (math.fsum(sums) + float(weights[pairs].sum())) / (sum(counts) + len(pairs))
+    def __init__(self, weights: np.ndarray, bias: float) -> None:
+        self.weights, self.bias = weights.astype(np.float64), bias
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slot: dict[bytes, int] = {}
+        self.hashes, self.sums, self.sizes = np.empty(0, np.uint64), np.empty(0), np.empty(0, np.int64)
+
+    def _learn(self, new: list[bytes]) -> None:
+        if len(self.slot) + len(new) > CACHED_WORDS:
+            self._forget()
+        hashes = word_hashes(new)
+        buckets, sizes = word_features(new, hashes)
+        sums = np.bincount(np.repeat(np.arange(len(new)), sizes), weights=self.weights[buckets], minlength=len(new))
+        self.slot.update(zip(new, range(len(self.slot), len(self.slot) + len(new))))
+        self.hashes, self.sums = np.concatenate([self.hashes, hashes]), np.concatenate([self.sums, sums])
+        self.sizes = np.concatenate([self.sizes, sizes])
+
+    def scores(self, texts: list[bytes | None]) -> list[float]:
+        split = [_split(t) for t in texts]
+        distinct = set().union(*split)
+        if new := [w for w in distinct if w not in self.slot]:
+            known = len(self.slot)
+            self._learn(new)
+            if len(self.slot) < known + len(new):
+                # Everything was forgotten on the way.
+                self._learn([w for w in distinct if w not in self.slot])
+        return [self._score(words) for words in split]
+
+    def _score(self, words: list[bytes]) -> float:
+        odds = self.bias
+        if words:
+            at = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
+            pairs = pair_features(self.hashes[at])
+            odds += float(self.sums[at].sum() + self.weights[pairs].sum()) / int(self.sizes[at].sum() + len(pairs))
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
 
-    return score
-
 
 def score_documents(docs: DataFrame, model: Classifier, keep: list[Column]) -> DataFrame:
     """``keep`` columns of ``docs`` (text) with ``score``: the probability of label 1.
@@ -187,9 +209,9 @@ def score_documents(docs: DataFrame, model: Classifier, keep: list[Column]) -> D
     names = [f.name for f in rows.schema.fields if f.name != "__text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = _scorer(*shared.value)
-        for batch in slices(batches, 1_000):
-            scores = [score(text) for text in text_bytes(batch.column("__text"))]
+        scorer = _Scorer(*shared.value)
+        for batch in slices(batches, 500):
+            scores = scorer.scores(text_bytes(batch.column("__text")))
             yield pa.record_batch({n: batch.column(n) for n in names} | {"score": pa.array(scores, pa.float64())})
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "__text")
@@ -201,9 +223,9 @@ def accepted(docs: DataFrame, model: Classifier, least: float = 0.5) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = _scorer(*shared.value)
-        for batch in slices(batches, 1_000):
-            good = [score(text) >= least for text in text_bytes(batch.column("text"))]
+        scorer = _Scorer(*shared.value)
+        for batch in slices(batches, 500):
+            good = [s >= least for s in scorer.scores(text_bytes(batch.column("text")))]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
