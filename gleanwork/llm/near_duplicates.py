@@ -7,8 +7,8 @@ So every coordinate fills, and the share of equal coordinates concentrates aroun
 
 The work after the sketch is linear in the documents wherever copies agree with a central copy:
 texts with the same shingle set are one class; every bucket compares its members with its most
-central member only; links become components; and only buckets whose members are still in
-different components compare the rest, in blocks of bounded size.
+central member only; links become components; and only where members of a bucket are still in
+different components the rest is compared, in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -28,10 +28,10 @@ from gleanwork.session import materialize
 COORDINATES = 512
 # A pair exactly at the threshold shares no band with at most this probability.
 MISS = 1e-8
-# Members of an open bucket compared in one task: two blocks of this size.
-BLOCK = 1_000
-# Open buckets up to this size list their pairs in a join instead of a block.
-SMALL_BUCKET = 6
+# Members of an open group compared in one task: two blocks of this size.
+BLOCK = 500
+# Open groups up to this size list their pairs in a join instead of a block.
+SMALL_GROUP = 6
 # Sketches of pairs at the threshold agree less than this many deviations below it with probability < 1e-8.
 DEVIATIONS = 5.7
 
@@ -139,78 +139,100 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, numerator: int, deno
 
 
 def _sketched(width: int):
+    """Low bytes of the sketch, and the full set, of each text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices(batches, 1_000):
             sets = [shingles(hashes.of(words(t)), width) for t in text_bytes(batch.column("text"))]
             low = sketch(sets).astype(np.uint8)
-            yield pa.record_batch({"node": batch.column("node"), "bytes": pa.array([r.tobytes() for r in low], pa.binary())})
+            yield pa.record_batch(
+                {
+                    "node": batch.column("node"),
+                    "bytes": pa.array([r.tobytes() for r in low], pa.binary()),
+                    "set": pa.array([s.tobytes() for s in sets], pa.binary()),
+                }
+            )
 
     return run
 
 
-def _plausible(agreement: float):
-    """Block against block: pairs of different components whose sketches agree enough."""
+def _block_links(agreement: float, numerator: int, denominator: int):
+    """Block against block: links between different components, checked on full sets.
+
+    Sketches that agree too little rule a pair out; a pair whose components a link of this block
+    has joined already isn't checked again, so there are fewer links than members.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         side, node = group.column("side").to_numpy(), group.column("node").to_numpy()
-        label, sizes = group.column("label").to_numpy(), group.column("n_shingles").to_numpy()
+        label = group.column("label").to_numpy().copy()
         bits = np.frombuffer(b"".join(group.column("bytes").to_pylist()), np.uint8).reshape(len(node), -1)
+        sets = [np.frombuffer(raw, np.uint64) for raw in group.column("set").to_pylist()]
         same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
         left = np.flatnonzero(side == 0)
         right = left if same else np.flatnonzero(side == 1)
         us, vs = [], []
         for a in left:
-            near = right[(label[right] != label[a]) & ((node[right] > node[a]) if same else (node[right] != node[a]))]
-            near = near[(bits[near] == bits[a]).mean(1) >= agreement]
-            us.append(np.minimum(node[near], node[a]))
-            vs.append(np.maximum(node[near], node[a]))
-        empty = np.empty(0, np.int64)
-        return pa.table({"u": np.concatenate([empty, *us]), "v": np.concatenate([empty, *vs])})
+            near = right[(label[right] != label[a]) & (node[right] > node[a] if same else node[right] != node[a])]
+            for b in near[(bits[near] == bits[a]).mean(1) >= agreement]:
+                if label[a] == label[b]:
+                    continue
+                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if denominator * both >= numerator * (len(sets[a]) + len(sets[b]) - both):
+                    us.append(node[a])
+                    vs.append(node[b])
+                    label[label == label[b]] = label[a]
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
 
     return run
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
-    """Pairs of bucket members, leaders aside, that are not yet in one component."""
-    labelled = members.where("node != leader").join(labels, "node", "left").select(
-        "key", "node", "n_shingles", F.coalesce("component", "node").alias("label")
+def _open_links(led: DataFrame, labels: DataFrame, texts: DataFrame, width: int, numerator: int, denominator: int) -> DataFrame:
+    """Links between bucket members, leaders aside, that are not yet in one component.
+
+    Members meet under the leader of their bucket; a leader often leads them in many bands, and
+    they are compared once.
+    """
+    threshold = numerator / denominator
+    labelled = led.where("node != leader").select("leader", "node", "n_shingles").distinct().join(labels, "node", "left").select(
+        "leader", "node", "n_shingles", F.coalesce("component", "node").alias("label")
     )
-    buckets = labelled.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"))
-    open_members = materialize(labelled.join(buckets.where("a != b").select("key", "n"), "key"))
-    small = open_members.where(F.col("n") <= SMALL_BUCKET)
-    other = small.select("key", *(F.col(c).alias(f"{c}_v") for c in ("node", "label", "n_shingles")))
-    listed = small.join(other, "key").where(
+    groups = labelled.groupBy("leader").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"))
+    open_members = materialize(labelled.join(groups.where("a != b").select("leader", "n"), "leader"))
+    small = open_members.where(F.col("n") <= SMALL_GROUP)
+    other = small.select("leader", *(F.col(c).alias(f"{c}_v") for c in ("node", "label", "n_shingles")))
+    listed = small.join(other, "leader").where(
         (F.col("node") < F.col("node_v"))
         & (F.col("label") != F.col("label_v"))
         & (F.least("n_shingles", "n_shingles_v") >= threshold * F.greatest("n_shingles", "n_shingles_v"))
     )
-    pairs = listed.select(F.col("node").alias("u"), F.col("node_v").alias("v"))
-    large = open_members.where(F.col("n") > SMALL_BUCKET)
-    nodes = large.select("node").distinct()
-    sketches = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(
-        _sketched(width), "node bigint, bytes binary"
+    pairs = listed.select(F.col("node").alias("u"), F.col("node_v").alias("v")).distinct()
+    large = open_members.where(F.col("n") > SMALL_GROUP)
+    sketches = texts.join(large.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(
+        _sketched(width), "node bigint, bytes binary, set binary"
     )
     blocks = F.ceil(F.col("n") / BLOCK)
-    own = F.pmod(F.xxhash64("node"), blocks)
     tasks = (
-        large.join(sketches, "node")
-        .withColumn("own", own)
+        large.withColumn("own", F.pmod(F.xxhash64("node"), blocks))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+        .join(materialize(sketches), "node")
         .select(
-            "key",
+            "leader",
             F.least("own", "other").alias("i"),
             F.greatest("own", "other").alias("j"),
             F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
             "node",
             "label",
-            "n_shingles",
             "bytes",
+            "set",
         )
     )
     agreement = threshold - DEVIATIONS * (threshold * (1 - threshold) / COORDINATES) ** 0.5
-    blocked = tasks.groupBy("key", "i", "j").applyInArrow(_plausible(agreement), "u bigint, v bigint")
-    return pairs.unionByName(blocked).distinct()
+    blocked = tasks.groupBy("leader", "i", "j").applyInArrow(
+        _block_links(agreement, numerator, denominator), "u bigint, v bigint"
+    )
+    return _verify(pairs, texts, width, numerator, denominator).unionByName(blocked)
 
 
 def near_duplicates(
@@ -265,9 +287,8 @@ def near_duplicates(
     pairs = led.where("node != leader").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
     links = materialize(_verify(pairs, texts, width, numerator, denominator))
     labels = materialize(components(links))
-    rest = materialize(_open_pairs(led, labels, texts, width, threshold))
-    if not rest.isEmpty():
-        more = _verify(rest, texts, width, numerator, denominator)
+    more = materialize(_open_links(led, labels, texts, width, numerator, denominator))
+    if not more.isEmpty():
         labels = materialize(components(links.unionByName(more)))
     final = reps.select("set_key", "node").join(labels, "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("component")
