@@ -119,21 +119,28 @@ def link_quotations(
 
 
 def _roots(tree: DataFrame) -> DataFrame:
-    """(message_id, conversation_id, depth) by pointer doubling over (message_id, parent_id)."""
+    """(message_id, conversation_id, depth) by pointer doubling over (message_id, parent_id).
+
+    A message is settled once it points to a message without a parent; only the others go on.
+    """
+    root = F.col("parent_id").isNull()
     state = materialize(
         tree.select(
             "message_id",
             F.coalesce("parent_id", "message_id").alias("up"),
-            F.when(F.col("parent_id").isNull(), 0).otherwise(1).cast("bigint").alias("depth"),
+            F.when(root, 0).otherwise(1).cast("bigint").alias("depth"),
+            root.alias("settled"),
         )
     )
     for _ in range(MAX_ROUNDS):
-        above = state.select(F.col("message_id").alias("up"), F.col("up").alias("__up"), F.col("depth").alias("__depth"))
-        following = state.join(above, "up").select(
-            "message_id", F.col("__up").alias("up"), (F.col("depth") + F.col("__depth")).alias("depth"), (F.col("__depth") > 0).alias("__moved")
-        )
-        following = materialize(following)
-        state = following.drop("__moved")
-        if following.where("__moved").isEmpty():
+        moving = state.where("not settled")
+        if moving.isEmpty():
             break
+        above = state.select(
+            F.col("message_id").alias("up"), F.col("up").alias("__up"), F.col("depth").alias("__depth"), F.col("settled").alias("__settled")
+        )
+        moved = moving.join(above, "up").select(
+            "message_id", F.col("__up").alias("up"), (F.col("depth") + F.col("__depth")).alias("depth"), F.col("__settled").alias("settled")
+        )
+        state = materialize(state.where("settled").unionByName(moved))
     return state.select("message_id", F.col("up").alias("conversation_id"), "depth")
