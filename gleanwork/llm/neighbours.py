@@ -1,6 +1,7 @@
 """Nearest neighbours by multiprobe p-stable hashing.
 
-A table hashes a vector with ``functions`` random projections, each cut into cells of ``width``.
+A table hashes a vector with ``functions`` random projections, each cut into cells of ``width``
+(in lengths of a query vector).
 A query visits its own bucket and ``probes`` perturbed ones: cells are stepped to the side the
 query is nearest to, in the order in which such steps are expected to succeed. Rows that lie in a
 visited bucket of any table are candidates and are ranked by their exact distance.
@@ -57,11 +58,15 @@ def perturbations(functions: int, probes: int) -> list[tuple[int, ...]]:
 class Tables:
     """Hash functions for vectors of one length, the same in every task."""
 
-    def __init__(self, size: int, tables: int, functions: int, width: float, seed: int = 11) -> None:
+    def __init__(self, queries: np.ndarray, tables: int, functions: int, width: float, seed: int = 11) -> None:
+        size = queries.shape[1]
         random = np.random.default_rng([seed, size])
-        self.tables, self.functions, self.width = tables, functions, width
+        # Cells are as wide as the queries are long: root mean square times ``width``.
+        largest = np.abs(queries).max()
+        length = largest * float(np.sqrt(((queries / largest) ** 2).sum(1).mean()))
+        self.tables, self.functions, self.width = tables, functions, width * length if np.isfinite(length) else width * largest
         self.lines = random.standard_normal((size, tables * functions))
-        self.offset = random.uniform(0, width, tables * functions)
+        self.offset = random.uniform(0, 1, tables * functions) * self.width
 
     def cells(self, vectors: np.ndarray) -> np.ndarray:
         """Positions in units of cells, by row, table and function."""
@@ -143,7 +148,7 @@ def _search(block: list, k: int, settings: tuple | None):
             ids, vectors = np.array([i for i, _ in own], np.int64), np.array([v for _, v in own])
             probes = None
             if settings:
-                hashes = Tables(size, *settings[:3])
+                hashes = Tables(vectors, *settings[:3])
                 keys = hashes.probe_keys(vectors, perturbations(settings[1], settings[3]))
                 probes = hashes, []
                 for t in range(hashes.tables):

@@ -24,6 +24,8 @@ BUCKETS = 1 << 17
 DIMENSIONS = 12
 SHORTEST, LONGEST = 3, 5
 EPOCHS = 4
+# Small samples are gone through more often, up to so many steps.
+LEAST_STEPS = 6_000
 RATE = 1.0
 # Labelled documents used for training at most; the classifier doesn't need more, whatever the corpus.
 MAX_ROWS = 3_000
@@ -93,6 +95,7 @@ def fit(texts: list[bytes | None], labels: list[int], epochs: int = EPOCHS, rate
     share = np.bincount(labels, minlength=2)[:2] / max(1, len(labels))
     if len(labels) and share.min() > 0:
         bias = np.log(share)
+    epochs = max(epochs, -(-LEAST_STEPS // max(1, len(rows))))
     steps, done = epochs * len(rows), 0
     for _ in range(epochs):
         for k in random.permutation(len(rows)):

@@ -1,0 +1,429 @@
+"""Each operator against brute force on small tables with nulls, empty and long texts, ties and repeats."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from gleanwork.llm import (
+    asof,
+    components,
+    contamination,
+    credentials,
+    language_model,
+    mixing,
+    near_duplicates,
+    neighbours,
+    quality,
+    quotations,
+    url_filters,
+    wrappers,
+)
+from gleanwork.session import materialize
+
+WORDS = [f"{a}{b}" for a in "ka lo mi tu re so".split() for b in "n r st m p".split()]
+
+
+def prose(seed: int, n: int) -> str:
+    random.seed(seed)
+    return " ".join(random.choice(WORDS) for _ in range(n))
+
+
+def documents(spark, texts):
+    """documents with a clashing extra column."""
+    rows = [(i, t, f"s{i % 3}" if i % 7 else None, 0, "x") for i, t in texts]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int, kept string")
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+# ------------------------------------------------------------------ as-of and URL filters
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_asof_equals_brute_force(spark, strict):
+    random.seed(1)
+    left = [(random.choice("aab") if i % 9 else None, random.randint(0, 30) if i % 8 else None, i) for i in range(80)]
+    right = [(random.choice("aab") if i % 9 else None, random.randint(0, 30) if i % 7 else None, i) for i in range(60)]
+    got = asof.asof_join(
+        spark.createDataFrame(left, "k string, at int, id int"), spark.createDataFrame(right, "k string, at int, v int"), ["k"], ["at"], ["v"], strict
+    )
+    found = {r["id"]: r["match"]["v"] if r["match"] else None for r in got.collect()}
+    for k, at, i in left:
+        fit = [(b, v) for q, b, v in right if None not in (k, at, q, b) and q == k and (b < at or b == at and not strict)]
+        assert found[i] == (max(fit)[1] if fit else None)
+
+
+def test_urls_are_judged_by_the_entries_of_their_time(spark):
+    captures = spark.createDataFrame(
+        [
+            (1, "http://a.b.com/x/y?q#z", 5), (2, "http://a.b.com/x/y", 1), (3, "https://u@B.com.:80/", 9), (4, None, 5), (5, "nonsense", 5),
+            (6, "http://a.b.com/x", None), (7, "http://a.b.com/x/y", 20), (7, "http://a.b.com/x/y", 20), (8, "http://ab.com/", 9),
+        ], "capture_id int, url string, fetched_at int",
+    )
+    entries = spark.createDataFrame(
+        [
+            ("bad", "b.com", "add", 3), ("bad", "b.com", "remove", 10), ("bad", "b.com", "add", 10), ("allow", "a.b.com/x", "add", 15),
+            ("ads", "a.b.com/x/y", "add", 5), ("ads", "a.b.com/x/y", "remove", 20), ("bad", None, "add", 1), ("odd", "b.com", "keep", 1),
+        ], "list string, rule string, action string, dated int",
+    )
+    got = {r["capture_id"]: (r["n_active"], r["lists"], r["rule"], r["blocked"]) for r in url_filters.filter_captures(captures, entries).collect()}
+    assert got == {
+        1: (2, "ads,bad", "a.b.com/x/y", True), 2: (0, "", "", False), 3: (1, "bad", "b.com", True), 4: (0, "", "", False), 5: (0, "", "", False),
+        6: (0, "", "", False), 7: (1, "allow", "a.b.com/x", False), 8: (0, "", "", False),
+    }
+    assert url_filters.filter_captures(captures, entries.limit(0)).where("blocked").isEmpty()
+    assert url_filters.filter_captures(captures.limit(0), entries).isEmpty()
+
+
+# ------------------------------------------------------------------ secrets
+
+
+def base_spans(text):
+    text = text or ""
+    spans = []
+    keys = r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+    for m in re.finditer(keys + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m[1]) >= 6:
+            spans.append((m.start(), 0, m.end()))
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(spans)
+
+
+def secret_texts():
+    random.seed(4)
+    bits = ["token = token = abcdefgh", 'Password": "hunter2xx"', "api_key:abc", "AKIA" + "A" * 16, "AKIA123", "0" * 24, "f" * 23, "é TOKEN=ſecret123", "apikey=='", "secret:", "pwd: x9$Qz!7Lw2", "pass=password1"]
+    texts = [None, "", "plain words only"] + bits + [" ".join(random.choice(bits + WORDS) for _ in range(40)) for _ in range(60)]
+    return list(enumerate([*texts, "token=" + "a" * 50_000, texts[3]]))
+
+
+def test_base_secrets_equal_plain_patterns_and_the_method_only_adds(spark):
+    docs = documents(spark, secret_texts())
+    got = {r["doc_id"]: r for r in credentials.digest(credentials.find_secrets(docs, credentials.word_ranks(docs))).collect()}
+    for i, text in secret_texts():
+        base = [f"{credentials.KINDS[k]}:{s}:{e}" for s, k, e in base_spans(text)]
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert [s for s in got[i]["spans"].split(",") if s and not s.startswith("guess")] == base
+        assert got[i]["n_assign"] + got[i]["n_access"] + got[i]["n_hex"] == len(base)
+    assert got[13]["n_guess"] == 1 and got[14]["n_guess"] == 0
+    assert credentials.find_secrets(docs.limit(0), {}).isEmpty()
+
+
+def slow_cost(value, ranks):
+    """All cuts of a short lower-case value into words and single characters."""
+    alphabet = math.log10(max(10, 26 * any(c.isalpha() for c in value) + 10 * any(c.isdigit() for c in value)))
+    best = [0.0] + [math.inf] * len(value)
+    for end in range(1, len(value) + 1):
+        best[end] = best[end - 1] + alphabet
+        for start in range(end - 1):
+            if value[start:end] in ranks:
+                best[end] = min(best[end], best[start] + math.log10(ranks[value[start:end]] + 1))
+    return best[-1]
+
+
+def test_guess_costs():
+    ranks = {"password": 1, "dog": 900, "dogma": 5000, "mat": 40}
+    for value in ("dogmat", "xdogx", "passworddog", "mxz", "dogdogmat"):
+        assert credentials.segments(value, ranks)[0] <= slow_cost(value, ranks) + 1e-9
+    assert credentials.segments("dogmat", ranks)[0] == pytest.approx(slow_cost("dogmat", ranks))
+    assert credentials.segments("", ranks) == (0.0, [])
+    kinds = {k for k, _, _ in credentials.segments("password19990412aaaaaaqwertyuX7", ranks)[1]}
+    assert {"word", "date", "repeat", "walk"} <= kinds
+    cost = credentials.segments("x9$Qz!7Lw2", ranks)[0]
+    assert cost > credentials.MIN_COST > credentials.segments("P@ssw0rd2020", ranks)[0]
+    assert credentials.segments("z" * 20_000, ranks)[0] < 10
+
+
+def test_redaction_leaves_no_secret(spark):
+    docs = documents(spark, secret_texts())
+    clean = {r["doc_id"]: r["text"] for r in credentials.redact(docs, {}).collect()}
+    assert clean[0] is None and clean[2] == "plain words only" and clean[6] == "[SECRET]"
+    assert all(not base_spans(t) or "SECRET" in t for t in clean.values() if t)
+    assert not any("a" * 100 in t for t in clean.values() if t)
+
+
+# ------------------------------------------------------------------ near-duplicates
+
+
+def brute_components(texts, width, share):
+    sets = {}
+    for i, t in texts:
+        w = words_of(t)
+        sets[i] = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
+    label = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= share * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    return sets, label
+
+
+def copies():
+    base = prose(0, 120).split()
+    texts = [None, "", " \t\n", "One two", "one TWO", "one two three", "x" * 30_000, "x" * 30_000, prose(1, 4_000)]
+    for k in range(40):
+        own = base[:]
+        random.seed(k)
+        for at in random.sample(range(120), k % 5):
+            own[at] = f"changed{k}"
+        texts.append(" ".join(own))
+    texts += [prose(100 + k, 50) + " " + " ".join(base[:30]) for k in range(20)]
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("width,share,block", [(3, 85, 500), (5, 80, 500), (3, 85, 4)])
+def test_near_duplicates_equal_all_pairs(spark, monkeypatch, width, share, block):
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    texts = copies()
+    sets, label = brute_components(texts, width, share)
+    got = near_duplicates.near_duplicates(documents(spark, texts), width, share).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == {
+        i: (len(sets[i]), label[i], label[i] == i) for i, _ in texts
+    }
+
+
+def test_repeated_and_unnamed_documents(spark):
+    docs = documents(spark, [(1, "a b c d"), (1, "a b c d"), (2, "a b c d")]).unionByName(
+        spark.createDataFrame([(None, "a b c d", "s", 0, "x"), (None, "z y", "s", 0, "x")], "doc_id bigint, text string, source string, n_chars int, kept string")
+    )
+    found = materialize(near_duplicates.near_duplicates(docs, 3, 85))
+    assert sorted((r["doc_id"] or 0, r["component_id"], r["kept"]) for r in found.collect() if r["component_id"]) == [
+        (0, 1, False), (1, 1, True), (1, 1, True), (2, 1, False),
+    ]
+    left = near_duplicates.one_of_each(docs, found)
+    assert left.columns == docs.columns and sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 0, 1]
+    assert near_duplicates.near_duplicates(docs.limit(0)).isEmpty()
+
+
+def test_sketches_fill_and_estimate():
+    random.seed(2)
+    a = np.unique(np.array([random.getrandbits(64) for _ in range(400)], np.uint64))
+    sets = [a, a[:300], a[:1], a[50:]]
+    s = near_duplicates.sketch(sets)
+    assert (s < np.iinfo(np.uint64).max).all()
+    assert (s[0] == s[1]).mean() == pytest.approx(0.75, abs=0.1) and (s[0] == s[3]).mean() == pytest.approx(0.875, abs=0.08)
+    assert len(near_duplicates.band_keys(s, 8)[0]) == 64
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 120)] + [(7, 7), (None, 3), (101, 100)]
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
+    assert got == {**{i: 0 for i in range(31)}, **{i: 100 for i in range(100, 120)}}
+
+
+# ------------------------------------------------------------------ extraction
+
+
+def page(k: int, body: str) -> str:
+    menu = "".join(f'<li><a href="/{j}">m{j}</a></li>' for j in range(2 + k % 4))
+    return (
+        f"<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var a='</p>';</script></head><body><nav><ul>{menu}</ul></nav>"
+        f"<div class='cookie-notice'>We use cookies</div>{body}<div id=comments><p>First!</p></div><footer>&copy; host</footer>"
+    )
+
+
+def test_wrappers_keep_the_article_only(spark):
+    rows = [(k, f"http://h.example/{k}", page(k, f"<article><h1>Head {k}</h1>" + "".join(f"<p>Text&amp;{k} <b>bold</b>\n  {j}<br>end" for j in range(k + 1)) + "</article>")) for k in range(6)]
+    plain = [(10 + k, f"http://g.example/{k}", page(k, f"<div class=x><p>Body {k}</p></div><div>Same line</div>")) for k in range(5)]
+    odd = [(20, None, None), (21, "bad", ""), (22, "http://z/", "no <markup here"), (23, "http://z/", "<div>" * 500 + "deep"), (22, "http://z/", "no <markup here")]
+    pages = spark.createDataFrame(rows + plain + odd, "page_id bigint, url string, html string").withColumn("text", F.lit("clash"))
+    got = wrappers.extract_pages(pages).collect()
+    text = {r["page_id"]: r["text"] for r in got}
+    assert len(got) == 16
+    for k in range(6):
+        assert text[k] == f"Head {k} " + " ".join(f"Text&{k} bold {j} end" for j in range(k + 1))
+    for k in range(5):
+        assert text[10 + k] == f"Body {k}"
+    assert (text[20], text[21], text[22], text[23]) == ("", "", "no <markup here", "deep")
+    assert wrappers.extract_pages(pages.limit(0)).isEmpty()
+
+
+def test_expressions_hold_options_and_repeats():
+    a, b = (wrappers.induce(wrappers.parse(x)) for x in ("<div><p>a<p>b</div>", "<div><h2>t</h2><p>c</div>"))
+    (item,) = wrappers.align(a, b)
+    assert [(i["t"], i["q"]) for i in item["c"]] == [("h2", "?"), ("p", "+")]
+    folded = wrappers.induce(wrappers.parse("<dl>" + "<dt>k<dd>v" * 3 + "</dl>"))
+    assert [(i["t"], i["q"]) for i in folded[0]["c"]] == [("(dt dd)", "+")]
+
+
+# ------------------------------------------------------------------ quality
+
+
+def test_classifier_on_held_out_documents(spark):
+    texts = [(i, prose(i, 60) if i % 2 else prose(i, 60).upper().replace(" ", "!! ")) for i in range(120)] + [(500, None), (501, ""), (502, prose(9, 20_000))]
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 1), (3, None), (999, 1)], "doc_id bigint, label int")
+    model = quality.train(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in quality.score_documents(docs, model, [F.col("doc_id")]).collect()}
+    assert all((got[i] >= 0.5) == bool(i % 2) for i in range(60, 120)) and got[502] > 0.5
+    assert got[500] == got[501] and 0 <= got[500] <= 1
+    again = quality.train(docs.repartition(3), labels)
+    assert np.array_equal(model.weights, again.weights)
+    assert quality.accepted(docs, model).columns == docs.columns
+    nothing = quality.train(docs, labels.limit(0))
+    assert quality.score_documents(docs, nothing, [F.col("doc_id")]).where("score != 0.5").isEmpty()
+    assert quality.score_documents(docs.limit(0), model, [F.col("doc_id")]).isEmpty()
+
+
+# ------------------------------------------------------------------ quotations
+
+
+def test_replies_find_their_conversations(spark):
+    messages = [
+        (1, 1, "a", "Hello there\nHow are you"), (2, 2, "b", "> hello   THERE\n> how are you\nFine, thanks"), (3, 3, "a", "Good\n>> Hello there\n> Fine, thanks"),
+        (4, 4, "c", "Fine, thanks"), (5, 5, "d", "> Fine, thanks\nCopy"), (6, 6, "e", "> never said\n>\nAlone"), (7, 7, "f", None), (8, None, "g", "> Good"),
+        (None, 9, "h", "> Good"), (2, 2, "b", "> hello   THERE\n> how are you\nFine, thanks"),
+    ]
+    df = spark.createDataFrame(messages, "message_id bigint, sent bigint, role string, text string").withColumn("depth", F.lit("clash"))
+    got = sorted((r["message_id"] or 0, r["conversation_id"], r["parent_id"], r["position"], r["depth"], r["text"], r["n_quoted"], r["n_linked"]) for r in quotations.link_quotations(df).collect())
+    assert [g[:5] for g in got if g[0]] == [(1, 1, None, 1, 0), (2, 1, 1, 2, 1), (2, 1, 1, 3, 1), (3, 1, 2, 4, 2), (4, 4, None, 1, 0), (5, 4, 4, 2, 1), (6, 6, None, 1, 0), (7, 7, None, 1, 0), (8, 8, None, 1, 0)]
+    assert [g[5:] for g in got if g[0] in (3, 6, 7)] == [("Good", 2, 2), ("Alone", 1, 0), ("", 0, 0)]
+    assert quotations.link_quotations(df.limit(0)).isEmpty()
+
+
+# ------------------------------------------------------------------ mixing
+
+
+def test_mix_comes_near_its_targets(spark):
+    texts = [(i, prose(i, 5 + i * 7 % 60) if i % 11 else None) for i in range(400)] + [(3, "repeat me"), (401, "")]
+    got = [r.asDict() for r in mixing.mix_sources(documents(spark, texts)).collect()]
+    again = [r.asDict() for r in mixing.mix_sources(documents(spark, texts).repartition(5)).collect()]
+    key = lambda r: (r["doc_id"], r["size"])
+    assert sorted(got, key=key) == sorted(again, key=key) and len(got) == 402
+    sizes = {i: len(words_of(t)) for i, t in texts if i != 3}
+    assert all(r["size"] == sizes[r["doc_id"]] for r in got if r["doc_id"] != 3)
+    by_source = {}
+    for r in got:
+        by_source.setdefault(r["source"], []).append(r)
+        assert 0 <= r["taken"] <= 3 * r["size"] and r["taken"] == r["copies"] * r["size"]
+    assert sum(rows[0]["target"] for rows in by_source.values()) == pytest.approx(sum(r["size"] for r in got))
+    for rows in by_source.values():
+        assert abs(sum(r["taken"] for r in rows) - rows[0]["target"]) <= 40
+        assert rows[0]["target"] <= 3 * rows[0]["source_size"] == 3 * sum(r["size"] for r in rows)
+    assert mixing.mix_sources(documents(spark, texts).limit(0)).isEmpty()
+
+
+def test_excess_is_shared_again(spark):
+    sources = spark.createDataFrame([("a", 10, 1.0), ("b", 1000, 2.0), (None, 30, 3.0), ("z", 0, 1.0)], "source string, source_size bigint, weight double")
+    got = {r["source"]: r["target"] for r in mixing.targets(sources).collect()}
+    assert got == {"a": 30.0, "b": pytest.approx(920.0), None: 90.0, "z": 0.0}
+
+
+# ------------------------------------------------------------------ contamination
+
+
+def brute_hits(text, items):
+    clean = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+    w, hit, found = clean(text), set(), set()
+    for name, passage in items:
+        p = clean(passage)
+        size = min(13, len(p))
+        for k in range(len(p) - size + 1 if p else 0):
+            for s in range(len(w) - size + 1):
+                if w[s : s + size] == p[k : k + size]:
+                    hit.update(range(s, s + size))
+                    found.add(name)
+    return len(w), len(hit), sorted(found)
+
+
+@pytest.mark.parametrize("block", [8_000_000, 200])
+def test_contamination_equals_window_search(spark, block):
+    items = [("b2", prose(1, 40)), ("b1", prose(2, 13)), ("b10", "Short-item, three"), ("e", "..."), ("n", None), ("one", "Uniquéword"), ("b2", prose(1, 40)), ("rep", "ka " * 20)]
+    inside = lambda k, n: " ".join(items[k][1].split()[3 : 3 + n])
+    texts = [None, "", prose(5, 300), inside(0, 13).upper(), prose(6, 60) + " " + inside(0, 20) + "! " + prose(7, 50), inside(0, 12), "a short item three b", "ka " * 40, "uniquéword", prose(2, 13) + " " + prose(8, 400), prose(9, 20_000)]
+    docs = documents(spark, list(enumerate(texts)))
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    got = {r["doc_id"]: r for r in contamination.digest(contamination.contamination(docs, benchmark, block_bytes=block)).collect()}
+    for i, text in enumerate(texts):
+        n, hit, names = brute_hits(text, items)
+        assert (got[i]["n_words"], got[i]["n_hit"], got[i]["n_items"], got[i]["contaminated"]) == (n, hit, len(names), hit > 0 and 20 * hit >= n)
+        assert got[i]["items_sha256"] == hashlib.sha256(",".join(names).encode()).hexdigest()
+    left = contamination.uncontaminated(docs, benchmark, block)
+    assert {r["doc_id"] for r in left.collect()} == {i for i, r in got.items() if not r["contaminated"]} and left.columns == docs.columns
+    assert contamination.contamination(docs, benchmark.limit(0)).where("size(spans) > 0").isEmpty()
+    assert contamination.contamination(docs.limit(0), benchmark).isEmpty()
+
+
+# ------------------------------------------------------------------ neighbours
+
+
+def test_neighbours_recall_and_rules(spark):
+    random_ = np.random.default_rng(3)
+    centres = random_.standard_normal((20, 16))
+    vectors = [(i, (centres[i % 20] + 0.3 * random_.standard_normal(16)).tolist()) for i in range(600)]
+    vectors += [(700, None), (701, []), (702, [0.0] * 16), (703, [math.nan] * 16), (704, [None] + [1.0] * 15), (705, [1.0, 2.0]), (None, vectors[0][1]), (706, vectors[1][1]), (706, vectors[1][1])]
+    df = spark.createDataFrame(vectors, "vec_id bigint, vector array<double>").withColumn("score", F.lit("clash"))
+    asked = df.where("vec_id % 50 = 0 or vec_id in (1, 705)")
+    got = {}
+    for r in neighbours.nearest_neighbours(df, asked, 10, block_bytes=700).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    good = {i: np.array(v) for i, v in vectors if i is not None and v and None not in v and np.isfinite(v).all() and any(v)}
+    found = total = 0
+    for q in [i for i in good if i % 50 == 0 or i in (1, 705)]:
+        exact = sorted((float(np.sqrt(((v - good[q]) ** 2).sum())), i) for i, v in good.items() if i != q and len(v) == len(good[q]))[:10]
+        mine = got.get(q, [])
+        assert len(mine) == len(exact) and mine == sorted(mine, key=lambda x: (x[1], x[0]))
+        assert all(abs(s - float(np.sqrt(((good[i] - good[q]) ** 2).sum()))) < 1e-12 for i, s in mine)
+        found += len({i for i, _ in mine} & {i for _, i in exact})
+        total += len(exact)
+    assert found >= 0.9 * total and 705 not in got and got[1][0] == (706, 0.0)
+    # Tables that never meet a query are made up for by an exact pass.
+    narrow = neighbours.nearest_neighbours(df, asked, 10, 1, 8, 1e-6, 1)
+    assert narrow.groupBy("query_id").count().where("count != 10").isEmpty()
+    assert neighbours.nearest_neighbours(df.limit(0), df.limit(0)).isEmpty()
+
+
+def test_probes_come_in_order_of_expected_success():
+    sets = neighbours.perturbations(4, 50)
+    assert sets[:2] == [(), (0,)] and len(set(sets)) == 50
+    assert not any(j + k == 7 for s in sets for j in s for k in s if j != k)
+
+
+# ------------------------------------------------------------------ language model
+
+
+@pytest.mark.parametrize("known,shard", [(200_000, 64_000_000), (3, 64_000_000), (3, 300)])
+def test_scores_against_exact_counts(spark, monkeypatch, known, shard):
+    monkeypatch.setattr(language_model, "SEGMENT_BYTES", 2_000)
+    monkeypatch.setattr(language_model, "CHUNK_TOKENS", 500)
+    texts = [(i, prose(i, 40)) for i in range(60)] + [(900, None), (901, ""), (902, "Unseen WORDS kan"), (902, "Unseen WORDS kan"), (903, prose(1, 3_000))]
+    docs = documents(spark, texts)
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    counts = {}
+    for i, t in texts:
+        if not held(i):
+            for w in [*words_of(t), None]:
+                counts[w] = counts.get(w, 0) + 1
+    total, distinct = sum(counts.values()), len(counts)
+    model = language_model.train(docs.where(F.crc32(F.col("doc_id").cast("string")) % 7 != 2))
+    assert (model.tokens, model.distinct) == (total, distinct)
+    got = language_model.score_texts(docs, model, [F.col("doc_id")], known, shard).collect()
+    assert len(got) == len(texts)
+    plain = dict(texts)
+    for r in got:
+        tokens = [*words_of(plain[r["doc_id"]]), None]
+        base = sum(math.log10((counts.get(w, 0) + 1) / (total + distinct + 1)) for w in tokens)
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(tokens), sum(w in counts for w in tokens), total)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] < 0
+    mean = {r["doc_id"]: r["score"] / r["n_tokens"] for r in got}
+    assert mean[902] < mean[5]
+    empty = language_model.train(docs.limit(0))
+    assert language_model.score_texts(docs, empty, [F.col("doc_id")]).where("n_known > 0").isEmpty()
+
+
+def test_filter_keeps_every_level_and_errs_rarely():
+    random_ = np.random.default_rng(1)
+    grams = random_.integers(0, 2**63, 20_000).astype(np.uint64)
+    levels = random_.integers(1, 6, 20_000)
+    held = language_model.Filter([(0, language_model.fill(grams, levels).tobytes())], 1)
+    read = held.levels(grams)
+    assert (read >= levels).all() and (read > levels).mean() < 0.05
+    assert (held.levels(random_.integers(0, 2**63, 20_000).astype(np.uint64)) > 0).mean() < 0.05
