@@ -560,13 +560,12 @@ def r1(t: Tables):
        retry_exhausted FROM budgeted""",
 )
 def r2(t: Tables):
-    """Log delivered in order as two files; see the stream's `seq` guard for repeats."""
+    """Log delivered out of order in many files, two a batch, with a third of the keys repeated."""
     source, out = log_folder(t, "in"), log_folder(t, "out")
     log = t.attempts.select("custom_id", "seq", "status")
-    middle = log.agg(F.avg("seq")).scalar()
-    log.where(F.col("seq") <= middle).coalesce(1).write.parquet(source)
-    log.where(F.col("seq") > middle).coalesce(1).write.mode("append").parquet(source)
-    stream = t.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    repeats = log.where(F.crc32("custom_id") % 3 == 0)
+    log.unionByName(repeats).repartition(6, F.xxhash64("custom_id", "seq", F.rand(3))).write.parquet(source)
+    stream = t.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(source)
     counted = streams.budget_batches(out + "-state", out)
     streams.drain(stream, counted, log_folder(t, "offsets"))
     return streams.read_budgets(t.spark, out)

@@ -233,3 +233,27 @@ def v9(t: Tables):
         (F.round("c_acctbal").cast("bigint") + F.when(F.col("c_custkey") % 25 == 0, 1).otherwise(0)).cast("string").alias("value"),
     )
     return gates.incompatible_settings(old.unionByName(policy), new.unionByName(applied))
+
+
+@query(
+    "v9_incompatible_prior",
+    """SELECT 'setting_changed' AS rule, 'exclude_csv_fingerprints' AS key, string_agg(md5(c_name || 'x'), ',' ORDER BY md5(c_name || 'x')) AS detail FROM customer
+       UNION ALL SELECT 'setting_changed', 'sample_seed', CAST(count(*) + 1 AS VARCHAR) FROM customer""",
+)
+def v9_prior(t: Tables):
+    """The inputs moved to another folder, the exclusions and the seed changed, and a setting outside the list too."""
+    names = t.customer.select("c_name")
+
+    def fingerprints(setting: str, folder: str, extra: str):
+        entry = F.struct(F.concat(F.lit(folder), "c_name").alias("path"), F.md5(F.concat("c_name", F.lit(extra))).alias("hash"))
+        return names.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")).select(F.lit(setting).alias("name"), "value")
+
+    def seed(more: int):
+        count = (F.count("*") + more).cast("string").alias("value")
+        return names.agg(count).select(F.lit("sample_seed").alias("name"), "value").unionByName(
+            names.agg(count).select(F.lit("output_folder").alias("name"), "value")
+        )
+
+    prior = fingerprints("input_fingerprints", "old/", "").unionByName(fingerprints("exclude_csv_fingerprints", "", ""))
+    current = fingerprints("input_fingerprints", "new/", "").unionByName(fingerprints("exclude_csv_fingerprints", "", "x"))
+    return gates.incompatible_prior(prior.unionByName(seed(0)), current.unionByName(seed(1)))

@@ -452,6 +452,9 @@ PRIOR_SETTINGS = (
 )
 
 
+FINGERPRINT_SETTINGS = ("input_fingerprints", "exclude_csv_fingerprints")
+
+
 def incompatible_settings(existing: DataFrame, current: DataFrame) -> DataFrame:
     """Settings (``name, value``) that differ between two runs.
 
@@ -470,9 +473,18 @@ def incompatible_settings(existing: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def incompatible_prior(prior: DataFrame, current: DataFrame) -> DataFrame:
-    """Sampling and classification settings (``name, value``) that rule out carrying outcomes over."""
-    wanted = F.col("name").isin(*PRIOR_SETTINGS)
-    return changed_settings(prior.where(wanted), current.where(wanted))
+    """Sampling and classification settings (``name, value``) that rule out carrying outcomes over.
+
+    Fingerprints (JSON objects from path to hash) are compared by their sorted hashes: the same
+    files under other paths stay compatible.
+    """
+    hashes = F.array_join(F.array_sort(F.map_values(F.from_json("value", "map<string,string>"))), ",")
+    by_hash = F.when(F.col("name").isin(*FINGERPRINT_SETTINGS), F.coalesce(hashes, F.col("value"))).otherwise(F.col("value"))
+
+    def compared(settings: DataFrame) -> DataFrame:
+        return settings.where(F.col("name").isin(*PRIOR_SETTINGS)).select("name", by_hash.alias("value"))
+
+    return changed_settings(compared(prior), compared(current))
 
 
 def changed_settings(existing: DataFrame, current: DataFrame) -> DataFrame:

@@ -117,10 +117,13 @@ def running(
     rank: str | None = None,
     max_group_rows: int | None = None,
 ) -> DataFrame:
-    """Add inclusive running sums and/or a 1-based rank within ``by`` in ``order`` (a total order)."""
+    """Add inclusive running sums and/or a 1-based rank within ``by`` in ``order`` (a total order).
+
+    A null summand counts as 0, whatever the size of its group.
+    """
     limit = max_group_rows or MAX_GROUP_ROWS
     order = _cols(order)
-    parts = dict(sums or {})
+    parts = {name: F.coalesce(expr, F.lit(0)) for name, expr in (sums or {}).items()}
     if rank:
         parts[rank] = F.lit(1).cast("bigint")
     by = list(by)
@@ -149,10 +152,7 @@ def running(
     local = window(placed, [*by, "__pid"]).join(small(carry), [*by, "__pid"])
     hot_result = local.select(
         *df.columns,
-        *(
-            (F.coalesce(F.col(name), F.lit(0)) + F.coalesce(F.col(f"__{name}"), F.lit(0))).alias(name)
-            for name in parts
-        ),
+        *((F.col(name) + F.coalesce(F.col(f"__{name}"), F.lit(0))).alias(name) for name in parts),
     )
     return cold_rows.select(*hot_result.columns).unionByName(hot_result)
 

@@ -68,7 +68,7 @@ def screened_prefix(scheduled: DataFrame, quotas: DataFrame, budget: int | None
     quota in all earlier rounds; with a ``budget``, whole rounds are kept while the running number
     of screened rows fits. ``scheduled`` carries the outcome in ``status``.
     """
-    positive = (F.col("status") == "pass").cast("bigint")
+    positive = F.coalesce(F.col("status") == "pass", F.lit(False)).cast("bigint")
     counted = running(
         scheduled, ["language"], ["round_number", "sample_order"], {"__positives": positive}
     ).withColumn("__earlier", F.col("__positives") - positive)

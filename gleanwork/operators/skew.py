@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanwork.session import wide_partitions
+from gleanwork.session import materialize, wide_partitions
 
 # At most this many keys are treated as heavy, so the heavy list is always small enough to broadcast.
 HEAVY_KEYS = 1_000
@@ -27,8 +27,8 @@ def _key(on: Sequence[str]) -> Column:
 def heavy_keys(rows: DataFrame, on: Sequence[str], min_rows: int | None = None) -> DataFrame:
     """Keys holding a large share of ``rows``: one scan with a frequent-items sketch, no shuffle of keys.
 
-    Sketches merge in two levels, so no task receives one from every scan task. The list only
-    steers the salt: a missed or extra key costs balance, never a row.
+    Sketches merge in two levels, so no task receives one from every scan task. The list is
+    approximate and may differ between evaluations; both sides of a join must read one stored copy.
     """
     floor = MIN_HEAVY_ROWS if min_rows is None else min_rows
     # The extra blank key keeps the merge defined when there are no rows.
@@ -54,10 +54,12 @@ def attach(
 ) -> DataFrame:
     """Join many ``rows`` to at most one row of ``facts`` per key, salting the heavy keys.
 
-    Rows of a heavy key spread over ``salts`` tasks and its one fact is repeated for each.
+    Rows of a heavy key spread over ``salts`` tasks and its one fact is repeated for each. The list
+    of heavy keys is stored once and read by both sides, so that they always agree on the salts; a
+    missed or extra key costs balance, never a row. ``rows`` is read for the list and for the join.
     """
     salts = salts or wide_partitions(rows.sparkSession)
-    heavy = F.broadcast(heavy_keys(rows, on, min_rows))
+    heavy = F.broadcast(materialize(heavy_keys(rows, on, min_rows)))
     spread = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns)), F.lit(salts))
     salted_rows = (
         rows.withColumn("__key", _key(on))

@@ -18,6 +18,7 @@ from gleanwork.operators.attempts import (
     latest_attempts,
 )
 from gleanwork.operators.ordering import running
+from gleanwork.session import materialize
 
 BUDGET_OUTPUT = (
     "custom_id string, seq bigint, status string, attempt_count bigint, model_attempt_count bigint, "
@@ -76,35 +77,45 @@ def read_latest(spark, state_path: str, schema: T.StructType) -> DataFrame:
 
 
 class RetryBudget(StatefulProcessor):
-    """Attempt counters per key; an attempt whose ``seq`` was already seen is ignored."""
+    """Attempt counters per key. A (key, seq) pair seen before is ignored; a late one is counted in.
+
+    The state of a key is its attempts, by ``seq``. When new ones arrive, the key's attempts from the
+    first new one on are counted (again) and emitted; of several rows of one pair the last holds.
+    """
 
     def __init__(self, max_model: int, max_retrieval: int) -> None:
         self.max_model, self.max_retrieval = max_model, max_retrieval
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         # Spelled out: workers have no session to parse a schema string with.
-        names = ("seq", "attempts", "model", "retrieval")
-        schema = T.StructType([T.StructField(name, T.LongType()) for name in names])
-        self.counters = handle.getValueState("counters", schema)
+        key = T.StructType([T.StructField("seq", T.LongType())])
+        value = T.StructType([T.StructField("status", T.StringType())])
+        self.attempts = handle.getMapState("attempts", key, value)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen, attempts, model, retrieval = self.counters.get() if self.counters.exists() else (-1, 0, 0, 0)
-        arrived = pd.concat(list(rows)).sort_values("seq")
-        out = []
-        for row in arrived.itertuples(index=False):
-            if row.seq <= seen:
-                continue
-            seen, attempts = int(row.seq), attempts + 1
-            model += row.status in MODEL_ATTEMPT_STATUSES
-            retrieval += row.status == "retrieval_error"
-            spent = (row.status == "model_error" and model >= self.max_model) or (
-                row.status == "retrieval_error" and retrieval >= self.max_retrieval
-            )
-            out.append((key[0], seen, row.status, attempts, int(model), int(retrieval), bool(spent)))
-        self.counters.update((seen, attempts, int(model), int(retrieval)))
-        columns = [field.split()[0] for field in BUDGET_OUTPUT.split(", ")]
-        if out:
-            yield pd.DataFrame(out, columns=columns)
+        known = {k[0]: v[0] for k, v in self.attempts.iterator()}
+        arrived = pd.concat(list(rows)).sort_values(["seq", "status"]).drop_duplicates("seq")
+        new = arrived[~arrived["seq"].isin(known.keys())]
+        if new.empty:
+            return
+        for seq, status in zip(new["seq"], new["status"]):
+            self.attempts.updateValue((int(seq),), (status,))
+        table = pd.DataFrame([*known.items(), *zip(new["seq"], new["status"])], columns=["seq", "status"]).sort_values("seq")
+        model = table["status"].isin(MODEL_ATTEMPT_STATUSES).cumsum()
+        retrieval = (table["status"] == "retrieval_error").cumsum()
+        counted = pd.DataFrame(
+            {
+                "custom_id": key[0],
+                "seq": table["seq"].astype("int64"),
+                "status": table["status"],
+                "attempt_count": range(1, len(table) + 1),
+                "model_attempt_count": model,
+                "retrieval_attempt_count": retrieval,
+                "retry_exhausted": ((table["status"] == "model_error") & (model >= self.max_model))
+                | ((table["status"] == "retrieval_error") & (retrieval >= self.max_retrieval)),
+            }
+        )
+        yield counted[counted["seq"] >= new["seq"].min()]
 
     def close(self) -> None:
         pass
@@ -113,7 +124,10 @@ class RetryBudget(StatefulProcessor):
 def retry_budgets(
     attempts: DataFrame, max_model: int = MAX_MODEL_ATTEMPTS, max_retrieval: int = MAX_RETRIEVAL_ATTEMPTS
 ) -> DataFrame:
-    """Streaming attempts with their running counters (needs the RocksDB state store)."""
+    """Streaming attempts with their running counters (needs the RocksDB state store).
+
+    Late attempts make rows of higher ``seq`` come again; :func:`read_budgets` keeps the last of each.
+    """
     return (
         attempts.select("custom_id", "seq", "status")
         .groupBy("custom_id")
@@ -143,42 +157,41 @@ def budget_batches(
     max_model: int = MAX_MODEL_ATTEMPTS,
     max_retrieval: int = MAX_RETRIEVAL_ATTEMPTS,
     max_group_rows: int | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` form of :func:`retry_budgets` for logs with very long histories per key.
 
-    Earlier counters are read from per-batch deltas of ``(custom_id, seq, counts)``; the batch
-    itself is counted by the skew-safe running sums of the batch operator, so no key's history
-    has to pass through one Python worker. Attempts at or below a key's stored ``seq`` are ignored,
-    and a repeated batch only sees deltas older than itself.
+    The state is the log of ``(custom_id, seq, status)``: one delta per batch, folded into a new base
+    every ``compact_every`` batches. A pair that is stored already is ignored. Attempts of a touched
+    key below its first new ``seq`` are only summed; those from there on are counted by the
+    skew-safe running sums of the batch operator and written (again), so late arrivals correct the
+    rows after them. A repeated batch only sees state older than itself.
     """
     state_root, out_root = state_path.rstrip("/"), output_path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        schema = T.StructType.fromDDL("custom_id string, last_seq bigint, attempts bigint, model bigint, retrieval bigint")
-        folders = [f"{state_root}/delta={v:012d}" for v in _versions(spark, state_root, "delta") if v < batch_id]
-        deltas = spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
-        before = deltas.groupBy("custom_id").agg(
-            F.max("last_seq").alias("last_seq"), *(F.sum(c).alias(c) for c in ("attempts", "model", "retrieval"))
-        )
-        fresh = (
-            batch.select("custom_id", "seq", "status")
-            .dropDuplicates(["custom_id", "seq"])
-            .join(before.select("custom_id", "last_seq"), "custom_id", "left")
-            .where(F.col("seq") > F.coalesce("last_seq", F.lit(-1)))
-            .drop("last_seq")
-        )
+        schema = T.StructType.fromDDL("custom_id string, seq bigint, status string")
+        stored = _stored(spark, state_root, schema, batch_id)
+        arrived = batch.groupBy("custom_id", "seq").agg(F.min("status").alias("status")).select(*schema.names)
+        fresh = materialize(arrived.join(stored, ["custom_id", "seq"], "left_anti"))
+        fresh.write.mode("overwrite").parquet(f"{state_root}/delta={batch_id:012d}")
+        if (batch_id + 1) % compact_every == 0:
+            folded = stored.unionByName(fresh).groupBy("custom_id", "seq").agg(F.min("status").alias("status"))
+            folded.select(*schema.names).write.mode("overwrite").parquet(f"{state_root}/base={batch_id:012d}")
+        first = fresh.groupBy("custom_id").agg(F.min("seq").alias("__first"))
+        touched = materialize(stored.join(first, "custom_id"))
         model = F.col("status").isin(*MODEL_ATTEMPT_STATUSES).cast("bigint")
         retrieval = (F.col("status") == "retrieval_error").cast("bigint")
-        fresh.groupBy("custom_id").agg(
-            F.max("seq").alias("last_seq"),
-            F.count("*").alias("attempts"),
-            F.sum(model).alias("model"),
-            F.sum(retrieval).alias("retrieval"),
-        ).write.mode("overwrite").parquet(f"{state_root}/delta={batch_id:012d}")
+        before = (
+            touched.where(F.col("seq") < F.col("__first"))
+            .groupBy("custom_id")
+            .agg(F.count("*").alias("attempts"), F.sum(model).alias("model"), F.sum(retrieval).alias("retrieval"))
+        )
+        again = touched.where(F.col("seq") > F.col("__first")).select(*schema.names).unionByName(fresh)
         counted = running(
-            fresh, ["custom_id"], ["seq"], {"__model": model, "__retrieval": retrieval}, "__attempts", max_group_rows
-        ).join(before.drop("last_seq"), "custom_id", "left")
+            materialize(again), ["custom_id"], ["seq"], {"__model": model, "__retrieval": retrieval}, "__attempts", max_group_rows
+        ).join(before, "custom_id", "left")
         result = counted.select(
             "custom_id",
             "seq",
@@ -195,9 +208,21 @@ def budget_batches(
     return write
 
 
+def _stored(spark, root: str, schema: T.StructType, below: int) -> DataFrame:
+    """The newest base older than batch ``below`` and the deltas after it."""
+    bases = [v for v in _versions(spark, root, "base") if v < below]
+    start = bases[-1] if bases else -1
+    deltas = [v for v in _versions(spark, root, "delta") if start < v < below]
+    folders = [f"{root}/base={start:012d}"] * bool(bases) + [f"{root}/delta={v:012d}" for v in deltas]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
 def read_budgets(spark, output_path: str) -> DataFrame:
-    """All counted attempts written by :func:`budget_batches`."""
-    return spark.read.schema(BUDGET_OUTPUT).parquet(f"{output_path.rstrip('/')}/b=*")
+    """Counted attempts written batch by batch: of each (custom_id, seq) the row of the last batch."""
+    written = spark.read.schema(BUDGET_OUTPUT + ", b bigint").parquet(output_path.rstrip("/"))
+    names = [field.split()[0] for field in BUDGET_OUTPUT.split(", ")]
+    last = written.groupBy("custom_id", "seq").agg(F.max_by(F.struct(*names), "b").alias("row"))
+    return last.select("row.*")
 
 
 def append_batches(path: str) -> Callable[[DataFrame, int], None]:

@@ -124,14 +124,23 @@ def test_streamed_budget_batches_equal_replay(spark, tmp_path, limit):
     assert rows(streams.read_budgets(spark, str(tmp_path / "out")), *BUDGET_COLUMNS) == expected_budgets(spark)
 
 
+@pytest.mark.parametrize("every", [1, 20])
+def test_late_attempts_are_counted(spark, tmp_path, every):
+    # The last attempts come first, some twice: nothing is lost and later rows are corrected.
+    stream = stream_of(spark, tmp_path, [LOG[4:], LOG[2:5], LOG[:1], LOG[:3]])
+    writer = streams.budget_batches(str(tmp_path / "state"), str(tmp_path / "out"), compact_every=every)
+    streams.drain(stream, writer, str(tmp_path / "offsets"))
+    assert rows(streams.read_budgets(spark, str(tmp_path / "out")), *BUDGET_COLUMNS) == expected_budgets(spark)
+
+
 def test_stateful_budgets_equal_replay(spark, tmp_path):
     spark.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
-    stream = stream_of(spark, tmp_path, [LOG[:4], LOG[2:]])
+    stream = stream_of(spark, tmp_path, [LOG[3:], LOG[2:4], LOG[:3]])
     streams.drain(streams.retry_budgets(stream), streams.append_batches(str(tmp_path / "out")), str(tmp_path / "offsets"))
-    got = spark.read.schema(streams.BUDGET_OUTPUT).parquet(str(tmp_path / "out") + "/b=*")
+    got = streams.read_budgets(spark, str(tmp_path / "out"))
     assert rows(got, *BUDGET_COLUMNS) == expected_budgets(spark)
 
 

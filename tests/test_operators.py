@@ -567,3 +567,12 @@ def test_upgrade_checklist(spark):
     assert readers.upgrade_checklist(old).first()["duplicate_of"] == ""
     with pytest.raises(ValueError, match="missing required columns"):
         readers.upgrade_checklist(old.drop("file"))
+
+
+def test_one_large_mixed_family_is_numbered_quickly():
+    files = ["a.md", "a__2.md"] * 50_000
+    given = review.free_numbers(files, set())
+    stems = ("a", "a__2")
+    names = [f"{stems[k % 2]}__{n}.md" if n > 1 else f"{stems[k % 2]}.md" for k, n in enumerate(given)]
+    assert len(set(names)) == len(files)
+    assert given[:6] == [1, 1, 3, 2, 4, 3]

@@ -105,3 +105,21 @@ def test_null_keys_are_kept(spark):
     assert skew.attach(data, facts, ["g"], "left", 3, 2).count() == 20
     got = ordering.running(data, ["g"], ["id"], rank="r", max_group_rows=3)
     assert got.count() == 20
+
+
+def test_running_treats_null_as_zero_in_both_forms(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, 1), ("a", 3, 1), ("b", 1, None)], "g string, i int, x bigint")
+    ordinary = rows(ordering.running(df, ["g"], ["i"], {"s": F.col("x")}), "g", "i", "s")
+    split = rows(ordering.running(df, ["g"], ["i"], {"s": F.col("x")}, max_group_rows=1), "g", "i", "s")
+    assert ordinary == split == [("a", 1, 0), ("a", 2, 1), ("a", 3, 2), ("b", 1, 0)]
+
+
+def test_salted_join_keeps_rows_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        many = spark.range(30_000).select((F.col("id") % 7).alias("k"), "id")
+        facts = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("fact"))
+        joined = skew.attach(many, facts, ["k"], salts=5, min_rows=4_000)
+        assert joined.count() == 30_000 and joined.where("fact is null").isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
