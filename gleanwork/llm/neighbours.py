@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from gleanwork.llm.tokens import mix, slices
 from gleanwork.session import materialize
 
-TABLES, FUNCTIONS, WIDTH, PROBES = 12, 8, 2.0, 128
+TABLES, FUNCTIONS, WIDTH, PROBES = 12, 8, 2.0, 64
 # Bytes of query vectors that every task holds at a time.
 BLOCK_BYTES = 1_000_000
 ROWS = 2_048
