@@ -10,7 +10,7 @@ from gleanwork.bindings.files import repositories
 from gleanwork.bindings.registry import query
 from gleanwork.bindings.tables import ATTEMPTS_SQL, CANDIDATES_SQL, FILES_SQL, UNITS_SQL, Tables
 from gleanwork.functions import labels, paths
-from gleanwork.operators import attempts, costs, scoring
+from gleanwork.operators import attempts, costs, ordering, scoring
 from gleanwork.session import materialize, shared_dir
 from gleanwork.sources import readers, sinks
 from gleanwork.streaming import attempts as streams
@@ -382,11 +382,15 @@ def answers(t: Tables):
 @query(
     "x1_scored_documents",
     f"""WITH {SCORED_SQL} SELECT doc_id, CASE WHEN failed THEN 'TimeoutError: slow' END AS error,
-       CASE WHEN NOT failed THEN CAST(200 AS INTEGER) END AS status_code FROM scored""",
+       CASE WHEN NOT failed THEN CAST(200 AS INTEGER) END AS status_code, CASE WHEN failed THEN NULL WHEN found THEN 'YES' ELSE 'NO' END AS label,
+       CASE WHEN failed THEN NULL WHEN found THEN substr(content, 1, 12) ELSE '' END AS quote FROM scored""",
 )
 def x1(t: Tables):
     ids = with_bodies(t).select("custom_id", "doc_id")
-    return answers(t).join(ids, "custom_id").select("doc_id", "error", F.col("response.status_code").alias("status_code"))
+    answer = F.from_json(labels.output_text("response.body"), "label string, quote string")
+    return answers(t).join(ids, "custom_id").select(
+        "doc_id", "error", F.col("response.status_code").alias("status_code"), answer["label"].alias("label"), answer["quote"].alias("quote")
+    )
 
 
 @query(
@@ -398,7 +402,8 @@ def x1(t: Tables):
        FROM scored""",
 )
 def j6(t: Tables):
-    found = answers(t)
+    # Stored, so that the scorer runs once for outputs and errors.
+    found = materialize(answers(t))
     outputs = found.where(F.col("response").isNotNull())
     errors = found.where(F.col("error").isNotNull())
     manifest = with_bodies(t).select("custom_id", "doc_id")
@@ -504,7 +509,7 @@ def f9(t: Tables):
 @query("p18_report_projection", f"WITH {ATTEMPTS_SQL} SELECT custom_id, status, input_tokens, output_tokens FROM attempts")
 def p18(t: Tables):
     wide = t.attempts.withColumn("provider_result", F.to_json(F.struct("*")))
-    return wide.select(*(c for c in readers.REPORT_COLUMNS if c in ("custom_id", "status", "input_tokens", "output_tokens")))
+    return readers.report_columns(wide, ("custom_id", "status", "input_tokens", "output_tokens"))
 
 
 LOG_SQL = f"WITH {REPLAY_SQL} SELECT custom_id, seq, status FROM latest"
@@ -573,4 +578,4 @@ def r2(t: Tables):
 
 @query("o1_input_order", f"WITH {UNITS_SQL} SELECT input_index, name FROM units ORDER BY input_index")
 def o1(t: Tables):
-    return t.units.repartition(5, "name").orderBy("input_index").select("input_index", "name")
+    return ordering.in_order(t.units.repartition(5, "name"), "input_index").select("input_index", "name")

@@ -13,7 +13,7 @@ MODEL_SQL = """CASE WHEN contains(text, 'license') THEN 'pass' WHEN doc_id % 13
     WHEN doc_id % 19 = 0 THEN 'retrieval_error' ELSE CASE WHEN n_chars > 900 THEN 'pass' ELSE 'not_found' END END"""
 EVAL_SQL = f"""human AS (SELECT doc_id, source AS repository, 'u/' || doc_id AS github_url, CASE WHEN doc_id % 23 = 0 THEN ''
     WHEN quality = 1 THEN 'pass' ELSE 'not_found' END AS human_decision FROM documents JOIN labels USING (doc_id)),
-  model AS (SELECT 'u/' || doc_id AS github_url, {MODEL_SQL} AS status FROM documents WHERE n_chars < 4000),
+  model AS (SELECT 'u/' || doc_id AS github_url, {MODEL_SQL} AS status FROM documents WHERE doc_id % 29 <> 0),
   joined AS (SELECT h.*, m.status, m.github_url IS NULL AS missing FROM human h LEFT JOIN model m USING (github_url)
     WHERE human_decision <> ''),
   evaluated AS (SELECT repository, github_url, human_decision, coalesce(status, '') AS llm_decision,
@@ -44,7 +44,7 @@ def checklist(t: Tables):
 
 
 def predictions(t: Tables):
-    return t.documents.where("n_chars < 4000").select(
+    return t.documents.where("doc_id % 29 <> 0").select(
         F.concat(F.lit("u/"), "doc_id").alias("markdown_url"), model_status().alias("status")
     )
 
@@ -262,5 +262,5 @@ def s14(t: Tables):
     from gleanwork.sources import readers
 
     folder = log_folder(t, "gold")
-    gold(t).coalesce(1).write.option("header", True).option("escape", '"').csv(folder)
+    gold(t).write.option("header", True).option("escape", '"').csv(folder)
     return readers.read_csv(t.spark, folder, ["repository", "revision", "status", "split"]).drop("file_name")

@@ -9,7 +9,7 @@ from gleanwork.bindings.tables import CANDIDATES_SQL, FILES_SQL, PROSE_TERMS, Ta
 from gleanwork.functions import labels, paths, terms
 from gleanwork.operators import dedup, evidence, files, gates, ordering
 from gleanwork.session import materialize
-from gleanwork.sources import readers
+from gleanwork.sources import readers, sinks
 
 # ---------------------------------------------------------------- scans
 
@@ -194,13 +194,13 @@ def p10(t: Tables):
     return t.files.select("repository", "path", paths.relevance("path").alias("score"))
 
 
-CANDIDATE_DOC_SQL = f"""size <= 5000 AND NOT list_has_any(string_split(lower(path), '/'), ['vendor','fixtures','.git'])
+CANDIDATE_DOC_SQL = f"""size <= 200000 AND NOT list_has_any(string_split(lower(path), '/'), ['vendor','fixtures','.git'])
     AND regexp_matches(lower(path), '\\.(md|txt|rst|adoc)$') AND {RELEVANCE_SQL} > 0"""
 
 
 @query("p11_candidate_documents", f"WITH {FILES_SQL} SELECT repository, path, size FROM files WHERE {CANDIDATE_DOC_SQL}")
 def p11(t: Tables):
-    return t.files.where(paths.is_candidate_document("path", "size", 5000)).select("repository", "path", "size")
+    return t.files.where(paths.is_candidate_document("path", "size")).select("repository", "path", "size")
 
 
 @query("p12_size_guard", "SELECT doc_id, strlen(text) > 2000 AS too_large FROM documents")
@@ -304,14 +304,14 @@ def f8(t: Tables):
 
 @query(
     "f11_quote_lines",
-    """WITH q AS (SELECT doc_id, text, substr(text, 20, 60) AS quote FROM documents WHERE length(text) >= 100),
+    """WITH q AS (SELECT doc_id, text, substr(text, 20, 60) AS quote FROM documents),
        p AS (SELECT *, instr(text, quote) AS pos FROM q),
        l AS (SELECT doc_id, quote, 1 + length(substr(text, 1, pos - 1)) - length(replace(substr(text, 1, pos - 1), chr(10), '')) AS first_line,
          length(quote) - length(replace(quote, chr(10), '')) AS more FROM p)
-       SELECT doc_id, 'L' || first_line || CASE WHEN more > 0 THEN '-L' || (first_line + more) ELSE '' END AS lines FROM l""",
+       SELECT doc_id, CASE WHEN quote = '' THEN 'L1' ELSE 'L' || first_line || CASE WHEN more > 0 THEN '-L' || (first_line + more) ELSE '' END END AS lines FROM l""",
 )
 def f11(t: Tables):
-    quoted = t.documents.where(F.length("text") >= 100).withColumn("quote", F.substring("text", 20, 60))
+    quoted = t.documents.withColumn("quote", F.substring("text", 20, 60))
     return quoted.select("doc_id", labels.line_range("text", "quote").alias("lines"))
 
 
@@ -645,15 +645,15 @@ def j15_verdict(t: Tables):
        SELECT repository, path, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 12""",
 )
 def o2(t: Tables):
-    small = t.files.where(F.col("size") <= 5000)
-    return evidence.top_documents(small.drop("content")).select("repository", "path", "score", "rank")
+    return evidence.top_documents(t.files.drop("content")).select("repository", "path", "score", "rank")
 
 
 PAYLOAD_SQL = f"""{FILES_SQL}, ranked AS (SELECT repository, path, content,
-      row_number() OVER (PARTITION BY repository ORDER BY path) AS rank FROM files WHERE length(content) > 0),
+      row_number() OVER (PARTITION BY repository ORDER BY path) AS rank FROM files WHERE content IS NOT NULL),
     used AS (SELECT *, least(length(content), 900) AS capped, CAST(sum(least(length(content), 900)) OVER
-      (PARTITION BY repository ORDER BY rank) AS BIGINT) AS used FROM ranked),
-    cut AS (SELECT *, least(900, 5000 - (used - capped)) AS lim FROM used WHERE 5000 - (used - capped) > 0),
+      (PARTITION BY repository ORDER BY rank) AS BIGINT) AS used,
+      count(*) FILTER (content = '') OVER (PARTITION BY repository ORDER BY rank) AS stops FROM ranked),
+    cut AS (SELECT *, least(900, 5000 - (used - capped)) AS lim FROM used WHERE stops = 0 AND 5000 - (used - capped) > 0),
     room AS (SELECT *, lim - 39 AS room, CAST(floor((lim - 39) * 2 / 3.0) AS BIGINT) AS head FROM cut),
     kept AS (SELECT repository, path, rank, CASE WHEN length(content) <= lim THEN content
       WHEN room > 0 THEN substr(content, 1, head) || chr(10) || '...[middle truncated by evaluator]...' || chr(10) || right(content, room - head)
@@ -662,7 +662,7 @@ PAYLOAD_SQL = f"""{FILES_SQL}, ranked AS (SELECT repository, path, content,
 
 
 def budgeted(t: Tables):
-    rows = t.files.where(F.length("content") > 0)
+    rows = t.files.where("content is not null")
     ranked = ordering.running(rows, ["repository", "revision"], ["path"], rank="rank")
     return evidence.budgeted_payload(ranked, 900, 5000)
 
@@ -677,9 +677,15 @@ def w13(t: Tables):
     )
 
 
-@query("k7_blind_payload", f"WITH {PAYLOAD_SQL} SELECT repository, rank, count(*) AS documents FROM kept GROUP BY 1, 2")
+@query("k7_blind_payload", f"WITH {PAYLOAD_SQL} SELECT repository, rank, path, sha256(body) AS digest FROM kept")
 def k7(t: Tables):
-    return evidence.payload_documents(budgeted(t)).groupBy("repository", "rank").agg(F.count("document").alias("documents"))
+    from gleanwork.bindings.attempts import log_folder
+
+    folder = log_folder(t, "payload")
+    sinks.write_payloads(evidence.payload_documents(budgeted(t)), folder)
+    back = t.spark.read.schema("repository string, rank bigint, document string").json(folder)
+    read = back.withColumn("document", F.from_json("document", "path string, content string"))
+    return read.select("repository", "rank", "document.path", F.sha2("document.content", 256).alias("digest"))
 
 
 @query(

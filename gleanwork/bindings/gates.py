@@ -197,9 +197,9 @@ def v11(t: Tables):
 
 @query(
     "j5_document_identity",
-    f"""WITH {FILES_SQL} SELECT 'candidate_absent' AS rule, CAST(doc_id AS VARCHAR) AS key, 'u' || doc_id AS detail FROM files WHERE size > 6000
+    f"""WITH {FILES_SQL} SELECT 'candidate_absent' AS rule, CAST(doc_id AS VARCHAR) AS key, 'u' || doc_id AS detail FROM files WHERE doc_id % 43 = 0
        UNION ALL SELECT 'input_absent', CAST(doc_id AS VARCHAR), 'u' || doc_id FROM files WHERE lang = 'es'
-       UNION ALL SELECT 'identity_differs', CAST(doc_id AS VARCHAR), 'u' || doc_id FROM files WHERE size <= 6000 AND lang <> 'es'
+       UNION ALL SELECT 'identity_differs', CAST(doc_id AS VARCHAR), 'u' || doc_id FROM files WHERE doc_id % 43 <> 0 AND lang <> 'es'
          AND (doc_id % 47 = 0 OR doc_id % 53 = 0)""",
 )
 def j5(t: Tables):
@@ -208,7 +208,7 @@ def j5(t: Tables):
     labels = t.files.select(
         custom_id.alias("custom_id"), url.alias("markdown_url"), F.col("repository").alias("name"), F.col("path").alias("markdown_path")
     )
-    candidates = t.files.where("size <= 6000").select(
+    candidates = t.files.where("doc_id % 43 <> 0").select(
         url.alias("markdown_url"), F.col("repository").alias("name"),
         F.when(doc % 47 == 0, "other").otherwise(F.col("path")).alias("markdown_path"),
     )

@@ -8,7 +8,7 @@ from gleanwork.bindings.attempts import log_folder
 from gleanwork.bindings.registry import query
 from gleanwork.bindings.tables import SCHEDULED_SQL, UNITS_SQL, Tables
 from gleanwork.functions import paths
-from gleanwork.operators import dedup, gates, publish
+from gleanwork.operators import dedup, gates, publish, quota
 from gleanwork.session import materialize
 from gleanwork.sources import readers, sinks
 
@@ -133,9 +133,21 @@ def v7(t: Tables):
 # ---------------------------------------------------------------- digests and sinks
 
 
-@query("f24_table_digests")
+DIGESTED = ("documents", "labels", "orders", "lineitem", "nation")
+
+
+@query(
+    "f24_table_digests",
+    " UNION ALL ".join(f"SELECT '{name}' AS role, count(*) AS rows, true AS same_digest FROM {name}" for name in DIGESTED),
+)
 def f24(t: Tables):
-    return publish.provenance({name: t.read(name) for name in ("documents", "labels", "orders", "lineitem", "nation")})
+    """Digests of the tables against those of copies written in another partitioning and read again."""
+    tables = {name: t.read(name) for name in DIGESTED}
+    copies = publish.provenance({name: materialize(df.repartition(5)) for name, df in tables.items()})
+    again = copies.select("role", F.col("digest").alias("copied"))
+    return publish.provenance(tables).join(again, "role").select(
+        "role", "rows", (F.col("digest") == F.col("copied")).alias("same_digest")
+    )
 
 
 @query(
@@ -222,4 +234,4 @@ def s5(t: Tables):
     f"""WITH {SCHEDULED_SQL} SELECT sample_order, repository FROM scheduled WHERE status = 'unresolved'""",
 )
 def p14_unresolved(t: Tables):
-    return t.scheduled.where("status = 'unresolved'").select("sample_order", "repository")
+    return quota.needs_review(t.scheduled).select("sample_order", "repository")

@@ -356,4 +356,4 @@ def p14_open(t: Tables):
     "SELECT event_id FROM events WHERE event_type IN ('click', 'error')",
 )
 def p14_views(t: Tables):
-    return t.attempts.where(F.col("status").isin(*attempts.RETRYABLE_STATUSES)).select(F.col("seq").alias("event_id"))
+    return attempts.retryable(t.attempts).select(F.col("seq").alias("event_id"))

@@ -121,7 +121,7 @@ def f21(t: Tables):
 
 
 MERGE_SQL = f"""{CHECK_SQL}, old AS (SELECT *, CASE WHEN conv_id % 3 = 0 THEN '' ELSE human_decision END AS old_decision FROM checks WHERE turn < 3),
-  new AS (SELECT * FROM checks WHERE turn > 0 AND length(text) < 300),
+  new AS (SELECT * FROM checks WHERE turn > 0 AND conv_id % 5 <> 0),
   annotated AS (SELECT DISTINCT lower(repository) AS r FROM old WHERE old_decision <> ''),
   merged AS (SELECT coalesce(n.github_url, o.github_url) AS github_url, CASE WHEN o.file IS NULL THEN 'new-' || n.file ELSE o.file END AS file,
     CASE WHEN n.file IS NULL THEN 'old' ELSE 'review' END AS llm_decision, coalesce(o.old_decision, '') AS human_decision,
@@ -140,7 +140,7 @@ def merged(t: Tables):
             "human_decision": F.when(F.col("conv_id") % 3 == 0, "").otherwise(F.col("human_decision")),
         }
     ).drop("conv_id", "turn", "text")
-    new = c.where("turn > 0 and length(text) < 300").select(
+    new = c.where("turn > 0 and conv_id % 5 <> 0").select(
         "repository", F.concat(F.lit("new-"), "file").alias("file"), "github_url", F.lit("review").alias("llm_decision"), "position"
     )
     return review.merge_checklist(old, new, "added_round_9")
@@ -263,21 +263,24 @@ def w11_split(t: Tables):
 
 @query(
     "f16_batch_inputs",
-    f"""WITH RECURSIVE {PACK_SQL} SELECT repository, batch_start, CAST(count(*) AS INTEGER) AS documents FROM fold GROUP BY 1, 2""",
+    f"""WITH RECURSIVE {PACK_SQL} SELECT repository, batch_start, CAST(pos - batch_start AS INTEGER) AS place, CAST(doc_id AS VARCHAR) AS custom_id,
+       repository || '.md' AS path, sha256(text) AS digest FROM fold JOIN documents USING (doc_id)""",
 )
 def f16(t: Tables):
     bodies = t.documents.select(
         F.col("doc_id").cast("string").alias("custom_id"), F.concat("source", F.lit(".md")).alias("path"), F.col("text").alias("content")
     )
     batches = review.batch_inputs(packed(t, review.SEGMENT_ROWS), bodies)
-    counted = F.size(F.split("input", review.DOCUMENT_SEPARATOR))
-    return batches.where(counted == F.col("documents")).select("repository", "batch_start", "documents")
+    parts = batches.select("repository", "batch_start", F.posexplode(F.split("input", review.DOCUMENT_SEPARATOR)).alias("place", "part"))
+    document = F.from_json("part", "custom_id string, path string, content string")
+    return parts.withColumn("document", document).select(
+        "repository", "batch_start", "place", "document.custom_id", "document.path", F.sha2("document.content", 256).alias("digest")
+    )
 
 
 @query(
     "k5_review_files",
-    f"""WITH {CANDIDATES_SQL} SELECT 'x--' || name AS folder, count(*) AS files, count(DISTINCT content_sha256) AS bodies FROM
-       (SELECT replace(name, '/', '--') AS name, content_sha256 FROM candidates) GROUP BY 1""",
+    f"""WITH {CANDIDATES_SQL} SELECT 'x--' || replace(name, '/', '--') AS folder, content_sha256 AS digest FROM candidates""",
 )
 def k5(t: Tables):
     from gleanwork.bindings.attempts import log_folder
@@ -287,9 +290,7 @@ def k5(t: Tables):
     folder = log_folder(t, "review")
     sinks.write_review_files(review.export_files(named, t.contents), folder)
     back = t.spark.read.schema("file string, content string, folder string").parquet(folder)
-    return back.groupBy(F.concat(F.lit("x--"), "folder").alias("folder")).agg(
-        F.count("*").alias("files"), F.count_distinct(F.sha2("content", 256)).alias("bodies")
-    )
+    return back.select(F.concat(F.lit("x--"), "folder").alias("folder"), F.sha2("content", 256).alias("digest"))
 
 
 @query(

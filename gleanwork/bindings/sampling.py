@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gleanwork.bindings.registry import query
 from gleanwork.bindings.tables import CANDIDATES_SQL, LANGS, UNITS_SQL, Tables
 from gleanwork.functions import labels
-from gleanwork.operators import quota, sampling
+from gleanwork.operators import ordering, quota, sampling
 
 SEED = 20260807
 
@@ -149,8 +149,7 @@ def j12(t: Tables):
 
 @query("o3_first_rows_requested", "SELECT p_partkey, p_name FROM part ORDER BY p_partkey LIMIT 100")
 def o3(t: Tables):
-    # The limit is the operator: process only the first N requested rows.
-    return t.part.orderBy("p_partkey").limit(100).select("p_partkey", "p_name")
+    return ordering.leading_rows(t.part, ["p_partkey"], 100).select("p_partkey", "p_name")
 
 
 def classified(t: Tables):

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.operators.ordering import last_rows, running
+from gleanwork.operators.skew import attach
 
 # Status families of the attempt log.
 RETRYABLE_STATUSES = ("model_error", "retrieval_error", "snapshot_incomplete")
@@ -147,12 +148,17 @@ def repository_gate(
     )
 
 
+def retryable(rows: DataFrame) -> DataFrame:
+    """Attempts whose status allows another try."""
+    return rows.where(F.col("status").isin(*RETRYABLE_STATUSES))
+
+
 def split_by_gate(candidates: DataFrame, gate: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidates to classify, and skip records inherited from their repository.
 
     An explicitly excluded file that already has an outcome keeps it.
     """
-    marked = candidates.join(gate, ["name", "lastCommitSHA"]).join(
+    marked = attach(candidates, gate, ["name", "lastCommitSHA"], how="inner").join(
         done.select("custom_id", F.lit(True).alias("__done")), "custom_id", "left"
     )
     finished = F.col("__done").isNotNull()

@@ -16,6 +16,7 @@ from gleanwork.functions import paths, terms
 from gleanwork.functions.terms import Term
 from gleanwork.functions.text import strip
 from gleanwork.operators.skew import attach
+from gleanwork.session import materialize
 
 FILE_KEY = ["name", "lastCommitSHA", "markdown_path"]
 REPOSITORY_KEY = ["name", "lastCommitSHA"]
@@ -42,15 +43,15 @@ def screen_files(
     filename_terms: Sequence[Term] = terms.FILENAME_TERMS,
     content_terms: Sequence[Term] = terms.CONTENT_TERMS,
 ) -> DataFrame:
-    """Name matches annotated with body terms (possibly none), hash and pinned URL."""
+    """Name matches annotated with body terms (possibly none), hash and pinned URL.
+
+    Bodies are hashed and matched where they are read; only hashes and terms reach the join.
+    """
     named = named_entries(entries, filename_terms)
-    matched = (
-        contents.join(named.select("sha").distinct(), "sha", "left_semi")
-        .select(
-            "sha",
-            paths.content_sha256("content").alias("content_sha256"),
-            terms.matched_terms("content", content_terms).alias("matched_content_terms"),
-        )
+    matched = contents.select(
+        "sha",
+        paths.content_sha256("content").alias("content_sha256"),
+        terms.matched_terms("content", content_terms).alias("matched_content_terms"),
     )
     return attach(named, matched, ["sha"], how="inner").select(
         F.col("repository").alias("name"),
@@ -98,7 +99,9 @@ def evidence_coverage(evidence: DataFrame, screened: DataFrame, repositories: Da
         *FILE_KEY, "matched_filename_terms", "matched_content_terms", F.lit(True).alias("__match")
     )
     states = repositories.select(*REPOSITORY_KEY, (F.col("status") == "completed").alias("__done"))
-    joined = attach(evidence.select(*FILE_KEY).distinct().join(matches, FILE_KEY, "left"), states, REPOSITORY_KEY)
+    # Stored: attach reads it for the heavy keys and for the join.
+    known = materialize(evidence.select(*FILE_KEY).distinct().join(matches, FILE_KEY, "left"))
+    joined = attach(known, states, REPOSITORY_KEY)
     found = F.col("__match").isNotNull()
     nothing = F.array().cast("array<string>")
     return joined.where(F.col("__done").isNotNull()).select(
@@ -119,12 +122,12 @@ def repository_audit(repositories: DataFrame, screened: DataFrame, coverage: Dat
     """Six counts per repository; repositories without files or evidence show zeros."""
     completed = repositories.where(F.col("status") == "completed").select(*REPOSITORY_KEY)
     files = (
-        screened.join(completed, REPOSITORY_KEY, "left_semi")
-        .groupBy(*REPOSITORY_KEY)
+        screened.groupBy(*REPOSITORY_KEY)
         .agg(
             F.count("*").alias("markdown_filename_file_count"),
             F.count_if(F.size("matched_content_terms") > 0).alias("markdown_filename_and_content_file_count"),
         )
+        .join(completed, REPOSITORY_KEY, "left_semi")
     )
     evidence = coverage.groupBy(*REPOSITORY_KEY).agg(
         F.count("*").alias("agent_evidence_file_count"),
@@ -157,12 +160,13 @@ def skipped_repositories(repositories: DataFrame) -> DataFrame:
 def keyword_files(
     entries: DataFrame, contents: DataFrame, keywords: Sequence[Term] = terms.KEYWORD_TERMS
 ) -> DataFrame:
-    """Single-stage body scan: Markdown files with at least one keyword, whatever their name."""
+    """Single-stage body scan: Markdown files with at least one keyword, whatever their name.
+
+    Bodies are matched where they are read; only terms of matching ones reach the join.
+    """
     files = markdown_entries(entries)
-    matched = (
-        contents.join(files.select("sha").distinct(), "sha", "left_semi")
-        .select("sha", terms.matched_terms("content", keywords).alias("matched_keywords"))
-        .where(F.size("matched_keywords") > 0)
+    matched = contents.select("sha", terms.matched_terms("content", keywords).alias("matched_keywords")).where(
+        F.size("matched_keywords") > 0
     )
     return attach(files, matched, ["sha"], how="inner").select(
         F.col("repository").alias("name"),

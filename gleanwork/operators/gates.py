@@ -12,6 +12,7 @@ from gleanwork.functions.labels import final_origin
 from gleanwork.functions.text import strip
 from gleanwork.operators.attempts import TERMINAL_SCREENINGS
 from gleanwork.operators.quota import rejected
+from gleanwork.operators.skew import attach
 
 # Population rules.
 REPOSITORY_PATTERN = r"^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+$"
@@ -416,10 +417,9 @@ def review_revisions(files: DataFrame, selected: DataFrame) -> DataFrame:
     revisions = selected.select(
         F.lower(strip("repository")).alias("__name"), strip("revision").alias("__revision")
     )
-    pinned = (
-        files.withColumn("__name", F.lower(strip("repository")))
-        .join(revisions, "__name")
-        .withColumn("__pinned", paths.url_revision("github_url", strip("repository")))
+    named = files.select("repository", "github_url", F.lower(strip("repository")).alias("__name"))
+    pinned = attach(named, revisions, ["__name"], how="inner").withColumn(
+        "__pinned", paths.url_revision("github_url", strip("repository"))
     )
     return violations(
         pinned.where(~F.coalesce(F.col("__pinned") == F.col("__revision"), F.lit(False))),

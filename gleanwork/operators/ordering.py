@@ -203,3 +203,13 @@ def first_k(
         .where(F.col(name) <= quota)
         .drop("__bucket", "__before")
     )
+
+
+def in_order(df: DataFrame, *order: Column | str) -> DataFrame:
+    """All rows, sorted across partitions."""
+    return df.orderBy(*_cols(order))
+
+
+def leading_rows(df: DataFrame, order: Sequence[Column | str], count: int) -> DataFrame:
+    """The first ``count`` rows in ``order``: each task passes on at most that many."""
+    return df.orderBy(*_cols(order)).limit(count)

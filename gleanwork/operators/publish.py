@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gleanwork.functions import labels, paths
 from gleanwork.functions.text import strip
 from gleanwork.operators.review import is_accepted
+from gleanwork.operators.skew import attach
 
 
 def accepted_files(checklists: Mapping[str, DataFrame], ineligible: DataFrame | None = None) -> DataFrame:
@@ -41,7 +42,7 @@ def guideline_rows(accepted: DataFrame, selected: DataFrame) -> DataFrame:
         "sampling_language",
         "sample_order",
     )
-    joined = accepted.withColumn("__name", F.lower(strip("repository"))).join(chosen, "__name")
+    joined = attach(accepted.withColumn("__name", F.lower(strip("repository"))), chosen, ["__name"], how="inner")
     kept = [c for c in accepted.columns if c not in ("repository",)]
     return joined.where(paths.url_revision("github_url", strip("repository")) == F.col("revision")).select(
         F.col("__repository").alias("repository"), "revision", "sampling_language", "sample_order", *kept

@@ -350,3 +350,8 @@ def file_records(attempts: DataFrame, schedule: DataFrame, selected_names: DataF
         )
     )
     return attach(attempts, facts, ["sample_order"], how="inner")
+
+
+def needs_review(scheduled: DataFrame) -> DataFrame:
+    """Scheduled repositories whose screening left no outcome."""
+    return scheduled.where(F.col("status") == "unresolved")

@@ -47,7 +47,8 @@ def extract_candidates(
     )
     open_entries = entries.join(done, ["repository", "revision"], "left_semi")
     screened = materialize(files.screen_files(open_entries, contents, filename_terms, content_terms))
-    candidates = files.candidate_files(screened, evidence)
+    # Stored as well: five reports read it.
+    candidates = materialize(files.candidate_files(screened, evidence))
     coverage = files.evidence_coverage(evidence, screened, repositories)
     return Extraction(
         candidates=candidates,

@@ -48,13 +48,27 @@ def wide_partitions(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def _intermediates(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/gleanwork/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> bool:
+    """Remove what this application's ``materialize`` calls wrote; whether there was anything.
+
+    For the end of a flow, after its results are written elsewhere: frames that read the
+    intermediates fail from then on. Other applications sharing the folder keep theirs.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_intermediates(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, cutting its lineage.
 
     Column pruning still works on the copy, and a lost executor re-reads it instead of
-    recomputing (and possibly re-sampling) the plan behind it.
+    recomputing (and possibly re-sampling) the plan behind it. ``release`` removes the copies.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/gleanwork/{uuid.uuid4().hex}"
+    path = f"{_intermediates(spark)}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -41,6 +41,11 @@ REQUEST_INPUT = "repository string, revision string, path string, content string
 ENTRY = "repository string, revision string, path string, sha string, size bigint, mode string"
 
 
+def report_columns(df: DataFrame, columns: Sequence[str] = REPORT_COLUMNS) -> DataFrame:
+    """The wanted columns of an attempt log in the order of the report; raw results never reach it."""
+    return df.select(*(c for c in REPORT_COLUMNS if c in columns))
+
+
 def require_columns(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
     """Fail when columns are missing, or when the list must match exactly, order included."""
     missing = sorted(set(columns) - set(df.columns))

@@ -261,3 +261,20 @@ def test_evaluate_plan_rejects_bad_input(spark):
     with pytest.raises(ValueError, match="duplicate_url"):
         collection.evaluate_labels(good, model.union(model))
     assert collection.evaluate_labels(good, model).metrics.first()["precision"] == 1.0
+
+
+def test_release_removes_only_this_applications_copies(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    other = tmp_path / "gleanwork" / "other-application"
+    other.mkdir(parents=True)
+    session.materialize(spark.range(3))
+    assert len(list((tmp_path / "gleanwork").iterdir())) == 2
+    assert session.release(spark)
+    assert list((tmp_path / "gleanwork").iterdir()) == [other]
+    assert not session.release(spark)
+
+
+def test_reports_keep_their_column_order(spark):
+    wide = spark.createDataFrame([("{}", "pass", "a")], "provider_result string, status string, custom_id string")
+    got = readers.report_columns(wide, wide.columns)
+    assert got.columns == [c for c in readers.REPORT_COLUMNS if c in ("status", "custom_id")]
