@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleanwork.bindings.registry import query
 from gleanwork.bindings.tables import SCHEDULED_SQL, UNITS_SQL, Tables
 from gleanwork.operators import attempts, gates, quota
+from gleanwork.plans import collection
 
 # Quotas and targets of the bound queries.
 QUOTAS = (("de", 20), ("en", 60), ("es", 15), ("fr", 400))
@@ -97,6 +98,30 @@ def r6(t: Tables):
     return quota.carried_names(t.scheduled)
 
 
+@query(
+    "r6_gated_carry",
+    f"""WITH {SCHEDULED_SQL} SELECT DISTINCT lower(repository) AS repository FROM scheduled
+        WHERE status IN ('pass', 'not_found') AND license_name NOT IN ('src3', 'src4')""",
+)
+def r6_gated(t: Tables):
+    """Carried behind the gates: the same positions and settings, the inputs under another path."""
+    scheduled = t.scheduled
+    total = scheduled.agg(F.count("*").cast("string").alias("value"))
+
+    def settings(folder: str):
+        hashes = scheduled.groupBy("language").agg(F.md5(F.max("revision")).alias("hash"))
+        entry = F.struct(F.concat(F.lit(folder), "language").alias("path"), "hash")
+        inputs = hashes.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
+        return inputs.select(F.lit("input_fingerprints").alias("name"), "value").unionByName(
+            total.select(F.lit("sample_seed").alias("name"), "value")
+        )
+
+    manifest = scheduled.select("sample_order", *collection.SCREENING_IDENTITY)
+    eligible = scheduled.where("license_name not in ('src3', 'src4')").select("repository")
+    kept = collection.carried_screenings(scheduled, manifest, settings("old/"), manifest, settings("new/"), eligible)
+    return quota.carried_names(kept)
+
+
 def languages_of(t: Tables, condition):
     return t.scheduled.where(condition).select("language")
 

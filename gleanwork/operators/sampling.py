@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.functions import labels, paths
 from gleanwork.functions.text import strip
-from gleanwork.operators.ordering import HASH_DIGITS, dense_index, draw_hash, first_k
+from gleanwork.operators.ordering import HASH_DIGITS, dense_index, draw_hash, first_k, first_rows
 from gleanwork.session import materialize
 
 SIZE_STRATA = 5
@@ -202,54 +202,98 @@ PRIOR_LABEL_COLUMNS = (
 )
 
 
+# Rows of every stratum that one job brings to the driver at most.
+HARD_POOL = 200
+
+
 def hard_cases(
     classified: DataFrame,
     languages: Sequence[str],
     quotas: Sequence[int] = (1, 2, 2),
     excluded: DataFrame | None = None,
 ) -> DataFrame:
-    """Boundary cases per language and stratum, no owner or project twice overall.
+    """Boundary cases per language and stratum, no owner or project twice overall; one row per case.
 
-    The greedy choice needs at most one distributed ``min`` per selected row, because each pick
-    rules out its owner and project for all later ones. The driver only keeps the picks.
+    One job brings the best ``HARD_POOL`` rows of every stratum to the driver, where the greedy
+    choice runs. Only when a pool is used up and its stratum may hold more does another job bring
+    the next rows, without the owners and projects picked so far. Rows without a name are no
+    cases; of several rows of a picked name the one that was ranked counts, ties go to the
+    smallest row.
     """
     spark = classified.sparkSession
-    rows = classified
+    rows = classified.where(F.col("name").isNotNull())
     if excluded is not None:
         rows = rows.join(excluded.select(F.col("repository").alias("name")).distinct(), "name", "left_anti")
+    difficulty = labels.difficulty(
+        "candidate_documents_json", "candidate_count", "guideline_status", "guideline_path"
+    ).alias("difficulty_score")
+    whole = F.lower(F.coalesce("tree_truncated", F.lit("false"))) != "true"
+    options = F.array(
+        *(
+            F.struct(F.lit(k).alias("stratum"), F.lit(status).alias("status"), F.lit(-1 if descending else 1).alias("sign"))
+            for k, (_, status, descending, _) in enumerate(HARD_STRATA)
+        )
+    )
     scored = materialize(
-        rows.where(F.lower(F.coalesce("tree_truncated", F.lit("false"))) != "true").select(
+        rows.where(whole & F.col("mainLanguage").isin(*languages)).select(
             "name",
             "mainLanguage",
-            "guideline_status",
-            labels.difficulty(
-                "candidate_documents_json", "candidate_count", "guideline_status", "guideline_path"
-            ).alias("difficulty_score"),
+            difficulty,
             paths.owner("name").alias("owner"),
             paths.project("name").alias("project"),
+            F.explode(F.filter(options, lambda o: o["status"] == F.col("guideline_status"))).alias("option"),
         )
     )
-    picks: list[tuple] = []
+    best_first = Window.partitionBy("mainLanguage", "option.stratum").orderBy(
+        F.col("difficulty_score") * F.col("option.sign"), F.lower("name"), "name"
+    )
+    owners: set[str] = set()
+    projects: set[str] = set()
+
+    def pools() -> dict[tuple[str, int], list]:
+        """The best open rows by language and stratum, best first."""
+        open_rows = scored
+        if owners:
+            open_rows = scored.where(~F.col("owner").isin(*owners) & ~F.col("project").isin(*projects))
+        ranked = open_rows.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= HARD_POOL)
+        found: dict[tuple[str, int], list] = {}
+        for row in sorted(ranked.collect(), key=lambda r: r["rank"]):
+            found.setdefault((row["mainLanguage"], row["option"]["stratum"]), []).append(row)
+        return found
+
+    pool = pools()
+    chosen = []
     for language in languages:
-        for (stratum, status, descending, reason), quota in zip(HARD_STRATA, quotas, strict=True):
-            sign = -1 if descending else 1
+        for k, ((stratum, status, _, reason), quota) in enumerate(zip(HARD_STRATA, quotas, strict=True)):
             for _ in range(quota):
-                owners, projects = {p[1] for p in picks}, {p[2] for p in picks}
-                pool = scored.where((F.col("mainLanguage") == language) & (F.col("guideline_status") == status))
-                if picks:
-                    pool = pool.where(~F.col("owner").isin(*owners) & ~F.col("project").isin(*projects))
-                best = pool.agg(
-                    F.min(F.struct(F.col("difficulty_score") * sign, F.lower("name"), "name", "owner", "project"))
-                ).first()[0]
+                best = _first_open(pool.get((language, k), []), owners, projects)
+                if best is None and len(pool.get((language, k), [])) == HARD_POOL:
+                    pool = pools()
+                    best = _first_open(pool.get((language, k), []), owners, projects)
                 if best is None:
                     raise ValueError(f"not enough diverse hard candidates for {language}/{stratum}")
-                picks.append((best["name"], best["owner"], best["project"], stratum, best[0] * sign, reason))
-    chosen = spark.createDataFrame(
-        [(p[0], p[3], p[4], p[5]) for p in picks],
-        "name string, sampling_stratum string, difficulty_score bigint, difficulty_reason string",
+                owners.add(best["owner"])
+                projects.add(best["project"])
+                chosen.append((best["name"], language, status, stratum, best["difficulty_score"], reason))
+    picks = spark.createDataFrame(
+        chosen,
+        "name string, mainLanguage string, guideline_status string, sampling_stratum string, __score bigint, "
+        "difficulty_reason string",
     )
     # One row per requested case.
-    return classified.join(F.broadcast(chosen), "name")
+    found = (
+        rows.where(whole)
+        .join(F.broadcast(picks), ["name", "mainLanguage", "guideline_status"])
+        .withColumn("difficulty_score", difficulty)
+        .where(F.col("difficulty_score") == F.col("__score"))
+        .drop("__score")
+    )
+    wanted = [*classified.columns, "sampling_stratum", "difficulty_score", "difficulty_reason"]
+    return first_rows(found, ["name"], [F.to_json(F.struct(*classified.columns))], wanted).select(*wanted)
+
+
+def _first_open(pool: list, owners: set[str], projects: set[str]):
+    return next((r for r in pool if r["owner"] not in owners and r["project"] not in projects), None)
 
 
 def without_prior_labels(rows: DataFrame) -> DataFrame:

@@ -47,6 +47,32 @@ def eligible_schedule(
     return materialize(quota.with_names(drawn, quota.eligible_names(population, allowlist)))
 
 
+# Columns that identify a schedule position; a manifest also lists the licence-free part of it.
+SCREENING_IDENTITY = ("round_number", "language", "repository", "revision")
+
+
+def carried_screenings(
+    screenings: DataFrame,
+    manifest: DataFrame,
+    settings: DataFrame,
+    schedule: DataFrame,
+    current_settings: DataFrame,
+    eligible: DataFrame | None = None,
+) -> DataFrame:
+    """Screenings of an earlier run that count for this one; raises when the runs don't fit together.
+
+    ``schedule`` is the complete schedule, before eligibility. Every earlier screening and every
+    row of the earlier ``manifest`` must stand at the same position of it, the manifest must cover
+    it, and sampling and classification settings must agree (fingerprints whatever their paths).
+    ``eligible``: ``repository``; screenings of other repositories are left out.
+    """
+    gates.require_empty(gates.schedule_mismatch(screenings, schedule, SCREENING_IDENTITY))
+    gates.require_empty(gates.schedule_mismatch(manifest, schedule, SCREENING_IDENTITY))
+    gates.require_empty(gates.schedule_mismatch(schedule, manifest, SCREENING_IDENTITY))
+    gates.require_empty(gates.incompatible_prior(settings, current_settings))
+    return screenings if eligible is None else quota.with_names(screenings, eligible)
+
+
 def collection_state(
     population: DataFrame,
     schedule: DataFrame,
@@ -61,8 +87,11 @@ def collection_state(
     """Where a collection stands: pending positives, next wave, ledger and stage.
 
     ``baseline``: ``repository``; ``reviewed``: ``repository, state``; ``targets``:
-    ``language, target`` with one row per stratum.
+    ``language, target`` with one row per stratum; ``prior``: what :func:`carried_screenings`
+    returned. Raises when reviews and screenings contradict each other.
     """
+    gates.require_empty(gates.review_consistency(reviewed, screenings, prior))
+
     def by_language(names: DataFrame, rows: DataFrame, name: str, language: str) -> DataFrame:
         return quota.with_names(rows.select(name, F.col(language).alias("language")).distinct(), names, name)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,34 +67,52 @@ def list_files(spark: SparkSession, folder: str, ending: str) -> list[str]:
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file (reads its first record)."""
-    return spark.read.option("header", True).option("multiLine", True).csv(path).columns
+    """Column names of a CSV file: its first record, read without a Spark job."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(file)
+    try:
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        record = lines.readLine() or ""
+        # A quoted name may hold line breaks.
+        while record.count('"') % 2 and (line := lines.readLine()) is not None:
+            record += "\n" + line
+    finally:
+        stream.close()
+    return next(csv.reader([record.removeprefix("\ufeff")]), [])
+
+
+def _text_columns(spark: SparkSession, files: Sequence[str], header: Sequence[str]) -> DataFrame:
+    """Text columns of CSV files with one header, and ``file_name``; blanks are ``""``."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    options = {"header": True, "multiLine": True, "escape": '"', "maxCharsPerColumn": -1}
+    df = spark.read.schema(schema).options(**options).csv(list(files))
+    return df.fillna("").select(*header, "_metadata.file_name")
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Text columns of one CSV, quoted newlines and fields of any length included; blanks are ``""``."""
     header = csv_header(spark, path)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    df = spark.read.schema(schema).options(header=True, multiLine=True, escape='"', maxCharsPerColumn=-1).csv(path)
     wanted = list(columns or header)
-    require_columns(df, wanted)
-    return df.fillna("").select(*wanted, "_metadata.file_name")
+    return require_columns(_text_columns(spark, [path], header), wanted).select(*wanted, "file_name")
 
 
 def load_population(spark: SparkSession, folder: str) -> DataFrame:
     """All CSV files of a folder in name order, with ``source_file`` and a dense ``input_index``.
 
-    Each file is read by its own header. A quoted CSV is a single split, so the running id of its
-    scan grows along the file.
+    Files with one header are one scan, so the plan grows with the headers, not with the files.
+    A quoted CSV is a single split, so the running id of a scan grows along each file.
     """
-    merged = None
+    by_header: dict[tuple[str, ...], list[str]] = {}
     for path in list_files(spark, folder, ".csv"):
-        rows = read_csv(spark, path)
-        require_columns(rows, POPULATION_COLUMNS)
+        by_header.setdefault(tuple(csv_header(spark, path)), []).append(path)
+    if not by_header:
+        raise ValueError(f"no population files in {folder}")
+    merged = None
+    for header, files in by_header.items():
+        rows = require_columns(_text_columns(spark, files, header), POPULATION_COLUMNS)
         part = rows.withColumnRenamed("file_name", "source_file").withColumn("__line", F.monotonically_increasing_id())
         merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
-    if merged is None:
-        raise ValueError(f"no population files in {folder}")
     return index_population(merged.fillna(""), ["source_file", "__line"]).drop("__line")
 
 

@@ -30,6 +30,45 @@ def test_population_files_in_name_order(spark, tmp_path):
         readers.load_population(spark, str(tmp_path))
 
 
+def test_population_plan_grows_with_headers_not_files(spark, tmp_path):
+    header = "name,lastCommitSHA,lastCommit,defaultBranch,license"
+    for k in range(12):
+        quoted = header.replace("license", '"license"') + ',"note\n""x"""' if k % 4 == 0 else header
+        row = f"o/{k},s,t,main,MIT" + (",n" if k % 4 == 0 else "")
+        (tmp_path / f"f{k:02d}.csv").write_text(f"{quoted}\n{row}\n{row}b\n")
+    got = readers.load_population(spark, str(tmp_path))
+    assert [(r["name"], r["source_file"]) for r in got.orderBy("input_index").collect()] == [
+        (f"o/{k}", f"f{k:02d}.csv") for k in range(12) for _ in range(2)
+    ]
+    assert 'note\n"x"' in got.columns
+    assert len(readers.csv_header(spark, str(tmp_path / "f00.csv"))) == 6
+    (tmp_path / "f12.csv").write_text("")
+    with pytest.raises(ValueError, match="missing required columns"):
+        readers.load_population(spark, str(tmp_path))
+
+
+def test_earlier_screenings_are_carried_behind_the_gates(spark):
+    columns = "sample_order bigint, round_number bigint, language string, repository string, revision string"
+    schedule = spark.createDataFrame([(1, 1, "a", "o/A", "F0"), (2, 1, "b", "o/b", "f1"), (3, 2, "a", "o/c", "f2")], columns)
+    before = schedule.limit(2).withColumn("status", F.lit("pass")).withColumn("repository", F.lower("repository"))
+
+    def settings(**values):
+        return spark.createDataFrame([(k, str(v)) for k, v in values.items()], "name string, value string")
+
+    old, new = settings(input_fingerprints='{"x": "1", "y": "2"}', note=1), settings(input_fingerprints='{"z": "2", "v": "1"}', note=2)
+    kept = collection.carried_screenings(before, schedule, old, schedule, new, spark.createDataFrame([("O/B",)], "repository string"))
+    assert rows(kept, "repository") == [("o/b",)]
+    moved = before.withColumn("round_number", F.lit(2).cast("bigint"))
+    for args, rule in (
+        ((moved, schedule, old, schedule, new), "schedule_mismatch"),
+        ((before, schedule.limit(2), old, schedule, new), "schedule_mismatch: o/c"),
+        ((before, schedule, old, schedule.limit(2), new), "schedule_mismatch: o/c"),
+        ((before, schedule, old, schedule, settings(input_fingerprints='{"z": "3"}')), "setting_changed"),
+    ):
+        with pytest.raises(ValueError, match=rule):
+            collection.carried_screenings(*args)
+
+
 def test_exclusion_lists(spark):
     a = spark.createDataFrame([(" o/a ",), ("",)], "name string")
     b = spark.createDataFrame([("o/b", "x"), ("o/a", "y")], "repository string, note string")
@@ -246,6 +285,9 @@ def test_collection_replenishes_after_rejection(spark):
     assert rows(state.ledger, "language", "confirmed", "pending", "remaining") == [("a", 0, 1, 1), ("b", 1, 1, 0)]
     assert [r["repository"] for r in state.next_wave.collect()] == [by_language["a"][2]["repository"]]
     assert state.report.first()["workflow_stage"] == "needs_replenishment"
+    contradicted = reviewed.unionByName(spark.createDataFrame([("b/r1", "confirmed")], reviewed.schema))
+    with pytest.raises(ValueError, match="unproven_review"):
+        collection.collection_state(population, schedule, screenings.limit(0), baseline, contradicted, targets, True)
     tight = collection.collection_state(population, schedule, screenings, baseline, reviewed, targets, True, budget=4)
     assert tight.next_wave.count() == 0
     origins = {r["repository"].lower(): r["origin"] for r in state.selected.collect()}

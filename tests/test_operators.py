@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from gleanwork.functions import terms
+from gleanwork.functions import labels, terms
 from gleanwork.operators import attempts, costs, dedup, evaluate, evidence, files, quota, review, sampling
 from gleanwork.sources import readers
 
@@ -316,6 +316,30 @@ def test_hard_cases_never_reuse_an_owner_or_project(spark):
     assert got == [("dense_unconfirmed", "o3/p4", 7), ("subtle_confirmed", "o1/p1", 1), ("weak_unconfirmed", "o4/p5", 1)]
     with pytest.raises(ValueError, match="not enough diverse"):
         sampling.hard_cases(df, ["Java"], (3, 1, 1))
+    # A repeated name is one case.
+    twice = df.unionByName(df).unionByName(df.withColumn("guideline_path", F.lit("a.md")))
+    assert rows(sampling.hard_cases(twice, ["Java"], (1, 1, 1)), "sampling_stratum", "name", "difficulty_score") == got
+
+
+@pytest.mark.parametrize("pool", [1, 3, 200])
+def test_hard_cases_equal_one_pick_at_a_time(spark, monkeypatch, pool):
+    monkeypatch.setattr(sampling, "HARD_POOL", pool)
+    rng = random.Random(3)
+    data = [(f"o{rng.randint(0, 30) if i % 3 else 0}/p{rng.randint(0, 40)}-{i % 50}", rng.choice("ab"), rng.choice(["pass", "review", "x"]), str(rng.randint(0, 9))) for i in range(400)]
+    data = list({row[0]: row for row in data}.values())
+    df = spark.createDataFrame(data, "name string, mainLanguage string, guideline_status string, candidate_count string").selectExpr(
+        "*", "'[]' candidate_documents_json", "'style.md' guideline_path", "'false' tree_truncated"
+    )
+    score = dict(rows(df.select("name", labels.difficulty("candidate_documents_json", "candidate_count", "guideline_status", "guideline_path"))))
+    used, want = set(), []
+    for language in "ab":
+        for (stratum, status, descending, _), quota in zip(sampling.HARD_STRATA, (1, 2, 2)):
+            for _ in range(quota):
+                open_rows = [r[0] for r in data if r[1:3] == (language, status) and not used & set(r[0].lower().split("/")[:1] + ["/" + r[0].lower().split("/")[1]])]
+                best = min(open_rows, key=lambda n: (-score[n] if descending else score[n], n.lower(), n))
+                used |= {best.lower().split("/")[0], "/" + best.lower().split("/")[1]}
+                want.append((stratum, best, score[best]))
+    assert rows(sampling.hard_cases(df, ["a", "b"]), "sampling_stratum", "name", "difficulty_score") == sorted(want, key=repr)
 
 
 # ---------------------------------------------------------------- quota
