@@ -42,10 +42,15 @@ COMMON = (
 # Rows of a keyboard.
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 LEET = str.maketrans({"4": "a", "@": "a", "3": "e", "1": "l", "!": "i", "0": "o", "$": "s", "5": "s", "7": "t"})
-DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
+_YEAR, _MONTH, _DAY, _SEP = r"(?:19|20)\d\d", r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])", r"[-/._]?"
+DATES = tuple(
+    re.compile(_SEP.join(parts), re.ASCII) for parts in ((_YEAR, _MONTH, _DAY), (_DAY, _MONTH, _YEAR), (_YEAR,))
+)
 DATE_COST = math.log10(365 * 120)
 LONGEST_WORD = 24
 DICTIONARY_WORDS = 20_000
+# Characters of a repeat or walk at whose ends a cut is tried from one start; the end of the run is tried as well.
+LONGEST_RUN = 24
 MIN_COST = 9.0
 _STEP = {(a, b) for row in ROWS for a, b in zip(row, row[1:])}
 _STEP |= {(b, a) for a, b in _STEP}
@@ -55,11 +60,26 @@ def _class_size(char: str) -> int:
     return 10 if char.isdigit() else 26 if char.isascii() and char.isalpha() else 33 if char.isascii() else 100
 
 
+def _run_ends(n: int, linked) -> list[int]:
+    """For each place the end of the longest run from it in which every place is ``linked`` to the next."""
+    ends = [n] * n
+    for i in range(n - 2, -1, -1):
+        ends[i] = ends[i + 1] if linked(i) else i + 1
+    return ends
+
+
+def _ends(start: int, unit: int, least: int, most: int) -> list[int]:
+    """Ends of ``least`` to ``most`` units from ``start``: within ``LONGEST_RUN`` characters, and the last."""
+    ends = list(range(start + least * unit, start + min(most, LONGEST_RUN // unit) * unit + 1, unit))
+    return [*ends, start + most * unit] if most >= least and most > LONGEST_RUN // unit else ends
+
+
 def segments(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, int, int]]]:
     """(log10 guesses, cheapest cut) of a value; the cut lists (kind, start, end).
 
-    Linear in the value: every span kind has a bounded length or only its longest run from a
-    start is tried together with its prefixes' brute-force form. Ties keep the earlier kind.
+    The cut is the cheapest of all cuts into spans of any kind, wherever they start and end. In
+    runs of more than ``LONGEST_RUN`` characters a repeat or walk ends within so many characters
+    or with its run, which keeps the work linear in the value. Ties keep the earlier kind.
     """
     n = len(value)
     low = value.lower() if len(value.lower()) == n else value
@@ -73,35 +93,28 @@ def segments(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str,
         if best[start] + cost < best[end] - 1e-12:
             best[end], back[end] = best[start] + cost, (kind, start)
 
-    dates: dict[int, list[int]] = {}
-    for start in range(n):
-        if low[start].isdigit() and (m := DATE.match(low, start)):
-            dates[start] = [m.end()]
-    run_end, walk_end = [0] * n, [0] * n
-    for i in range(n - 1, -1, -1):
-        run_end[i] = run_end[i + 1] if i + 1 < n and low[i] == low[i + 1] else i + 1
-        walk_end[i] = walk_end[i + 1] if i + 1 < n and (low[i], low[i + 1]) in _STEP else i + 1
+    walks = _run_ends(n, lambda i: (low[i], low[i + 1]) in _STEP)
+    repeats = {b: _run_ends(n, lambda i: i + b < n and low[i] == low[i + b]) for b in (1, 2, 3, 4)}
     for start in range(n):
         for end in range(start + 2, min(n, start + LONGEST_WORD) + 1):
-            rank = ranks.get(low[start:end])
-            if rank is not None:
+            if (rank := ranks.get(low[start:end])) is not None:
                 shape = value[start:end]
                 extra = 0.0 if shape == low[start:end] else math.log10(2) if shape.isupper() or shape.istitle() else math.log10(2 ** min(16, len(shape)))
                 offer(start, end, math.log10(rank + 1) + extra, "word")
-            elif (leet := ranks.get(plain[start:end])) is not None:
+            if plain != low and (leet := ranks.get(plain[start:end])) is not None:
                 offer(start, end, math.log10(leet + 1) + 1, "word")
-        for end in dates.get(start, ()):
-            offer(start, end, DATE_COST, "date")
-        if (end := run_end[start]) - start >= 3:
-            offer(start, end, alphabet + math.log10(end - start), "repeat")
-        for block in (2, 3, 4):
-            # A block written again and again: abcabcabc.
-            unit, end = low[start : start + block], start + block
-            if len(unit) == block and low[end : end + block] == unit and (start < block or low[start - block : start] != unit):
-                while low[end : end + block] == unit:
-                    end += block
+        if low[start].isdigit():
+            for form in DATES:
+                if m := form.match(low, start):
+                    offer(start, m.end(), DATE_COST, "date")
+        for block, ends in repeats.items():
+            # A block written again and again: abcabcabc. One character makes a repeat from three on.
+            if block > 1 and repeats[1][start] >= start + block:
+                continue
+            whole = (ends[start] - 1 - start) // block + 1
+            for end in _ends(start, block, 3 if block == 1 else 2, whole):
                 offer(start, end, block * alphabet + math.log10(end - start), "repeat")
-        if (end := walk_end[start]) - start >= 3:
+        for end in _ends(start, 1, 3, walks[start] - start):
             offer(start, end, math.log10(94) + math.log10(end - start) + 0.5, "walk")
         offer(start, start + 1, alphabet, "brute")
     cut, end = [], n

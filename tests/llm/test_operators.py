@@ -142,6 +142,47 @@ def test_guess_costs():
     assert credentials.segments("z" * 20_000, ranks)[0] < 10
 
 
+def span_costs(span, alphabet, ranks):
+    """Costs of one span by the definition of each kind."""
+    low, n = span.lower(), len(span)
+    plain = low.translate(credentials.LEET)
+    if n == 1:
+        yield alphabet
+    if 2 <= n <= credentials.LONGEST_WORD:
+        if low in ranks:
+            capital = math.log10(2) if span.isupper() or span.istitle() else math.log10(2 ** min(16, n))
+            yield math.log10(ranks[low] + 1) + (0 if span == low else capital)
+        if plain in ranks:
+            yield math.log10(ranks[plain] + 1) + 1
+    year, month, day, sep = r"(19|20)\d\d", r"(0[1-9]|1[0-2])", r"(0[1-9]|[12]\d|3[01])", "[-/._]?"
+    if re.fullmatch(f"{year}{sep}{month}{sep}{day}|{day}{sep}{month}{sep}{year}|{year}", span):
+        yield credentials.DATE_COST
+    for block in (1, 2, 3, 4):
+        if n % block == 0 and n // block >= (3 if block == 1 else 2) and low == low[:block] * (n // block):
+            yield block * alphabet + math.log10(n)
+    rows = [r for row in credentials.ROWS for r in (row, row[::-1])]
+    if n >= 3 and all(any(low[k : k + 2] in r for r in rows) for k in range(n - 1)):
+        yield math.log10(94) + math.log10(n) + 0.5
+
+
+def test_guess_costs_are_the_least_over_all_cuts():
+    ranks = {"password": 1, "dog": 900, "dogma": 5000, "mat": 40, "hello": 7, "apple": 30, "as": 12}
+    random.seed(8)
+    bits = ["dog", "Dogma", "MAT", "asdfg", "hello", "aaa", "4444", "2019", "1999-04-12", "12041999", "p@ssw0rd", "abab", "xyzxyz", "q", "T", "7", "apple", "4s", "9876", "1234abcd1234abcd"]
+    values = ["asdfghello", "aaaapple", "19991234", "a" * 24, "qwqwqwqw", "asdfasdfasdf"]
+    values += ["".join(random.choices(bits, k=random.randint(1, 5)))[:24] for _ in range(400)]
+    for value in values:
+        kinds = {26 * (c.isalpha() and c.islower()) or 27 * c.isalpha() or 10 * c.isdigit() or 33 for c in value}
+        alphabet = math.log10(max(10, sum(26 if k == 27 else k for k in kinds)))
+        best = [0.0] + [math.inf] * len(value)
+        for end in range(1, len(value) + 1):
+            for start in range(end):
+                best[end] = min([best[end], *(best[start] + c for c in span_costs(value[start:end], alphabet, ranks))])
+        cost, cut = credentials.segments(value, ranks)
+        assert cost == pytest.approx(best[-1]), value
+        assert [s for _, s, _ in cut] == [0, *(e for _, _, e in cut[:-1])] and cut[-1][2] == len(value)
+
+
 def test_redaction_leaves_no_secret(spark):
     docs = documents(spark, secret_texts())
     clean = {r["doc_id"]: r["text"] for r in credentials.redact(docs, {}).collect()}
