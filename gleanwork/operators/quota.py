@@ -37,6 +37,19 @@ def with_names(df: DataFrame, names: DataFrame, column: str = "repository") -> D
     return df.withColumn("__name", F.lower(column)).join(_names(names), "__name", "left_semi").drop("__name")
 
 
+# Strata that are broadcast at most.
+MAX_STRATA = 10_000
+
+
+def _strata(table: DataFrame, *columns: str) -> DataFrame:
+    """Columns of a table of strata for a join on ``language``: broadcast once its size is known to be small.
+
+    Beyond ``MAX_STRATA`` rows the planner chooses, and splits skewed strata while it runs.
+    """
+    rows = table.select("language", *columns)
+    return F.broadcast(rows) if rows.limit(MAX_STRATA + 1).count() <= MAX_STRATA else rows
+
+
 def selected_by_stratum(
     screenings: DataFrame,
     quotas: DataFrame,
@@ -49,7 +62,7 @@ def selected_by_stratum(
         positives = without_names(positives, reviewed)
     if schedule is not None:
         positives = positives.join(schedule.select("sample_order"), "sample_order", "left_semi")
-    keyed = positives.join(F.broadcast(quotas.select("language", "quota")), "language")
+    keyed = positives.join(_strata(quotas, "quota"), "language")
     return first_k(keyed, ["language"], order_block(), ["sample_order"], "quota", "__rank").drop("__rank", "quota")
 
 
@@ -73,7 +86,7 @@ def screened_prefix(scheduled: DataFrame, quotas: DataFrame, budget: int | None
         scheduled, ["language"], ["round_number", "sample_order"], {"__positives": positive}
     ).withColumn("__earlier", F.col("__positives") - positive)
     kept = (
-        counted.join(F.broadcast(quotas.select("language", "quota")), "language")
+        counted.join(_strata(quotas, "quota"), "language")
         .where(F.col("__earlier") < F.col("quota"))
         .drop("__positives", "__earlier", "quota")
     )
@@ -111,7 +124,7 @@ def next_wave(
         .where(F.coalesce("__have", F.lit(0)) < F.col("quota"))
         .select("language")
     )
-    open_rows = schedule.join(F.broadcast(active), "language", "left_semi").join(
+    open_rows = schedule.join(_strata(active), "language", "left_semi").join(
         screenings.select("sample_order"), "sample_order", "left_anti"
     )
     if already is not None:

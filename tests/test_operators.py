@@ -345,6 +345,15 @@ def test_hard_cases_equal_one_pick_at_a_time(spark, monkeypatch, pool):
 # ---------------------------------------------------------------- quota
 
 
+def test_only_small_tables_of_strata_are_broadcast(spark, monkeypatch):
+    strata = spark.createDataFrame([("a", 1), ("b", 2)], "language string, quota bigint")
+    screenings = spark.createDataFrame([(i, "ab"[i % 2], f"o/{i}", "pass") for i in range(8)], "sample_order bigint, language string, repository string, status string")
+    want = [("a", 0), ("b", 1), ("b", 3)]
+    assert rows(quota.selected_by_stratum(screenings, strata), "language", "sample_order") == want
+    monkeypatch.setattr(quota, "MAX_STRATA", 1)
+    assert rows(quota.selected_by_stratum(screenings, strata), "language", "sample_order") == want
+
+
 def loop_screen(schedule, quotas, budget):
     """The sequential wave loop, row by row."""
     done, have = [], {k: 0 for k in quotas}
