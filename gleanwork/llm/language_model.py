@@ -28,8 +28,6 @@ from gleanwork.session import materialize
 
 # Quantisation base, bits for each entry and probes for each level: about 1 % false hits a level.
 BASE, BITS, PROBES = 2.0, 10, 4
-# Bigrams seen less often in training are left to the unigram estimate.
-MIN_COUNT = 2
 PRIOR = 50.0
 # Filter bytes that a worker holds at a time.
 SHARD_BYTES = 64_000_000
@@ -194,7 +192,6 @@ def _built(group: pa.Table) -> pa.Table:
     """One segment: counts summed, quantised and entered; unigram counts are returned exactly."""
     ones, n = _summed(group, "ones", 8)
     twos, m = _summed(group, "twos", 6)
-    twos, m = twos[m >= MIN_COUNT], m[m >= MIN_COUNT]
     raw = fill(np.concatenate([ones, twos]), np.concatenate([level_of(n), level_of(m)])).tobytes()
     return pa.table(
         {

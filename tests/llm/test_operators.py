@@ -460,6 +460,33 @@ def test_scores_against_exact_counts(spark, monkeypatch, known, shard):
     assert language_model.score_texts(docs, empty, [F.col("doc_id")]).where("n_known > 0").isEmpty()
 
 
+def test_bigrams_seen_once_count(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "SEGMENT_BYTES", 2_000)
+    texts = [(i, prose(i, 40)) for i in range(20)] + [(900, ""), (901, "kan unseen lor")]
+    docs = documents(spark, texts)
+    ones, twos = {}, {}
+    for _, t in texts[:20]:
+        tokens = [*words_of(t), None]
+        for before, w in zip(["start", *tokens], tokens):
+            ones[w] = ones.get(w, 0) + 1
+            twos[before, w] = twos.get((before, w), 0) + 1
+    ones["start"] = ones[None]
+    total, distinct = sum(ones.values()) - ones["start"], len(ones) - 1
+    level = lambda n: 2.0 ** math.floor(math.log2(n)) * 1.5 - 0.5 if n else 0.0
+    model = language_model.train(docs.where("doc_id < 20"))
+    assert sum(n == 1 for n in twos.values()) > 0.3 * len(twos)
+    for shard in (64_000_000, 300):
+        got = {r["doc_id"]: r["score"] for r in language_model.score_texts(docs, model, [F.col("doc_id")], shard_bytes=shard).collect()}
+        for i, t in texts:
+            tokens = [*words_of(t), None]
+            score = 0.0
+            for before, w in zip(["start", *tokens], tokens):
+                one, two, given = level(ones.get(w, 0)), level(twos.get((before, w), 0)), level(ones.get(before, 0))
+                score += math.log10((min(two, given) + 50 * (one + 1) / (total + distinct + 1)) / (given + 50))
+            # False hits of the filter raise few counts by one level.
+            assert abs(got[i] - score) <= 0.02 * len(tokens), i
+
+
 def test_filter_keeps_every_level_and_errs_rarely():
     random_ = np.random.default_rng(1)
     grams = random_.integers(0, 2**63, 20_000).astype(np.uint64)
