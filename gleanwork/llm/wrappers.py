@@ -9,7 +9,7 @@ in levels of bounded groups.
 
 A field of an expression belongs to the main text unless its element, the element's class, or what
 the host shows about it (the same text on many pages, a repeated group of links) says otherwise.
-Where a host has an article element, only fields inside it count.
+Where a page has an article element with text, only fields inside it count for that page.
 """
 
 from __future__ import annotations
@@ -284,19 +284,13 @@ def align(a: list[dict], b: list[dict], pages: int = 1) -> list[dict]:
 def decide(wrapper: list[dict]) -> list[dict]:
     """Mark each item ``x`` (left out) or not, from labels and what the host's pages show."""
 
-    def has_main(items: list[dict]) -> bool:
-        return any(not i["t"].endswith("!") and (_is_main(i["t"]) and i["s"] > 0 or has_main(i["c"])) for i in items)
-
-    only_main = has_main(wrapper)
-
     def walk(items: list[dict], inside: bool) -> list[dict]:
         out = []
         for i in items:
             main = inside or _is_main(i["t"])
             fixed = i["t"] == "#" and i["k"] is not None and i["n"] >= TEMPLATE_PAGES and not main
             menu = i["q"] in "+*" and i["s"] > 0 and i["l"] >= LINK_SHARE * i["s"] and not main
-            stray = i["t"] == "#" and only_main and not main
-            out.append({"t": i["t"], "x": i["t"].endswith("!") or fixed or menu or stray, "c": walk(i["c"], main)})
+            out.append({"t": i["t"], "x": i["t"].endswith("!") or fixed or menu, "c": walk(i["c"], main)})
         return out
 
     return walk(wrapper, False)
@@ -307,17 +301,32 @@ def _is_main(label: str) -> bool:
     return name in MAIN_ELEMENTS or (name in ("div", "section") and bool(MAIN_CLASSES.intersection(words)))
 
 
+def _size(nodes: list) -> int:
+    """Characters of text outside marked elements."""
+    return sum((0 if n[0].endswith("!") else _size(n[1])) if isinstance(n[1], list) else len(n[0]) for n in nodes)
+
+
+def _has_main(nodes: list) -> bool:
+    """Whether a page has an unmarked main element with unmarked text."""
+    return any(
+        isinstance(inside, list) and not label.endswith("!") and (_is_main(label) and _size(inside) > 0 or _has_main(inside))
+        for label, inside in nodes
+    )
+
+
 def extract(page: str | None, wrapper: list[dict] | None) -> list[str]:
     """The page's main blocks in order, as the wrapper's fields say.
 
-    Without a wrapper, or where a page leaves it, labels alone decide.
+    Without a wrapper, or where a page leaves it, labels alone decide. On a page with a main
+    element, text outside of it is left out; other pages of the host keep theirs.
     """
     nodes = parse(page)
+    only_main = _has_main(nodes)
     if wrapper is None:
         wrapper = decide(induce(nodes))
     out: list[str] = []
 
-    def walk(own: list, items: list[dict]) -> None:
+    def walk(own: list, items: list[dict], main: bool) -> None:
         # Items of repeated groups stand for their labels in turn.
         flat = [x for i in items for x in (i["c"] if i["t"].startswith("(") else [i])]
         at = 0
@@ -331,11 +340,11 @@ def extract(page: str | None, wrapper: list[dict] | None) -> list[str]:
             if left_out:
                 continue
             if isinstance(inside, list):
-                walk(inside, item["c"] if item else [])
-            else:
+                walk(inside, item["c"] if item else [], main or _is_main(label))
+            elif main or not only_main:
                 out.append(label)
 
-    walk(nodes, wrapper)
+    walk(nodes, wrapper, False)
     return out
 
 

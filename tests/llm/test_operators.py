@@ -287,6 +287,15 @@ def test_wrappers_keep_the_article_only(spark):
     assert wrappers.extract_pages(pages.limit(0)).isEmpty()
 
 
+def test_pages_without_an_article_keep_their_text_beside_pages_with_one(spark):
+    rows = [(k, "http://h.example/", page(k, f"<p>stray {k}</p><article><p>Text {k}</p></article>")) for k in range(5)]
+    rows += [(10 + k, "http://h.example/", page(k, f"<div class=x><h1>Head {k}</h1><p>Body {k}</p></div>")) for k in range(5)]
+    rows += [(20, "http://h.example/", page(0, "<p>Alone</p><article><nav>menu</nav></article>"))]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    text = {r["page_id"]: r["text"] for r in wrappers.extract_pages(pages).collect()}
+    assert text == {**{k: f"Text {k}" for k in range(5)}, **{10 + k: f"Head {k} Body {k}" for k in range(5)}, 20: "Alone"}
+
+
 def test_expressions_hold_options_and_repeats():
     a, b = (wrappers.induce(wrappers.parse(x)) for x in ("<div><p>a<p>b</div>", "<div><h2>t</h2><p>c</div>"))
     (item,) = wrappers.align(a, b)
