@@ -17,7 +17,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -55,10 +55,12 @@ BOILERPLATE = set(
     "subscribe subscription signup login share sharing social related recommended comment comments disqus reply replies "
     "respond pagination pager toolbar widget widgets search hidden copyright legal disclaimer alert skip".split()
 )
+# Never marked by class words, as the page's text is in them.
+PAGE_ELEMENTS = {"html", "body", "main"}
 MAIN_ELEMENTS = {"article", "main"}
 MAIN_CLASSES = {"article", "post", "entry", "content", "story", "main"}
 
-# The same text on this many pages, outside an article, is part of the template.
+# The same text on this many different pages, outside an article, is part of the template.
 TEMPLATE_PAGES = 3
 # A repeated group with at least this share of its text in links is a menu.
 LINK_SHARE = 0.8
@@ -72,6 +74,8 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 BLANK = re.compile(r"\s+")
 LEVELS_DEEP = 200
+# Ends a label that class words alone mark, until the page is read.
+MAYBE = "\0"
 # A folded sequence with more items is no template; its items are taken as repeated in any order.
 LONGEST_SEQUENCE = 120
 
@@ -82,10 +86,11 @@ def _label(name: str, attributes: str) -> tuple[str, bool]:
     words = [w.lower() for k in ("class", "id", "role") for w in re.split(r"[^A-Za-z0-9]+", found.get(k, "")) if w]
     unseen = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
     unseen = unseen or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.IGNORECASE))
-    marked = unseen or name in DROPPED or bool(BOILERPLATE.intersection(words))
+    marked = unseen or name in DROPPED
+    maybe = not marked and name not in PAGE_ELEMENTS and bool(BOILERPLATE.intersection(words))
     # Numbers differ from page to page; they would tear a host's template apart.
     kind = ".".join([name, *(w for w in words if not any(c.isdigit() for c in w))])
-    return kind + ("!" if marked else ""), marked
+    return kind + ("!" if marked else MAYBE if maybe else ""), marked or maybe
 
 
 def parse(page: str | None) -> list:
@@ -159,7 +164,53 @@ def parse(page: str | None) -> list:
                 _imply(stack, CLOSES[name], SCOPES[name])
             _open(stack, name, m[3])
     flush()
-    return root[1]
+    return _settled(root[1])
+
+
+def _settled(nodes: list) -> list:
+    """The nodes with every mark by class words kept (``!``) or lifted.
+
+    It is lifted from articles and from what holds an article or main element with text. Inside an
+    article all are kept: articles there are comments on it. What holds a main element by class
+    only, as notices do too, is lifted if such text is more than all the page has otherwise.
+    """
+    _lift(nodes, lambda label: label.split(".")[0] in MAIN_ELEMENTS)
+    if _buried(nodes) > _size(nodes):
+        _lift(nodes, _is_main)
+    return _kept(nodes)
+
+
+def _lift(nodes: list, is_main: Callable[[str], bool]) -> None:
+    for node in nodes:
+        label, inside = node
+        if not isinstance(inside, list) or label.endswith("!"):
+            continue
+        article = label.rstrip(MAYBE).split(".")[0] == "article"
+        if article:
+            node[0] = label.rstrip(MAYBE)
+        else:
+            _lift(inside, is_main)
+            if label.endswith(MAYBE) and _has_main(inside, is_main):
+                node[0] = label.rstrip(MAYBE)
+
+
+def _buried(nodes: list, under: bool = False) -> int:
+    """Characters in main elements inside elements that class words alone mark."""
+    total = 0
+    for label, inside in nodes:
+        if isinstance(inside, list) and not label.endswith("!"):
+            found = under and _is_main(label)
+            total += _size(inside) if found else _buried(inside, under or label.endswith(MAYBE))
+    return total
+
+
+def _kept(nodes: list) -> list:
+    for node in nodes:
+        if isinstance(node[1], list):
+            if node[0].endswith(MAYBE):
+                node[0] = node[0].rstrip(MAYBE) + "!"
+            _kept(node[1])
+    return nodes
 
 
 def _open(stack: list, name: str, attributes: str) -> None:
@@ -180,21 +231,32 @@ def _imply(stack: list, names: set[str], scope: set[str]) -> None:
 
 
 # An item of an expression: {"t": label ("#" for text), "q": "1", "?", "+" or "*", "c": items inside,
-# "k": hash of a text that never differed, else None, "n": pages, "s": characters, "l": in links}.
+# "k": hash of a text that never differed, else None, "p": hashes of TEMPLATE_PAGES different pages with
+# that text at most, "s": characters, "l": in links}.
+
+
+def texts_of(nodes: list) -> Iterator[str]:
+    """The texts outside marked elements; pages that have the same are copies."""
+    for label, inside in nodes:
+        if not isinstance(inside, list):
+            yield label
+        elif not label.endswith("!"):
+            yield from texts_of(inside)
 
 
-def induce(nodes: list) -> list[dict]:
+def induce(nodes: list, page: str | None = None) -> list[dict]:
     """The expression of one page: its nodes with neighbouring equal parts folded."""
+    page = page or xxhash.xxh64_hexdigest("\n".join(texts_of(nodes)).encode())
     items = []
     for label, inside in nodes:
         if isinstance(inside, list):
-            own = induce(inside)
+            own = induce(inside, page)
             items.append(
-                {"t": label, "q": "1", "c": own, "k": None, "n": 1, "s": sum(i["s"] for i in own), "l": sum(i["l"] for i in own)}
+                {"t": label, "q": "1", "c": own, "k": None, "p": [], "s": sum(i["s"] for i in own), "l": sum(i["l"] for i in own)}
             )
         else:
             key = xxhash.xxh64_hexdigest(label.encode())
-            items.append({"t": "#", "q": "1", "c": [], "k": key, "n": 1, "s": len(label), "l": min(inside, len(label))})
+            items.append({"t": "#", "q": "1", "c": [], "k": key, "p": [page], "s": len(label), "l": min(inside, len(label))})
     return fold(items)
 
 
@@ -209,7 +271,7 @@ def fold(items: list[dict]) -> list[dict]:
             end = at + width
             merged = unit
             while len(labels) == width and [i["t"] for i in items[end : end + width]] == labels:
-                merged = [_merge(a, b, 0) for a, b in zip(merged, items[end : end + width])]
+                merged = [_merge(a, b) for a, b in zip(merged, items[end : end + width])]
                 end += width
             if end > at + width and (width == 1 or len(set(labels)) > 1):
                 if width == 1:
@@ -217,7 +279,7 @@ def fold(items: list[dict]) -> list[dict]:
                     out += merged
                 else:
                     sums = {k: sum(i[k] for i in merged) for k in ("s", "l")}
-                    out.append({"t": "(" + " ".join(labels) + ")", "q": "+", "c": merged, "k": None, "n": 1, **sums})
+                    out.append({"t": "(" + " ".join(labels) + ")", "q": "+", "c": merged, "k": None, "p": [], **sums})
                 at = end
             else:
                 out.append(items[at])
@@ -230,19 +292,20 @@ def _squashed(items: list[dict]) -> list[dict]:
     """A sequence without a template: one optional repeated item per label, in order of appearance."""
     by_label: dict[str, dict] = {}
     for item in items:
-        by_label[item["t"]] = _merge(by_label[item["t"]], item, 0) if item["t"] in by_label else item
+        by_label[item["t"]] = _merge(by_label[item["t"]], item) if item["t"] in by_label else item
     return [{**item, "q": "*"} for item in by_label.values()]
 
 
-def _merge(a: dict, b: dict, pages: int = 1) -> dict:
-    """One item for two of the same label; ``pages`` 0 if both are of one page."""
+def _merge(a: dict, b: dict) -> dict:
+    """One item for two of the same label."""
+    key = a["k"] if a["k"] == b["k"] else None
     many, maybe = a["q"] in "+*" or b["q"] in "+*", a["q"] in "?*" or b["q"] in "?*"
     return {
         "t": a["t"],
         "q": "*" if many and maybe else "+" if many else "?" if maybe else "1",
-        "c": align(a["c"], b["c"], pages),
-        "k": a["k"] if a["k"] == b["k"] else None,
-        "n": a["n"] + b["n"] if pages else max(a["n"], b["n"]),
+        "c": align(a["c"], b["c"]),
+        "k": key,
+        "p": sorted({*a["p"], *b["p"]})[:TEMPLATE_PAGES] if key else [],
         "s": a["s"] + b["s"],
         "l": a["l"] + b["l"],
     }
@@ -252,10 +315,10 @@ def _optional(item: dict) -> dict:
     return {**item, "q": {"1": "?", "+": "*"}.get(item["q"], item["q"])}
 
 
-def align(a: list[dict], b: list[dict], pages: int = 1) -> list[dict]:
+def align(a: list[dict], b: list[dict]) -> list[dict]:
     """One sequence for two: the longest common subsequence of labels is merged, the rest is optional."""
     if [i["t"] for i in a] == [i["t"] for i in b]:
-        return [_merge(x, y, pages) for x, y in zip(a, b)]
+        return [_merge(x, y) for x, y in zip(a, b)]
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -265,7 +328,7 @@ def align(a: list[dict], b: list[dict], pages: int = 1) -> list[dict]:
     i = j = 0
     while i < n or j < m:
         if i < n and j < m and a[i]["t"] == b[j]["t"]:
-            item = _merge(a[i], b[j], pages)
+            item = _merge(a[i], b[j])
             i, j = i + 1, j + 1
         elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
             item, i = _optional(a[i]), i + 1
@@ -273,7 +336,7 @@ def align(a: list[dict], b: list[dict], pages: int = 1) -> list[dict]:
             item, j = _optional(b[j]), j + 1
         if out and out[-1]["t"] == item["t"]:
             # Optional neighbours of one label are a repeated group.
-            joined = _merge(out[-1], item, pages)
+            joined = _merge(out[-1], item)
             joined["q"] = "*" if out[-1]["q"] in "?*" and item["q"] in "?*" else "+"
             out[-1] = joined
         else:
@@ -288,7 +351,7 @@ def decide(wrapper: list[dict]) -> list[dict]:
         out = []
         for i in items:
             main = inside or _is_main(i["t"])
-            fixed = i["t"] == "#" and i["k"] is not None and i["n"] >= TEMPLATE_PAGES and not main
+            fixed = i["t"] == "#" and i["k"] is not None and len(i["p"]) >= TEMPLATE_PAGES and not main
             menu = i["q"] in "+*" and i["s"] > 0 and i["l"] >= LINK_SHARE * i["s"] and not main
             out.append({"t": i["t"], "x": i["t"].endswith("!") or fixed or menu, "c": walk(i["c"], main)})
         return out
@@ -297,23 +360,48 @@ def decide(wrapper: list[dict]) -> list[dict]:
 
 
 def _is_main(label: str) -> bool:
+    if label.endswith(MAYBE):
+        return False
     name, *words = label.rstrip("!").split(".")
     return name in MAIN_ELEMENTS or (name in ("div", "section") and bool(MAIN_CLASSES.intersection(words)))
 
 
 def _size(nodes: list) -> int:
     """Characters of text outside marked elements."""
-    return sum((0 if n[0].endswith("!") else _size(n[1])) if isinstance(n[1], list) else len(n[0]) for n in nodes)
+    return sum(len(n[0]) if not isinstance(n[1], list) else 0 if _marked(n[0]) else _size(n[1]) for n in nodes)
+
+
+def _marked(label: str) -> bool:
+    return label.endswith(("!", MAYBE))
 
 
-def _has_main(nodes: list) -> bool:
-    """Whether a page has an unmarked main element with unmarked text."""
+def _has_main(nodes: list, is_main: Callable[[str], bool] = _is_main) -> bool:
+    """Whether there is an unmarked main element with unmarked text."""
     return any(
-        isinstance(inside, list) and not label.endswith("!") and (_is_main(label) and _size(inside) > 0 or _has_main(inside))
+        isinstance(inside, list) and not _marked(label) and (is_main(label) and _size(inside) > 0 or _has_main(inside, is_main))
         for label, inside in nodes
     )
 
 
+def _sure_main(nodes: list) -> bool:
+    """Whether main elements outside of boxes with class words have text, or those inside hold most of the page's."""
+
+    def sizes(own: list, boxed: bool) -> tuple[int, int]:
+        sure = boxes = 0
+        for label, inside in own:
+            if isinstance(inside, list) and not _marked(label):
+                if _is_main(label):
+                    a, b = (0, _size(inside)) if boxed else (_size(inside), 0)
+                else:
+                    name, *words = label.split(".")
+                    a, b = sizes(inside, boxed or name not in PAGE_ELEMENTS and bool(BOILERPLATE.intersection(words)))
+                sure, boxes = sure + a, boxes + b
+        return sure, boxes
+
+    sure, boxes = sizes(nodes, False)
+    return sure > 0 or 2 * boxes > _size(nodes)
+
+
 def extract(page: str | None, wrapper: list[dict] | None) -> list[str]:
     """The page's main blocks in order, as the wrapper's fields say.
 
@@ -321,7 +409,7 @@ def extract(page: str | None, wrapper: list[dict] | None) -> list[str]:
     element, text outside of it is left out; other pages of the host keep theirs.
     """
     nodes = parse(page)
-    only_main = _has_main(nodes)
+    only_main = _sure_main(nodes)
     if wrapper is None:
         wrapper = decide(induce(nodes))
     out: list[str] = []

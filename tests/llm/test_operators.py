@@ -296,6 +296,33 @@ def test_pages_without_an_article_keep_their_text_beside_pages_with_one(spark):
     assert text == {**{k: f"Text {k}" for k in range(5)}, **{10 + k: f"Head {k} Body {k}" for k in range(5)}, 20: "Alone"}
 
 
+def test_class_words_and_copies_leave_the_text(spark):
+    shells = {
+        0: "<body class='has-sidebar'><p>Text 0</p></body>",
+        1: "<html class='no-search'><div id='page' class='no-comments'><article><p>Text 1</p></article></div>",
+        2: "<article class='post category-legal'>Text 2</article><article class='tag-search'>more</article>",
+        3: "<main class='skip'>Text 3, longer than the notice</main><div class='cookie-notice'><div class='content'>We use cookies</div></div>",
+        4: "<div id='page' class='no-comments'><div class='entry-content'>Text 4</div></div><p>&copy;</p>",
+        5: "<article>Text 5<div class='comments'><article class='comment'>First!</article></div></article>",
+        6: "<p>Text 6, longer than the teaser</p><div class='related'><article>teaser</article></div>",
+        7: "<p>Text 7</p><div class='cookie-notice'><div class='content'>Ok?</div></div>",
+    }
+    wanted = {k: f"Text {k}" for k in shells} | {2: "Text 2 more", 3: "Text 3, longer than the notice", 6: "Text 6, longer than the teaser teaser"}
+    for k, raw in shells.items():
+        assert " ".join(wrappers.extract(raw, None)) == wanted[k], k
+    rows = [(k, f"http://h{k}.example/", raw) for k, raw in shells.items()]
+    # Copies of one page show no template; different pages do, however often each comes.
+    rows += [(10 + k, "http://c.example/", page(k, "<p>Whole text</p>")) for k in range(4)]
+    rows += [(20 + k, "http://d.example/", page(k, f"<p>Body {k % 3}</p><div>Same line</div>")) for k in range(6)]
+    rows += [(30 + k, "http://e.example/", page(k, f"<p>Body {k % 2}</p><div>Same line</div>")) for k in range(6)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)
+    text = {r["page_id"]: r["text"] for r in wrappers.extract_pages(pages).collect()}
+    assert {k: text[k] for k in shells} == wanted
+    assert [text[10 + k] for k in range(4)] == ["Whole text"] * 4
+    assert [text[20 + k] for k in range(6)] == [f"Body {k % 3}" for k in range(6)]
+    assert [text[30 + k] for k in range(6)] == [f"Body {k % 2} Same line" for k in range(6)]
+
+
 def test_expressions_hold_options_and_repeats():
     a, b = (wrappers.induce(wrappers.parse(x)) for x in ("<div><p>a<p>b</div>", "<div><h2>t</h2><p>c</div>"))
     (item,) = wrappers.align(a, b)
