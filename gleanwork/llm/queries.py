@@ -92,7 +92,12 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mail(conversations: DataFrame) -> DataFrame:
-    """Turns as messages that quote the turn before, and the one before that a level deeper."""
+    """Turns as messages that quote the turn before, and the one before that a level deeper.
+
+    Ids are conv_id * 1000 + turn, with a larger factor where turns lie 1,000 or more apart.
+    """
+    spread = conversations.agg(F.max("turn").cast("bigint") - F.min("turn").cast("bigint")).first()[0] or 0
+    factor = F.lit(max(1000, spread + 1)).cast("bigint")
     turns = conversations.groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
 
     def quoted(text: str, marks: str) -> Column:
@@ -101,7 +106,7 @@ def mail(conversations: DataFrame) -> DataFrame:
     last = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("last"))
     older = turns.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("text").alias("older"))
     joined = conversations.join(last, ["conv_id", "turn"], "left").join(older, ["conv_id", "turn"], "left")
-    number = F.col("conv_id") * 1000 + F.col("turn")
+    number = F.col("conv_id") * factor + F.col("turn")
     parts = (F.coalesce("text", F.lit("")), F.coalesce(quoted("older", ">> "), F.lit("")), F.coalesce(quoted("last", "> "), F.lit("")))
     return joined.select(number.alias("message_id"), number.alias("sent"), "role", F.concat(*parts).alias("text"))
 

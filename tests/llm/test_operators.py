@@ -20,6 +20,7 @@ from gleanwork.llm import (
     near_duplicates,
     neighbours,
     quality,
+    queries,
     quotations,
     url_filters,
     wrappers,
@@ -366,6 +367,19 @@ def test_replies_find_their_conversations(spark):
     assert quotations.link_quotations(df.limit(0)).isEmpty()
 
 
+def test_long_conversations_keep_their_numbers(spark):
+    turns = [(c, t, f"words {c} of turn {t}") for c, t in [*((1, t) for t in range(998, 1003)), (2, 0), (2, 1), (2, 2)]]
+    df = spark.createDataFrame(turns, "conv_id bigint, turn int, text string").withColumn("role", F.lit("user"))
+    got = quotations.link_quotations(queries.mail(df)).collect()
+    facts = {r["text"]: (r["position"], r["depth"], r["n_linked"]) for r in got}
+    assert len({r["message_id"] for r in got}) == len(turns) and len({r["conversation_id"] for r in got}) == 2
+    for c, t, text in turns:
+        n = t - (998 if c == 1 else 0)
+        assert facts[text] == (n + 1, n, min(2, n))
+    few = {r["message_id"] for r in queries.mail(df.where("conv_id = 2 or turn < 1000")).collect()}
+    assert few == {1998, 1999, 2000, 2001, 2002}
+
+
 # ------------------------------------------------------------------ mixing
 
 
