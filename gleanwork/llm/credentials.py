@@ -49,7 +49,7 @@ DATES = tuple(
 DATE_COST = math.log10(365 * 120)
 LONGEST_WORD = 24
 DICTIONARY_WORDS = 20_000
-# Characters of a repeat or walk at whose ends a cut is tried from one start; the end of the run is tried as well.
+# Characters of a repeat or walk at whose ends a cut is tried from one start, and units before the end of the run.
 LONGEST_RUN = 24
 MIN_COST = 9.0
 _STEP = {(a, b) for row in ROWS for a, b in zip(row, row[1:])}
@@ -69,17 +69,24 @@ def _run_ends(n: int, linked) -> list[int]:
 
 
 def _ends(start: int, unit: int, least: int, most: int) -> list[int]:
-    """Ends of ``least`` to ``most`` units from ``start``: within ``LONGEST_RUN`` characters, and the last."""
-    ends = list(range(start + least * unit, start + min(most, LONGEST_RUN // unit) * unit + 1, unit))
-    return [*ends, start + most * unit] if most >= least and most > LONGEST_RUN // unit else ends
+    """Ends of ``least`` to ``most`` units from ``start``: within ``LONGEST_RUN`` characters, and the last units.
+
+    Between those a cut gains nothing: it would be followed by spans inside the run. As many of
+    them as make up whole units cost more than a run that is longer by those units, and a walk or
+    repeat inside is cheaper if either is as short as it can be.
+    """
+    near = min(most, LONGEST_RUN // unit)
+    late = range(max(least, near + 1, most - LONGEST_RUN), most + 1)
+    return [start + unit * k for k in (*range(least, near + 1), *late)]
 
 
 def segments(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, int, int]]]:
     """(log10 guesses, cheapest cut) of a value; the cut lists (kind, start, end).
 
     The cut is the cheapest of all cuts into spans of any kind, wherever they start and end. In
-    runs of more than ``LONGEST_RUN`` characters a repeat or walk ends within so many characters
-    or with its run, which keeps the work linear in the value. Ties keep the earlier kind.
+    long runs a repeat or walk is tried with early and late ends only, which keeps the work linear
+    in the value (see ``_ends``; a repeat in mixed case may lose a cheaper word in its middle).
+    Ties keep the earlier kind.
     """
     n = len(value)
     low = value.lower() if len(value.lower()) == n else value

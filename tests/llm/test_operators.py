@@ -184,6 +184,25 @@ def test_guess_costs_are_the_least_over_all_cuts():
         assert [s for _, s, _ in cut] == [0, *(e for _, _, e in cut[:-1])] and cut[-1][2] == len(value)
 
 
+def test_guess_costs_of_long_runs_are_the_least_over_all_cuts():
+    ranks = {"password": 1, "dog": 900, "mat": 40, "apple": 30, "aab": 2, "bca": 3, "aaa": 6, "abab": 9, "wqw": 4, "ertyx": 5, "aaaadog": 8}
+    random.seed(9)
+    runs = ["a", "ab", "qw", "abc", "aab", "1234", "abcd", "1a", "asdf"]
+    values = ["a" * 30 + "pple", "ab" * 20 + "apple", "qwertytrew" * 4 + "ertyx", "a" * 40 + "adog" + "ab" * 15]
+    for _ in range(120):
+        run = random.choice(runs)
+        long = (run * 60)[random.randint(0, 3) :][: random.randint(25, 60)]
+        values.append(random.choice(["", "dog", "x"]) + long + random.choice(["", "pple", "bab", "dog", "ertyx", "bcadog", "19990412", "wqw"]))
+    values += [(a * 30)[: random.randint(25, 40)] + (b * 30)[: random.randint(4, 30)] for a in runs for b in runs if a != b]
+    for value in values:
+        alphabet = math.log10(max(10, 26 * any(c.isalpha() for c in value) + 10 * any(c.isdigit() for c in value)))
+        best = [0.0] + [math.inf] * len(value)
+        for end in range(1, len(value) + 1):
+            for start in range(end):
+                best[end] = min([best[end], *(best[start] + c for c in span_costs(value[start:end], alphabet, ranks))])
+        assert credentials.segments(value, ranks)[0] == pytest.approx(best[-1]), value
+
+
 def test_redaction_leaves_no_secret(spark):
     docs = documents(spark, secret_texts())
     clean = {r["doc_id"]: r["text"] for r in credentials.redact(docs, {}).collect()}
