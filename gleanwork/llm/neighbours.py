@@ -227,7 +227,7 @@ def nearest_neighbours(
     )
     source = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "vector")
     settings = (tables, functions, width, probes)
-    found = materialize(_in_blocks(source, asked, k, settings, block_bytes))
+    found = _in_blocks(source, asked, k, settings, block_bytes)
     short = asked.join(found.groupBy(F.col("query_id").alias("vec_id")).count().where(F.col("count") >= k), "vec_id", "left_anti")
     short = materialize(short)
     if not short.isEmpty():
@@ -237,17 +237,24 @@ def nearest_neighbours(
 
 
 def _in_blocks(source: DataFrame, asked: DataFrame, k: int, settings: tuple | None, block_bytes: int) -> DataFrame:
+    """The ranked rows of all queries, stored block by block: the driver holds one block at a time."""
     size = asked.agg(F.sum(F.size("vector"))).first()[0] or 0
     count = max(1, -(-8 * size // block_bytes))
     block = F.pmod(F.xxhash64("vec_id"), F.lit(count))
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     out = None
     for n in range(count):
-        rows = [(r["vec_id"], usable(r["vector"])) for r in asked.where(block == n).collect()]
-        shared = asked.sparkSession.sparkContext.broadcast([(i, v) for i, v in rows if v is not None])
-        part = source.mapInArrow(_search(shared, k, settings), "query_id bigint, vec_id bigint, score double")
-        # A row may be offered by several tasks if its id is repeated.
-        once = part.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-        ranked = once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        ranked = _ranked(source, asked.where(block == n), k, settings)
         out = ranked if out is None else out.unionByName(ranked)
     return out
+
+
+def _ranked(source: DataFrame, asked: DataFrame, k: int, settings: tuple | None) -> DataFrame:
+    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    rows = [(r["vec_id"], usable(r["vector"])) for r in asked.collect()]
+    shared = asked.sparkSession.sparkContext.broadcast([(i, v) for i, v in rows if v is not None])
+    part = source.mapInArrow(_search(shared, k, settings), "query_id bigint, vec_id bigint, score double")
+    # A row may be offered by several tasks if its id is repeated.
+    once = part.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    stored = materialize(once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k))
+    shared.destroy()
+    return stored

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import functions as F
 
 from gleanwork.llm import (
@@ -491,6 +492,32 @@ def test_neighbours_recall_and_rules(spark):
     assert neighbours.nearest_neighbours(df.limit(0), df.limit(0)).isEmpty()
 
 
+def test_one_block_of_queries_is_held_at_a_time(spark, monkeypatch):
+    rows = [(i, [float(i % 7), float(i % 5), 1.0 + i]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id bigint, vector array<double>")
+    held, most = set(), []
+    made = type(spark.sparkContext).broadcast
+    ended = Broadcast.destroy
+
+    def broadcast(self, value):
+        shared = made(self, value)
+        held.add(id(shared))
+        most.append(len(held))
+        return shared
+
+    def destroy(self, blocking=False):
+        held.discard(id(self))
+        ended(self, blocking)
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    monkeypatch.setattr(Broadcast, "destroy", destroy)
+    got = neighbours.nearest_neighbours(df, df.where("vec_id % 4 = 0"), 3, block_bytes=100)
+    assert len(most) >= 3 and max(most) == 1 and not held
+    for q in range(0, 40, 4):
+        exact = sorted((math.dist(v, rows[q][1]), i) for i, v in rows if i != q)[:3]
+        assert len(exact) == got.where(F.col("query_id") == q).count()
+
+
 def test_probes_come_in_order_of_expected_success():
     sets = neighbours.perturbations(4, 50)
     assert sets[:2] == [(), (0,)] and len(set(sets)) == 50
