@@ -104,6 +104,19 @@ def _profiles(width: int, rows: int):
     return run
 
 
+def _keyed(width: int):
+    """set_key of each text, as in the profiles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in slices(batches, 1_000):
+            sets = [shingles(hashes.of(words(t)), width) for t in text_bytes(batch.column("text"))]
+            keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+            yield pa.record_batch({"set_key": pa.array(keys, pa.binary()), "text": batch.column("text")})
+
+    return run
+
+
 def _verified(width: int, numerator: int, denominator: int):
     """Pairs with texts → the pairs whose full sets meet the threshold."""
 
@@ -249,7 +262,7 @@ def near_duplicates(
     |A or B|`` are linked; ``component_id`` is the smallest id reachable. Defined results: a text
     of fewer words is one shingle; null, empty and blank texts have no shingles and stand alone;
     a null id never names a component (its row is not kept, and a component of null ids only has a
-    null id); repeated rows of one id are all returned; an empty table gives no rows. Other
+    null id); repeated rows of one id are all returned, each in the component of its text; an empty table gives no rows. Other
     columns of ``docs`` are ignored. Ids must be integers.
     """
     threshold = numerator / denominator
@@ -260,11 +273,13 @@ def near_duplicates(
             _profiles(width, rows), "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"
         )
     )
-    # Same set, same class: the smallest id stands for all its copies from here on.
+    # Same set, same class: the smallest id stands for all its copies from here on, or a number
+    # where an id has several sets.
+    repeated, several = _repeats(profiles)
     classes = profiles.where("set_key is not null").groupBy("set_key").agg(
-        F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")
-    )
-    reps = materialize(classes.where("node is not null"))
+        F.min("doc_id").alias("name"), F.any_value("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")
+    ).where("name is not null")
+    reps = materialize(classes.withColumn("node", F.monotonically_increasing_id() if several else F.col("name")))
     bands = reps.select("node", "n_shingles", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = materialize(bands.join(shared, "key"))
@@ -274,25 +289,31 @@ def near_duplicates(
         F.max_by("node", F.struct("met", -F.col("node"))).alias("leader")
     )
     led = materialize(members.join(leaders, "key").select("key", "node", "n_shingles", "leader"))
-    texts = materialize(
-        source.join(led.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .where("text is not null")
-        .groupBy(F.col("doc_id").alias("node"))
-        .agg(F.min("text").alias("text"))
-        if _repeats(profiles)
-        else source.join(led.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").select(
+    if several:
+        named = materialize(led.select("node").distinct().join(reps.select("node", "name", "set_key"), "node"))
+        near = source.join(named.select(F.col("name").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+        keyed = near.mapInArrow(_keyed(width), "set_key binary, text string").join(named.select("set_key", "node"), "set_key")
+        texts = keyed.groupBy("node").agg(F.min("text").alias("text"))
+    else:
+        texts = source.join(led.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").select(
             F.col("doc_id").alias("node"), "text"
         )
-    )
+        if repeated:
+            texts = texts.where("text is not null").groupBy("node").agg(F.min("text").alias("text"))
+    texts = materialize(texts)
     pairs = led.where("node != leader").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
     links = materialize(_verify(pairs, texts, width, numerator, denominator))
     labels = materialize(components(links))
     more = materialize(_open_links(led, labels, texts, width, numerator, denominator))
     if not more.isEmpty():
         labels = materialize(components(links.unionByName(more)))
-    final = reps.select("set_key", "node").join(labels, "node", "left").select(
-        "set_key", F.coalesce("component", "node").alias("component")
+    final = reps.select("set_key", "name", "node").join(labels, "node", "left").select(
+        "set_key", "name", F.coalesce("component", "node").alias("component")
     )
+    if several:
+        least = final.groupBy("component").agg(F.min("name").alias("least"))
+        final = final.join(least, "component").select("set_key", F.col("least").alias("component"))
+    final = final.select("set_key", "component")
     return (
         profiles.select("doc_id", "n_shingles", "set_key")
         .join(final, "set_key", "left")
@@ -305,13 +326,18 @@ def near_duplicates(
     )
 
 
-def _repeats(profiles: DataFrame) -> bool:
-    """Whether an id occurs in more than one row."""
-    return not profiles.groupBy("doc_id").count().where("count > 1").isEmpty()
+def _repeats(profiles: DataFrame) -> tuple[bool, bool]:
+    """Whether an id occurs in more than one row, and whether it does so with different sets."""
+    key = F.xxhash64("set_key")
+    ids = profiles.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")
+    )
+    found = ids.where("n > 1").agg(F.count("*"), F.max(F.col("low") != F.col("high"))).first()
+    return found[0] > 0, bool(found[1])
 
 
-def one_of_each(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose document is kept in ``groups``; of repeated rows of one id, one stays.
+def one_of_each(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose document is kept in ``groups``; of repeated rows of one id and text, one stays.
 
     Rows with a null id stay: they have no name by which another row could stand for them.
     """
@@ -323,4 +349,4 @@ def one_of_each(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id") -> D
     repeated = names.where("__kept and __n > 1")
     if repeated.isEmpty():
         return once
-    return once.unionByName(joined.where("__kept and __n > 1").select(docs.columns).dropDuplicates([doc_id]))
+    return once.unionByName(joined.where("__kept and __n > 1").select(docs.columns).dropDuplicates([doc_id, text]))

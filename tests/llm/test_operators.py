@@ -265,6 +265,24 @@ def test_repeated_and_unnamed_documents(spark):
     assert near_duplicates.near_duplicates(docs.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("block", [500, 4])
+def test_one_id_with_different_texts_links_by_each(spark, monkeypatch, block):
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    first, second = prose(1, 120), prose(2, 120)
+    texts = [(5, first), (5, second), (5, "  "), (6, first + " a"), (7, second + " b"), (3, prose(3, 50)), (8, second), (9, second + " c")]
+    sets, label = brute_components(list(enumerate(t for _, t in texts)), 3, 85)
+    least = {}
+    for k, (i, _) in enumerate(texts):
+        least[label[k]] = min(i, least.get(label[k], i))
+    docs = documents(spark, texts)
+    groups = materialize(near_duplicates.near_duplicates(docs, 3, 85))
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in groups.collect())
+    assert got == sorted((i, len(sets[k]), least[label[k]]) for k, (i, _) in enumerate(texts))
+    assert [g[2] for g in got] == [3, 5, 5, 5, 5, 5, 5, 5]
+    left = {(r["doc_id"], r["text"]) for r in near_duplicates.one_of_each(docs, groups).collect()}
+    assert left == {(i, t) for i, t in texts if i in (3, 5)}
+
+
 def test_sketches_fill_and_estimate():
     random.seed(2)
     a = np.unique(np.array([random.getrandbits(64) for _ in range(400)], np.uint64))
