@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,20 +68,42 @@ def list_files(spark: SparkSession, folder: str, ending: str) -> list[str]:
     return sorted(p.toString() for p in found if p.getName().endswith(ending))
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file: its first record, read without a Spark job."""
-    jvm = spark.sparkContext._jvm
-    file = jvm.org.apache.hadoop.fs.Path(path)
-    stream = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(file)
-    try:
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        record = lines.readLine() or ""
-        # A quoted name may hold line breaks.
-        while record.count('"') % 2 and (line := lines.readLine()) is not None:
-            record += "\n" + line
-    finally:
-        stream.close()
-    return next(csv.reader([record.removeprefix("\ufeff")]), [])
+def _first_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first record of every file whose first line is among these: ``path, record``."""
+    records: dict[str, str] = {}
+    for batch in batches:
+        files, starts = batch.column("file"), batch.column("start").to_numpy()
+        # Lines of one file lie together, so only the ends of its stretch are looked at.
+        for name in files.unique().to_pylist():
+            stretch = pc.indices_nonzero(pc.equal(files, name)).to_numpy()
+            for k in stretch:
+                if starts[k] or (name in records and not records[name].count('"') % 2):
+                    break
+                # A quoted name may hold line breaks.
+                line = batch.column("value")[int(k)].as_py()
+                records[name] = f"{records[name]}\n{line}" if name in records else line
+    yield pa.RecordBatch.from_pydict({"path": list(records), "record": list(records.values())}, pa.schema([("path", pa.string()), ("record", pa.string())]))
+
+
+def _plain_path(column: str) -> Column:
+    """A file path of the scan, which comes as an encoded URI, as readers take it."""
+    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
+
+
+def csv_headers(spark: SparkSession, path: str, ending: str = "") -> dict[tuple[str, ...], list[str]]:
+    """Distinct headers of the CSV files at ``path``, a file or a folder, each with its files in name order.
+
+    One scan of the lines by tasks; the driver opens no file and is sent one row per distinct header
+    with the names of its files. Empty files have no header and are left out.
+    """
+    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", f"*{ending}").text(path)
+    parts = lines.select("value", _plain_path("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    first = parts.mapInArrow(_first_records, "path string, record string").groupBy("record").agg(F.sort_array(F.collect_list("path")).alias("files"))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(first.collect(), key=lambda r: r["files"][0]):
+        header = next(csv.reader([row["record"].removeprefix("\ufeff").replace("\r", "")]), [])
+        by_header.setdefault(tuple(header), []).extend(row["files"])
+    return by_header
 
 
 def _text_columns(spark: SparkSession, files: Sequence[str], header: Sequence[str]) -> DataFrame:
@@ -91,10 +115,20 @@ def _text_columns(spark: SparkSession, files: Sequence[str], header: Sequence[st
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Text columns of one CSV, quoted newlines and fields of any length included; blanks are ``""``."""
-    header = csv_header(spark, path)
-    wanted = list(columns or header)
-    return require_columns(_text_columns(spark, [path], header), wanted).select(*wanted, "file_name")
+    """Text columns of one CSV, quoted newlines and fields of any length included; blanks are ``""``.
+
+    ``path`` is a file or a folder of part files, as Spark writes them. The parts may order their
+    columns differently, but each must have those wanted: by default, those of the first part.
+    A folder without parts has nothing to read columns from, so ``columns`` must name them.
+    """
+    by_header = csv_headers(spark, path)
+    if not by_header and columns is None:
+        raise ValueError(f"no CSV files in {path}")
+    wanted = list(columns or next(iter(by_header)))
+    merged = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in (*wanted, "file_name")]))
+    for header, files in by_header.items():
+        merged = merged.unionByName(require_columns(_text_columns(spark, files, header), wanted).select(*wanted, "file_name"))
+    return merged
 
 
 def load_population(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,9 +137,9 @@ def load_population(spark: SparkSession, folder: str) -> DataFrame:
     Files with one header are one scan, so the plan grows with the headers, not with the files.
     A quoted CSV is a single split, so the running id of a scan grows along each file.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in list_files(spark, folder, ".csv"):
-        by_header.setdefault(tuple(csv_header(spark, path)), []).append(path)
+    by_header = csv_headers(spark, folder, ".csv")
+    if sum(map(len, by_header.values())) < len(list_files(spark, folder, ".csv")):
+        raise ValueError("missing required columns: an empty file")
     if not by_header:
         raise ValueError(f"no population files in {folder}")
     merged = None

@@ -41,12 +41,30 @@ def test_population_plan_grows_with_headers_not_files(spark, tmp_path):
         (f"o/{k}", f"f{k:02d}.csv") for k in range(12) for _ in range(2)
     ]
     assert 'note\n"x"' in got.columns
-    assert len(readers.csv_header(spark, str(tmp_path / "f00.csv"))) == 6
+    assert [len(h) for h in readers.csv_headers(spark, str(tmp_path / "f00.csv"))] == [6]
+    assert [len(files) for files in readers.csv_headers(spark, str(tmp_path)).values()] == [3, 9]
     (tmp_path / "f12.csv").write_text("")
     with pytest.raises(ValueError, match="missing required columns"):
         readers.load_population(spark, str(tmp_path))
 
 
+def test_a_csv_may_be_a_folder_of_parts(spark, tmp_path):
+    folder = str(tmp_path / "gold parts+1")
+    gold = spark.createDataFrame([(f"o/{i}", "f", "GU" if i % 2 else "", 'a "b",\nc') for i in range(40)], "repository string, revision string, status string, split string")
+    gold.repartition(7).write.option("header", True).option("escape", '"').csv(folder)
+    assert rows(readers.read_csv(spark, folder, gold.columns).drop("file_name")) == rows(gold)
+    assert readers.read_csv(spark, folder).columns == [*gold.columns, "file_name"]
+    (tmp_path / "gold parts+1" / "part-zz.csv").write_text("status,revision,repository,split,more\n\"GU\",f,o/x,t,1\n")
+    both = readers.read_csv(spark, folder, gold.columns).where("repository = 'o/x'")
+    assert rows(both) == [("o/x", "f", "GU", "t", "part-zz.csv")]
+    with pytest.raises(ValueError, match="missing required columns: more"):
+        readers.read_csv(spark, folder, ["repository", "more"])
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError, match="no CSV files"):
+        readers.read_csv(spark, str(tmp_path / "none"))
+    assert readers.read_csv(spark, str(tmp_path / "none"), ["a"]).isEmpty()
+
+
 def test_earlier_screenings_are_carried_behind_the_gates(spark):
     columns = "sample_order bigint, round_number bigint, language string, repository string, revision string"
     schedule = spark.createDataFrame([(1, 1, "a", "o/A", "F0"), (2, 1, "b", "o/b", "f1"), (3, 2, "a", "o/c", "f2")], columns)
