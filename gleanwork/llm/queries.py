@@ -15,6 +15,7 @@ from gleanwork.llm import (
     near_duplicates,
     neighbours,
     quality,
+    quality_rules,
     quotations,
     sql,
     url_filters,
@@ -136,6 +137,11 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score_texts(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality_rules.judge(_read(spark, folder, "documents"), [F.col("doc_id")])
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -149,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_nearest_neighbours,
         op10_lm_scoring,
+        op13_quality_rules,
     )
 }
 
@@ -158,4 +165,5 @@ ORACLE: dict[str, str] = {
     "op6_quotation_linking": sql.QUOTATION_LINKING,
     "op7_source_mixing": sql.SOURCE_MIXING,
     "op8_benchmark_decontamination": sql.BENCHMARK_DECONTAMINATION,
+    "op13_quality_rules": sql.QUALITY_RULES,
 }

@@ -167,3 +167,69 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM doc_words d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id
 """
+
+QUALITY_RULES = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(lang, '') AS language, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+classed AS (
+  SELECT *, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(t, '[^a-z]', '', 'g')) AS c1,
+         length(regexp_replace(t, '[^A-Z]', '', 'g')) AS c2, length(regexp_replace(t, '[^0-9]', '', 'g')) AS c3,
+         length(regexp_replace(t, '[^.,;:!?''"()-]', '', 'g')) AS c4, length(regexp_replace(t, '[\x00-\x7F]', '', 'g')) AS c6
+  FROM texts),
+counted AS (
+  SELECT k, doc_id, language, w, len(w) AS n_words, word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, length(t) AS n_chars,
+         [length(t) - word_chars, c1, c2, c3, c4, word_chars - c1 - c2 - c3 - c4 - c6, c6] AS classes
+  FROM classed),
+windows AS (
+  SELECT k, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] AS g
+  FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM counted)),
+again AS (SELECT k, i, count(*) OVER (PARTITION BY k, g) AS times FROM windows),
+repeated AS (
+  SELECT k, count(DISTINCT p) AS n_repeat_words FROM (SELECT k, unnest([i, i + 1, i + 2]) AS p FROM again WHERE times > 1) GROUP BY k),
+tokens AS (SELECT k, language, unnest(w) AS word FROM counted),
+forms AS (
+  SELECT k, language, CASE WHEN length(word) <= 24 AND regexp_matches(word, '\p{L}') THEN lower(word) ELSE '' END AS word FROM tokens),
+totals AS (SELECT language, count(*) AS total FROM forms WHERE language <> '' GROUP BY language HAVING count(*) >= 5000
+           ORDER BY total DESC, language LIMIT 64),
+top_words AS (
+  SELECT language, word, n / total AS q FROM (
+    SELECT language, word, count(*) AS n, row_number() OVER (PARTITION BY language ORDER BY count(*) DESC, word) AS place
+    FROM forms WHERE word <> '' GROUP BY language, word) JOIN totals USING (language) WHERE place <= 32),
+known AS (SELECT language, sum(q) AS q FROM top_words GROUP BY language),
+own AS (SELECT k, word, count(*) AS n FROM forms WHERE word <> '' GROUP BY k, word),
+word_parts AS (
+  SELECT o.k, r.language, sum(n / n_words) AS p, sum(q) AS q,
+         sum(n / n_words * log2(2 * (n / n_words) / (n / n_words + q)) + q * log2(2 * q / (n / n_words + q))) AS s
+  FROM own o JOIN counted USING (k) JOIN top_words r ON r.word = o.word GROUP BY 1, 2),
+word_distances AS (
+  SELECT c.k, v.language, v.q AS held, coalesce(s, 0) + v.q - coalesce(x.q, 0) AS s, 1 - coalesce(x.p, 0) AS p
+  FROM counted c CROSS JOIN known v LEFT JOIN word_parts x ON x.k = c.k AND x.language = v.language WHERE n_words > 0),
+class_sums AS (
+  SELECT language, list(s ORDER BY place) AS shares FROM (
+    SELECT language, place, sum(classes[place]) / sum(sum(classes[place])) OVER (PARTITION BY language) AS s
+    FROM (SELECT language, classes, unnest(range(1, 8)) AS place FROM counted) GROUP BY language, place) GROUP BY language),
+class_parts AS (
+  SELECT c.k, r.language, n_chars, unnest(list_transform(range(1, 8), lambda i: classes[i] / n_chars)) AS p, unnest(shares) AS q
+  FROM counted c CROSS JOIN class_sums r WHERE n_words > 0),
+class_distances AS (
+  SELECT k, language, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+                                      + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS d
+  FROM class_parts GROUP BY k, language),
+near AS (
+  SELECT k, arg_min(struct_pack(w := word_distance, c := d), (word_distance, d, language)) AS near FROM (
+    SELECT k, language, d, sqrt(greatest((s + CASE WHEN p > 0 THEN p * log2(2 * p / (p + 1 - held)) ELSE 0 END
+                                            + (1 - held) * log2(2 * (1 - held) / (p + 1 - held))) / 2, 0)) AS word_distance
+    FROM word_distances JOIN class_distances USING (k, language)) GROUP BY k),
+judged AS (
+  SELECT c.*, coalesce(n_repeat_words, 0) AS n_repeat_words, near,
+         n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed
+  FROM counted c LEFT JOIN repeated USING (k) LEFT JOIN near USING (k))
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(n_words >= 50 AND near.w > 0.42, false) AND NOT coalesce(n_chars >= 200 AND near.c > 0.28, false) AS kept
+FROM judged
+"""
