@@ -19,6 +19,7 @@ from gleanwork.llm import (
     quotations,
     sql,
     url_filters,
+    whitening,
     wrappers,
 )
 
@@ -137,6 +138,10 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score_texts(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_components(_read(spark, folder, "embeddings"), vector="embedding")
+
+
 def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = quality_rules.judge(_read(spark, folder, "documents"), [F.col("doc_id")])
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -155,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_nearest_neighbours,
         op10_lm_scoring,
+        op11_embedding_whitening,
         op13_quality_rules,
     )
 }
