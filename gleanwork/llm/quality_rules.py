@@ -39,8 +39,9 @@ CLASS_LIMIT = 0.28
 BASE_WORDS = 50
 BASE_REPEATED_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
-# Classes of characters that a pattern picks from what is left by those before; the rest is the last class.
-CLASSES = (r"[a-z]+", r"[A-Z]+", r"[0-9]+", r"[.,;:!?'\"()-]+", r"[\x00-\x7F]+")
+# Characters that hardly any text is without, and the classes that are told apart among all others; what none picks is the last class.
+FREQUENT = r"[a-z\x20\x09-\x0D]+"
+CLASSES = (r"[A-Z]+", r"[0-9]+", r"[.,;:!?'\"()-]+", r"[\x00-\x08\x0E-\x1F#$%&*+/<=>@\[\\\]^_`{|}~\x7F]+")
 
 
 @dataclass
@@ -99,14 +100,15 @@ def repeated_words(words: Column, width: int = 3) -> Column:
     return let(words, of_words)
 
 
-def class_counts(text: Column) -> Column:
-    """How many characters of each class a text holds: white space, those of ``CLASSES``, all others."""
-    left, counts = text, []
-    for pattern in (SPACE, *CLASSES):
-        rest = F.regexp_replace(left, pattern, "")
-        counts.append(F.length(left) - F.length(rest))
-        left = rest
-    return F.transform(F.array(*counts, F.length(left)), lambda n: n.cast("bigint"))
+def class_counts(text: Column, solid: Column, rare: Column) -> Column:
+    """How many characters of each class a text holds: white space, a-z, those of ``CLASSES``, all others.
+
+    ``solid`` is the text without white space and ``rare`` what ``FREQUENT`` leaves of it.
+    """
+    of_class = [F.length(rare) - F.length(F.regexp_replace(rare, pattern, "")) for pattern in CLASSES]
+    others = F.length(F.regexp_replace(rare, r"[\x00-\x7F]+", ""))
+    counts = (F.length(text) - F.length(solid), F.length(solid) - F.length(rare), *of_class, others)
+    return F.array(*(n.cast("bigint") for n in counts))
 
 
 def word_counts(words: Column, common: list[str]) -> Column:
@@ -142,19 +144,23 @@ def measure(docs: DataFrame, common: list[str], keep: list[Column], text: str =
     """
     body = F.coalesce(F.col(text), F.lit(""))
     label = F.coalesce(F.col(lang), F.lit("")) if lang else F.lit("")
-    split = docs.select(
-        *keep, label.alias("language"), body.alias("__text"), words_of(body).alias("__words"), class_counts(body).alias("classes")
-    )
+    inner = {
+        "__text": body,
+        "__words": words_of(body),
+        "__solid": F.regexp_replace(body, SPACE, ""),
+        "__rare": F.regexp_replace(body, FREQUENT, ""),
+    }
+    split = docs.select(*keep, label.alias("language"), *(c.alias(name) for name, c in inner.items()))
     lines = let(_lines(F.col("__text")), lambda rows: F.size(rows) - F.size(F.array_distinct(rows)))
-    names = [c for c in split.columns if c not in ("__text", "__words", "classes")]
+    symbols = F.length("__rare") - F.length(F.regexp_replace("__rare", f"[{SYMBOLS}]+", ""))
     return split.select(
-        *names,
+        *(c for c in split.columns if c not in inner),
         F.size("__words").cast("bigint").alias("n_words"),
-        F.aggregate(F.slice("classes", 2, len(CLASSES) + 1), F.lit(0).cast("bigint"), lambda a, n: a + n).alias("word_chars"),
-        (F.length("__text") - F.length(F.regexp_replace("__text", f"[{SYMBOLS}]+", ""))).cast("bigint").alias("n_symbols"),
+        F.length("__solid").cast("bigint").alias("word_chars"),
+        symbols.cast("bigint").alias("n_symbols"),
         lines.cast("bigint").alias("n_dup_lines"),
         repeated_words(F.col("__words")).alias("n_repeat_words"),
-        "classes",
+        class_counts(F.col("__text"), F.col("__solid"), F.col("__rare")).alias("classes"),
         word_counts(F.col("__words"), common).alias("common"),
     )
 
@@ -195,7 +201,7 @@ def _class_shares(measured: DataFrame, languages: list[str]) -> dict[str, list[f
     """Shares of the classes of characters over all documents of each language."""
     rows = measured if languages == [""] else measured.where(F.col("language").isin(languages))
     key = F.lit("") if languages == [""] else F.col("language")
-    sums = [F.sum(F.get("classes", F.lit(k))).alias(f"c{k}") for k in range(len(CLASSES) + 2)]
+    sums = [F.sum(F.get("classes", F.lit(k))).alias(f"c{k}") for k in range(len(CLASSES) + 3)]
     found = {}
     for row in rows.groupBy(key.alias("key")).agg(*sums).collect():
         total = sum(row[1:])
