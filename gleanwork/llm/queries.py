@@ -19,6 +19,7 @@ from gleanwork.llm import (
     quotations,
     sql,
     url_filters,
+    variants,
     whitening,
     wrappers,
 )
@@ -142,6 +143,10 @@ def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened_components(_read(spark, folder, "embeddings"), vector="embedding")
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(_read(spark, folder, "documents"))
+
+
 def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = quality_rules.judge(_read(spark, folder, "documents"), [F.col("doc_id")])
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -161,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_nearest_neighbours,
         op10_lm_scoring,
         op11_embedding_whitening,
+        op12_spelling_variants,
         op13_quality_rules,
     )
 }
@@ -171,5 +177,6 @@ ORACLE: dict[str, str] = {
     "op6_quotation_linking": sql.QUOTATION_LINKING,
     "op7_source_mixing": sql.SOURCE_MIXING,
     "op8_benchmark_decontamination": sql.BENCHMARK_DECONTAMINATION,
+    "op12_spelling_variants": sql.SPELLING_VARIANTS,
     "op13_quality_rules": sql.QUALITY_RULES,
 }

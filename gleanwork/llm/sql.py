@@ -233,3 +233,37 @@ SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols
        NOT base_failed AND NOT coalesce(n_words >= 50 AND near.w > 0.42, false) AND NOT coalesce(n_chars >= 200 AND near.c > 0.28, false) AS kept
 FROM judged
 """
+
+SPELLING_VARIANTS = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN (c & 1) = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, CAST(i AS BIGINT))) AS t),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]{7,}')) AS run
+  FROM documents),
+hexed AS (SELECT run, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+hashed AS (
+  SELECT run, xor(4294967295, list_reduce(
+    list_transform(range(0, length(x), 2), lambda i: CAST('0x' || substr(x, CAST(i + 1 AS BIGINT), 2) AS BIGINT)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), CAST(4294967295 AS BIGINT))) AS h
+  FROM hexed, crc_table),
+vocabulary AS (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS BIGINT) AS i FROM vocabulary)),
+near AS (
+  SELECT a.word, b.word AS near, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, v.word, v.n FROM cut c JOIN vocabulary v ON c.rest = v.word
+  UNION SELECT v.word, c.word, c.n FROM cut c JOIN vocabulary v ON c.rest = v.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(struct_pack(near := near, n := n), (-n, near)) AS b FROM near GROUP BY word),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 10 * v.n THEN b.near END AS form, CASE WHEN b.n >= 10 * v.n THEN b.n END AS form_n
+  FROM vocabulary v LEFT JOIN best ON v.word = best.word),
+chain(word, root, depth) AS (
+  SELECT word, word, 0 FROM formed
+  UNION ALL SELECT c.word, f.form, depth + 1 FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, arg_max(c.root, c.depth) AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c ON c.word = f.word GROUP BY f.word, f.form, f.n, f.n_near, f.form_n
+"""
