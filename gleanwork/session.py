@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +65,24 @@ def release(spark: SparkSession) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# Copies written inside the innermost ``temporary`` of this thread.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Remove, at its end, what ``materialize`` calls of this thread wrote inside: for steps of a stream that never ends."""
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for name in paths:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, cutting its lineage.
 
@@ -70,5 +91,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_intermediates(spark)}/{uuid.uuid4().hex}"
+    if (scope := _scope.get()) is not None:
+        scope.append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -215,9 +215,13 @@ def load_candidates(rows: DataFrame) -> DataFrame:
 
 
 def read_attempts(spark: SparkSession, path: str, schema: str = ATTEMPT) -> DataFrame:
-    """Attempt log lines with their parse state in ``_corrupt_record``, their file and place in it."""
+    """Attempt log lines with their parse state in ``_corrupt_record``, their file and place in it.
+
+    The log may be one folder of files or one folder per batch, as ``append_attempts`` writes it.
+    """
     return (
-        spark.read.schema(f"{schema}, _corrupt_record string")
+        spark.read.option("recursiveFileLookup", True)
+        .schema(f"{schema}, _corrupt_record string")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .json(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanwork.operators.publish import provenance
@@ -18,9 +18,25 @@ def write_report(
     df.select(*columns).orderBy(*order).write.mode("overwrite").option("header", True).format(format).save(path)
 
 
-def append_attempts(df: DataFrame, path: str) -> None:
-    """Append attempts to the log."""
-    df.write.mode("append").json(path)
+def append_attempts(df: DataFrame, path: str, batch: str) -> bool:
+    """Append attempts to the log as the batch of that name; whether they were written.
+
+    A batch that is complete already is left as it is, so a rerun changes nothing; what a broken run
+    left of one is replaced. The log is one folder per batch, committed by its ``_SUCCESS`` file.
+    """
+    if not batch or "/" in batch or "=" in batch:
+        raise ValueError(f"not a batch name: {batch!r}")
+    folder = f"{path.rstrip('/')}/batch={batch}"
+    if is_committed(df.sparkSession, folder):
+        return False
+    df.write.mode("overwrite").json(folder)
+    return True
+
+
+def is_committed(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to ``folder`` has ended."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
 def write_attempt_records(df: DataFrame, path: str, order: Sequence[Column | str]) -> None:

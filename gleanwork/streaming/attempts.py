@@ -18,7 +18,8 @@ from gleanwork.operators.attempts import (
     latest_attempts,
 )
 from gleanwork.operators.ordering import running
-from gleanwork.session import materialize
+from gleanwork.session import materialize, temporary
+from gleanwork.streaming.statelog import StateLog
 
 BUDGET_OUTPUT = (
     "custom_id string, seq bigint, status string, attempt_count bigint, model_attempt_count bigint, "
@@ -26,54 +27,29 @@ BUDGET_OUTPUT = (
 )
 
 
-# Deltas merged into a new base after this many batches.
-COMPACT_EVERY = 20
+def _latest_log(path: str, schema: T.StructType, **settings: int) -> StateLog:
+    return StateLog(path, schema, "custom_id", lambda rows: latest_attempts(rows).select(*schema.names), **settings)
 
 
-def upsert_latest(state_path: str, compact_every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
+def upsert_latest(state_path: str, **settings: int) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer keeping the latest attempt per key.
 
     A batch only writes its own latest rows as a delta, so its cost follows the batch, not the
-    state; every ``compact_every`` batches the deltas fold into a new base. A repeated batch
-    replaces its own delta, and "latest by seq" ignores re-delivered rows.
+    state; the deltas of changed buckets fold into a new base every ``compact_every`` batches, and
+    what was replaced is removed. A repeated batch replaces its own delta, and "latest by seq"
+    ignores re-delivered rows. ``settings``: ``buckets``, ``compact_every``, ``kept`` of the log.
     """
-    root = state_path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        delta = latest_attempts(batch).select(*batch.columns)
-        delta.write.mode("overwrite").parquet(f"{root}/delta={batch_id:012d}")
-        if (batch_id + 1) % compact_every == 0:
-            merged = _latest_below(batch.sparkSession, root, batch.schema, batch_id)
-            merged.write.mode("overwrite").parquet(f"{root}/base={batch_id:012d}")
+        _latest_log(state_path, batch.schema, **settings).commit(batch_id, latest_attempts(batch))
 
     return write
 
 
-def _versions(spark, root: str, kind: str) -> list[int]:
-    """Committed versions of one kind of folder."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(path)]
-    done = [n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))]
-    return sorted(int(n.partition("=")[2]) for n in done if n.startswith(f"{kind}="))
-
-
-def _latest_below(spark, root: str, schema: T.StructType, limit: int | None) -> DataFrame:
-    bases = [v for v in _versions(spark, root, "base") if limit is None or v < limit]
-    start = bases[-1] if bases else -1
-    deltas = [v for v in _versions(spark, root, "delta") if v > start and (limit is None or v <= limit)]
-    folders = [f"{root}/base={start:012d}"] * bool(bases) + [f"{root}/delta={v:012d}" for v in deltas]
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return latest_attempts(spark.read.schema(schema).parquet(*folders)).select(*schema.names)
-
-
 def read_latest(spark, state_path: str, schema: T.StructType) -> DataFrame:
-    """Latest attempt per key from the newest base and the deltas after it."""
-    return _latest_below(spark, state_path.rstrip("/"), schema, None)
+    """Latest attempt per key from the newest manifest: the bases and the deltas after them."""
+    log = _latest_log(state_path, schema)
+    return log.merge(log.read(spark))
 
 
 class RetryBudget(StatefulProcessor):
@@ -151,36 +127,47 @@ def drain(stream: DataFrame, writer: Callable[[DataFrame, int], None], checkpoin
     query.awaitTermination()
 
 
+def _budget_log(path: str, **settings: int) -> StateLog:
+    schema = T.StructType.fromDDL("custom_id string, seq bigint, status string")
+
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("custom_id", "seq").agg(F.min("status").alias("status"))
+
+    return StateLog(path, schema, "custom_id", merge, **settings)
+
+
 def budget_batches(
     state_path: str,
     output_path: str,
     max_model: int = MAX_MODEL_ATTEMPTS,
     max_retrieval: int = MAX_RETRIEVAL_ATTEMPTS,
     max_group_rows: int | None = None,
-    compact_every: int = COMPACT_EVERY,
+    **settings: int,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` form of :func:`retry_budgets` for logs with very long histories per key.
 
-    The state is the log of ``(custom_id, seq, status)``: one delta per batch, folded into a new base
-    every ``compact_every`` batches. A pair that is stored already is ignored. Attempts of a touched
-    key below its first new ``seq`` are only summed; those from there on are counted by the
-    skew-safe running sums of the batch operator and written (again), so late arrivals correct the
-    rows after them. A repeated batch only sees state older than itself.
+    The state is the log of ``(custom_id, seq, status)``, split by the hash of the key; a batch
+    reads only the buckets its keys fall into. A pair that is stored already is ignored. Attempts
+    of a touched key below its first new ``seq`` are only summed; those from there on are counted by
+    the skew-safe running sums of the batch operator and written (again), so late arrivals correct
+    the rows after them. A repeated batch only sees state older than itself. ``settings``:
+    ``buckets``, ``compact_every``, ``kept`` of the log.
     """
-    state_root, out_root = state_path.rstrip("/"), output_path.rstrip("/")
+    log, out_root = _budget_log(state_path, **settings), output_path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        schema = T.StructType.fromDDL("custom_id string, seq bigint, status string")
-        stored = _stored(spark, state_root, schema, batch_id)
-        arrived = batch.groupBy("custom_id", "seq").agg(F.min("status").alias("status")).select(*schema.names)
-        fresh = materialize(arrived.join(stored, ["custom_id", "seq"], "left_anti"))
-        fresh.write.mode("overwrite").parquet(f"{state_root}/delta={batch_id:012d}")
-        if (batch_id + 1) % compact_every == 0:
-            folded = stored.unionByName(fresh).groupBy("custom_id", "seq").agg(F.min("status").alias("status"))
-            folded.select(*schema.names).write.mode("overwrite").parquet(f"{state_root}/base={batch_id:012d}")
+        with temporary(batch.sparkSession):
+            count(batch.sparkSession, batch, batch_id)
+
+    def count(spark, batch: DataFrame, batch_id: int) -> None:
+        arrived = materialize(log.merge(batch).select(*log.schema.names))
+        # Pairs of keys that were not seen before need no state, so these rows are all that is read.
+        known = log.read(spark, log.touched(arrived), batch_id)
+        history = materialize(known.join(arrived.select("custom_id").distinct(), "custom_id", "left_semi"))
+        fresh = materialize(arrived.join(history, ["custom_id", "seq"], "left_anti"))
+        log.commit(batch_id, fresh)
         first = fresh.groupBy("custom_id").agg(F.min("seq").alias("__first"))
-        touched = materialize(stored.join(first, "custom_id"))
+        touched = log.merge(history).join(first, "custom_id")
         model = F.col("status").isin(*MODEL_ATTEMPT_STATUSES).cast("bigint")
         retrieval = (F.col("status") == "retrieval_error").cast("bigint")
         before = (
@@ -188,7 +175,7 @@ def budget_batches(
             .groupBy("custom_id")
             .agg(F.count("*").alias("attempts"), F.sum(model).alias("model"), F.sum(retrieval).alias("retrieval"))
         )
-        again = touched.where(F.col("seq") > F.col("__first")).select(*schema.names).unionByName(fresh)
+        again = touched.where(F.col("seq") > F.col("__first")).select(*log.schema.names).unionByName(fresh)
         counted = running(
             materialize(again), ["custom_id"], ["seq"], {"__model": model, "__retrieval": retrieval}, "__attempts", max_group_rows
         ).join(before, "custom_id", "left")
@@ -208,15 +195,6 @@ def budget_batches(
     return write
 
 
-def _stored(spark, root: str, schema: T.StructType, below: int) -> DataFrame:
-    """The newest base older than batch ``below`` and the deltas after it."""
-    bases = [v for v in _versions(spark, root, "base") if v < below]
-    start = bases[-1] if bases else -1
-    deltas = [v for v in _versions(spark, root, "delta") if start < v < below]
-    folders = [f"{root}/base={start:012d}"] * bool(bases) + [f"{root}/delta={v:012d}" for v in deltas]
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
-
-
 def read_budgets(spark, output_path: str) -> DataFrame:
     """Counted attempts written batch by batch: of each (custom_id, seq) the row of the last batch."""
     written = spark.read.schema(BUDGET_OUTPUT + ", b bigint").parquet(output_path.rstrip("/"))

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -173,6 +174,65 @@ def test_streamed_latest_equals_batch(spark, tmp_path):
     assert rows(streams.read_latest(spark, str(tmp_path / "state"), stream.schema)) == rows(got)
 
 
+def test_a_batch_reads_only_the_buckets_it_touches(spark, tmp_path):
+    log = streams._budget_log(str(tmp_path / "state"), buckets=16, compact_every=2)
+    many = spark.range(400).select(F.col("id").cast("string").alias("custom_id"), F.lit(1).cast("bigint").alias("seq"), F.lit("pass").alias("status"))
+    log.commit(0, many)
+    log.commit(1, many.where("custom_id < '2'").withColumn("seq", F.lit(2).cast("bigint")))
+    log.commit(2, many.where("custom_id = '7'").withColumn("seq", F.lit(3).cast("bigint")))
+    one = many.where("custom_id = '7'")
+    (bucket,) = log.touched(one)
+    files = log.read(spark, [bucket]).inputFiles()
+    assert {f.split("/state/")[1].split("/part")[0] for f in files} == {f"base-{1:012d}/bucket={bucket}", f"delta-{2:012d}"}
+    assert rows(log.read(spark, [bucket]).where("custom_id = '7'"), "seq") == [(1,), (3,)]
+    # Another bucket has no rows in the last delta, which is not opened for it.
+    other = next(k for k in range(16) if k != bucket)
+    assert all("delta" not in f for f in log.read(spark, [other]).inputFiles())
+    assert log.read(spark).count() == 400 + many.where("custom_id < '2'").count() + 1
+
+
+def test_replaced_versions_are_removed_and_a_repeated_batch_changes_nothing(spark, tmp_path):
+    folder = tmp_path / "state"
+    log = streams._latest_log(str(folder), spark.createDataFrame([], SCHEMA).schema, buckets=8, compact_every=3)
+    for batch in range(8):
+        data = [(f"k{j}", batch, "pass") for j in range(20) if batch == 0 or j % 8 == batch % 3]
+        for _ in range(2):
+            log.commit(batch, spark.createDataFrame(data, SCHEMA))
+    assert log.versions(spark) == [5, 6, 7]
+    kept = [log.manifest(spark, v + 1) for v in (5, 6, 7)]
+    assert {int(p.name.split("-")[1]) for p in folder.glob("delta-*")} == {v for m in kept for v in m.deltas}
+    on_disk = {(int(p.parent.name.split("-")[1]), int(p.name.split("=")[1])) for p in folder.glob("base-*/bucket=*")}
+    assert on_disk == {(v, k) for m in kept for k, v in m.base.items()}
+    newest = {f"k{j}": max(b for b in range(8) if b == 0 or j % 8 == b % 3) for j in range(20)}
+    got = streams.read_latest(spark, str(folder), log.schema)
+    assert {r["custom_id"]: r["seq"] for r in got.collect()} == newest
+    # A batch that comes again after a crash starts from the state before it.
+    assert log.read(spark, below=7).where("seq = 7").isEmpty() and not log.read(spark).where("seq = 7").isEmpty()
+
+
+def test_an_appended_batch_is_written_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    first, second = (spark.createDataFrame(part, SCHEMA) for part in (LOG[:3], LOG[3:]))
+    assert sinks.append_attempts(first, path, "0") and sinks.append_attempts(second, path, "1")
+    assert not sinks.append_attempts(second, path, "1")
+    assert rows(readers.read_attempts(spark, path, SCHEMA), "custom_id", "seq", "status") == sorted(LOG, key=repr)
+    # What a broken run left behind is replaced.
+    (tmp_path / "log" / "batch=2").mkdir()
+    (tmp_path / "log" / "batch=2" / "part-0.json").write_text('{"custom_id":"half"}\n')
+    assert sinks.append_attempts(first, path, "2")
+    assert rows(readers.read_attempts(spark, path, SCHEMA), "custom_id", "seq", "status") == sorted(LOG + LOG[:3], key=repr)
+    with pytest.raises(ValueError, match="batch name"):
+        sinks.append_attempts(first, path, "a/b")
+
+
+def test_steps_of_a_stream_leave_no_copies(spark):
+    with session.temporary(spark):
+        copy = session.materialize(spark.range(3))
+        path = copy.inputFiles()[0].removeprefix("file://")
+        assert Path(path).exists() and copy.count() == 3
+    assert not Path(path).exists()
+
+
 @pytest.mark.parametrize("limit", [None, 1])
 def test_streamed_budget_batches_equal_replay(spark, tmp_path, limit):
     stream = stream_of(spark, tmp_path, [LOG[:4], LOG[:4], LOG[4:]])
