@@ -529,6 +529,10 @@ def p14(t: Tables):
     return files.skipped_repositories(rows)
 
 
+def listed_files(t: Tables):
+    return t.files.select("repository", "revision", "path", "sha")
+
+
 def quoted_items(t: Tables, kinds: tuple[int, ...] = (1, 2, 3, 4, 5, 6)):
     """Two claims per labelled file: its own words, and a benchmark passage; plus a repeat and a stray path."""
     own = t.files.join(t.labels, "doc_id").select(
@@ -581,8 +585,7 @@ def quoted_items(t: Tables, kinds: tuple[int, ...] = (1, 2, 3, 4, 5, 6)):
        FROM items i LEFT JOIN firsts f ON f.repository = i.repository AND f.target = i.target""",
 )
 def j15(t: Tables):
-    bodies = t.files.select("repository", "revision", "path", "content")
-    return evidence.verify_evidence(quoted_items(t), bodies).select("repository", "item_index", "path", "reason")
+    return evidence.verify_evidence(quoted_items(t), listed_files(t), t.content_store).select("repository", "item_index", "path", "reason")
 
 
 @query(
@@ -591,9 +594,8 @@ def j15(t: Tables):
        WHERE substr(content, 5, 40) <> '' GROUP BY 1, 2""",
 )
 def w12(t: Tables):
-    bodies = t.files.select("repository", "revision", "path", "content")
     own = quoted_items(t, (2, 3, 4, 5, 6))
-    verified = evidence.verify_evidence(own, bodies).where(F.col("reason").isNull())
+    verified = evidence.verify_evidence(own, listed_files(t), t.content_store).where(F.col("reason").isNull())
     return verified.select("repository", F.col("normalized_path").alias("path"), "item_index")
 
 
@@ -629,13 +631,12 @@ def p19(t: Tables):
        FROM (SELECT DISTINCT repository, lang FROM files) r LEFT JOIN own USING (repository) LEFT JOIN wrong_en USING (repository)""",
 )
 def j15_verdict(t: Tables):
-    bodies = t.files.select("repository", "revision", "path", "content")
     stray = quoted_items(t, (4,)).where(~F.col("repository").startswith("en-"))
     picked = quoted_items(t, (3,)).unionByName(stray)
     responses = t.files.select(
         "repository", "revision", F.when(F.col("lang") == "fr", "not_found").otherwise("pass").alias("status")
     ).distinct()
-    return evidence.evidence_verdict(responses, evidence.verify_evidence(picked, bodies)).drop("revision", "reason")
+    return evidence.evidence_verdict(responses, evidence.verify_evidence(picked, listed_files(t), t.content_store)).drop("revision", "reason")
 
 
 @query(
@@ -662,9 +663,9 @@ PAYLOAD_SQL = f"""{FILES_SQL}, ranked AS (SELECT repository, path, content,
 
 
 def budgeted(t: Tables):
-    rows = t.files.where("content is not null")
+    rows = t.files.where("content is not null").drop("content")
     ranked = ordering.running(rows, ["repository", "revision"], ["path"], rank="rank")
-    return evidence.budgeted_payload(ranked, 900, 5000)
+    return evidence.budgeted_payload(ranked, t.content_store, 900, 5000)
 
 
 @query(

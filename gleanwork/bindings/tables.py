@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import cached_property
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from gleanwork.functions import paths
 from gleanwork.functions.terms import word_terms
 from gleanwork.operators.ordering import bucketed_rank
-from gleanwork.session import materialize
+from gleanwork.session import materialize, shared_dir
+from gleanwork.sources import content_store
 
 # Word terms that occur in the driver's prose; the default lists name words it never uses.
 PROSE_TERMS = word_terms(("license", "s?"), ("the", ""), ("de", ""), ("rest", "[a-z]*"), ("le", "s?"))
@@ -74,6 +76,14 @@ class Tables:
             F.any_value("text").alias("content")
         )
 
+    @cached_property
+    def content_store(self) -> DataFrame:
+        """The bodies as a content store, written once per application."""
+        path = f"{shared_dir(self.spark).rstrip('/')}/gleanwork/{self.spark.sparkContext.applicationId}/contents-{crc32(self.folder.encode())}"
+        if content_store.bucket_count(self.spark, path):
+            return content_store.open_contents(self.spark, path)
+        return content_store.write_contents(self.files.select("sha", "content"), path)
+
     @cached_property
     def candidates(self) -> DataFrame:
         """Candidate rows of every Markdown file, without bodies."""

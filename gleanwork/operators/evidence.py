@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleanwork.functions import paths
 from gleanwork.functions.labels import excerpt
 from gleanwork.operators.ordering import running
-from gleanwork.operators.skew import attach
+from gleanwork.operators.skew import attach, heavy_keys
 from gleanwork.session import materialize
 
 REPOSITORY_KEY = ["repository", "revision"]
@@ -27,21 +27,35 @@ def evidence_items(results: DataFrame, column: str = "evidence_json") -> DataFra
     )
 
 
-def verify_evidence(items: DataFrame, contents: DataFrame) -> DataFrame:
+def quotes_found(asked: DataFrame, store: DataFrame) -> DataFrame:
+    """``sha, quote_id, quote_found`` for every distinct (``sha``, ``quote``) asked.
+
+    ``store`` is a content store: only quotes move, to the bucket of their body. A quote asked of
+    one body by many repositories is looked for once. Bodies that aren't stored have no rows.
+    """
+    once = asked.groupBy("sha", "quote_id").agg(F.first("quote").alias("quote"))
+    checked = store.select("sha", "content").join(once, "sha")
+    return checked.select("sha", "quote_id", F.col("content").contains(F.col("quote")).alias("quote_found"))
+
+
+def verify_evidence(items: DataFrame, files: DataFrame, store: DataFrame) -> DataFrame:
     """Check each (path, quote) against the file body; ``reason`` is null for a verified item.
 
-    The first item that checks out wins its path; later items on the same path are duplicates.
+    ``files``: ``repository, revision, path, sha``; ``store``: see
+    :mod:`gleanwork.sources.content_store`. A file whose body isn't stored is no file. The first
+    item that checks out wins its path; later items on the same path are duplicates.
     """
-    located = items.withColumn("normalized_path", paths.normalized_path("path"))
-    bodies = contents.select(*REPOSITORY_KEY, F.col("path").alias("normalized_path"), "content")
-    checked = (
-        attach(located, bodies, [*REPOSITORY_KEY, "normalized_path"], salts=64)
-        .withColumn("is_file", F.col("content").isNotNull())
-        .withColumn("quote_found", F.coalesce(F.col("content").contains(F.col("quote")), F.lit(False)))
-        .drop("content")
-    )
+    located = items.withColumn("normalized_path", paths.normalized_path("path")).withColumn("quote_id", F.sha2("quote", 256))
+    listed = files.select(*REPOSITORY_KEY, F.col("path").alias("normalized_path"), "sha").where("sha IS NOT NULL")
+    named = materialize(attach(located, listed, [*REPOSITORY_KEY, "normalized_path"], salts=64))
+    known = store.select("sha", F.lit(True).alias("is_file"))
+    found = quotes_found(named.where((F.col("quote") != "") & F.col("sha").isNotNull()), store)
+    looked_up = attach(attach(named, known, ["sha"]), materialize(found), ["sha", "quote_id"])
+    checked = looked_up.withColumns(
+        {"is_file": F.coalesce("is_file", F.lit(False)), "quote_found": F.coalesce("quote_found", F.lit(False))}
+    ).drop("sha", "quote_id")
     sound = (F.col("path") != "") & (F.col("quote") != "") & F.col("is_file") & F.col("quote_found")
-    # Written once without bodies: the join with them is not repeated for the first-per-path lookup.
+    # Written once: the lookups are not repeated for the first-per-path lookup.
     checked = materialize(checked.withColumn("sound", sound))
     firsts = (
         checked.where("sound")
@@ -101,32 +115,53 @@ def top_documents(entries: DataFrame, limit: int = 12) -> DataFrame:
     return ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
 
 
-def budgeted_payload(
-    documents: DataFrame, max_document: int = 30_000, max_repository: int = 120_000
-) -> DataFrame:
-    """Cut each repository's documents, in ``rank`` order, to the character budgets.
+def payload_limits(documents: DataFrame, store: DataFrame, max_document: int = 30_000, max_repository: int = 120_000) -> DataFrame:
+    """Documents within their repository's budget, with the characters each may take in ``limit``.
 
-    Used so far is a running sum of capped lengths, so the remainder needs no loop. Only lengths
-    are summed; bodies are cut in place.
+    Used so far is a running sum of capped lengths, so the remainder needs no loop. Lengths come
+    from the store; no body is read.
     """
-    capped = F.least(F.length("content"), F.lit(max_document)).cast("bigint")
+    lengths = store.select("sha", "n_chars")
+    sized = attach(documents, lengths, ["sha"], how="inner")
     # A document that does not fit takes exactly what is left, and an empty one ends the list.
-    sized = documents.withColumns({"__capped": capped, "__empty": (F.length("content") == 0).cast("bigint")})
-    keys = sized.select(*REPOSITORY_KEY, "rank", "__capped", "__empty")
+    capped = F.least(F.col("n_chars"), F.lit(max_document)).cast("bigint")
+    keyed = materialize(sized.withColumns({"__capped": capped, "__empty": (F.col("n_chars") == 0).cast("bigint")}))
     summed = running(
-        keys, REPOSITORY_KEY, ["rank"], {"__used": F.col("__capped"), "__stops": F.col("__empty")}
-    ).select(*REPOSITORY_KEY, "rank", "__used", "__stops")
+        keyed.select(*REPOSITORY_KEY, "rank", "__capped", "__empty"),
+        REPOSITORY_KEY, ["rank"], {"__used": F.col("__capped"), "__stops": F.col("__empty")},
+    ).select(*REPOSITORY_KEY, "rank", "__used", "__stops")
     remaining = F.lit(max_repository) - (F.col("__used") - F.col("__capped"))
-    limit = F.least(F.lit(max_document).cast("bigint"), remaining).cast("int")
     return (
-        sized.drop("__empty")
-        .join(summed, [*REPOSITORY_KEY, "rank"])
+        keyed.join(summed, [*REPOSITORY_KEY, "rank"])
         .where((F.col("__stops") == 0) & (remaining > 0))
-        .withColumn("content", excerpt("content", limit))
-        .drop("__capped", "__used", "__stops")
+        .withColumn("limit", F.least(F.lit(max_document).cast("bigint"), remaining).cast("int"))
+        .drop("n_chars", "__capped", "__empty", "__used", "__stops")
     )
 
 
+def budgeted_payload(
+    documents: DataFrame, store: DataFrame, max_document: int = 30_000, max_repository: int = 120_000, min_rows: int | None = None
+) -> DataFrame:
+    """Cut each repository's documents, in ``rank`` order, to the character budgets; adds ``content``.
+
+    ``documents``: ``repository, revision, rank, sha`` and more; ``store``: see
+    :mod:`gleanwork.sources.content_store`. Limits move to the bodies, which are cut where they
+    lie. A body that very many documents share is cut once per limit, and the cuts are dealt to
+    the documents by salted keys.
+    """
+    limits = materialize(payload_limits(documents, store, max_document, max_repository))
+    bodies = store.select("sha", "content")
+    heavy = materialize(heavy_keys(limits, ["sha"], min_rows)).select(F.col("__key").alias("sha"))
+    shared = limits.join(F.broadcast(heavy), "sha", "left_semi")
+    rest = limits.join(F.broadcast(heavy), "sha", "left_anti")
+    own = bodies.join(rest, "sha").withColumn("content", excerpt("content", F.col("limit")))
+    pairs = shared.select("sha", "limit").distinct()
+    cuts = bodies.join(pairs, "sha").select("sha", "limit", excerpt("content", F.col("limit")).alias("cut"))
+    dealt = attach(shared, cuts, ["sha", "limit"], how="inner", min_rows=min_rows).withColumnRenamed("cut", "content")
+    columns = [*documents.columns, "content"]
+    return own.select(*columns).unionByName(dealt.select(*columns))
+
+
 def payload_documents(documents: DataFrame) -> DataFrame:
     """One label-free JSON document per budgeted file, for blind review."""
     return documents.select(

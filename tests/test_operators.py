@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import json
 import random
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.functions import labels, terms
 from gleanwork.operators import attempts, costs, dedup, evaluate, evidence, files, quota, review, sampling
-from gleanwork.sources import readers
+from gleanwork.sources import content_store, readers
 
 CANDIDATE = "name string, lastCommitSHA string, markdown_path string, content_sha256 string, blob_sha string, status string"
 
@@ -127,10 +128,24 @@ def test_candidate_contents_become_rows(spark):
 # ---------------------------------------------------------------- evidence
 
 
-def test_evidence_verification(spark):
-    contents = spark.createDataFrame(
-        [("r", "1", "A.md", "one two three"), ("r", "1", "docs/B.md", "four\nfive")],
-        "repository string, revision string, path string, content string",
+def stored(spark, tmp_path, bodies):
+    """A content store of some bodies, and the sha of each."""
+    shas = {body: hashlib.sha256(body.encode()).hexdigest()[:40] for body in bodies}
+    rows_ = [(sha, body) for body, sha in shas.items()] * 2 + [(None, "x"), ("gone", None)]
+    return content_store.write_contents(spark.createDataFrame(rows_, "sha string, content string"), str(tmp_path / "store"), 3), shas
+
+
+def exchanged(df):
+    """Columns that any exchange of the plan carries."""
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return {c.partition("#")[0] for columns in re.findall(r"\(\d+\) \w*Exchange[^\n]*\nInput \[\d+\]: \[(.*?)\]", text) for c in columns.split(", ")}
+
+
+def test_evidence_verification(spark, tmp_path):
+    store, shas = stored(spark, tmp_path, ["one two three", "four\nfive"])
+    files_ = spark.createDataFrame(
+        [("r", "1", "A.md", shas["one two three"]), ("r", "1", "docs/B.md", shas["four\nfive"]), ("r", "1", "D.md", "gone"), ("r", "1", "E.md", None)],
+        "repository string, revision string, path string, sha string",
     )
     claims = [
         ("A.md", "absent"),
@@ -142,17 +157,19 @@ def test_evidence_verification(spark):
         ("C.md", "x"),
         ("", "x"),
         ("A.md", ""),
+        ("D.md", "x"),
+        ("E.md", "x"),
     ]
     results = spark.createDataFrame(
         [("r", "1", json.dumps([{"path": p, "quote": q} for p, q in claims]))],
         "repository string, revision string, evidence_json string",
     )
-    verified = evidence.verify_evidence(evidence.evidence_items(results), contents)
+    verified = evidence.verify_evidence(evidence.evidence_items(results), files_, store)
     reasons = [r["reason"] for r in verified.orderBy("item_index").collect()]
     duplicate = "path duplicates another verified evidence item"
     assert reasons == [
         "quote is not an exact substring of the file", None, duplicate, duplicate, None,
-        "path resolves outside repository", "path is not a file", "path is empty", "quote is empty",
+        "path resolves outside repository", "path is not a file", "path is empty", "quote is empty", "path is not a file", "path is not a file",
     ]
     for status, expected in (("pass", "review"), ("not_found", "review")):
         answer = spark.createDataFrame([("r", "1", status)], "repository string, revision string, status string")
@@ -162,6 +179,34 @@ def test_evidence_verification(spark):
     assert evidence.evidence_verdict(answer, clean).first()["status"] == "pass"
 
 
+def test_bodies_stay_in_their_buckets(spark, tmp_path):
+    store, shas = stored(spark, tmp_path, [f"body {i} " * 9 for i in range(50)])
+    asked = spark.createDataFrame([(sha, f"body {i} body", str(i)) for i, sha in enumerate(shas.values())], "sha string, quote string, quote_id string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = evidence.quotes_found(asked, store)
+        assert "quote" in exchanged(found) and "content" not in exchanged(found)
+        assert {r["quote_found"] for r in found.collect()} == {True} and found.count() == 50
+        docs = spark.createDataFrame([("r", str(i % 3), i, sha) for i, sha in enumerate(shas.values())], "repository string, revision string, rank int, sha string")
+        cut = evidence.budgeted_payload(docs, store, 30, 400)
+        assert "limit" in exchanged(cut) and "content" not in exchanged(cut)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_store_takes_new_bodies_and_is_found_again(spark, tmp_path):
+    store, shas = stored(spark, tmp_path, ["one", "two"])
+    assert rows(store, "content", "n_chars") == [("one", 3), ("two", 3)]
+    more = spark.createDataFrame([(shas["two"], "two"), ("new", "three"), ("new", "three"), (None, "x")], "sha string, content string")
+    content_store.add_contents(more, str(tmp_path / "store"))
+    spark.sql(f"DROP TABLE {content_store._name(str(tmp_path / 'store'))}")
+    again = content_store.open_contents(spark, str(tmp_path / "store"))
+    assert rows(again, "content") == [("one",), ("three",), ("two",)]
+    assert content_store.bucket_count(spark, str(tmp_path / "store")) == 3
+    with pytest.raises(ValueError, match="no content store"):
+        content_store.open_contents(spark, str(tmp_path / "nothing"))
+
+
 def python_payload(bodies, per_document, per_repository):
     from test_functions import python_excerpt
 
@@ -175,15 +220,20 @@ def python_payload(bodies, per_document, per_repository):
     return kept
 
 
-def test_payload_budget_matches_the_loop(spark):
+@pytest.mark.parametrize("heavy", [None, 3])
+def test_payload_budget_matches_the_loop(spark, tmp_path, heavy):
     rng = random.Random(3)
     repositories = {
         f"r{i}": ["".join(rng.choices("ab\n", k=rng.choice([0, 3, 40, 90, 200, 400]))) for _ in range(rng.randint(1, 9))]
         for i in range(40)
     }
-    data = [(r, "1", k, f"p{k}", body) for r, bodies in repositories.items() for k, body in enumerate(bodies)]
-    df = spark.createDataFrame(data, "repository string, revision string, rank int, path string, content string")
-    got = evidence.budgeted_payload(df, 150, 420).collect()
+    # One body is shared by many documents.
+    for bodies in list(repositories.values())[::2]:
+        bodies.insert(1, "shared body " * 20)
+    store, shas = stored(spark, tmp_path, {body for bodies in repositories.values() for body in bodies})
+    data = [(r, "1", k, f"p{k}", shas[body]) for r, bodies in repositories.items() for k, body in enumerate(bodies)]
+    df = spark.createDataFrame(data, "repository string, revision string, rank int, path string, sha string")
+    got = evidence.budgeted_payload(df, store, 150, 420, min_rows=heavy).collect()
     for name, bodies in repositories.items():
         mine = [r["content"] for r in sorted((r for r in got if r["repository"] == name), key=lambda r: r["rank"])]
         assert mine == python_payload(bodies, 150, 420), name
