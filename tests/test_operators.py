@@ -576,13 +576,16 @@ def test_packing_equals_the_greedy_loop(spark, segment, seed):
 
 
 def loop_names(bases, used):
-    taken, out = {u.lower() for u in used}, []
+    """Names only ever get taken, so the search for a base's next name goes on where it last ended."""
+    taken, out, tried = {u.lower() for u in used}, [], {}
     for base in bases:
-        stem, dot, ext = base.rpartition(".")
-        number, name = 1, base
+        stem, dot, ext = base.rpartition(".") if "." in base else (base, "", "")
+        number = tried.get(base.lower(), 1)
+        name = f"{stem}__{number}{dot}{ext}" if number > 1 else base
         while name.lower() in taken:
             number += 1
             name = f"{stem}__{number}{dot}{ext}"
+        tried[base.lower()] = number
         taken.add(name.lower())
         out.append(name)
     return out
@@ -652,10 +655,42 @@ def test_upgrade_checklist(spark):
         readers.upgrade_checklist(old.drop("file"))
 
 
-def test_one_large_mixed_family_is_numbered_quickly():
-    files = ["a.md", "a__2.md"] * 50_000
-    given = review.free_numbers(files, set())
-    stems = ("a", "a__2")
-    names = [f"{stems[k % 2]}__{n}.md" if n > 1 else f"{stems[k % 2]}.md" for k, n in enumerate(given)]
-    assert len(set(names)) == len(files)
-    assert given[:6] == [1, 1, 3, 2, 4, 3]
+def test_threshold_tables_equal_their_steps():
+    rng = random.Random(6)
+    for size in (0, 1, 2, 5, 30):
+        for _ in range(40):
+            steps = [rng.choice([rng.randint(-6, 12), review.NEVER]) for _ in range(size)]
+            table = review.threshold_table(steps)
+            assert table == sorted(set(table)) and len(table) == size
+            for start in range(-10, 20):
+                u = start
+                for c in steps:
+                    u += u < c
+                assert u - start == sum(d >= start for d in table)
+
+
+@pytest.mark.parametrize("block", [1, 3, 20_000])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_mixed_families_equal_the_probe_loop_in_any_blocks(spark, seed, block):
+    rng = random.Random(seed)
+    pool = ["a.md"] * 6 + [f"a__{n}.md" for n in range(2, 14)] + ["a__2__2.md", "a__2__3.md", "a__3__2__2.md", "a__3__2.md", "A__4.MD", "a__01.md", "a__1.md", "a", "a__2"]
+    paths_ = [rng.choice(pool) for _ in range(90)]
+    used = ["o--r/a__5.md", "o--r/a__9.md", "o--r/a__2__3.md", "o--r/A__3__2.md", "o--r/a__40.md"] + ["o--r/a.md"] * (seed == 2)
+    df = spark.createDataFrame([(i, "o/r", p) for i, p in enumerate(paths_)], "i int, name string, markdown_path string")
+    taken = spark.createDataFrame([(u,) for u in used], "file string")
+    got = review.unused_filenames(df, taken, ["i"], ["i"], block_rows=block).orderBy("i").collect()
+    assert [r["file"] for r in got] == loop_names([f"o--r/{p}" for p in paths_], used)
+
+
+def test_one_large_mixed_family_is_numbered_in_blocks(spark):
+    """100,000 names of one family: half of them one base, the others each a numbered form of it."""
+    n = 50_000
+    numbers = spark.range(2 * n).select(
+        (F.col("id") * 7919 % (2 * n)).alias("i"),
+        F.lit("o/r").alias("name"),
+        F.when(F.col("id") % 2 == 0, F.lit("a.md")).otherwise(F.concat(F.lit("a__"), F.expr("string(id DIV 2 + 2)"), F.lit(".md"))).alias("markdown_path"),
+    )
+    got = review.unused_filenames(numbers, spark.createDataFrame([], "file string"), ["i"], ["i"], block_rows=5_000)
+    have = [r["file"] for r in got.orderBy("i").select("file").collect()]
+    assert have == loop_names([f"o--r/{r['markdown_path']}" for r in numbers.orderBy("i").collect()], [])
+
