@@ -89,17 +89,22 @@ def fill(ngrams: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return np.packbits(out, bitorder="little")
 
 
+def joined(segments: list[tuple[int, bytes]]) -> tuple[list[tuple[int, int]], bytes]:
+    """(segment, bytes) in order, and all bits in one piece: what a worker reads without a copy of its own."""
+    return [(number, len(raw)) for number, raw in segments], b"".join(raw for _, raw in segments)
+
+
 class Filter:
     """Segments of a filter that one worker holds; n-grams of other segments read as level 0."""
 
-    def __init__(self, segments: list[tuple[int, bytes]], total: int) -> None:
+    def __init__(self, lot: tuple[list[tuple[int, int]], bytes], total: int) -> None:
         self.total = total
         self.start, self.size = np.zeros(total, np.int64), np.zeros(total, np.uint64)
         at = 0
-        for number, raw in segments:
-            self.start[number], self.size[number] = at, len(raw) * 8
-            at += len(raw)
-        self.bytes = np.frombuffer(b"".join(raw for _, raw in segments), np.uint8)
+        for number, length in lot[0]:
+            self.start[number], self.size[number] = at, length * 8
+            at += length
+        self.bytes = np.frombuffer(lot[1], np.uint8)
 
     def levels(self, ngrams: np.ndarray) -> np.ndarray:
         out = np.zeros(len(ngrams), np.uint8)
@@ -204,11 +209,11 @@ def _built(group: pa.Table) -> pa.Table:
 
 
 class Model:
-    """What scoring needs: unigram counts, the filter's segments, and the totals."""
+    """What scoring needs: unigram counts, the filter's segments, the totals, and the number of texts (each begins and ends once)."""
 
-    def __init__(self, unigrams: DataFrame, segments: DataFrame, total: int, tokens: int, distinct: int) -> None:
+    def __init__(self, unigrams: DataFrame, segments: DataFrame, total: int, tokens: int, distinct: int, texts: int) -> None:
         self.unigrams, self.segments, self.total = unigrams, segments, total
-        self.tokens, self.distinct = tokens, distinct
+        self.tokens, self.distinct, self.texts = tokens, distinct, texts
 
 
 def train(texts: DataFrame) -> Model:
@@ -216,8 +221,8 @@ def train(texts: DataFrame) -> Model:
 
     An empty table gives a model without tokens: every count is 0.
     """
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    total = max(1, size // SEGMENT_BYTES)
+    size, count = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    total = max(1, (size or 0) // SEGMENT_BYTES)
     segments = materialize(
         texts.select("text")
         .mapInArrow(_counted(total), PACKED)
@@ -231,7 +236,7 @@ def train(texts: DataFrame) -> Model:
         F.coalesce(F.sum(F.reduce("counts", F.lit(0).cast("bigint"), lambda a, b: a + b)), F.lit(0)),
         F.coalesce(F.sum(F.size("counts")), F.lit(0)),
     ).first()
-    return Model(unigrams, segments, total, int(tokens), int(distinct))
+    return Model(unigrams, segments, total, int(tokens), int(distinct), count)
 
 
 def _shard_count(model: Model, shard_bytes: int) -> int:
@@ -239,18 +244,18 @@ def _shard_count(model: Model, shard_bytes: int) -> int:
     return max(1, min(model.total, -(-size // shard_bytes)))
 
 
-def _shard(model: Model, k: int, count: int) -> list[tuple[int, bytes]]:
+def _shard(model: Model, k: int, count: int) -> tuple[list[tuple[int, int]], bytes]:
     """The segments of one of ``count`` lots."""
     rows = model.segments.where(F.col("segment") % count == k).select("segment", "bits").collect()
-    return [(r["segment"], bytes(r["bits"])) for r in rows]
+    return joined([(r["segment"], r["bits"]) for r in rows])
 
 
 REST = "array<struct<ngram:bigint,n:int>>"
 
 
-def _levels(rows: DataFrame, segments: list[tuple[int, bytes]], total: int) -> DataFrame:
+def _levels(rows: DataFrame, lot: tuple[list[tuple[int, int]], bytes], total: int) -> DataFrame:
     """``rows`` (with text and levels so far) with the levels that one shard adds, one byte an n-gram."""
-    shared = rows.sparkSession.sparkContext.broadcast(segments)
+    shared = rows.sparkSession.sparkContext.broadcast(lot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held = WordHashes(), Filter(shared.value, total)
@@ -299,7 +304,9 @@ def score_texts(docs: DataFrame, model: Model, keep: list[Column], known: int =
     Repeated rows come back as often as given; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(most_frequent(model.unigrams, "ngram", known))
+    frequent = np.array(most_frequent(model.unigrams, "ngram", known), np.int64).reshape(-1, 2)
+    frequent = frequent[np.argsort(frequent[:, 0].view(np.uint64))]
+    shared = spark.sparkContext.broadcast((frequent[:, 0].view(np.uint64).copy(), frequent[:, 1].astype(np.float64)))
     complete = model.distinct <= known
     tokens, distinct = model.tokens, model.distinct
     rows = docs.select(
@@ -310,16 +317,12 @@ def score_texts(docs: DataFrame, model: Model, keep: list[Column], known: int =
         rows = materialize(_levels(rows, _shard(model, k, shards), model.total))
     last = spark.sparkContext.broadcast(_shard(model, shards - 1, shards))
     total = model.total
-    # Texts begin as often as they end.
-    start_row = next((n for h, n in shared.value if h == int(END.view(np.int64))), 0)
-    start_level = float(count_of(level_of(np.array([start_row])))[0])
+    start_level = float(count_of(level_of(np.array([model.texts])))[0])
     names = [f.name for f in rows.schema.fields if f.name not in ("text", "levels")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held = WordHashes(), Filter(last.value, total)
-        table = np.array(shared.value, np.int64).reshape(-1, 2)
-        order = np.argsort(table[:, 0].view(np.uint64))
-        keys, counts = table[order, 0].view(np.uint64), table[order, 1].astype(np.float64)
+        keys, counts = shared.value
         scale = math.log10(tokens + distinct + 1)
         unknown = pa.list_(pa.struct([("ngram", pa.int64()), ("n", pa.int32())]))
         for batch in slices(batches, 500):

@@ -605,7 +605,17 @@ def test_filter_keeps_every_level_and_errs_rarely():
     random_ = np.random.default_rng(1)
     grams = random_.integers(0, 2**63, 20_000).astype(np.uint64)
     levels = random_.integers(1, 6, 20_000)
-    held = language_model.Filter([(0, language_model.fill(grams, levels).tobytes())], 1)
+    held = language_model.Filter(language_model.joined([(0, language_model.fill(grams, levels).tobytes())]), 1)
     read = held.levels(grams)
     assert (read >= levels).all() and (read > levels).mean() < 0.05
     assert (held.levels(random_.integers(0, 2**63, 20_000).astype(np.uint64)) > 0).mean() < 0.05
+
+
+def test_scores_do_not_depend_on_the_known_tokens(spark):
+    docs = spark.createDataFrame([(i, prose(i, 40)) for i in range(6)] + [(6, ""), (7, None)], "doc_id bigint, text string")
+    model = language_model.train(docs)
+    assert model.texts == 8
+    scores = [
+        {r["doc_id"]: r["score"] for r in language_model.score_texts(docs, model, [F.col("doc_id")], known=known).collect()} for known in (1, 3, 10_000)
+    ]
+    assert scores[0] == scores[1] == scores[2]
