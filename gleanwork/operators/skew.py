@@ -51,15 +51,20 @@ def attach(
     how: str = "left",
     salts: int | None = None,
     min_rows: int | None = None,
+    heavy_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``rows`` to at most one row of ``facts`` per key, salting the heavy keys.
 
     Rows of a heavy key spread over ``salts`` tasks and its one fact is repeated for each. The list
     of heavy keys is stored once and read by both sides, so that they always agree on the salts; a
-    missed or extra key costs balance, never a row. ``rows`` is read for the list and for the join.
+    missed or extra key costs balance, never a row. ``rows`` is read for the list and for the join;
+    where it is costly to make, ``heavy_of`` has narrow rows with (most of) the same keys, and
+    ``rows`` is read once. Null keys match nothing and are spread too.
     """
     salts = salts or wide_partitions(rows.sparkSession)
-    heavy = F.broadcast(materialize(heavy_keys(rows, on, min_rows)))
+    blank = rows.sparkSession.range(1).select(F.lit("").alias("__key"), F.lit(True).alias("__heavy"))
+    found = heavy_keys(rows if heavy_of is None else heavy_of, on, min_rows).where("__key != ''").unionByName(blank)
+    heavy = F.broadcast(materialize(found))
     spread = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns)), F.lit(salts))
     salted_rows = (
         rows.withColumn("__key", _key(on))

@@ -9,7 +9,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from gleanwork.functions import labels, terms
-from gleanwork.operators import attempts, costs, dedup, evaluate, evidence, files, quota, review, sampling
+from gleanwork.operators import attempts, costs, dedup, evaluate, evidence, files, quota, review, sampling, skew
+from gleanwork.session import materialize
 from gleanwork.sources import content_store, readers
 
 CANDIDATE = "name string, lastCommitSHA string, markdown_path string, content_sha256 string, blob_sha string, status string"
@@ -639,6 +640,21 @@ def test_merge_keeps_annotated_and_refreshes_current(spark):
     ]
 
 
+def test_a_merge_makes_one_outer_join(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MIN_HEAVY_ROWS", 2)
+    jobs = []
+    monkeypatch.setattr(skew, "materialize", lambda df: jobs.append(df) or materialize(df))
+    old = [("a/x", f"f{i}", f"u{i}", "o", "pass", "pass" if i == 0 else "", "", "", "", "") for i in range(40)]
+    existing = spark.createDataFrame(old, CHECKLIST).withColumn("position", F.monotonically_increasing_id())
+    new = [("a/x" if i < 40 else "b/y", f"g{i}", f"u{i}", "pass") for i in range(20, 70)]
+    current = spark.createDataFrame(new, "repository string, file string, github_url string, llm_decision string").withColumn("position", F.monotonically_increasing_id())
+    merged = review.merge_checklist(existing, current, "n")
+    joins = [df._jdf.queryExecution().analyzed().toString().count("Join FullOuter") for df in [*jobs, merged]]
+    assert joins == [0, 1]
+    assert "a/x" in {r["__key"] for df in jobs for r in df.collect()}
+    assert rows(merged, "github_url") == sorted([(f"u{i}",) for i in range(70)], key=repr)
+
+
 def test_review_outcomes(spark):
     checklist = spark.createDataFrame(
         [("a", "f1", "pass", ""), ("a", "f2", "pass", "f1"), ("b", "f3", "not_found", "")],
