@@ -11,8 +11,9 @@ from gleanwork.functions import paths
 from gleanwork.functions.labels import final_origin
 from gleanwork.functions.text import strip
 from gleanwork.operators.attempts import TERMINAL_SCREENINGS
-from gleanwork.operators.quota import rejected
+from gleanwork.operators.quota import allowlist_names
 from gleanwork.operators.skew import attach
+from gleanwork.session import materialize
 
 # Population rules.
 REPOSITORY_PATTERN = r"^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+$"
@@ -377,39 +378,98 @@ def final_bundle(
     allowlist: DataFrame,
     baseline: DataFrame,
 ) -> DataFrame:
-    """Every invariant of the published bundle.
+    """Every invariant of the published bundle, with one scan of each input.
 
+    All rules become entries (rule, key) of the rows and are counted by one aggregate; only the
+    revisions that URLs pin are then compared by a join, of what was counted.
     ``selected``: ``repository, revision, sampling_language, license_name, origin``; ``files`` and
     ``accepted``: accepted checklist rows (``repository, file, github_url`` / ``repository, origin``).
     """
-    rows = selected.withColumn("final_origin", final_origin("origin")).withColumn("name", F.lower(strip("repository")))
-    named = accepted.select(F.lower(strip("repository")).alias("name"), F.col("origin").alias("final_origin"))
-    configured = baseline.select(F.lower(strip("repository")).alias("name"))
-    total = targets.agg(F.sum("target").alias("__target")).withColumn("__one", F.lit(1))
-    count = rows.agg(F.count("*").alias("__n")).withColumn("__one", F.lit(1))
-    wrong_total = total.join(count, "__one").where(F.col("__target") != F.col("__n"))
-    return union_all(
-        violations(wrong_total, "repository_count", F.lit("total"), "__n"),
-        provisional_selection(selected, targets),
-        violations(rejected(rows, allowlist), "license_not_allowed", "name", "license_name"),
-        _broken(
-            rows,
-            F.col("name"),
-            {
-                "revision_format": (strip("revision").rlike(COMMIT_PATTERN), F.col("revision")),
-                "unknown_origin": (F.col("final_origin").isNotNull(), F.col("origin")),
-            },
-        ),
-        unique_keys(files, "file", "file"),
-        unique_keys(files, "github_url", "github_url"),
-        set_difference(
-            rows.where(F.col("final_origin").isNotNull()), named, ["name", "final_origin"], "accepted_set"
-        ),
-        set_difference(
-            rows.where(F.col("final_origin") == "baseline"), configured, ["name"], "baseline_set"
-        ),
-        review_revisions(files, rows),
+    entries = union_all(
+        _selected_entries(selected, allowlist),
+        *_reviewed_entries(files, accepted),
+        _counted(baseline, [("baseline_set", F.lower(strip("repository")))], "right"),
+        _counted(targets, [("quota_mismatch", F.col("language")), ("repository_count", F.lit("total"))], "target", F.col("target")),
+    )
+    # The only exchange of the inputs; what comes out is one narrow row per rule and key.
+    found = materialize(
+        entries.groupBy("rule", "key", "detail", "value").agg(
+            F.sum("left").alias("left"), F.sum("right").alias("right"), F.sum("target").alias("target")
+        )
+    )
+    n, reviewed = F.coalesce("left", F.lit(0)), F.coalesce("right", F.lit(0))
+    one_sided = F.col("left").isNull() | F.col("right").isNull()
+    side = F.when(F.col("right").isNull(), "left_only").otherwise("right_only")
+    unique = F.when(F.col("key") == "", F.concat("rule", F.lit("_blank"))).otherwise(F.concat("rule", F.lit("_duplicate")))
+    rule = F.col("rule")
+    counted = union_all(
+        violations(found.where((rule == "repository_count") & (F.col("target") != n)), rule, "key", n),
+        violations(found.where((rule == "quota_mismatch") & (F.coalesce("target", F.lit(-1)) != n)), rule, "key", n),
+        violations(found.where((rule == "duplicate_selected") & (n > 1) & (F.col("key") != "")), rule, "key", n),
+        violations(found.where(rule.isin("accepted_set", "baseline_set") & one_sided), rule, "key", side),
+        violations(found.where(rule.isin("file", "github_url") & ((F.col("key") == "") | (reviewed > 1))), unique, "key", reviewed),
     )
+    # Rules of single rows, as often as the row occurs.
+    rows = found.where(rule.isin("license_not_allowed", "revision_format", "unknown_origin"))
+    revisions = found.where(rule == "selected_revision").select("key", F.col("value").alias("__revision"))
+    pinned = attach(found.where(rule == "revision_mismatch"), revisions, ["key"], how="inner")
+    wrong = pinned.where(~F.coalesce(F.col("value") == F.col("__revision"), F.lit(False)))
+    each = rows.unionByName(wrong.drop("__revision")).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), n + reviewed)))
+    return counted.unionByName(violations(each, rule, "key", "detail"))
+
+
+def _entry(rule: str, key: Column, detail: Column | None = None, value: Column | None = None) -> Column:
+    none = F.lit(None).cast("string")
+    parts = (F.lit(rule), key, none if detail is None else detail, none if value is None else value)
+    return F.struct(*(c.cast("string").alias(n) for c, n in zip(parts, ("rule", "key", "detail", "value"), strict=True)))
+
+
+def _counts(rows: DataFrame, entries: Column, side: str, amount: Column | None = None) -> DataFrame:
+    """One row per entry of each row, with 1 (or ``amount``) on its side."""
+    one = F.lit(1) if amount is None else amount
+    sides = [(one if s == side else F.lit(None)).cast("bigint").alias(s) for s in ("left", "right", "target")]
+    return rows.select(F.explode(F.array_compact(entries)).alias("e"), *sides).select("e.*", "left", "right", "target")
+
+
+def _counted(rows: DataFrame, keys: list[tuple[str, Column]], side: str, amount: Column | None = None) -> DataFrame:
+    return _counts(rows, F.array(*(_entry(rule, key) for rule, key in keys)), side, amount)
+
+
+def _selected_entries(selected: DataFrame, allowlist: DataFrame) -> DataFrame:
+    """What each selected repository says about every rule."""
+    names = allowlist_names(allowlist).select(F.col("license_name").alias("__license"), F.lit(True).alias("__allowed"))
+    rows = selected.withColumn("__license", strip("license_name")).join(names, "__license", "left")
+    name, origin = F.lower(strip("repository")), final_origin("origin")
+    revision = strip("revision")
+    entries = F.array(
+        _entry("repository_count", F.lit("total")),
+        _entry("quota_mismatch", F.col("sampling_language")),
+        _entry("duplicate_selected", name),
+        _entry("selected_revision", name, None, revision),
+        F.when(origin.isNotNull(), _entry("accepted_set", F.concat_ws("@", name, origin))),
+        F.when(origin == "baseline", _entry("baseline_set", name)),
+        F.when(F.col("__allowed").isNull(), _entry("license_not_allowed", name, F.col("license_name"))),
+        F.when(~F.coalesce(revision.rlike(COMMIT_PATTERN), F.lit(False)), _entry("revision_format", name, F.col("revision"))),
+        F.when(origin.isNull(), _entry("unknown_origin", name, F.col("origin"))),
+    )
+    return _counts(rows, entries, "left")
+
+
+def _reviewed_entries(files: DataFrame, accepted: DataFrame) -> list[DataFrame]:
+    """Names and URLs of reviewed files with the revisions the URLs pin, and accepted repositories.
+
+    One frame when both are the same table.
+    """
+    name = F.lower(strip("repository"))
+    of_file = [
+        _entry("file", F.coalesce(F.col("file").cast("string"), F.lit(""))),
+        _entry("github_url", F.coalesce(F.col("github_url").cast("string"), F.lit(""))),
+        _entry("revision_mismatch", name, F.col("github_url"), paths.url_revision("github_url", strip("repository"))),
+    ]
+    of_repository = [_entry("accepted_set", F.concat_ws("@", name, "origin"))]
+    if files is accepted:
+        return [_counts(files, F.array(*of_file, *of_repository), "right")]
+    return [_counts(files, F.array(*of_file), "right"), _counts(accepted, F.array(*of_repository), "right")]
 
 
 def review_revisions(files: DataFrame, selected: DataFrame) -> DataFrame:

@@ -1,9 +1,12 @@
+import re
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from gleanwork.operators import gates, publish
 from gleanwork.plans import collection
+from gleanwork.session import materialize
 
 POPULATION = (
     "name string, lastCommitSHA string, lastCommit string, mainLanguage string, stargazers string, totalIssues string, "
@@ -162,6 +165,28 @@ def test_every_broken_invariant_stops_the_bundle(spark, change, message):
     assert message in str(caught.value)
 
 
+def test_the_bundle_gate_scans_each_input_once(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(gates, "materialize", lambda df: seen.append(df) or materialize(df))
+    inputs = bundle(spark, selected=[GOOD_BASE, GOOD_NEW, ("O/new", R2, "Go", "X", "odd", 5), ("O/new", R2, "Go", "X", "odd", 6)])
+    tables = {k: inputs[k] for k in ("selected", "targets", "allowlist", "baseline")}
+    new = inputs["checklists"]["new"].withColumn("origin", F.lit("new"))
+    tables["files"] = new.unionByName(new.withColumns({"file": F.lit(None).cast("string"), "github_url": F.lit("https://github.com/o/new/blob/x/y.md")}))
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    found = gates.final_bundle(tables["selected"], tables["files"], tables["files"], tables["targets"], tables["allowlist"], tables["baseline"])
+    (entries,) = seen
+    scans = re.findall(r"Scan parquet", entries._jdf.queryExecution().executedPlan().toString())
+    assert len(scans) == len(tables)
+    assert rows(found) == sorted([
+        ("repository_count", "total", "4"), ("quota_mismatch", "Go", "2"), ("duplicate_selected", "o/new", "3"),
+        ("accepted_set", "o/base@baseline", "left_only"), ("file_blank", "", "1"),
+        ("license_not_allowed", "o/new", "X"), ("license_not_allowed", "o/new", "X"), ("unknown_origin", "o/new", "odd"), ("unknown_origin", "o/new", "odd"),
+        *[("revision_mismatch", "o/new", "https://github.com/o/new/blob/x/y.md")],
+    ], key=repr)
+
+
 def test_settings_gates(spark):
     def settings(**values):
         return publish.settings_table(spark, values)
