@@ -301,7 +301,8 @@ def judge(
     kept; another is, unless it has ``min_words`` words and lies beyond ``word_limit``, or
     ``min_chars`` characters and lies beyond ``class_limit``. Null text is empty and fails;
     distances of texts without words are null; repeated rows are judged each for itself. An
-    empty table gives no rows. Labels only decide which texts describe a language.
+    empty table gives no rows. A text whose label names a language that too few words describe is
+    not judged by distances, since it is near none. Labels have no other part in a verdict.
     """
     shares = common_words(docs, least=least_reference, text=text, lang=lang)
     vocabulary = sorted({word for words in shares.values() for word in words})
@@ -314,7 +315,8 @@ def judge(
     n_chars = F.aggregate("classes", F.lit(0).cast("bigint"), lambda a, n: a + n)
     far_words = (F.col("n_words") >= min_words) & (F.col("__near.word_distance") > word_limit)
     far_classes = (n_chars >= min_chars) & (F.col("__near.class_distance") > class_limit)
-    far = F.coalesce(far_words, F.lit(False)) | F.coalesce(far_classes, F.lit(False))
+    described = F.col("language").isin("", *shares) | F.lit("" in shares)
+    far = described & (F.coalesce(far_words, F.lit(False)) | F.coalesce(far_classes, F.lit(False)))
     return near.select(
         *names,
         F.col("__near.language").alias("nearest_language"),

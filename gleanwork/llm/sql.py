@@ -230,7 +230,8 @@ judged AS (
   FROM counted c LEFT JOIN repeated USING (k) LEFT JOIN near USING (k))
 SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT coalesce(n_words >= 50 AND near.w > 0.42, false) AND NOT coalesce(n_chars >= 200 AND near.c > 0.28, false) AS kept
+       NOT base_failed AND (language <> '' AND language NOT IN (SELECT language FROM totals)
+         OR NOT coalesce(n_words >= 50 AND near.w > 0.42, false) AND NOT coalesce(n_chars >= 200 AND near.c > 0.28, false)) AS kept
 FROM judged
 """
 

@@ -82,7 +82,8 @@ def brute_force(rows, size, least):
         shares = {w: n / totals[lang] for w, n in top}
         known[lang] = (shares | {"": 1 - sum(shares.values())}, {k: n / sum(sums[lang]) for k, n in enumerate(sums[lang])})
     out = []
-    for i, text, *_ in rows:
+    for row in rows:
+        i, text = row[:2]
         n, *_, repeated = measures = plain_measures(text)
         words = Counter(w.lower() for w in re.findall(r"[^\x20\x09-\x0D]+", text or ""))
         near = []
@@ -91,7 +92,8 @@ def brute_force(rows, size, least):
             near.append((distance(p | {"": 1 - sum(p.values())}, shares), distance({k: c / max(1, len(text or "")) for k, c in enumerate(classes(text or ""))}, own)))
         d = min(near) if n and near else None
         failed = n < 50 or 100 * repeated > 50 * n
-        far = d is not None and (n >= 50 and d[0] > rules.WORD_LIMIT or len(text) >= 200 and d[1] > rules.CLASS_LIMIT)
+        described = not row[2] or row[2] in known
+        far = described and d is not None and (n >= 50 and d[0] > rules.WORD_LIMIT or len(text) >= 200 and d[1] > rules.CLASS_LIMIT)
         out.append((i, *measures, d, failed, not failed and not far))
     return out
 
@@ -130,6 +132,14 @@ def test_short_texts_are_not_judged_by_histograms(spark):
     assert row["kept"] and row["word_distance"] > rules.WORD_LIMIT
 
 
+def test_a_language_that_few_words_describe_is_not_judged(spark):
+    _, docs = corpus(spark)
+    rare = " ".join(f"слово{k} и" for k in range(60))
+    more = docs.select("text", "lang").unionByName(spark.createDataFrame([(rare, "ru"), (rare + " ", "en")], "text string, lang string"))
+    verdict = {r["text"]: r for r in rules.judge(more, [F.col("text")], least_reference=500).collect()}
+    assert verdict[rare]["kept"] and verdict[rare]["word_distance"] > rules.WORD_LIMIT and not verdict[rare + " "]["kept"]
+
+
 def test_without_languages_all_texts_describe_one(spark):
     rows, docs = corpus(spark)
     got = rules.judge(docs, [F.col("doc_id")], lang=None, least_reference=500).collect()
