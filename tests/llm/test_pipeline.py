@@ -53,4 +53,4 @@ def test_every_query_is_registered():
     import __spark_entry__ as entry
 
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
