@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gleanwork.functions import labels, paths
 from gleanwork.functions.text import strip
 from gleanwork.operators.ordering import HASH_DIGITS, dense_index, draw_hash, first_k, first_rows
-from gleanwork.session import materialize
+from gleanwork.session import materialize, wide_partitions
 
 SIZE_STRATA = 5
 MANIFEST_FIELDS = (
@@ -202,10 +202,6 @@ PRIOR_LABEL_COLUMNS = (
 )
 
 
-# Rows of every stratum that one job brings to the driver at most.
-HARD_POOL = 200
-
-
 def hard_cases(
     classified: DataFrame,
     languages: Sequence[str],
@@ -214,13 +210,12 @@ def hard_cases(
 ) -> DataFrame:
     """Boundary cases per language and stratum, no owner or project twice overall; one row per case.
 
-    One job brings the best ``HARD_POOL`` rows of every stratum to the driver, where the greedy
-    choice runs. Only when a pool is used up and its stratum may hold more does another job bring
-    the next rows, without the owners and projects picked so far. Rows without a name are no
-    cases; of several rows of a picked name the one that was ranked counts, ties go to the
+    The picks are those of a loop over languages, strata and quotas that takes the best row whose
+    owner and project are free. They are found in rounds of a greedy matching: rows that no better
+    row shares an owner or project with are picked at once, see ``_matched``. Rows without a name
+    are no cases; of several rows of a picked name the one that was ranked counts, ties go to the
     smallest row.
     """
-    spark = classified.sparkSession
     rows = classified.where(F.col("name").isNotNull())
     if excluded is not None:
         rows = rows.join(excluded.select(F.col("repository").alias("name")).distinct(), "name", "left_anti")
@@ -228,72 +223,106 @@ def hard_cases(
         "candidate_documents_json", "candidate_count", "guideline_status", "guideline_path"
     ).alias("difficulty_score")
     whole = F.lower(F.coalesce("tree_truncated", F.lit("false"))) != "true"
-    options = F.array(
-        *(
-            F.struct(F.lit(k).alias("stratum"), F.lit(status).alias("status"), F.lit(-1 if descending else 1).alias("sign"))
-            for k, (_, status, descending, _) in enumerate(HARD_STRATA)
+    slots = [
+        (language, status, group * len(HARD_STRATA) + k, -1 if descending else 1, quota, stratum, reason)
+        for group, language in enumerate(languages)
+        for k, ((stratum, status, descending, reason), quota) in enumerate(zip(HARD_STRATA, quotas, strict=True))
+    ]
+    # One row per language and stratum.
+    slot = F.broadcast(
+        classified.sparkSession.createDataFrame(
+            slots,
+            "mainLanguage string, guideline_status string, slot int, sign int, quota int, sampling_stratum string, "
+            "difficulty_reason string",
         )
     )
-    scored = materialize(
-        rows.where(whole & F.col("mainLanguage").isin(*languages)).select(
-            "name",
-            "mainLanguage",
-            difficulty,
+    scored = (
+        rows.where(whole)
+        .select("name", "mainLanguage", "guideline_status", difficulty)
+        .join(slot, ["mainLanguage", "guideline_status"])
+        .select(
+            "slot", "quota", "name", "mainLanguage", "guideline_status", "difficulty_score", "sampling_stratum", "difficulty_reason",
             paths.owner("name").alias("owner"),
             paths.project("name").alias("project"),
-            F.explode(F.filter(options, lambda o: o["status"] == F.col("guideline_status"))).alias("option"),
+            F.struct("slot", (F.col("difficulty_score") * F.col("sign")).alias("score"), F.lower("name").alias("lower"), "name").alias("place"),
         )
-    )
-    best_first = Window.partitionBy("mainLanguage", "option.stratum").orderBy(
-        F.col("difficulty_score") * F.col("option.sign"), F.lower("name"), "name"
-    )
-    owners: set[str] = set()
-    projects: set[str] = set()
-
-    def pools() -> dict[tuple[str, int], list]:
-        """The best open rows by language and stratum, best first."""
-        open_rows = scored
-        if owners:
-            open_rows = scored.where(~F.col("owner").isin(*owners) & ~F.col("project").isin(*projects))
-        ranked = open_rows.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= HARD_POOL)
-        found: dict[tuple[str, int], list] = {}
-        for row in sorted(ranked.collect(), key=lambda r: r["rank"]):
-            found.setdefault((row["mainLanguage"], row["option"]["stratum"]), []).append(row)
-        return found
-
-    pool = pools()
-    chosen = []
-    for language in languages:
-        for k, ((stratum, status, _, reason), quota) in enumerate(zip(HARD_STRATA, quotas, strict=True)):
-            for _ in range(quota):
-                best = _first_open(pool.get((language, k), []), owners, projects)
-                if best is None and len(pool.get((language, k), [])) == HARD_POOL:
-                    pool = pools()
-                    best = _first_open(pool.get((language, k), []), owners, projects)
-                if best is None:
-                    raise ValueError(f"not enough diverse hard candidates for {language}/{stratum}")
-                owners.add(best["owner"])
-                projects.add(best["project"])
-                chosen.append((best["name"], language, status, stratum, best["difficulty_score"], reason))
-    picks = spark.createDataFrame(
-        chosen,
-        "name string, mainLanguage string, guideline_status string, sampling_stratum string, __score bigint, "
-        "difficulty_reason string",
-    )
+    )
+    wanted_cases = sum(quotas) * len(languages)
+    picks, count = _matched(scored, wanted_cases)
+    if count < wanted_cases:
+        counts = picks.groupBy("slot").agg(F.count("*").alias("n"))
+        short = slot.join(counts, "slot", "left").where(F.coalesce("n", F.lit(0)) < F.col("quota")).orderBy("slot").first()
+        raise ValueError(f"not enough diverse hard candidates for {short['mainLanguage']}/{short['sampling_stratum']}")
     # One row per requested case.
     found = (
         rows.where(whole)
-        .join(F.broadcast(picks), ["name", "mainLanguage", "guideline_status"])
         .withColumn("difficulty_score", difficulty)
-        .where(F.col("difficulty_score") == F.col("__score"))
-        .drop("__score")
+        .join(
+            F.broadcast(picks.drop("slot", "owner", "project")),
+            ["name", "mainLanguage", "guideline_status", "difficulty_score"],
+        )
     )
     wanted = [*classified.columns, "sampling_stratum", "difficulty_score", "difficulty_reason"]
     return first_rows(found, ["name"], [F.to_json(F.struct(*classified.columns))], wanted).select(*wanted)
 
 
-def _first_open(pool: list, owners: set[str], projects: set[str]):
-    return next((r for r in pool if r["owner"] not in owners and r["project"] not in projects), None)
+def _matched(scored: DataFrame, total: int) -> tuple[DataFrame, int]:
+    """The greedy matching of owners and projects in order of ``place``, ``quota`` rows of a slot at most; and its size.
+
+    A row is sure of its pick when every open row of its slot up to it is the best open row of its
+    own owner and of its own project, over all slots; each round picks all of these. The first
+    open row always is, so there are at most ``total`` rounds.
+
+    A round looks at a pool that holds every row the matching could pick. Of one slot and owner
+    the ``total`` best projects are enough, as other picks block fewer; so are the ``total`` best
+    owners of a project, and of a slot the rows that so many picks can block. The size of the
+    pool depends on languages and quotas only, never on the table.
+    """
+
+    def best(rows: DataFrame, by: list, count: int) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("place"))
+        return rows.withColumn("__n", place).where(F.col("__n") <= count).drop("__n")
+
+    spark = scored.sparkSession
+    fields = ["slot", "quota", "name", "mainLanguage", "guideline_status", "difficulty_score", "sampling_stratum", "difficulty_reason"]
+    pairs = scored.groupBy("slot", "owner", "project").agg(F.min_by(F.struct(*fields[1:], "place"), "place").alias("best"))
+    pool = pairs.select("slot", "owner", "project", "best.*")
+    # Spark limits small ranks before it moves rows; the rank in a slot may be too large for that, so it is salted first.
+    pool = best(best(pool, ["slot", "owner"], total), ["slot", "project"], total)
+    salt = F.pmod(F.xxhash64("name"), F.lit(wide_partitions(spark)))
+    reach = 2 * total * total + 1
+    pool = best(best(pool.withColumn("__salt", salt), ["slot", "__salt"], reach), ["slot"], reach).drop("__salt")
+    # Of bounded size, so that one partition serves all windows of a round.
+    pool = materialize(pool.repartition(1)).coalesce(1)
+    picks = materialize(pool.limit(0).select(*fields, "owner", "project"))
+    done = 0
+    for _ in range(total):
+        filled = picks.groupBy("slot").agg(F.count("*").alias("__picked"))
+        # One row per case and per slot.
+        left = (
+            pool.join(F.broadcast(picks.select("owner")), "owner", "left_anti")
+            .join(F.broadcast(picks.select("project")), "project", "left_anti")
+            .join(F.broadcast(filled), "slot", "left")
+            .withColumn("__left", F.col("quota") - F.coalesce("__picked", F.lit(0)))
+            .where("__left > 0")
+        )
+        sure = (F.col("place") == F.min("place").over(Window.partitionBy("owner"))) & (
+            F.col("place") == F.min("place").over(Window.partitionBy("project"))
+        )
+        run = Window.partitionBy("slot").orderBy("place")
+        found = materialize(
+            left.withColumn("__unsure", (~sure).cast("int"))
+            .withColumn("__before", F.sum("__unsure").over(run))
+            .withColumn("__n", F.row_number().over(run))
+            .where("__before = 0 and __n <= __left")
+            .select(*picks.columns)
+        )
+        count = found.count()
+        picks = picks.unionByName(found)
+        done += count
+        if count == 0 or done == total:
+            break
+    return picks, done
 
 
 def without_prior_labels(rows: DataFrame) -> DataFrame:
