@@ -76,39 +76,50 @@ def final_totals(selected: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def table_digest(df: DataFrame, role: str) -> DataFrame:
-    """Order- and partition-insensitive digest of a table: ``role, rows, digest``.
+# The sums a digest is made of: eight 16-bit words of two row hashes.
+WORDS = tuple(f"{h}w{i}" for h in ("h0", "h1") for i in range(4))
 
-    Every row hashes to 128 bits (two seeded 64-bit hashes over all columns and their null flags);
-    the eight 16-bit words are summed, so any order or partitioning of the same rows gives the same
-    digest and repeats count. Sums stay exact up to 2^47 rows. This detects change; it is not a
-    signature against an adversary.
-    """
+
+def row_sums(df: DataFrame, *by: Column) -> DataFrame:
+    """``rows`` and the word sums of a table, or of each group ``by``; sums of parts add up to those of the whole."""
     columns = sorted(df.columns)
     values = [
         F.to_json(F.col(f"`{c}`")) if "map<" in df.schema[c].dataType.simpleString() else F.col(f"`{c}`") for c in columns
     ]
     nulls = [value.isNull() for value in values]
     hashes = df.select(
-        F.xxhash64(F.lit(1), *values, *nulls).alias("h0"), F.xxhash64(F.lit(2), *nulls, *values).alias("h1")
+        *by, F.xxhash64(F.lit(1), *values, *nulls).alias("h0"), F.xxhash64(F.lit(2), *nulls, *values).alias("h1")
     )
+    kept = hashes.columns[: len(by)]
     words = [
-        F.shiftrightunsigned(F.col(h), 16 * i).bitwiseAND(F.lit(0xFFFF)).alias(f"{h}w{i}")
-        for h in ("h0", "h1")
-        for i in range(4)
+        F.shiftrightunsigned(F.col(name[:2]), 16 * int(name[3])).bitwiseAND(F.lit(0xFFFF)).alias(name) for name in WORDS
     ]
-    names = [f"{h}w{i}" for h in ("h0", "h1") for i in range(4)]
-    sums = hashes.select(*words).agg(
-        F.count("*").alias("rows"), *(F.coalesce(F.sum(n), F.lit(0)).cast("string").alias(n) for n in names)
-    )
-    schema = F.lit(",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in columns))
-    return sums.select(
-        F.lit(role).alias("role"),
-        "rows",
-        F.sha2(F.concat_ws("|", schema, F.col("rows").cast("string"), *names), 256).alias("digest"),
+    return hashes.select(*kept, *words).groupBy(*kept).agg(
+        F.count("*").alias("rows"), *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in WORDS)
     )
 
 
+def schema_text(df: DataFrame) -> str:
+    """Names and types of the columns, by name."""
+    return ",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in sorted(df.columns))
+
+
+def digest_of(schema: Column) -> Column:
+    """The digest of a table with this schema text, ``rows`` and word sums."""
+    return F.sha2(F.concat_ws("|", schema, F.col("rows").cast("string"), *(F.col(n).cast("string") for n in WORDS)), 256)
+
+
+def table_digest(df: DataFrame, role: str) -> DataFrame:
+    """Order- and partition-insensitive digest of a table: ``role, rows, digest``.
+
+    Every row hashes to 128 bits (two seeded 64-bit hashes over all columns and their null flags);
+    the eight 16-bit words are summed, so any order or partitioning of the same rows gives the same
+    digest and repeats count. Sums stay exact up to 2^47 rows. This detects change; it is not a
+    signature against an adversary.
+    """
+    return row_sums(df).select(F.lit(role).alias("role"), "rows", digest_of(F.lit(schema_text(df))).alias("digest"))
+
+
 def settings_table(spark, settings: Mapping[str, object]) -> DataFrame:
     """Run settings as ``name, value`` rows of canonical JSON."""
     import json

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleanwork.operators import gates, publish
 from gleanwork.plans import collection
 from gleanwork.session import materialize
+from gleanwork.sources import digest_record
 
 POPULATION = (
     "name string, lastCommitSHA string, lastCommit string, mainLanguage string, stargazers string, totalIssues string, "
@@ -217,6 +218,43 @@ def test_digest_sees_every_change(spark):
     assert digest(base.limit(0)) != digest(base)
 
 
+def test_recorded_digests_read_changed_files_only(spark, tmp_path):
+    table, single, record = str(tmp_path / "a table"), str(tmp_path / "one"), str(tmp_path / "record")
+    data = spark.createDataFrame([(i, f"t{i}", i % 2) for i in range(20)], "i int, x string, part int")
+    data.repartition(3).write.partitionBy("part").parquet(table)
+    data.drop("part").limit(0).coalesce(1).write.parquet(single)
+
+    def run():
+        out = {r["role"]: r for r in digest_record.recorded_digests(spark, {"t": table, "empty": single}, record).collect()}
+        for role, path in (("t", table), ("empty", single)):
+            whole = publish.table_digest(spark.read.parquet(path), role).first()
+            assert (out[role]["rows"], out[role]["digest"]) == (whole["rows"], whole["digest"])
+        return {role: (r["files"], r["files_read"]) for role, r in out.items()}
+
+    first = run()
+    assert first["t"][0] == first["t"][1] > 2 and first["empty"] == (1, 1)
+    assert run() == {"t": (first["t"][0], 0), "empty": (1, 0)}
+    data.limit(1).write.mode("append").partitionBy("part").parquet(table)
+    assert run()["t"] == (first["t"][0] + 1, 1)
+    # A file that goes leaves the sums; a version that broke off is passed over.
+    gone = next(p for p in (tmp_path / "a table").rglob("*.parquet"))
+    gone.unlink()
+    (tmp_path / "record" / "version-000000000009").mkdir()
+    assert run()["t"] == (first["t"][0], 0)
+    # Another schema: every file is read again, versions before the last whole one are gone.
+    data.withColumn("y", F.lit(1)).write.mode("overwrite").partitionBy("part").parquet(table)
+    files, read = run()["t"]
+    assert files == read
+    assert sorted(p.name[-2:] for p in (tmp_path / "record").iterdir()) == ["10", "11"]
+
+
+def test_recorded_digest_of_a_single_file(spark, tmp_path):
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "t"))
+    path = str(next((tmp_path / "t").glob("*.parquet")))
+    out = digest_record.recorded_digests(spark, {"t": path}, str(tmp_path / "record")).first()
+    assert (out["rows"], out["files"], out["digest"]) == (5, 1, publish.table_digest(spark.read.parquet(path), "t").first()["digest"])
+
+
 def test_review_consistency(spark):
     screenings = spark.createDataFrame(
         [(1, "O/a", "pass"), (2, "o/b", "not_found"), (3, "o/c", "pass")], "sample_order bigint, repository string, status string"
