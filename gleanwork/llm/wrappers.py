@@ -17,6 +17,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -68,15 +69,20 @@ LINK_SHARE = 0.8
 MERGE = 64
 
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/><]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""",
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 BLANK = re.compile(r"\s+")
+BOUND = re.compile("[>\"']")
+# Elements below this depth that neither are marked nor hold main text are read as part of the one above;
+# nodes end, with all inside them, this many levels further down.
 LEVELS_DEEP = 200
+LEVELS_MORE = 50
+TAG_NAME = re.compile(r"</?[A-Za-z][^\s/><]*")
 # Ends a label that class words alone mark, until the page is read.
 MAYBE = "\0"
-# A folded sequence with more items is no template; its items are taken as repeated in any order.
+# A folded sequence with more items is no template; its items are taken as optional, in any order.
 LONGEST_SEQUENCE = 120
 
 
@@ -97,11 +103,13 @@ def parse(page: str | None) -> list:
     """A page as nested nodes: [label, children] for elements, [text, characters in links] for text.
 
     Inline elements only add their text to the block they are in; ``br`` is a blank. Elements left
-    open end with what contains them.
+    open end with what contains them; a ``<`` whose tag never ends is text. Time grows with the
+    length of the page, whatever is left open in it.
     """
     page = page or ""
     root: list = ["", []]
-    stack = [("", root)]
+    stack = _Stack(root)
+    tags = _Tags(page)
     text: list[str] = []
     links = linked = at = 0
 
@@ -109,7 +117,7 @@ def parse(page: str | None) -> list:
         nonlocal text, linked
         joined = BLANK.sub(" ", entities.unescape("".join(text))).strip()
         if joined:
-            stack[-1][1][1].append((joined, linked))
+            stack.node[1].append((joined, linked))
         text, linked = [], 0
 
     def add(piece: str) -> None:
@@ -119,7 +127,7 @@ def parse(page: str | None) -> list:
             linked += len(piece.strip())
 
     while at < len(page):
-        m = TOKEN.search(page, at)
+        m = tags.search(at)
         if not m:
             add(page[at:])
             break
@@ -141,28 +149,27 @@ def parse(page: str | None) -> list:
             elif not closing and _label(name, m[3])[1]:
                 # A marked inline element is a block of its own, so that it can be left out.
                 flush()
-                _open(stack, name, m[3])
-            elif closing and any(n == name for n, _ in stack) and stack[-1][0] == name:
+                stack.open(name, m[3])
+            elif closing and stack.name == name:
                 flush()
-                stack.pop()
+                stack.close(stack.nearest(name))
         elif name in VOID:
             if name != "wbr":
                 flush()
         elif closing:
-            if any(n == name for n, _ in stack):
+            if stack.nearest(name):
                 flush()
-                while stack.pop()[0] != name:
-                    pass
+                stack.close(stack.nearest(name))
                 links = 0
             elif name == "p":
                 flush()
         else:
             flush()
             if name in ENDS_PARAGRAPH:
-                _imply(stack, {"p"}, {"table", "td", "th", "button"})
+                stack.imply({"p"}, {"table", "td", "th", "button"})
             if name in CLOSES:
-                _imply(stack, CLOSES[name], SCOPES[name])
-            _open(stack, name, m[3])
+                stack.imply(CLOSES[name], SCOPES[name])
+            stack.open(name, m[3])
     flush()
     return _settled(root[1])
 
@@ -213,21 +220,88 @@ def _kept(nodes: list) -> list:
     return nodes
 
 
-def _open(stack: list, name: str, attributes: str) -> None:
-    node: list = [_label(name, attributes)[0], []]
-    stack[-1][1][1].append(node)
-    # Deeper elements are read as part of the element at the limit.
-    stack.append((name, node if len(stack) < LEVELS_DEEP else stack[-1][1]))
+class _Tags:
+    """The tags of a page, in linear time however many of them are never closed."""
 
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.ends: tuple[list[int], list[int]] | None = None
 
-def _imply(stack: list, names: set[str], scope: set[str]) -> None:
-    """End the nearest open element of ``names`` and all inside it, unless ``scope`` lies between."""
-    for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth][0] in names:
-            del stack[depth:]
-            return
-        if stack[depth][0] in scope:
-            return
+    def search(self, at: int) -> re.Match | None:
+        """The first tag or comment from ``at`` on; a ``<`` whose tag has no end is text."""
+        while (at := self.page.find("<", at)) >= 0:
+            if self.ends is None or self._closes(at):
+                if m := TOKEN.match(self.page, at):
+                    return m
+                if self.ends is None and self.page[at + 1 : at + 2].isalpha():
+                    self.ends = self._ends()
+            at += 1
+        return None
+
+    def _closes(self, at: int) -> bool:
+        m = TAG_NAME.match(self.page, at)
+        if not m:
+            return True
+        places, ends = self.ends
+        k = bisect_left(places, m.end())
+        return k < len(places) and ends[k] >= 0
+
+    def _ends(self) -> tuple[list[int], list[int]]:
+        """Places of ``>`` and of quotes, and where a tag ends that is read on from there (-1: nowhere)."""
+        places = [m.start() for m in BOUND.finditer(self.page)]
+        ends = [-1] * (len(places) + 1)
+        later = {}
+        for k in range(len(places) - 1, -1, -1):
+            sign = self.page[places[k]]
+            if sign == ">":
+                ends[k] = places[k]
+            else:
+                if sign in later:
+                    ends[k] = ends[later[sign] + 1]
+                later[sign] = k
+        return places, ends
+
+
+class _Stack:
+    """Open elements, with the depths at which each name is open, so that no step walks the stack."""
+
+    def __init__(self, root: list) -> None:
+        self.open_elements: list[tuple[str, list, int]] = [("", root, 0)]
+        self.depths: dict[str, list[int]] = {}
+
+    @property
+    def name(self) -> str:
+        return self.open_elements[-1][0]
+
+    @property
+    def node(self) -> list:
+        """The node that what comes next belongs to."""
+        return self.open_elements[-1][1]
+
+    def nearest(self, *names: str) -> int:
+        """Depth of the innermost open element of these names, 0 if there is none."""
+        return max((self.depths[n][-1] for n in names if self.depths.get(n)), default=0)
+
+    def open(self, name: str, attributes: str) -> None:
+        label, marked = _label(name, attributes)
+        node, level = self.open_elements[-1][1:]
+        if level < LEVELS_DEEP or (level < LEVELS_DEEP + LEVELS_MORE and (marked or _is_main(label))):
+            inner: list = [label, []]
+            node[1].append(inner)
+            node, level = inner, level + 1
+        self.depths.setdefault(name, []).append(len(self.open_elements))
+        self.open_elements.append((name, node, level))
+
+    def close(self, depth: int) -> None:
+        """End the element at ``depth`` and all inside it."""
+        while len(self.open_elements) > depth:
+            self.depths[self.open_elements.pop()[0]].pop()
+
+    def imply(self, names: set[str], scope: set[str]) -> None:
+        """End the nearest open element of ``names`` and all inside it, unless ``scope`` lies between."""
+        depth = self.nearest(*names)
+        if depth > self.nearest(*scope):
+            self.close(depth)
 
 
 # An item of an expression: {"t": label ("#" for text), "q": "1", "?", "+" or "*", "c": items inside,
@@ -289,11 +363,14 @@ def fold(items: list[dict]) -> list[dict]:
 
 
 def _squashed(items: list[dict]) -> list[dict]:
-    """A sequence without a template: one optional repeated item per label, in order of appearance."""
+    """A sequence without a template: one optional item per label, in order of appearance.
+
+    It is repeated if one of its items was, not for standing in several places: a menu is a run.
+    """
     by_label: dict[str, dict] = {}
     for item in items:
         by_label[item["t"]] = _merge(by_label[item["t"]], item) if item["t"] in by_label else item
-    return [{**item, "q": "*"} for item in by_label.values()]
+    return [_optional(item) for item in by_label.values()]
 
 
 def _merge(a: dict, b: dict) -> dict:

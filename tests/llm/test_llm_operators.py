@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -619,3 +620,62 @@ def test_scores_do_not_depend_on_the_known_tokens(spark):
         {r["doc_id"]: r["score"] for r in language_model.score_texts(docs, model, [F.col("doc_id")], known=known).collect()} for known in (1, 3, 10_000)
     ]
     assert scores[0] == scores[1] == scores[2]
+
+
+# ---------------------------------------------------------------- html that is never closed
+
+
+@pytest.mark.parametrize("piece", ["<a '", "<a ", "<a'", "<a", "<a '\"", "<div><p>x", "<li><ul><div>"])
+def test_unclosed_markup_is_read_in_linear_time(piece):
+    def seconds(n):
+        start = time.perf_counter()
+        wrappers.parse(piece * n)
+        return time.perf_counter() - start
+
+    seconds(1_000)
+    small = max(seconds(10_000), 0.02)
+    # Quadratic work would take a hundred times as long.
+    assert seconds(100_000) < 40 * small
+
+
+def test_a_tag_without_an_end_is_text():
+    assert wrappers.extract("<p>a < b and <a 'c</p><p>d</p>", None) == ["a < b and <a 'c", "d"]
+    assert wrappers.extract("<p title='x > y'>a</p><b \"", None) == ["a", '<b "']
+
+
+def test_depth_does_not_decide_what_is_left_out():
+    inside = "<nav>menu</nav><form>f</form><p>text</p><div class=sidebar>s</div>"
+    for depth in (1, 100, 190, 210, 2_000):
+        assert wrappers.extract("<div>" * depth + inside, None) == ["text"], depth
+        assert wrappers.extract("<div>" * depth + "<p>out</p><article><p>in</p><aside>no</aside></article>", None) == ["in"], depth
+
+
+def test_length_does_not_make_a_linked_heading_a_menu():
+    for count in (5, 50, 500):
+        page = "<h4><a href=x>Linked</a></h4>" + "<p>t</p><pre>c</pre>" * count + "".join(f"<h{1 + i % 3}>u</h{1 + i % 3}>" for i in range(count))
+        assert wrappers.extract(page, None)[0] == "Linked", count
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_nearest_open_elements_equal_a_walk_of_the_stack(seed):
+    rng = random.Random(seed)
+    names = ["p", "li", "ul", "tr", "td", "table", "div"]
+    stack, walked = wrappers._Stack(["", []]), [""]
+    for _ in range(400):
+        name = rng.choice(names)
+        if rng.random() < 0.4 and name in walked:
+            stack.close(stack.nearest(name))
+            while walked.pop() != name:
+                pass
+        else:
+            closes, scope = wrappers.CLOSES.get(name, {"p"}), wrappers.SCOPES.get(name, {"table", "td"})
+            stack.imply(closes, scope)
+            for depth in range(len(walked) - 1, 0, -1):
+                if walked[depth] in closes:
+                    del walked[depth:]
+                    break
+                if walked[depth] in scope:
+                    break
+            stack.open(name, "")
+            walked.append(name)
+        assert [n for n, *_ in stack.open_elements] == walked
