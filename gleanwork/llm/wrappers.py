@@ -18,7 +18,9 @@ import html as entities
 import json
 import re
 from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -99,6 +101,11 @@ def _label(name: str, attributes: str) -> tuple[str, bool]:
     return kind + ("!" if marked else MAYBE if maybe else ""), marked or maybe
 
 
+# The pages of a host repeat their elements; labels of the last 4,096 with short attributes are kept.
+KEPT_ATTRIBUTES = 200
+_known_label = lru_cache(maxsize=4_096)(_label)
+
+
 def parse(page: str | None) -> list:
     """A page as nested nodes: [label, children] for elements, [text, characters in links] for text.
 
@@ -127,7 +134,9 @@ def parse(page: str | None) -> list:
             linked += len(piece.strip())
 
     while at < len(page):
-        m = tags.search(at)
+        # Nearly always the next "<" begins a tag.
+        m = TOKEN.match(page, start) if tags.ends is None and (start := page.find("<", at)) >= 0 else None
+        m = m or tags.search(at)
         if not m:
             add(page[at:])
             break
@@ -157,9 +166,9 @@ def parse(page: str | None) -> list:
             if name != "wbr":
                 flush()
         elif closing:
-            if stack.nearest(name):
+            if depth := stack.nearest(name):
                 flush()
-                stack.close(stack.nearest(name))
+                stack.close(depth)
                 links = 0
             elif name == "p":
                 flush()
@@ -267,7 +276,7 @@ class _Stack:
 
     def __init__(self, root: list) -> None:
         self.open_elements: list[tuple[str, list, int]] = [("", root, 0)]
-        self.depths: dict[str, list[int]] = {}
+        self.depths: dict[str, list[int]] = defaultdict(list)
 
     @property
     def name(self) -> str:
@@ -280,16 +289,21 @@ class _Stack:
 
     def nearest(self, *names: str) -> int:
         """Depth of the innermost open element of these names, 0 if there is none."""
-        return max((self.depths[n][-1] for n in names if self.depths.get(n)), default=0)
+        depth = 0
+        for name in names:
+            at = self.depths[name]
+            if at and at[-1] > depth:
+                depth = at[-1]
+        return depth
 
     def open(self, name: str, attributes: str) -> None:
-        label, marked = _label(name, attributes)
+        label, marked = (_known_label if len(attributes) <= KEPT_ATTRIBUTES else _label)(name, attributes)
         node, level = self.open_elements[-1][1:]
         if level < LEVELS_DEEP or (level < LEVELS_DEEP + LEVELS_MORE and (marked or _is_main(label))):
             inner: list = [label, []]
             node[1].append(inner)
             node, level = inner, level + 1
-        self.depths.setdefault(name, []).append(len(self.open_elements))
+        self.depths[name].append(len(self.open_elements))
         self.open_elements.append((name, node, level))
 
     def close(self, depth: int) -> None:
@@ -300,7 +314,7 @@ class _Stack:
     def imply(self, names: set[str], scope: set[str]) -> None:
         """End the nearest open element of ``names`` and all inside it, unless ``scope`` lies between."""
         depth = self.nearest(*names)
-        if depth > self.nearest(*scope):
+        if depth and depth > self.nearest(*scope):
             self.close(depth)
 
 
