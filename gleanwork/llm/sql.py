@@ -67,18 +67,22 @@ QUOTATION_LINKING = r"""
 WITH RECURSIVE turns AS (SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY conv_id, turn),
 messages AS (
   SELECT conv_id * 1000 + turn AS message_id, role, coalesce(text, '') AS text, conv_id, turn FROM conversations),
-own AS (
-  SELECT DISTINCT message_id, trim(regexp_replace(lower(unnest(string_split(text, chr(10)))), '\s+', ' ', 'g')) AS k FROM messages),
+parts AS (
+  SELECT DISTINCT text, trim(regexp_replace(lower(unnest(regexp_split_to_array(text, '\n([\s\v]*\n)+'))), '[\s\v]+', ' ', 'g')) AS k
+  FROM (SELECT text FROM messages UNION SELECT text FROM turns)),
+sizes AS (SELECT DISTINCT k, len(string_split(k, ' ')) < 5 AS short FROM parts),
+own AS (SELECT DISTINCT message_id, k FROM messages JOIN parts USING (text) WHERE k <> ''),
 quoted AS (
-  SELECT m.message_id, 1 AS level, trim(regexp_replace(lower(unnest(string_split(t.text, chr(10)))), '\s+', ' ', 'g')) AS k
+  SELECT m.message_id, 1 AS level, trim(regexp_replace(lower(unnest(regexp_split_to_array(t.text, '\n([\s\v]*\n)+'))), '[\s\v]+', ' ', 'g')) AS k
   FROM messages m JOIN turns t ON m.conv_id = t.conv_id AND m.turn = t.turn + 1
   UNION ALL
-  SELECT m.message_id, 2, trim(regexp_replace(lower(unnest(string_split(t.text, chr(10)))), '\s+', ' ', 'g'))
+  SELECT m.message_id, 2, trim(regexp_replace(lower(unnest(regexp_split_to_array(t.text, '\n([\s\v]*\n)+'))), '[\s\v]+', ' ', 'g'))
   FROM messages m JOIN turns t ON m.conv_id = t.conv_id AND m.turn = t.turn + 2),
-lines AS (SELECT row_number() OVER () AS line, message_id, level, k FROM quoted WHERE k <> ''),
+lines AS (SELECT row_number() OVER () AS line, message_id, level, k, short FROM quoted JOIN sizes USING (k) WHERE k <> ''),
 linked AS (
   SELECT line, l.message_id, level, l.k, max(o.message_id) AS original
-  FROM lines l JOIN own o ON l.k = o.k AND o.message_id < l.message_id GROUP BY ALL),
+  FROM lines l JOIN own o ON l.k = o.k AND o.message_id < l.message_id
+  GROUP BY line, l.message_id, level, l.k, short HAVING NOT short OR count(*) = 1),
 per_original AS (
   SELECT message_id, level, original, sum(length(k)) AS chars, count(*) AS n FROM linked GROUP BY ALL),
 parents AS (
@@ -88,12 +92,20 @@ tree(message_id, conversation_id, depth) AS (
   SELECT message_id, message_id, 0::BIGINT FROM roots
   UNION ALL
   SELECT p.message_id, t.conversation_id, t.depth + 1 FROM tree t JOIN parents p ON p.parent_id = t.message_id),
-totals AS (SELECT message_id, count(*) AS n FROM lines GROUP BY 1)
+totals AS (SELECT message_id, count(*) AS n FROM lines GROUP BY 1),
+threads AS (SELECT DISTINCT message_id, conversation_id FROM tree),
+single AS (
+  SELECT k, message_id FROM own UNION
+  SELECT trim(regexp_replace(lower(unnest(string_split(text, chr(10)))), '[\s\v]+', ' ', 'g')), message_id FROM messages),
+near AS (
+  SELECT l.message_id, count(DISTINCT line) AS n FROM lines l ANTI JOIN linked USING (line)
+  JOIN threads t ON t.message_id = l.message_id JOIN single o ON o.k = l.k AND o.message_id < l.message_id
+  JOIN threads u ON u.message_id = o.message_id AND u.conversation_id = t.conversation_id WHERE short GROUP BY 1)
 SELECT m.message_id, t.conversation_id, p.parent_id,
        row_number() OVER (PARTITION BY t.conversation_id ORDER BY m.message_id) AS position, t.depth, m.role,
        trim(m.text, chr(32) || chr(9) || chr(13) || chr(10)) AS text,
-       coalesce(q.n, 0) AS n_quoted, CAST(coalesce(p.n_linked, 0) AS BIGINT) AS n_linked
-FROM messages m JOIN tree t ON m.message_id = t.message_id
+       coalesce(q.n, 0) AS n_quoted, CAST(coalesce(p.n_linked, 0) + coalesce(w.n, 0) AS BIGINT) AS n_linked
+FROM messages m JOIN tree t ON m.message_id = t.message_id LEFT JOIN near w ON m.message_id = w.message_id
 LEFT JOIN parents p ON m.message_id = p.message_id LEFT JOIN totals q ON m.message_id = q.message_id
 """
 

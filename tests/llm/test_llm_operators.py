@@ -401,11 +401,86 @@ def test_replies_find_their_conversations(spark):
     ]
     df = spark.createDataFrame(messages, "message_id bigint, sent bigint, role string, text string").withColumn("depth", F.lit("clash"))
     got = sorted((r["message_id"] or 0, r["conversation_id"], r["parent_id"], r["position"], r["depth"], r["text"], r["n_quoted"], r["n_linked"]) for r in quotations.link_quotations(df).collect())
-    assert [g[:5] for g in got if g[0]] == [(1, 1, None, 1, 0), (2, 1, 1, 2, 1), (2, 1, 1, 3, 1), (3, 1, 2, 4, 2), (4, 4, None, 1, 0), (5, 4, 4, 2, 1), (6, 6, None, 1, 0), (7, 7, None, 1, 0), (8, 8, None, 1, 0)]
+    assert [g[:5] for g in got if g[0]] == [(1, 1, None, 1, 0), (2, 1, 1, 2, 1), (2, 1, 1, 3, 1), (3, 1, 2, 4, 2), (4, 4, None, 1, 0), (5, 5, None, 1, 0), (6, 6, None, 1, 0), (7, 7, None, 1, 0), (8, 8, None, 1, 0)]
     assert [g[5:] for g in got if g[0] in (3, 6, 7)] == [("Good", 2, 2), ("Alone", 1, 0), ("", 0, 0)]
     assert quotations.link_quotations(df.limit(0)).isEmpty()
 
 
+def linked(spark, texts):
+    """(conversation, parent, n_quoted, n_linked) of messages numbered and sent in order."""
+    rows = [(i, i, "r", t) for i, t in enumerate(texts, 1)]
+    df = spark.createDataFrame(rows, "message_id bigint, sent bigint, role string, text string")
+    got = quotations.link_quotations(df).orderBy("message_id").collect()
+    return [(r["conversation_id"], r["parent_id"], r["n_quoted"], r["n_linked"]) for r in got]
+
+
+def test_rewrapped_and_cut_quotations_link(spark):
+    first = "The harbour opens at six in the\nmorning and closes late\n\nBring a coat because of the wind there"
+    rewrapped = "> The harbour opens at\n> six in the morning\n> and closes late\n>\n> Bring a COAT because of\n> the wind there\nSure"
+    cut = "> opens at six in the morning\nIs that so\n> coat because of the wind there today\nFine"
+    edited = "> nothing of this was ever written by anyone at all\nHm"
+    assert linked(spark, [first, rewrapped, cut, edited]) == [(1, None, 0, 0), (1, 1, 2, 2), (1, 1, 2, 2), (4, None, 1, 0)]
+
+
+def test_short_shared_lines_do_not_join_threads(spark):
+    texts = ["Plans for the garden in spring\nThanks", "Quite another matter is to be settled\n\nThanks", "Thanks", "> Thanks\nwelcome"]
+    assert linked(spark, texts)[3] == (4, None, 1, 0)
+    # Inside a thread that a longer passage built, the same line is found.
+    texts.append("> Quite another matter is to be settled\n>\n> Thanks\nYes")
+    assert linked(spark, texts)[4] == (2, 2, 2, 2)
+    # A short passage that one earlier message has links by itself.
+    assert linked(spark, ["Shall we", "> shall   we\nNo"]) == [(1, None, 0, 0), (1, 1, 1, 1)]
+
+
+def test_links_equal_brute_force(spark):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(60):
+        own = [" ".join(rng.choice(WORDS) for _ in range(rng.choice((1, 2, 6, 9)))) for _ in range(rng.randint(1, 3))]
+        if texts and rng.random() < 0.8:
+            parts = own_passages(rng.choice(texts))
+            part = rng.choice(parts).split(" ")
+            part = part[rng.randint(0, 2) :] if len(part) > 8 else part
+            half = len(part) // 2
+            own = [f"> {' '.join(part[:half])}\n> {' '.join(part[half:])}" if half else f"> {part[0]}", *own]
+        texts.append("\n\n".join(own))
+    assert [(p, n) for _, p, _, n in linked(spark, texts)] == brute_links(texts)
+
+
+def own_passages(text):
+    return [" ".join(p.split()) for p in text.split("\n\n") if not p.startswith(">")]
+
+
+def brute_links(texts):
+    """(parent, links) with at most one quoted passage a message, by comparing with every earlier one."""
+
+    def windows(passage):
+        words = passage.split(" ")
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    out, root = [], []
+    for i, text in enumerate(texts):
+        quote = next((" ".join(p.replace(">", " ").split()) for p in text.split("\n\n") if p.startswith(">")), None)
+        parent = None
+        if quote is not None:
+            whole = [j for j in range(i) if quote in own_passages(texts[j])]
+            if len(quote.split(" ")) < 5:
+                parent = whole[0] if len(whole) == 1 else None
+            elif whole:
+                parent = whole[-1]
+            else:
+                asked, votes = windows(quote), {}
+                for w in asked:
+                    holding = [j for j in range(i) if any(w in windows(p) for p in own_passages(texts[j]))]
+                    if holding:
+                        votes[holding[-1]] = votes.get(holding[-1], 0) + 1
+                best = max(((n, j) for j, n in votes.items() if 2 * n >= len(asked)), default=None)
+                parent = best[1] if best else None
+        root.append(i if parent is None else root[parent])
+        out.append((None if parent is None else parent + 1, int(parent is not None)))
+    return out
+
+
 def test_long_conversations_keep_their_numbers(spark):
     turns = [(c, t, f"words {c} of turn {t}") for c, t in [*((1, t) for t in range(998, 1003)), (2, 0), (2, 1), (2, 2)]]
     df = spark.createDataFrame(turns, "conv_id bigint, turn int, text string").withColumn("role", F.lit("user"))
