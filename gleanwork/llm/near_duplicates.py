@@ -171,7 +171,7 @@ def _sketched(width: int):
 
 
 def _block_links(agreement: float, numerator: int, denominator: int):
-    """Block against block: links between different components, checked on full sets.
+    """Strays of a block against members of a block: links between different components, checked on full sets.
 
     Sketches that agree too little rule a pair out; a pair whose components a link of this block
     has joined already isn't checked again, so there are fewer links than members.
@@ -179,15 +179,14 @@ def _block_links(agreement: float, numerator: int, denominator: int):
 
     def run(group: pa.Table) -> pa.Table:
         side, node = group.column("side").to_numpy(), group.column("node").to_numpy()
-        label = group.column("label").to_numpy().copy()
+        label, stray = group.column("label").to_numpy().copy(), group.column("stray").to_numpy(zero_copy_only=False)
         bits = np.frombuffer(b"".join(group.column("bytes").to_pylist()), np.uint8).reshape(len(node), -1)
         sets = [np.frombuffer(raw, np.uint64) for raw in group.column("set").to_pylist()]
-        same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
-        left = np.flatnonzero(side == 0)
-        right = left if same else np.flatnonzero(side == 1)
+        right = np.flatnonzero(side == 1)
         us, vs = [], []
-        for a in left:
-            near = right[(label[right] != label[a]) & (node[right] > node[a] if same else node[right] != node[a])]
+        for a in np.flatnonzero(side == 0):
+            # Two strays meet twice, each as a member; the smaller one looks at the other.
+            near = right[(label[right] != label[a]) & (~stray[right] | (node[right] > node[a]))]
             for b in near[(bits[near] == bits[a]).mean(1) >= agreement]:
                 if label[a] == label[b]:
                     continue
@@ -205,14 +204,23 @@ def _open_links(led: DataFrame, labels: DataFrame, texts: DataFrame, width: int,
     """Links between bucket members, leaders aside, that are not yet in one component.
 
     Members meet under the leader of their bucket; a leader often leads them in many bands, and
-    they are compared once.
+    they are compared once. The largest component of a group needs no links inside, so only the
+    members outside it, its strays, are compared with all: a group with few strays moves each set
+    once for every ``BLOCK`` of these.
     """
     threshold = numerator / denominator
-    labelled = led.where("node != leader").select("leader", "node", "n_shingles").distinct().join(labels, "node", "left").select(
-        "leader", "node", "n_shingles", F.coalesce("component", "node").alias("label")
+    labelled = materialize(
+        led.where("node != leader").select("leader", "node", "n_shingles").distinct().join(labels, "node", "left").select(
+            "leader", "node", "n_shingles", F.coalesce("component", "node").alias("label")
+        )
+    )
+    parts = labelled.groupBy("leader", "label").agg(F.count("*").alias("n"))
+    groups = parts.groupBy("leader").agg(
+        F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"), F.count("*").alias("labels")
     )
-    groups = labelled.groupBy("leader").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"))
-    open_members = materialize(labelled.join(groups.where("a != b").select("leader", "n"), "leader"))
+    # Stored, so that the planner knows its size and members of a hot leader need not move to it.
+    opened = materialize(groups.where("labels > 1").select("leader", "n", "main", (F.col("n") - F.col("most")).alias("n_stray")))
+    open_members = materialize(labelled.join(opened, "leader"))
     small = open_members.where(F.col("n") <= SMALL_GROUP)
     other = small.select("leader", *(F.col(c).alias(f"{c}_v") for c in ("node", "label", "n_shingles")))
     listed = small.join(other, "leader").where(
@@ -221,25 +229,20 @@ def _open_links(led: DataFrame, labels: DataFrame, texts: DataFrame, width: int,
         & (F.least("n_shingles", "n_shingles_v") >= threshold * F.greatest("n_shingles", "n_shingles_v"))
     )
     pairs = listed.select(F.col("node").alias("u"), F.col("node_v").alias("v")).distinct()
-    large = open_members.where(F.col("n") > SMALL_GROUP)
+    large = open_members.where(F.col("n") > SMALL_GROUP).withColumn("stray", F.col("label") != F.col("main"))
     sketches = texts.join(large.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(
         _sketched(width), "node bigint, bytes binary, set binary"
     )
-    blocks = F.ceil(F.col("n") / BLOCK)
+    # Strays of block i meet members of block j.
+    members, strays = F.ceil(F.col("n") / BLOCK), F.ceil(F.col("n_stray") / BLOCK)
+    own = F.xxhash64("node")
+    zero = F.lit(0).cast("bigint")
+    places = F.transform(F.sequence(zero, strays - 1), lambda i: F.struct(i.alias("i"), F.pmod(own, members).alias("j"), F.lit(1).alias("side")))
+    asking = F.transform(F.sequence(zero, members - 1), lambda j: F.struct(F.pmod(own, strays).alias("i"), j.alias("j"), F.lit(0).alias("side")))
     tasks = (
-        large.withColumn("own", F.pmod(F.xxhash64("node"), blocks))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+        large.withColumn("place", F.explode(F.when(F.col("stray"), F.concat(places, asking)).otherwise(places)))
         .join(materialize(sketches), "node")
-        .select(
-            "leader",
-            F.least("own", "other").alias("i"),
-            F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
-            "node",
-            "label",
-            "bytes",
-            "set",
-        )
+        .select("leader", "place.i", "place.j", "place.side", "node", "label", "stray", "bytes", "set")
     )
     agreement = threshold - DEVIATIONS * (threshold * (1 - threshold) / COORDINATES) ** 0.5
     blocked = tasks.groupBy("leader", "i", "j").applyInArrow(

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ from gleanwork.llm import (
     url_filters,
     wrappers,
 )
+from gleanwork.llm.tokens import mix
 from gleanwork.session import materialize
 
 WORDS = [f"{a}{b}" for a in "ka lo mi tu re so".split() for b in "n r st m p".split()]
@@ -390,6 +392,70 @@ def test_classifier_on_held_out_documents(spark):
     assert quality.score_documents(docs.limit(0), model, [F.col("doc_id")]).isEmpty()
 
 
+def plain_buckets(text):
+    """Every feature occurrence of a text by its bucket, one after the other."""
+    words, found = text.split(), []
+    for word in words:
+        found.append(xxhash.xxh3_64_intdigest(word) % quality.BUCKETS)
+        framed = b"<" + word + b">"
+        for n in range(quality.SHORTEST, quality.LONGEST + 1):
+            for i in range(len(framed) - n + 1):
+                gram = sum(c << (8 * k) for k, c in enumerate(framed[i : i + n])) | n << 56
+                found.append(int(mix(np.array([gram], np.uint64))[0]) % quality.BUCKETS)
+    for a, b in zip(words, words[1:]):
+        pair = (xxhash.xxh3_64_intdigest(a) * 0x9E3779B97F4A7C15 + xxhash.xxh3_64_intdigest(b)) % (1 << 64)
+        found.append((7 if a == b else int(mix(np.array([pair], np.uint64))[0])) % quality.BUCKETS)
+    return found
+
+
+TEXTS = [b"plain words stand here", b"here here here", "\u00e9t\u00e9 \u00e0 la mer".encode(), b"a", b"", b"  ", None, b"words plain plain words " * 30]
+
+
+def test_features_equal_a_plain_loop():
+    for text in TEXTS:
+        ids, counts = quality.features(text)
+        want = {}
+        for b in plain_buckets(text or b""):
+            want[b] = want.get(b, 0) + 1
+        assert dict(zip(ids.tolist(), counts.tolist())) == want
+
+
+def test_training_equals_a_plain_loop():
+    """Average, softmax and gradient step feature by feature, in the order of the trainer."""
+    texts, labels = [TEXTS[0], TEXTS[2], TEXTS[1], None], [1, 1, 0, 0]
+    epochs = -(-quality.LEAST_STEPS // len(texts))
+    got, got_bias = quality.fit(texts, labels, rate=0.2)
+    rng = np.random.default_rng(5)
+    table = rng.uniform(-1 / quality.DIMENSIONS, 1 / quality.DIMENSIONS, (quality.BUCKETS, quality.DIMENSIONS))
+    layer, bias = np.zeros((quality.DIMENSIONS, 2)), np.log([0.5, 0.5])
+    found = [plain_buckets(t or b"") for t in texts]
+    done = 0
+    for _ in range(epochs):
+        for k in rng.permutation(len(texts)):
+            speed = 0.2 * (1 - done / (epochs * len(texts)))
+            done += 1
+            if not found[k]:
+                continue
+            average = sum(table[b] for b in found[k]) / len(found[k])
+            odds = [math.exp(sum(average[d] * layer[d][c] for d in range(len(average))) + bias[c]) for c in (0, 1)]
+            error = np.array([o / sum(odds) - (c == labels[k]) for c, o in enumerate(odds)])
+            back = layer @ error
+            for d in range(len(average)):
+                layer[d] -= speed * average[d] * error
+            bias = bias - speed * 0.1 * error
+            scale = len(set(found[k])) ** 0.5 / len(found[k])
+            for b in found[k]:
+                table[b] -= speed * scale * back
+    want = table @ (layer[:, 1] - layer[:, 0])
+    used = sorted({b for f in found for b in f})
+    assert np.allclose(got[used], want[used], rtol=1e-3, atol=1e-3) and abs(got_bias - (bias[1] - bias[0])) < 1e-3
+    scores = quality._Scorer(got, got_bias).scores(TEXTS)
+    for text, score in zip(TEXTS, scores):
+        each = plain_buckets(text or b"")
+        odds = got_bias + (sum(got[b] for b in each) / len(each) if each else 0)
+        assert abs(score - 1 / (1 + math.exp(-odds))) < 1e-9
+
+
 # ------------------------------------------------------------------ quotations
 
 
