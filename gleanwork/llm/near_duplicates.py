@@ -344,12 +344,16 @@ def one_of_each(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id", text
 
     Rows with a null id stay: they have no name by which another row could stand for them.
     """
-    names = groups.groupBy(F.col("doc_id").alias("__id")).agg(
-        F.bool_or("kept").alias("__kept"), F.count("*").alias("__n")
-    )
-    joined = docs.join(names, F.col(doc_id) == F.col("__id"), "left")
-    once = joined.where("__id is null or (__kept and __n = 1)").select(docs.columns)
-    repeated = names.where("__kept and __n > 1")
+    # Columns of the documents may have any name.
+    mark = "__group"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    own, kept, n = f"{mark}_id", f"{mark}_kept", f"{mark}_n"
+    names = groups.groupBy(F.col("doc_id").alias(own)).agg(F.bool_or("kept").alias(kept), F.count("*").alias(n))
+    joined = docs.join(names, F.col(doc_id) == F.col(own), "left")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = joined.where(F.col(own).isNull() | (F.col(kept) & (F.col(n) == 1))).select(columns)
+    repeated = names.where(F.col(kept) & (F.col(n) > 1))
     if repeated.isEmpty():
         return once
-    return once.unionByName(joined.where("__kept and __n > 1").select(docs.columns).dropDuplicates([doc_id, text]))
+    return once.unionByName(joined.where(F.col(kept) & (F.col(n) > 1)).select(columns).dropDuplicates([doc_id, text]))
