@@ -225,12 +225,14 @@ def j5(t: Tables):
        FROM customer WHERE c_nationkey = 7 OR c_custkey % 25 = 0""",
 )
 def v9(t: Tables):
-    old = t.customer.select(F.col("c_name").alias("name"), F.round("c_acctbal").cast("bigint").cast("string").alias("value"))
+    # Whole numbers as SQL's cast gives them: a half goes to the even neighbour.
+    whole = F.bround("c_acctbal").cast("bigint")
+    old = t.customer.select(F.col("c_name").alias("name"), whole.cast("string").alias("value"))
     policy = t.spark.createDataFrame([("license_policy_status", "pending"), ("license_allowlist", "")], "name string, value string")
     applied = t.spark.createDataFrame([("license_policy_status", "applied"), ("license_allowlist", "[MIT]")], "name string, value string")
     new = t.customer.where("c_nationkey <> 7").select(
         F.col("c_name").alias("name"),
-        (F.round("c_acctbal").cast("bigint") + F.when(F.col("c_custkey") % 25 == 0, 1).otherwise(0)).cast("string").alias("value"),
+        (whole + F.when(F.col("c_custkey") % 25 == 0, 1).otherwise(0)).cast("string").alias("value"),
     )
     return gates.incompatible_settings(old.unionByName(policy), new.unionByName(applied))
 

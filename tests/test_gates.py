@@ -1,9 +1,11 @@
 import re
 
+import duckdb
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from gleanwork.bindings import all_queries, all_sql
 from gleanwork.operators import gates, publish
 from gleanwork.plans import collection
 from gleanwork.session import materialize
@@ -204,6 +206,19 @@ def test_settings_gates(spark):
     assert rows(gates.incompatible_prior(settings(sample_seed=1, note="a"), settings(sample_seed=2, note="b")), "key") == [("sample_seed",)]
 
 
+def test_bound_settings_are_whole_numbers_as_in_sql(spark, tmp_path):
+    balances = [0.5, 1.5, 2.5, -0.5, -1.5, -2.5, 1658.5, 2.49, 2.51, 7.0]
+    names = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double"
+    customers = [((i + 1) * 25, f"c{i}", 1, b) for i, b in enumerate(balances)]
+    spark.createDataFrame(customers, names).write.parquet(f"{tmp_path}/customer.parquet")
+    duckdb.execute(f"CREATE OR REPLACE TEMP VIEW customer AS SELECT * FROM read_parquet('{tmp_path}/customer.parquet/*.parquet')")
+    want = duckdb.sql(all_sql()["v9_incompatible_settings"]).fetchall()
+    got = all_queries()["v9_incompatible_settings"](spark, str(tmp_path))
+    assert rows(got, "rule", "key", "detail") == sorted(want)
+    assert ("setting_changed", "c2", "3") in want
+
+
+
 def test_digest_sees_every_change(spark):
     base = spark.createDataFrame([(1, "a", None), (2, None, "b")], "i int, x string, y string")
 
