@@ -17,6 +17,8 @@ LONG_INPUT_MULTIPLIER = Decimal("2.0")
 LONG_OUTPUT_MULTIPLIER = Decimal("1.5")
 
 COST = T.DecimalType(18, 9)
+# Fixed value: what ends a line of a quote.
+LINE_BREAK = r"\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
 @dataclass(frozen=True)
@@ -281,7 +283,8 @@ def quoted_reason(decision: Column | str, reason: Column | str, quote: Column |
     decision, reason, quote, content = map(_c, (decision, reason, quote, content))
     # Fixed value: the label before the reason.
     label = F.concat(F.lit("理由："), reason)
-    one_line = F.array_join(F.split(quote, r"\r\n|\n|\r"), " ")
+    # A line break at the end begins no line of its own.
+    one_line = F.regexp_replace(F.regexp_replace(quote, rf"(?:{LINE_BREAK})\z", ""), LINE_BREAK, " ")
     return F.when(decision == "not_found", label).otherwise(
         F.concat(F.lit("Evidence ("), line_range(content, quote), F.lit("): "), one_line, F.lit(" "), label)
     )
