@@ -282,3 +282,24 @@ def test_review_consistency(spark):
         ("unproven_review", "o/zz"),
         ("unreviewed_prior_positive", "o/e"),
     ]
+
+
+@pytest.mark.parametrize("name", ["f24_table_digests"])
+def test_copies_for_digests_have_as_many_partitions_as_the_scan(spark, monkeypatch, name):
+    frame = type(spark.range(1))
+    deal, dealt = frame.repartition, []
+
+    def seen(df, count, *keys):
+        dealt.append((count, df.rdd.getNumPartitions()))
+        return deal(df, count, *keys)
+
+    monkeypatch.setattr(frame, "repartition", seen)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 8192)
+    try:
+        folder = "/root/testdata/sf0.001"
+        got = [r.asDict() for r in all_queries()[name](spark, folder).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert max(scan for _, scan in dealt) > 7
+    assert all(count >= scan for count, scan in dealt)
+    assert got and all(r["same_digest"] for r in got)
