@@ -181,7 +181,7 @@ def f24_recorded(t: Tables):
     root = log_folder(t, "recorded")
     roles = {name: f"{root}/{name}" for name in ("lineitem", "orders")}
     for name, path in roles.items():
-        t.read(name).repartition(6).write.parquet(path)
+        dealt_anew(t.read(name), 6).write.parquet(path)
     before = materialize(digest_record.recorded_digests(t.spark, roles, f"{root}/record"))
     t.orders.where("o_orderstatus = 'P'").write.mode("append").parquet(roles["orders"])
     after = digest_record.recorded_digests(t.spark, roles, f"{root}/record")
