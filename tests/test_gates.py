@@ -284,7 +284,7 @@ def test_review_consistency(spark):
     ]
 
 
-@pytest.mark.parametrize("name", ["f24_table_digests", "f24_recorded_digests"])
+@pytest.mark.parametrize("name", ["f24_table_digests", "f24_digest_is_order_free", "f24_recorded_digests"])
 def test_copies_for_digests_have_as_many_partitions_as_the_scan(spark, monkeypatch, name):
     frame = type(spark.range(1))
     deal, dealt = frame.repartition, []
