@@ -261,7 +261,7 @@ def _levels(rows: DataFrame, lot: tuple[list[tuple[int, int]], bytes], total: in
         hashes, held = WordHashes(), Filter(shared.value, total)
         for batch in slices(batches, 500):
             tokens = [token_hashes(t, hashes) for t in text_bytes(batch.column("text"))]
-            levels = _merged(_looked_up(tokens, held), batch.column("levels").to_pylist())
+            levels = _merged(_looked_up(tokens, _distinct(tokens), held), batch.column("levels").to_pylist())
             place = batch.schema.get_field_index("levels")
             yield batch.set_column(place, "levels", pa.array([x.tobytes() for x in levels], pa.binary()))
 
@@ -272,16 +272,27 @@ def _merged(own: list[np.ndarray], before: list[bytes | None]) -> list[np.ndarra
     return [a if b is None else np.maximum(a, np.frombuffer(b, np.uint8)) for a, b in zip(own, before)]
 
 
-def _looked_up(tokens: list[np.ndarray], held: Filter) -> list[np.ndarray]:
-    """Levels of the tokens and bigrams of each text; equal n-grams of the batch are probed once."""
-    if not tokens:
-        return []
-    sizes = np.array([len(t) for t in tokens])
-    ones, at = np.unique(np.concatenate(tokens), return_inverse=True)
-    one = held.levels(ones)[at]
-    two = held.levels(np.concatenate([bigrams(t) for t in tokens]))
-    ends = np.cumsum(sizes)
-    return [np.concatenate([one[e - n : e], two[e - n : e]]) for e, n in zip(ends, sizes)]
+def _distinct(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a batch in order, and the place of each n-gram among them."""
+    return np.unique(np.concatenate(parts), return_inverse=True)
+
+
+def _looked_up(tokens: list[np.ndarray], ones: tuple[np.ndarray, np.ndarray], held: Filter) -> list[np.ndarray]:
+    """Levels of the tokens (``ones``: their ``_distinct``) and bigrams of each text; equal n-grams of the batch are probed once."""
+    one, two = (held.levels(values)[at] for values, at in (ones, _distinct([bigrams(t) for t in tokens])))
+    ends = np.cumsum([len(t) for t in tokens])
+    return [np.concatenate([one[e - len(t) : e], two[e - len(t) : e]]) for e, t in zip(ends, tokens)]
+
+
+def _unknown(tokens: list[np.ndarray], ones: np.ndarray, at: np.ndarray, wanted: np.ndarray) -> pa.ListArray:
+    """Of each text the distinct tokens among the ``wanted`` of ``ones``, in order, with how often it has them."""
+    text = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+    chosen = wanted[at]
+    pairs, times = np.unique(text[chosen] * len(ones) + at[chosen], return_counts=True)
+    offsets = np.searchsorted(pairs, np.arange(len(tokens) + 1) * len(ones))
+    values = ones[pairs % len(ones)].view(np.int64)
+    entries = pa.StructArray.from_arrays([pa.array(values), pa.array(times, pa.int32())], names=["ngram", "n"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)
 
 
 def log_probability(levels: np.ndarray, tokens: int, distinct: int, start_level: float) -> float:
@@ -324,29 +335,28 @@ def score_texts(docs: DataFrame, model: Model, keep: list[Column], known: int =
         hashes, held = WordHashes(), Filter(last.value, total)
         keys, counts = shared.value
         scale = math.log10(tokens + distinct + 1)
-        unknown = pa.list_(pa.struct([("ngram", pa.int64()), ("n", pa.int32())]))
         for batch in slices(batches, 500):
-            columns: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "rest")}
+            columns: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
             token_lists = [token_hashes(t, hashes) for t in text_bytes(batch.column("text"))]
-            level_lists = _merged(_looked_up(token_lists, held), batch.column("levels").to_pylist())
+            ones, at = _distinct(token_lists)
+            level_lists = _merged(_looked_up(token_lists, (ones, at), held), batch.column("levels").to_pylist())
+            place = np.minimum(np.searchsorted(keys, ones), max(0, len(keys) - 1))
+            known_ones = keys[place] == ones if len(keys) else np.zeros(len(ones), bool)
+            # Of each distinct token; without the join, an unknown one counts 0.
+            logs = np.log10(np.where(known_ones, counts[place] if len(keys) else 0.0, 0.0) + 1) - scale
+            end = 0
             for own, levels in zip(token_lists, level_lists):
-                at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
-                found = keys[at] == own if len(keys) else np.zeros(len(own), bool)
-                c = np.where(found, counts[at] if len(keys) else 0.0, 0.0)
-                rest: list = []
-                if complete:
-                    base = float((np.log10(c + 1) - scale).sum())
-                else:
-                    base = float((np.log10(c[found] + 1) - scale).sum())
-                    values, times = np.unique(own[~found], return_counts=True)
-                    rest = [{"ngram": v, "n": n} for v, n in zip(values.view(np.int64).tolist(), times.tolist())]
+                start, end = end, end + len(own)
+                own_at = at[start:end]
+                found = known_ones[own_at]
                 columns["n_tokens"].append(len(own))
                 columns["n_known"].append(int(found.sum()))
-                columns["base_score"].append(base)
+                columns["base_score"].append(float(logs[own_at if complete else own_at[found]].sum()))
                 columns["score"].append(log_probability(levels, tokens, distinct, start_level))
-                columns["rest"].append(rest)
-            kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64(), "rest": unknown}
-            yield pa.record_batch({n: batch.column(n) for n in names} | {k: pa.array(v, kinds[k]) for k, v in columns.items()})
+            rest = _unknown(token_lists, ones, at, np.zeros_like(known_ones) if complete else ~known_ones)
+            kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
+            made = {k: pa.array(v, kinds[k]) for k, v in columns.items()}
+            yield pa.record_batch({n: batch.column(n) for n in names} | made | {"rest": rest})
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in names)
     extra = "n_tokens bigint, n_known bigint, base_score double, score double"

@@ -753,6 +753,27 @@ def test_filter_keeps_every_level_and_errs_rarely():
     assert (held.levels(random_.integers(0, 2**63, 20_000).astype(np.uint64)) > 0).mean() < 0.05
 
 
+def test_equal_ngrams_of_a_batch_are_probed_once(monkeypatch):
+    texts = [prose(i % 3, 40).encode() for i in range(30)] + [None, b"kan kan kan"]
+    tokens = [language_model.token_hashes(t, language_model.WordHashes()) for t in texts]
+    both = [np.concatenate(tokens), np.concatenate([language_model.bigrams(t) for t in tokens])]
+    raw = language_model.fill(np.concatenate([np.unique(x) for x in both]), np.concatenate([np.full(len(np.unique(x)), k) for x, k in zip(both, (3, 2))]))
+    held = language_model.Filter(language_model.joined([(0, raw.tobytes())]), 1)
+    plain = [np.concatenate([held.levels(t), held.levels(language_model.bigrams(t))]) for t in tokens]
+    probed = []
+    levels = held.levels
+    monkeypatch.setattr(held, "levels", lambda ngrams: probed.append(len(ngrams)) or levels(ngrams))
+    ones, at = language_model._distinct(tokens)
+    got = language_model._looked_up(tokens, (ones, at), held)
+    assert all((a == b).all() for a, b in zip(got, plain, strict=True))
+    assert probed == [len(np.unique(x)) for x in both]
+    wanted = np.arange(len(ones)) % 2 == 0
+    rest = language_model._unknown(tokens, ones, at, wanted).to_pylist()
+    for own, entries in zip(tokens, rest, strict=True):
+        values, times = np.unique(own[np.isin(own, ones[wanted])], return_counts=True)
+        assert [(e["ngram"], e["n"]) for e in entries] == list(zip(values.view(np.int64).tolist(), times.tolist()))
+
+
 def test_scores_do_not_depend_on_the_known_tokens(spark):
     docs = spark.createDataFrame([(i, prose(i, 40)) for i in range(6)] + [(6, ""), (7, None)], "doc_id bigint, text string")
     model = language_model.train(docs)
