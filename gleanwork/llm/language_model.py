@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.llm.ranking import most_frequent
-from gleanwork.llm.tokens import WordHashes, mix, seeds, slices, text_bytes, words
-from gleanwork.session import materialize
+from gleanwork.llm.tokens import WordHashes, mix, seeds, text_bytes, text_slices, words
+from gleanwork.session import materialize, small_batches
 
 # Quantisation base, bits for each entry and probes for each level: about 1 % false hits a level.
 BASE, BITS, PROBES = 2.0, 10, 4
@@ -35,6 +35,11 @@ SHARD_BYTES = 64_000_000
 KNOWN_TOKENS = 200_000
 # Tokens whose n-grams a task counts together before it passes them on.
 CHUNK_TOKENS = 1_500_000
+# Words whose hashes a worker keeps, and rows and bytes of text it works on at a time.
+CACHED_WORDS = 100_000
+SLICE_ROWS, SLICE_BYTES = 500, 2_000_000
+# Bytes of an Arrow batch, about: a worker and its task's JVM hold a few.
+BATCH_BYTES = 4_000_000
 # Bytes of text behind one segment of the filter, about.
 SEGMENT_BYTES = 3_000_000
 END = np.uint64(0x1F0A5B3C9D7E2468)
@@ -140,6 +145,21 @@ def _unpacked(raw: list[bytes], size: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _tallied(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of ``parts`` in order and their counts; ``parts`` is emptied, so that they are held once."""
+    values = np.concatenate(parts)
+    parts.clear()
+    values.sort()
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    return values[starts], np.diff(starts, append=len(values))
+
+
+def _binaries(raw: bytes, edges: np.ndarray) -> pa.Array:
+    """The pieces of ``raw`` between ``edges``, without a copy."""
+    offsets = pa.py_buffer(edges.astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, offsets, pa.py_buffer(raw)])
+
+
 PACKED = "segment int, ones binary, ones_n binary, twos binary, twos_n binary"
 
 
@@ -151,25 +171,24 @@ def _counted(total: int):
 
     def rows(ones: list[np.ndarray], twos: list[np.ndarray]) -> pa.RecordBatch:
         columns: dict = {}
+        held = np.zeros(total, bool)
         for name, parts, size in (("ones", ones, 8), ("twos", twos, 6)):
-            values, counts = np.unique(np.concatenate(parts), return_counts=True)
+            values, counts = _tallied(parts)
             segment = segment_of(values, total)
             order = np.argsort(segment, kind="stable")
-            values, counts = values[order], counts[order].astype("<u4")
-            edges = np.searchsorted(segment[order], np.arange(total + 1))
-            spans = list(zip(edges[:-1], edges[1:]))
-            columns[name] = pa.array([_packed(values[a:b], size) for a, b in spans], pa.binary())
-            columns[f"{name}_n"] = pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary())
+            edges = np.searchsorted(segment, np.arange(total + 1), sorter=order)
+            held |= np.diff(edges) > 0
+            columns[name] = _binaries(_packed(values[order], size), edges * size)
+            columns[f"{name}_n"] = _binaries(counts[order].astype("<u4").tobytes(), edges * 4)
         batch = pa.record_batch({"segment": pa.array(np.arange(total, dtype=np.int32)), **columns})
-        held = [bool(a or b) for a, b in zip(columns["ones"].to_pylist(), columns["twos"].to_pylist())]
-        return batch.filter(pa.array(held, pa.bool_()))
+        return batch if held.all() else batch.filter(pa.array(held))
 
     def run(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = WordHashes(CACHED_WORDS)
         ones: list[np.ndarray] = []
         twos: list[np.ndarray] = []
         size = 0
-        for batch in slices(texts, 500):
+        for batch in text_slices(texts, SLICE_ROWS, SLICE_BYTES):
             for text in text_bytes(batch.column("text")):
                 tokens = token_hashes(text, hashes)
                 pairs = bigrams(tokens)
@@ -179,7 +198,7 @@ def _counted(total: int):
                     size += len(ones[-1])
                     if size >= CHUNK_TOKENS:
                         yield rows(ones, twos)
-                        ones, twos, size = [], [], 0
+                        size = 0
         if size:
             yield rows(ones, twos)
 
@@ -223,12 +242,11 @@ def train(texts: DataFrame) -> Model:
     """
     size, count = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     total = max(1, (size or 0) // SEGMENT_BYTES)
-    segments = materialize(
-        texts.select("text")
-        .mapInArrow(_counted(total), PACKED)
-        .groupBy("segment")
-        .applyInArrow(_built, "segment int, bits binary, ngrams array<bigint>, counts array<bigint>")
-    )
+    counted = texts.select("text").mapInArrow(_counted(total), PACKED)
+    with small_batches(texts.sparkSession, BATCH_BYTES):
+        segments = materialize(
+            counted.groupBy("segment").applyInArrow(_built, "segment int, bits binary, ngrams array<bigint>, counts array<bigint>")
+        )
     unigrams = segments.select(F.explode(F.arrays_zip("ngrams", "counts")).alias("x")).select(
         "x.ngrams", "x.counts"
     ).toDF("ngram", "n")
@@ -254,18 +272,22 @@ REST = "array<struct<ngram:bigint,n:int>>"
 
 
 def _levels(rows: DataFrame, lot: tuple[list[tuple[int, int]], bytes], total: int) -> DataFrame:
-    """``rows`` (with text and levels so far) with the levels that one shard adds, one byte an n-gram."""
+    """A copy of ``rows`` (with text and levels so far) with the levels that one shard adds, one byte an n-gram."""
     shared = rows.sparkSession.sparkContext.broadcast(lot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held = WordHashes(), Filter(shared.value, total)
-        for batch in slices(batches, 500):
+        hashes, held = WordHashes(CACHED_WORDS), Filter(shared.value, total)
+        for batch in text_slices(batches, SLICE_ROWS, SLICE_BYTES):
             tokens = [token_hashes(t, hashes) for t in text_bytes(batch.column("text"))]
             levels = _merged(_looked_up(tokens, _distinct(tokens), held), batch.column("levels").to_pylist())
             place = batch.schema.get_field_index("levels")
             yield batch.set_column(place, "levels", pa.array([x.tobytes() for x in levels], pa.binary()))
 
-    return rows.mapInArrow(run, rows.schema)
+    with small_batches(rows.sparkSession, BATCH_BYTES):
+        out = materialize(rows.mapInArrow(run, rows.schema))
+    # Else the filters of earlier passes stay in the executors.
+    shared.destroy()
+    return out
 
 
 def _merged(own: list[np.ndarray], before: list[bytes | None]) -> list[np.ndarray]:
@@ -325,17 +347,17 @@ def score_texts(docs: DataFrame, model: Model, keep: list[Column], known: int =
     )
     shards = _shard_count(model, shard_bytes)
     for k in range(shards - 1):
-        rows = materialize(_levels(rows, _shard(model, k, shards), model.total))
+        rows = _levels(rows, _shard(model, k, shards), model.total)
     last = spark.sparkContext.broadcast(_shard(model, shards - 1, shards))
     total = model.total
     start_level = float(count_of(level_of(np.array([model.texts])))[0])
     names = [f.name for f in rows.schema.fields if f.name not in ("text", "levels")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held = WordHashes(), Filter(last.value, total)
+        hashes, held = WordHashes(CACHED_WORDS), Filter(last.value, total)
         keys, counts = shared.value
         scale = math.log10(tokens + distinct + 1)
-        for batch in slices(batches, 500):
+        for batch in text_slices(batches, SLICE_ROWS, SLICE_BYTES):
             columns: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
             token_lists = [token_hashes(t, hashes) for t in text_bytes(batch.column("text"))]
             ones, at = _distinct(token_lists)
@@ -360,15 +382,15 @@ def score_texts(docs: DataFrame, model: Model, keep: list[Column], known: int =
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in names)
     extra = "n_tokens bigint, n_known bigint, base_score double, score double"
+    # Rows with the same unseen tokens share a key, so that each lot is joined once.
+    lot = F.when(F.size("rest") > 0, F.struct(F.xxhash64("rest"), F.hash("rest")))
+    with small_batches(spark, BATCH_BYTES):
+        partial = materialize(rows.mapInArrow(run, f"{fields}, {extra}, rest {REST}").withColumn("lot", lot))
+    last.destroy()
+    shared.destroy()
     if complete:
-        scored = rows.mapInArrow(run, f"{fields}, {extra}, rest {REST}").drop("rest")
+        scored = partial
     else:
-        # Rows with the same unseen tokens share a key, so that each lot is joined once.
-        partial = materialize(
-            rows.mapInArrow(run, f"{fields}, {extra}, rest {REST}").withColumn(
-                "lot", F.when(F.size("rest") > 0, F.struct(F.xxhash64("rest"), F.hash("rest")))
-            )
-        )
         lots = partial.where("lot is not null").groupBy("lot").agg(F.first("rest").alias("rest"))
         counts = model.unigrams.select("ngram", F.col("n").alias("c"))
         joined = lots.select("lot", F.explode("rest").alias("r")).select("lot", "r.ngram", F.col("r.n").alias("times")).join(counts, "ngram", "left")

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 # A worker forgets its word cache beyond this many entries; hashes never depend on the cache.
@@ -17,10 +18,13 @@ CACHED_WORDS = 300_000
 
 
 class WordHashes(dict):
-    """Word bytes → 64-bit hash, computed on first use."""
+    """Word bytes → 64-bit hash, computed on first use; ``limit`` words are kept at most."""
+
+    def __init__(self, limit: int = CACHED_WORDS) -> None:
+        self.limit = limit
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
+        if len(self) >= self.limit:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
@@ -71,3 +75,14 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows whose column ``text`` has at most ``size`` bytes, or of one row."""
+    for batch in slices(batches, rows):
+        ends = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start, before = 0, 0
+        while start < len(ends):
+            end = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(start, end - start)
+            start, before = end, int(ends[end - 1])

@@ -83,6 +83,18 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Inside, rows go to Python in Arrow batches of about ``size`` bytes; for actions, since a plan takes this when it is made."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, cutting its lineage.
 

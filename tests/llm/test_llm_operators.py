@@ -5,9 +5,11 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.core.broadcast import Broadcast
@@ -28,8 +30,8 @@ from gleanwork.llm import (
     url_filters,
     wrappers,
 )
-from gleanwork.llm.tokens import mix
-from gleanwork.session import materialize
+from gleanwork.llm.tokens import mix, text_slices
+from gleanwork.session import materialize, small_batches
 
 WORDS = [f"{a}{b}" for a in "ka lo mi tu re so".split() for b in "n r st m p".split()]
 
@@ -784,6 +786,68 @@ def test_scores_do_not_depend_on_the_known_tokens(spark):
     assert scores[0] == scores[1] == scores[2]
 
 
+def test_texts_come_in_slices_of_few_bytes():
+    texts = [None, "", "kan", "kan lor", None, "x" * 50, "kan"]
+    sliced = [b.column("text").to_pylist() for b in text_slices(iter([pa.record_batch({"text": texts})]), 4, 10)]
+    assert sliced == [[None, "", "kan", "kan lor"], [None], ["x" * 50], ["kan"]]
+    assert list(text_slices(iter([pa.record_batch({"text": pa.array([], pa.string())})]), 4, 10)) == []
+
+
+def test_counting_holds_each_ngram_few_times():
+    random.seed(5)
+    texts = [" ".join(f"{random.randrange(300_000):x}" for _ in range(1_000)) for _ in range(300)]
+    plain = {"ones": {}, "twos": {}}
+    for text in texts:
+        own = language_model.token_hashes(text.encode(), language_model.WordHashes())
+        for name, grams in (("ones", own), ("twos", language_model.bigrams(own))):
+            for gram in grams.tolist():
+                plain[name][gram] = plain[name].get(gram, 0) + 1
+    batch = pa.record_batch({"text": texts})
+    tracemalloc.start()
+    rows = list(language_model._counted(7)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    counted = {"ones": {}, "twos": {}}
+    for row in pa.Table.from_batches(rows).to_pylist():
+        for name, size in (("ones", 8), ("twos", 6)):
+            grams = language_model._unpacked([row[name]], size)
+            assert (language_model.segment_of(grams, 7) == row["segment"]).all()
+            counted[name] |= dict(zip(grams.tolist(), np.frombuffer(row[f"{name}_n"], "<u4").tolist(), strict=True))
+    assert counted == plain
+    # Bytes for each of the 300,300 tokens, with the words that are kept; 157 where the counts and their bytes were copied.
+    assert peak < 120 * 300_300
+
+
+def test_rows_go_to_python_in_small_batches(spark, tmp_path):
+    rows = [(i, "x" * 1_000) for i in range(4_000)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"n": pa.array([batch.num_rows])})
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = spark.conf.get(key)
+    with small_batches(spark, 100_000):
+        got = [r["n"] for r in docs.mapInArrow(sizes, "n bigint").collect()]
+    assert sum(got) == 4_000 and max(got) < 400
+    assert spark.conf.get(key) == given
+
+
+def test_filters_of_earlier_passes_are_dropped(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "SEGMENT_BYTES", 2_000)
+    docs = documents(spark, [(i, prose(i, 40)) for i in range(60)])
+    model = language_model.train(docs)
+    made, dropped = [], []
+    make, drop = spark.sparkContext.broadcast, Broadcast.destroy
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: made.append(make(value)) or made[-1])
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: dropped.append(self) or drop(self, *a))
+    scored = language_model.score_texts(docs, model, [F.col("doc_id")], shard_bytes=300)
+    assert len(made) > 2 and {id(b) for b in made} == {id(b) for b in dropped}
+    assert scored.count() == 60 and scored.where("score is null").isEmpty()
+
+
 # ---------------------------------------------------------------- html that is never closed
 
 
