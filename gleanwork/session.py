@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,17 +84,25 @@ def temporary(spark: SparkSession) -> Iterator[None]:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
-    """Inside, rows go to Python in Arrow batches of about ``size`` bytes; for actions, since a plan takes this when it is made."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, size)
+def _setting(spark: SparkSession, key: str, value: object, default: str | None = None) -> Iterator[None]:
+    before = spark.conf.get(key) if default is None else spark.conf.get(key, default)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def small_batches(spark: SparkSession, size: int) -> AbstractContextManager[None]:
+    """Inside, rows go to Python in Arrow batches of about ``size`` bytes; for actions, since a plan takes this when it is made."""
+    return _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def shuffles_dropped(spark: SparkSession) -> AbstractContextManager[None]:
+    """Inside, the shuffle files of a ``materialize`` call go when it ends, not when the driver happens to collect its garbage."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", True, "false")
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, cutting its lineage.
 

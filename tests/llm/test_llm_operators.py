@@ -835,6 +835,59 @@ def test_rows_go_to_python_in_small_batches(spark, tmp_path):
     assert spark.conf.get(key) == given
 
 
+@pytest.mark.parametrize("chunk,kept", [(500, 16_000_000), (1_500_000, 16_000_000), (1_500_000, 200)])
+def test_a_large_filter_is_not_sent_to_the_texts(spark, monkeypatch, chunk, kept):
+    monkeypatch.setattr(language_model, "SEGMENT_BYTES", 2_000)
+    texts = [(i, prose(i, 40)) for i in range(60)] + [(900, None), (901, ""), (902, "Unseen WORDS kan"), (902, "Unseen WORDS kan"), (903, prose(1, 3_000)), (None, "kan"), (None, None)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    model = language_model.train(docs.where("doc_id < 40"))
+    keep = [F.col("doc_id"), F.col("doc_id").alias("a b"), F.array(F.col("doc_id")).alias("ids"), F.lit("x").alias("n_tokens_of"), F.to_timestamp(F.lit("2024-01-01")).alias("at")]
+    one_pass = language_model.score_texts(docs, model, keep)
+    monkeypatch.setattr(language_model, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(language_model, "CHUNK_TOKENS", chunk)
+    monkeypatch.setattr(language_model, "KEPT_BYTES", kept)
+    copies, written, make = [], [], spark.sparkContext.broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: copies.append(value) or make(value))
+    monkeypatch.setattr(language_model, "materialize", lambda df: written.append(df.columns) or materialize(df))
+    apart = language_model.score_texts(docs, model, keep, shard_bytes=300)
+    # No pass per shard: neither filters nor copies of the texts.
+    assert not copies and len(written) == 1 and "text" not in written[0]
+    assert apart.columns == one_pass.columns and apart.dtypes == one_pass.dtypes
+    key = lambda r: (str(r["doc_id"]), r["n_tokens"])
+    got, plain = sorted(apart.collect(), key=key), sorted(one_pass.collect(), key=key)
+    assert len(got) == len(texts)
+    for a, b in zip(got, plain, strict=True):
+        assert a.asDict() == b.asDict() | {"base_score": pytest.approx(b["base_score"], rel=1e-9), "score": pytest.approx(b["score"], rel=1e-12)}
+    assert language_model.score_texts(docs.limit(0), model, keep).count() == 0
+
+
+def test_hashes_are_packed_by_their_differences():
+    random_ = np.random.default_rng(1)
+    for total in (1, 7, 70_000):
+        for size in (6, 8):
+            for n in (0, 1, 30_000):
+                values = np.unique(np.append(random_.integers(0, 2 ** (8 * size) - 1, n, np.uint64, endpoint=True), np.array([0, 2 ** (8 * size) - 1][: 2 * n], np.uint64)))
+                order, edges = language_model._by_segment(values, total)
+                raw, ends = language_model._packed(values[order], edges, size)
+                pieces = [raw[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+                for k in range(0, total, 1 + total // 9):
+                    assert (language_model._unpacked([pieces[k]], size) == values[language_model.segment_of(values, total) == k]).all()
+                assert (language_model._unpacked(pieces, size) == values[order]).all()
+                assert language_model._unpacked([], size).size == 0
+                if n > 1 and total == 7:
+                    assert len(pa.compress(raw.tobytes(), "lz4", asbytes=True)) < (size - 0.9) * len(values)
+
+
+def test_shuffles_of_the_counts_are_dropped(spark, monkeypatch):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen, given = [], spark.conf.get(key)
+    monkeypatch.setattr(language_model, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(language_model, "materialize", lambda df: seen.append(spark.conf.get(key)) or materialize(df))
+    docs = documents(spark, [(i, prose(i, 40)) for i in range(10)])
+    assert language_model.score_texts(docs, language_model.train(docs), [F.col("doc_id")]).count() == 10
+    assert seen == ["true", "true"] and spark.conf.get(key) == given
+
+
 def test_filters_of_earlier_passes_are_dropped(spark, monkeypatch):
     monkeypatch.setattr(language_model, "SEGMENT_BYTES", 2_000)
     docs = documents(spark, [(i, prose(i, 40)) for i in range(60)])
