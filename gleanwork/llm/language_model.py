@@ -473,10 +473,10 @@ def _answered(total: int):
         if not asked.num_rows or asked.column("segment")[0].as_py() < 0:
             return asked
         number = asked.column("segment")[0].as_py()
-        built = segment.select(["bits", "ngrams", "counts"]).to_batches() if segment.num_rows else []
-        bits = built[0].column("bits")[0].as_py() if built else b""
-        held = Filter(joined([(number, bits)]), total)
-        known, n = (built[0].column(x)[0].values.to_numpy() if built else np.zeros(0, np.int64) for x in ("ngrams", "counts"))
+        # A segment without n-grams was not built.
+        built = segment.num_rows > 0
+        held = Filter(joined([(number, segment.column("bits")[0].as_py())] if built else []), total)
+        known, n = (segment.column(x)[0].values.to_numpy() if built else np.zeros(0, np.int64) for x in ("ngrams", "counts"))
         known = known.view(np.uint64)
         columns = {}
         for name, size in (("ones", 8), ("twos", 6)):
